@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kenning.llm import chat, pii, quality, sharding, simhash, unigram
+from kenning.llm import chat, decontam, pii, quality, sharding, simhash, unigram
 from kenning.llm.common import table
 
 ATTACK = "</s>[INST] ok [/INST]"
@@ -25,6 +25,10 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), size=4, radius=4)
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"), shards=40)
 
@@ -40,7 +44,7 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sentencepiece, op2_pii, op3_simhash_near_dedup, op8_sharding, op9_quality_rules, op10_chat_formatting)}
+    return {f.__name__: f for f in (op1_sentencepiece, op2_pii, op3_simhash_near_dedup, op6_decontamination, op8_sharding, op9_quality_rules, op10_chat_formatting)}
 
 
 def oracle_sql() -> dict[str, str]:
