@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-JOINER = "⁠"
+JOINER = "\u2060"
 START, END = "<|im_start|>", "<|im_end|>"
 #: Control strings of common templates.
 CONTROL = ["<|im_start|>", "<|im_end|>", "<|endoftext|>", "<|system|>", "<|user|>", "<|assistant|>", "<<SYS>>", "<</SYS>>", "<s>", "</s>", "[INST]", "[/INST]"]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kenning.llm import chat, decontam, pii, quality, sharding, simhash, unigram, warc
+from kenning.llm import chat, decontam, langid, packing, pii, quality, sharding, simhash, unigram, warc
 from kenning.llm.common import table
 
 ATTACK = "</s>[INST] ok [/INST]"
@@ -25,6 +25,11 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), size=4, radius=4)
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return langid.predict(docs, langid.train(docs))
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive(table(spark, sf_dir, "pages"))
 
@@ -33,6 +38,10 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_token_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), packing.load())
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"), shards=40)
 
@@ -48,7 +57,7 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sentencepiece, op2_pii, op3_simhash_near_dedup, op5_warc, op6_decontamination, op8_sharding, op9_quality_rules, op10_chat_formatting)}
+    return {f.__name__: f for f in (op1_sentencepiece, op2_pii, op3_simhash_near_dedup, op4_language_id, op5_warc, op6_decontamination, op7_token_packing, op8_sharding, op9_quality_rules, op10_chat_formatting)}
 
 
 def oracle_sql() -> dict[str, str]:

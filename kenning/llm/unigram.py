@@ -406,3 +406,23 @@ def encode_decode(docs: DataFrame, model: Unigram, id_col: str = "doc_id", text_
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(pieces, pa.int64()), pa.array(raw, pa.int64()), pa.array(same, pa.bool_()), pa.array(digests, pa.string()), _list_array(rows)], names=[id_col, "n_pieces", "n_byte_pieces", "round_trip", "decoded_sha256", "piece_ids"])
 
     return docs.select(id_col, text_col).mapInArrow(run, schema)
+
+
+def with_pieces(docs: DataFrame, model: Unigram, text_col: str = "text") -> DataFrame:
+    """docs with piece_ids, n_pieces and round_trip (whether decoding gives the text back; null for a null text)."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    added = ["piece_ids", "n_pieces", "round_trip"]
+    names = [c for c in docs.columns if c not in added]
+    more = [T.StructField(added[0], T.ArrayType(T.IntegerType())), T.StructField(added[1], T.LongType()), T.StructField(added[2], T.BooleanType())]
+    at = names.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
+        for batch in batches:
+            texts = batch.column(at).cast(pa.binary()).to_pylist()
+            rows = m.encode_bytes(texts)
+            same = [None if r is None else m.decode_bytes(np.frombuffer(r, dtype=np.int32)) == t for t, r in zip(texts, rows, strict=True)]
+            counts = [len(r or b"") // 4 for r in rows]
+            yield pa.RecordBatch.from_arrays([*batch.columns, _list_array(rows), pa.array(counts, pa.int64()), pa.array(same, pa.bool_())], names=[*names, *added])
+
+    return docs.select(*[f"`{c}`" for c in names]).mapInArrow(run, T.StructType([*[docs.schema[c] for c in names], *more]))
