@@ -96,7 +96,7 @@ def service_name(raw: Column) -> Column:
     out = F.lower(F.trim(raw))
     out = F.regexp_replace(out, r"(?i)\bcve[-_\s]?\d{4}[-_\s]?\d{4,7}\b", " ")
     for _ in range(3):
-        out = F.trim(F.regexp_replace(F.trim(out), r"[\s/_-]*v?\d+(?:\.[\dx]+)*$", ""))
+        out = F.trim(F.regexp_replace(F.trim(out), r"[\s/_-]+v?\d+(?:\.[\dx]+)*$", ""))
     out = F.trim(F.regexp_replace(out, r"\s+", " "))
     return F.when(out.isin(PLACEHOLDERS) | out.rlike(r"^s\d{6,}$"), "").otherwise(out)
 

@@ -54,7 +54,7 @@ def rule_hit() -> Column:
     for code, name, dimension, sub, hint in EXIT_RULES:
         evidence = F.coalesce(F.nullif(missing, F.lit("")), F.col("tool_name")) if code == 127 else F.lit(f"exit code {code}")
         hit = F.struct(F.lit(name).alias("rule"), F.lit(dimension).alias("dimension"), F.lit(sub).alias("sub_dimension"), evidence.alias("evidence"), F.lit(hint).alias("hint"))
-        out = (out or F).when(F.col("has_result") & (F.col("return_code") == code), hit)
+        out = (F if out is None else out).when(F.col("has_result") & (F.col("return_code") == code), hit)
     late = F.struct(F.lit("timed_out").alias("rule"), F.lit("ENV").alias("dimension"), F.lit("TIMEOUT").alias("sub_dimension"), F.lit("timed out").alias("evidence"), F.lit("raise the limit or split the task").alias("hint"))
     return out.when(F.col("has_result") & F.col("timed_out"), late)
 

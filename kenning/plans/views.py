@@ -15,7 +15,7 @@ def pick(index: str, values: list[str]) -> str:
 
 
 STDERR = ["tool3: not found", "permission denied", "operation timed out", "HTTP 401 unauthorized", "HTTP/1.1 403", "status code: 404", "HTTP/1.1 500", "already patched", "Traceback: error in line", "plain text"]
-STDOUT = ["uid=0(root)", "HTTP/1.1 200 OK", "done", "flag{x}", "access granted", "no errors found", "read timeout"]
+STDOUT = ["uid=0(root)", "HTTP/1.1 200 OK", "done", "root@host", "access granted", "no errors found", "read timeout"]
 COMMANDS = ["nmap -sV 10.0.0.5 -p 8080", "sudo timeout 30 curl http://10.1.2.3:8443/x", "python3 exploit.py --target 192.168.1.9", "FOO=1 env sqlmap -u http://h/?id=1", "/usr/bin/hydra -l root ssh://172.16.0.2", "ls -la"]
 CODES = ["import requests # CVE-2021-44228 exploit", "print(1)", "payload = 1"]
 LAYERS = ["FACTUAL", "PROCEDURAL_POS", "PROCEDURAL_NEG", "METACOGNITIVE", "CONCEPTUAL"]
