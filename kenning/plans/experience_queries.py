@@ -158,9 +158,9 @@ def _calibrated(spark, sf_dir) -> DataFrame:
     return fusion.calibrate(w).join(w.select("cluster_id", "cluster").distinct(), "cluster_id")
 
 
-@query(CALIBRATED + "SELECT cluster, round(p_fused, 5) AS p_fused, n_sessions FROM p2")
+@query(CALIBRATED + "SELECT cluster, p_fused, n_sessions FROM p2")
 def noisy_or_by_session(spark, sf_dir) -> DataFrame:
-    return _calibrated(spark, sf_dir).select("cluster", F.round("p_fused", 5).alias("p_fused"), "n_sessions")
+    return _calibrated(spark, sf_dir).select("cluster", "p_fused", "n_sessions")
 
 
 @query(CALIBRATED + "SELECT cluster, m0 AS maturity_before, m2 AS maturity_after, CAST(n_counter AS BIGINT) AS n_counter, m2 = 'consolidated' AS should_reflux FROM p2")
