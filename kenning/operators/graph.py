@@ -10,23 +10,46 @@ from kenning.plans.store import materialise
 MOST_ROUNDS = 60
 
 
+def _collapse(edges: DataFrame) -> DataFrame:
+    """node, root: each node follows its least neighbour to a local minimum, by pointer doubling."""
+    ends = edges.select("a", "b").union(edges.select("b", "a"))
+    labels = materialise(ends.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("node")).alias("root")), "labels")
+    for _ in range(MOST_ROUNDS):
+        jump = labels.select(F.col("node").alias("root"), F.col("root").alias("far"))
+        after = materialise(labels.join(jump, "root").select("node", F.col("far").alias("root"), (F.col("far") != F.col("root")).alias("moved")), "labels")
+        labels = after.select("node", "root")
+        if not after.filter("moved").limit(1).count():
+            return labels
+    raise RuntimeError("labels did not settle")
+
+
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """node, root (least node of the component) for every node of the edges: least-label exchange with pointer jumping.
+    """node, root (least node of the component) for every node of the edges.
 
-    Each round is two joins and a minimum with partial aggregation; labels are written between rounds.
+    Each round collapses the trees of least neighbours into their local minima and keeps only edges between different
+    minima, so edges and nodes shrink by a constant factor or more; a chain takes a logarithmic number of steps. What a
+    round gives is written to the shared folder.
     """
-    pairs = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).filter("a <> b")
-    both = materialise(pairs.union(pairs.select("b", "a")).distinct(), "edges")
-    labels = materialise(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("node")).alias("root")), "labels")
+    left = materialise(edges.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).filter("a <> b").distinct(), "edges")
+    whole = None
     for _ in range(MOST_ROUNDS):
-        near = both.join(labels, F.col("b") == F.col("node")).groupBy("a").agg(F.min("root").alias("near"))
-        hooked = labels.join(near, F.col("node") == F.col("a")).select("node", F.col("root").alias("old"), F.least("root", "near").alias("up"))
-        jump = labels.select(F.col("node").alias("up"), F.col("root").alias("far"))
-        after = materialise(hooked.join(jump, "up", "left").select("node", F.least("up", "far").alias("root"), (F.least("up", "far") != F.col("old")).alias("changed")), "labels")
-        labels = after.select("node", "root")
-        if not after.filter("changed").limit(1).count():
-            return labels
-    raise RuntimeError("components did not settle")
+        if not left.limit(1).count():
+            break
+        labels = _collapse(left)
+        near, far = labels.select(F.col("node").alias("a"), F.col("root").alias("ra")), labels.select(F.col("node").alias("b"), F.col("root").alias("rb"))
+        lifted = left.join(near, "a").join(far, "b").filter("ra <> rb").select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b"))
+        left = materialise(lifted.distinct(), "edges")
+        if whole is None:
+            whole = labels
+        else:
+            up = labels.select(F.col("node").alias("root"), F.col("root").alias("up"))
+            whole = materialise(whole.join(up, "root", "left").select("node", F.coalesce("up", "root").alias("root")), "labels")
+    else:
+        raise RuntimeError("components did not settle")
+    if whole is None:
+        return left.select(F.col("a").alias("node"), F.col("b").alias("root"))
+    least = whole.groupBy("root").agg(F.least(F.min("node"), F.col("root")).alias("least"))
+    return whole.join(least, "root").select("node", F.col("least").alias("root"))
 
 
 def adjacency(relations: DataFrame, source: str = "source_ref", target: str = "target_ref", kind: str = "relationship_type") -> DataFrame:
