@@ -1,29 +1,5 @@
-"""Connected components of an edge table by smallest-label exchange with pointer jumping.
+"""Connected components, as the rest of the library has them."""
 
-No adjacency list is ever gathered: each round is two joins and a partial-aggregated minimum, and its labels are
-written to the shared folder, so a lost executor repeats tasks of one round only.
-"""
+from kenning.operators.graph import connected_components
 
-from __future__ import annotations
-
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-from kenning.llm.common import materialise
-
-MOST_ROUNDS = 60
-
-
-def connected_components(edges: DataFrame) -> DataFrame:
-    """node, root (smallest node of its component) for every node of edges (a, b: long)."""
-    both = materialise(edges.filter("a <> b").select("a", "b").union(edges.filter("a <> b").select("b", "a")).distinct(), "edges")
-    labels = materialise(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("node")).alias("root")), "labels")
-    for _ in range(MOST_ROUNDS):
-        near = both.join(labels, F.col("b") == F.col("node")).groupBy("a").agg(F.min("root").alias("__near"))
-        hooked = labels.join(near, F.col("node") == F.col("a")).select("node", F.col("root").alias("__old"), F.least("root", "__near").alias("__up"))
-        jump = labels.select(F.col("node").alias("__up"), F.col("root").alias("__far"))
-        after = materialise(hooked.join(jump, "__up", "left").select("node", F.least("__up", "__far").alias("root"), (F.least("__up", "__far") != F.col("__old")).alias("changed")), "labels")
-        labels = after.select("node", "root")
-        if not after.filter("changed").limit(1).count():
-            return labels
-    raise RuntimeError("components did not settle")
+__all__ = ["connected_components"]

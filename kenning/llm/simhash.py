@@ -215,7 +215,7 @@ def close_edges(prints: DataFrame, bands: list[np.ndarray], radius: int) -> Data
     chunk = F.pmod(F.col("node"), F.col("__chunks"))
     pairs = F.transform(F.sequence(F.lit(0), F.col("__chunks") - 1), lambda j: F.least(chunk, j) * F.col("__chunks") + F.greatest(chunk, j))
     dealt = joined.select("band", "node", "fp", F.explode(F.when(F.col("__chunks").isNull(), F.array(F.lit(0).cast("long"))).otherwise(pairs)).alias("pair"))
-    grouped = dealt.repartition("band", "pair").sortWithinPartitions("band", "pair")
+    grouped = dealt.repartition("band", "pair").sortWithinPartitions("band", "pair", "node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Whole groups of a sorted partition, some hundred thousand rows at a time."""
