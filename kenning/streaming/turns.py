@@ -34,13 +34,23 @@ def build(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Ite
                 done.append((key[0], turn, n, asked, row.kind))
                 is_open = False
     state.update((turn, n, asked, is_open))
-    state.setTimeoutDuration(600_000)
     yield pd.DataFrame(done, columns=[x.split()[0] for x in OUTPUT.split(", ")])
 
 
-def stream_turns(lines: DataFrame) -> DataFrame:
-    """Closed turns of a stream with source_file, line_no, kind; a file that stays silent closes its turn after ten minutes."""
-    return lines.groupBy("source_file").applyInPandasWithState(build, OUTPUT, STATE, "append", GroupStateTimeout.ProcessingTimeTimeout)
+def stream_turns(lines: DataFrame, quiet_ms: int = 0) -> DataFrame:
+    """Closed turns of a stream with source_file, line_no, kind.
+
+    With quiet_ms a file that stays silent that long closes its open turn. Such a query never runs out of batches, so
+    it doesn't go with a trigger that ends when the input does.
+    """
+
+    def timed(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        yield from build(key, batches, state)
+        if quiet_ms and state.exists:
+            state.setTimeoutDuration(quiet_ms)
+
+    timeout = GroupStateTimeout.ProcessingTimeTimeout if quiet_ms else GroupStateTimeout.NoTimeout
+    return lines.groupBy("source_file").applyInPandasWithState(timed, OUTPUT, STATE, "append", timeout)
 
 
 def batch_turns(lines: DataFrame) -> DataFrame:
