@@ -60,5 +60,24 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_sentencepiece, op2_pii, op3_simhash_near_dedup, op4_language_id, op5_warc, op6_decontamination, op7_token_packing, op8_sharding, op9_quality_rules, op10_chat_formatting)}
 
 
+_HEX = " ".join(f"WHEN '{x:x}' THEN '{x:04b}'" for x in range(16))
+_GROUP = " + ".join(f"{1 << (4 - k)} * CAST(substr(bits, 5 * g + {k + 1}, 1) AS INT)" for k in range(5))
+OP5 = f"""WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+d AS (SELECT page_id, octet_length(encode(h)) AS n, max(page_id) OVER (PARTITION BY h) AS top, row_number() OVER (PARTITION BY h, page_id) AS copy,
+  array_to_string(list_transform(string_split(sha1(h), ''), lambda c: CASE c {_HEX} END), '') AS bits FROM p),
+b AS (SELECT *, array_to_string(list_transform(range(32), lambda g: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + {_GROUP}, 1)), '') AS digest FROM d)
+SELECT page_id, n AS payload_bytes, digest AS payload_digest, CASE WHEN top IS NULL OR (page_id = top AND copy = 1) THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN top IS NULL OR (page_id = top AND copy = 1) THEN NULL ELSE top END AS refers_to FROM b"""
+_CONTROLS = " + ".join(f"(length(text) - length(replace(text, '{c}', ''))) // {len(c)}" for c in [*chat.CONTROL, chat.JOINER])
+OP10 = f"""WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations UNION ALL SELECT -1, 0, 'user', '{ATTACK}' UNION ALL SELECT -1, 1, 'assistant', '{ATTACK}'),
+w AS (SELECT *, row_number() OVER o AS i, count(*) OVER (PARTITION BY conv_id) AS n, {len(chat.START) + len(chat.END) + 2} + length(text) + {_CONTROLS}
+  + CASE WHEN regexp_matches(role, '^[A-Za-z0-9_-]+$') THEN length(role) ELSE 1 + 4 * ((octet_length(encode(role)) + 2) // 3) END AS chars FROM c WINDOW o AS (PARTITION BY conv_id ORDER BY turn, role, text)),
+s AS (SELECT *, sum(chars) OVER (PARTITION BY conv_id ORDER BY i) AS until FROM w),
+g AS (SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY i)) AS turns_sha256, coalesce(string_agg(text, '' ORDER BY i) FILTER (role = 'assistant'), '') AS loss,
+  CAST(sum(until) FILTER (role = 'assistant' OR i = n) AS BIGINT) AS formatted_chars FROM s GROUP BY conv_id)
+SELECT conv_id, n_turns, turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars FROM g"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """The queries that DuckDB can express; the others are held against brute force in the tests."""
+    return {"op5_warc": OP5, "op10_chat_formatting": OP10}
