@@ -121,3 +121,46 @@ def related(relations: DataFrame, objects: DataFrame, kind: str) -> DataFrame:
     s = objects.select(F.col("id").alias("source_ref"), F.col("name").alias("source_name"), F.col("type").alias("source_type"))
     t = objects.select(F.col("id").alias("target_ref"), F.col("name").alias("target_name"), F.col("type").alias("target_type"))
     return relations.filter(F.col("relationship_type") == kind).select("source_ref", "target_ref").join(s, "source_ref").join(t, "target_ref")
+
+
+# Hints of relevance and ways of naming a source.
+RELEVANT = r"(?i)\b(?:exploit|cve-\d{4}-\d+|rce|webshell|privilege escalation|payload)\b"
+HINTS = ["security", "attack", "scan", "injection", "bypass", "malware", "token"]
+NOISE_TITLE = r"(?i)\b(?:hiring|webinar|giveaway|newsletter)\b"
+
+
+def relevant(title: Column, body: Column) -> Column:
+    """A strong term, or two hints; never with a noise title."""
+    text = F.lower(F.concat_ws(" ", title, body))
+    hints = sum((text.contains(h).cast("int") for h in HINTS), F.lit(0))
+    return (text.rlike(RELEVANT) | (hints >= 2)) & ~F.coalesce(title, F.lit("")).rlike(NOISE_TITLE)
+
+
+def plain_name(name: Column) -> Column:
+    """Lower case without spaces and punctuation."""
+    return F.regexp_replace(F.lower(F.coalesce(name, F.lit(""))), r"[^\p{L}\p{N}]+", "")
+
+
+def same_name(a: Column, b: Column) -> Column:
+    """Equal after normalising, or one of three characters or more inside the other."""
+    x, y = plain_name(a), plain_name(b)
+    return (x != "") & (y != "") & ((x == y) | ((F.length(x) >= 3) & y.contains(x)) | ((F.length(y) >= 3) & x.contains(y)))
+
+
+def citations(articles: DataFrame, id_col: str = "id", text_col: str = "text") -> DataFrame:
+    """id, name, n: names that a text gives as its source."""
+    patterns = [r"(?i)\bvia\s+@?([\p{L}\p{N}_]{2,30})", r"(?i)\bsource:\s*([\p{L}\p{N}_]{2,30})", r"来源[:：]\s*([\p{L}\p{N}_]{2,30})", r"公众号[「“\"]?([\p{L}\p{N}_]{2,30})"]
+    found = F.concat(*[F.regexp_extract_all(F.col(text_col), F.lit(p), F.lit(1)) for p in patterns])
+    return articles.select(F.col(id_col).alias("id"), F.explode(found).alias("name")).groupBy("id", "name").agg(F.count(F.lit(1)).alias("n"))
+
+
+def publish_time(html: Column) -> Column:
+    """Publish time of a page: meta tag, time element, script variable, first date of the text."""
+    ways = [r"(?i)<meta[^>]+published_time[^>]+content=\"([^\"]+)\"", r"(?i)<time[^>]+datetime=\"([^\"]+)\"", r"(?i)publish_time\s*=\s*\"([^\"]+)\"", r"\b(\d{4}-\d{2}-\d{2}(?:[ T]\d{2}:\d{2}(?::\d{2})?)?)\b"]
+    return F.coalesce(*[F.nullif(F.regexp_extract(html, w, 1), F.lit("")) for w in ways])
+
+
+def article_date(text: Column) -> Column:
+    """Date of the usual spellings, CJK ones too."""
+    plain = F.regexp_replace(F.regexp_replace(text, r"[年月/.]", "-"), r"日", "")
+    return F.coalesce(F.try_to_timestamp(plain, F.lit("yyyy-M-d HH:mm:ss")), F.try_to_timestamp(plain, F.lit("yyyy-M-d HH:mm")), F.try_to_timestamp(plain, F.lit("yyyy-M-d")))

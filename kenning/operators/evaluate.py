@@ -70,3 +70,34 @@ def heuristic_success(text: Column) -> Column:
     bad = low.rlike(r"\b(failed|unable|could not|unsuccessful)\b")
     good = low.rlike(r"\b(success(fully)?|root shell|flag\{|pwned|exploited)\b")
     return F.when(good & ~bad, True).when(bad & ~good, False)
+
+
+def cve_status(rows: DataFrame) -> DataFrame:
+    """Per (session_id, cve) over events: patched beats success beats partial beats failure beats unknown."""
+    order = F.when(F.col("status") == "patched", 4).when(F.col("status") == "success", 3).when(F.col("status") == "partial", 2).when(F.col("status") == "failure", 1).otherwise(0)
+    return rows.groupBy("session_id", "cve").agg(F.max_by("status", order).alias("status"), F.count(F.lit(1)).alias("n"))
+
+
+def judge(text: Column, target: list[str], off_target: list[str]) -> Column:
+    """struct(verdict, confidence, hits, off_hits) of a final text by marker counts, in fixed order."""
+    low = F.lower(text)
+    hits = sum((low.contains(m.lower()).cast("int") for m in target), F.lit(0))
+    off = sum((low.contains(m.lower()).cast("int") for m in off_target), F.lit(0))
+    told = heuristic_success(text)
+    verdict = F.when((hits > 0) & (off == 0) & F.coalesce(told, F.lit(False)), "success").when((off > 0) & (hits == 0), "off_target").when((hits > 0) & (off > 0), "mixed").when(F.coalesce(~told, F.lit(False)), "failure").otherwise("unknown")
+    sure = F.when(verdict == "success", 0.85).when(verdict == "off_target", 0.80).when(verdict == "mixed", 0.60).when(verdict == "failure", 0.70).otherwise(0.30)
+    return F.struct(verdict.alias("verdict"), sure.alias("confidence"), hits.alias("hits"), off.alias("off_hits"))
+
+
+def session_status(outcome: Column, is_success: Column, has_near_miss: Column, text: Column) -> Column:
+    """success, possible_success, failure or unknown: annotation first, then its flag, then the final text."""
+    told = heuristic_success(text)
+    return (
+        F.when(outcome == "success", "success").when(outcome.isin("possible_success", "uncertain"), "possible_success").when(outcome == "failure", "failure")
+        .when(is_success, "success").when(~is_success & has_near_miss, "possible_success").when(~is_success, "failure")
+        .when(told, "success").when(~told, "failure").otherwise("unknown")
+    )
+
+
+def cve_year(cve: Column) -> Column:
+    return F.regexp_extract(cve, r"CVE-(\d{4})-", 1).try_cast("int")

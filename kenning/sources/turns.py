@@ -28,3 +28,17 @@ def last_wins(rows: DataFrame, keys: list[str], order: list[str], keep: list[str
     """Per key the kept columns of the row that comes last; an aggregate, so it combines before the shuffle."""
     best = rows.groupBy(*keys).agg(F.max_by(F.struct(*keep), F.struct(*order)).alias("__last"))
     return best.select(*keys, *[F.col(f"__last.{c}").alias(c) for c in keep])
+
+
+def script_links(events: DataFrame) -> DataFrame:
+    """session_id, event_id, write_id: commands that name a file written in the session before or in the same turn.
+
+    Commands are split into words and joined by the file's base name, so a session's pairs are never enumerated; of
+    several writes of the file the latest counts.
+    """
+    base = lambda c: F.element_at(F.split(c, "/"), -1)
+    writes = events.filter("category = 'CODE_WRITE' AND filename <> ''").select("session_id", base(F.col("filename")).alias("file"), F.col("turn_index").alias("wt"), F.col("event_id").alias("write_id"))
+    words = F.array_distinct(F.transform(F.split("command", r"[\s;|&<>()'\"]+"), base))
+    runs = events.filter("command <> ''").select("session_id", "event_id", "turn_index", F.explode(words).alias("file"))
+    pairs = runs.join(writes, ["session_id", "file"]).filter("wt <= turn_index AND write_id <> event_id")
+    return pairs.groupBy("session_id", "event_id").agg(F.max_by("write_id", F.struct("wt", "write_id")).alias("write_id"))
