@@ -59,13 +59,10 @@ def rule_hit() -> Column:
     return out.when(F.col("has_result") & F.col("timed_out"), late)
 
 
-def outcome() -> Column:
-    """Verdict from signals first, then flags; without a result uncertain."""
-    text = result_text()
-    good, bad = text.rlike(SUCCESS_SIGNAL), text.rlike(FAILURE_SIGNAL)
+def _verdict(good: Column, bad: Column, late: Column) -> Column:
     return (
         F.when(~F.col("has_result"), "uncertain")
-        .when(F.col("timed_out") | text.rlike(TIMEOUT_SIGNAL), "timeout")
+        .when(F.col("timed_out") | late, "timeout")
         .when(good, "partial_success")
         .when(bad, "failure")
         .when(F.coalesce(F.col("success") | (F.col("return_code") == 0), F.lit(False)), "success")
@@ -74,6 +71,16 @@ def outcome() -> Column:
     )
 
 
+def _signals() -> list[Column]:
+    text = result_text()
+    return [text.rlike(SUCCESS_SIGNAL), text.rlike(FAILURE_SIGNAL), text.rlike(TIMEOUT_SIGNAL)]
+
+
+def outcome() -> Column:
+    """Verdict from signals first, then flags; without a result uncertain."""
+    return _verdict(*_signals())
+
+
 def merged_outcome(model: Column) -> Column:
     """The rules' verdict unless uncertain; then a model's label if it is one of the known ones."""
     own = outcome()
@@ -103,18 +110,25 @@ def fallback_cause() -> Column:
     return out.when(F.coalesce(F.col("return_code") != 0, F.lit(False)), pair("INV", "WRONG_ARGS")).otherwise(pair("EFF", "OUTPUT_LOST"))
 
 
+def _pending(rule: Column, verdict: Column) -> Column:
+    sign = F.coalesce(F.col("return_code") != 0, F.lit(False)) | F.coalesce(~F.col("success"), F.lit(False))
+    quiet = F.coalesce(F.col("return_code") == 0, F.lit(False)) | (F.col("return_code").isNull() & F.col("success").isNull())
+    return F.col("has_result") & rule.isNull() & (sign | ((verdict == "failure") & quiet))
+
+
 def pending_cause() -> Column:
     """A result, no rule, and a sign of failure: exit code, success flag or verdict."""
-    sign = F.coalesce(F.col("return_code") != 0, F.lit(False)) | F.coalesce(~F.col("success"), F.lit(False))
-    verdict = (outcome() == "failure") & (F.coalesce(F.col("return_code") == 0, F.lit(False)) | (F.col("return_code").isNull() & F.col("success").isNull()))
-    return F.col("has_result") & rule_hit().isNull() & (sign | verdict)
+    return _pending(rule_hit(), outcome())
 
 
 def annotate(events: DataFrame) -> DataFrame:
-    """events with rule, outcome_label, phase, cause and needs_cause."""
+    """events with rule, outcome_label, phase, cause and needs_cause; each signal is matched once a row."""
+    good, bad, late = _signals()
+    matched = events.withColumns({"__good": good, "__bad": bad, "__late": late, "rule": rule_hit(), "phase": phase()})
+    labelled = matched.withColumn("outcome_label", _verdict(F.col("__good"), F.col("__bad"), F.col("__late")))
+    pending = labelled.withColumn("needs_cause", _pending(F.col("rule"), F.col("outcome_label")))
     ruled = F.when(F.col("rule").isNotNull(), F.struct(F.col("rule.dimension").alias("dimension"), F.col("rule.sub_dimension").alias("sub_dimension")))
-    labelled = events.withColumns({"rule": rule_hit(), "outcome_label": outcome(), "phase": phase(), "needs_cause": pending_cause()})
-    return labelled.withColumn("cause", F.coalesce(ruled, F.when(F.col("needs_cause"), fallback_cause())))
+    return pending.withColumn("cause", F.coalesce(ruled, F.when(F.col("needs_cause"), fallback_cause()))).drop("__good", "__bad", "__late")
 
 
 def session_outcome(annotated: DataFrame) -> DataFrame:

@@ -11,9 +11,15 @@ from kenning.plans.store import materialise
 # Bands, source domains, patterns.
 SKIP_BELOW, CONFLICT_FROM, NEIGHBOURS, MOST_WORDS = 0.20, 0.50, 20, 300
 DOMAINS = ["github.com", "exploit-db.com", "nvd.nist.gov", "cve.mitre.org", "packetstormsecurity.com", "vulhub.org", "portswigger.net", "attackerkb.com", "seebug.org"]
-POC = r"(?is)```(?:python|bash|sh|ruby|java|perl|go).{30,}?```|import\s+(?:requests|socket|struct|subprocess|base64)|msfconsole|msfvenom|msf>|use exploit/|curl\s+-[a-z]|wget\s+http|nc\s+-[enlvp]|exec\(|eval\(|os\.system\(|subprocess\.(?:run|popen|call)\(|(?:reverse|bind)\s+shell|(?:payload|shellcode|exploit)\s*="
-FENCE = r"(?is)```(?:bash|sh|shell|console|terminal)[^`]{20,}```"
-COMMANDS = [FENCE, r"(?im)^\$\s+(?:nmap|gobuster|curl|wget|hydra|sqlmap|msfconsole|nuclei|ffuf|feroxbuster|dirb|wfuzz|nikto|nc\b|netcat|john|hashcat)", r"(?im)^#\s+(?:nmap|gobuster|curl|wget|hydra|sqlmap|msfconsole|nuclei|ffuf|feroxbuster|dirb|wfuzz|nikto|nc\b|netcat|john|hashcat)", r"(?i)msf[56]?>\s*(?:use|set|run|exploit)", r"(?i)python3?\s+\w+exploit\w*\.py|python3?\s+poc\.py"]
+# Marks of code that can be run: plain strings, and patterns with a string that every match holds.
+POC_STRINGS = ["msfconsole", "msfvenom", "msf>", "use exploit/", "exec(", "eval(", "os.system("]
+POC_PATTERNS = [
+    ("```", r"```(?:python|bash|sh|ruby|java|perl|go)[\s\S]{30,}?```"), ("import", r"import\s+(?:requests|socket|struct|subprocess|base64)"), ("subprocess.", r"subprocess\.(?:run|popen|call)\("),
+    ("curl", r"curl\s+-[a-z]"), ("wget", r"wget\s+http"), ("nc", r"nc\s+-[enlvp]"), ("<?xml", r"<\?xml[\s\S]{20,}?xmldecoder"), ("<beans", r"<beans[\s\S]{20,}?class="), (" shell", r"(?:reverse|bind)\s+shell"),
+    ("payload", r"payload\s*="), ("shellcode", r"shellcode\s*="), ("exploit", r"exploit\s*="),
+]
+_TOOLS = r"\s+(?:nmap|gobuster|curl|wget|hydra|sqlmap|msfconsole|nuclei|ffuf|feroxbuster|dirb|wfuzz|nikto|nc\b|netcat|john|hashcat)"
+COMMANDS = [("```", r"```(?:bash|sh|shell|console|terminal)[^`]{20,}```"), ("$", r"(?m)^\$" + _TOOLS), ("#", r"(?m)^#" + _TOOLS), ("msf", r"msf[56]?>\s*(?:use|set|run|exploit)"), ("python", r"python3?\s+\w+exploit\w*\.py|python3?\s+poc\.py")]
 RECOMMEND = ["推荐", "建议", "可以", "should", "recommend", "try", "exploit", "尝试", "使用", "执行", "攻击", "利用"]
 
 
@@ -100,21 +106,32 @@ def insert_if_absent(registry: DataFrame, rows: DataFrame, key: str = "exp_id")
     return registry.unionByName(rows.join(registry.select(key), key, "left_anti"), allowMissingColumns=True)
 
 
-def quality(text: Column, url: Column) -> Column:
-    """struct(score, has_poc, has_commands, has_cve, reason) of a crawled text."""
-    poc = text.rlike(POC)
-    hits = sum((text.rlike(p).cast("int") for p in COMMANDS), F.lit(0))
-    commands = (hits >= 2) | text.rlike(FENCE)
-    cve = text.rlike(r"CVE-\d{4}-\d{4,}")
+def with_quality(df: DataFrame, text_col: str = "text", url_col: str = "url", out: str = "quality") -> DataFrame:
+    """df with struct(score, has_poc, has_commands, has_cve, reason) of a crawled text.
+
+    Patterns run on the lower-cased text, each only where its literal occurs, and each once a row.
+    """
+    low, url = F.col("__low"), F.coalesce(F.col(url_col), F.lit(""))
+    hit = lambda literal, pattern: F.when(low.contains(literal), low.rlike(pattern)).otherwise(F.lit(False))
+    poc = F.lit(False)
+    for literal in POC_STRINGS:
+        poc = poc | low.contains(literal)
+    for literal, pattern in POC_PATTERNS:
+        poc = poc | hit(literal, pattern)
+    flags = {"__poc": poc, "__cve": F.when(F.col(text_col).contains("CVE-"), F.col(text_col).rlike(r"CVE-\d{4}-\d{4,}")).otherwise(F.lit(False))}
+    flags |= {f"__c{i}": hit(*c) for i, c in enumerate(COMMANDS)}
+    marked = df.withColumn("__low", F.lower(F.coalesce(F.col(text_col), F.lit("")))).withColumns(flags)
+    commands = (sum((F.col(f"__c{i}").cast("int") for i in range(len(COMMANDS))), F.lit(0)) >= 2) | F.col("__c0")
     host = F.regexp_replace(F.coalesce(F.try_parse_url(url, F.lit("HOST")), F.lit("")), r"^www\.", "")
     known = F.when(host.rlike("|".join(d.replace(".", r"\.") for d in DOMAINS)), 0.3).otherwise(0.0)
     talk = url.contains("github.com") & url.rlike("/(issues|pull|discussions)/")
     code = url.contains("github.com") & ~talk & url.rlike("/(blob|raw|releases)/")
     bonus = F.when(talk, F.greatest(known - 0.2, F.lit(0.0))).when(code, F.least(known + 0.1, F.lit(0.4))).otherwise(known)
-    full = F.least(F.when(poc, 0.5).otherwise(0.0) + F.when(commands, 0.3).otherwise(0.0) + F.when(cve, 0.2).otherwise(0.0) + bonus, F.lit(1.0))
-    short = F.length(text) < 200
-    reason = F.when(short, "too_short").when(F.round(full, 9) < 0.3, "low_quality_no_actionable_content").when(talk & ~poc & ~commands, "github_issue_no_poc").otherwise("")
-    return F.struct(F.when(short, 0.0).otherwise(full).alias("score"), (poc & ~short).alias("has_poc"), (commands & ~short).alias("has_commands"), (cve & ~short).alias("has_cve"), reason.alias("reason"))
+    full = F.least(F.when(F.col("__poc"), 0.5).otherwise(0.0) + F.when(commands, 0.3).otherwise(0.0) + F.when(F.col("__cve"), 0.2).otherwise(0.0) + bonus, F.lit(1.0))
+    short = F.length("__low") < 200
+    reason = F.when(short, "too_short").when(F.round(full, 9) < 0.3, "low_quality_no_actionable_content").when(talk & ~F.col("__poc") & ~commands, "github_issue_no_poc").otherwise("")
+    result = F.struct(F.when(short, 0.0).otherwise(full).alias("score"), (F.col("__poc") & ~short).alias("has_poc"), (commands & ~short).alias("has_commands"), (F.col("__cve") & ~short).alias("has_cve"), reason.alias("reason"))
+    return marked.withColumn(out, result).drop("__low", *flags)
 
 
 def retrieval_document(experiences: DataFrame) -> DataFrame:

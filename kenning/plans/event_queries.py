@@ -100,7 +100,7 @@ def slot_explode(spark, sf_dir) -> DataFrame:
     return table(spark, sf_dir, "conversations").select("conv_id", "turn", F.posexplode(words).alias("slot", "word"))
 
 
-@query(EVENTS + "SELECT session_id, k, max(turn_index) AS turn_index, arg_max(outcome_label, turn_index) AS outcome_label FROM va GROUP BY session_id, k")
+@query(EVENTS + "SELECT session_id, CAST(k AS BIGINT) AS k, max(turn_index) AS turn_index, arg_max(outcome_label, turn_index) AS outcome_label FROM va GROUP BY session_id, k")
 def last_result_wins(spark, sf_dir) -> DataFrame:
     return turns.last_wins(annotate.annotate(events(spark, sf_dir)), ["session_id", "k"], ["turn_index"], ["turn_index", "outcome_label"])
 

@@ -311,11 +311,11 @@ URL = pick("doc_id % 5", ["https://www.github.com/a/b/blob/main/x.py", "https://
 
 @query(f"""WITH t AS (SELECT doc_id, {SCORED} AS t, CASE doc_id % 5 WHEN 0 THEN 0.4 WHEN 1 THEN 0.1 WHEN 3 THEN 0.0 ELSE 0.3 END AS bonus FROM documents),
 f AS (SELECT *, doc_id % 4 IN (0, 1) AS poc, doc_id % 4 = 1 AS cmd, regexp_matches(t, 'CVE-[0-9]{{4}}-[0-9]{{4,}}') AS cve, length(t) < 200 AS short FROM t)
-SELECT doc_id, CASE WHEN short THEN 0.0 ELSE round(least(1.0, CASE WHEN poc THEN 0.5 ELSE 0 END + CASE WHEN cmd THEN 0.3 ELSE 0 END + CASE WHEN cve THEN 0.2 ELSE 0 END + bonus), 6) END AS score,
+SELECT doc_id, CASE WHEN short THEN 0.0::DOUBLE ELSE round(least(1.0::DOUBLE, CASE WHEN poc THEN 0.5 ELSE 0 END + CASE WHEN cmd THEN 0.3 ELSE 0 END + CASE WHEN cve THEN 0.2 ELSE 0 END + bonus), 6) END AS score,
 CASE WHEN short THEN 'too_short' WHEN round(CASE WHEN poc THEN 0.5 ELSE 0 END + CASE WHEN cmd THEN 0.3 ELSE 0 END + CASE WHEN cve THEN 0.2 ELSE 0 END + bonus, 6) < 0.3 THEN 'low_quality_no_actionable_content' WHEN doc_id % 5 = 1 AND NOT poc AND NOT cmd THEN 'github_issue_no_poc' ELSE '' END AS reason FROM f""")
 def quality_score(spark, sf_dir) -> DataFrame:
     d = table(spark, sf_dir, "documents").selectExpr("doc_id", f"{SCORED} AS t", f"{URL} AS url")
-    return d.select("doc_id", govern.quality(F.col("t"), F.col("url")).alias("q")).select("doc_id", F.round("q.score", 6).alias("score"), F.col("q.reason").alias("reason"))
+    return govern.with_quality(d, "t", "url").select("doc_id", F.round("quality.score", 6).alias("score"), F.col("quality.reason").alias("reason"))
 
 
 DOCS = ROWS + """, dt AS (SELECT *, '[XPEC] ' || layer || ' | ' || exp_id || chr(10) || 'knowledge_layer: ' || layer || chr(10) || 'target_service: ' || service || chr(10) || 'maturity: ' || maturity || chr(10) || 'cve_ids: ' || array_to_string(cves, ', ') || chr(10) || substr(text, 1, 1500) || chr(10) || 'QUERY_HINTS: ' || array_to_string(list_distinct_ordered, ' | ') AS doc FROM (SELECT *, list_filter(list_concat([service], cves, [layer], CASE WHEN sub_dimension = service OR sub_dimension = layer THEN [] ELSE [sub_dimension] END), lambda x: x IS NOT NULL)[1:12] AS list_distinct_ordered FROM vx)),
@@ -385,7 +385,7 @@ s AS (SELECT *, least({_HITS}, 10) AS hit, least(floor((length(text) - length(re
  CASE WHEN regexp_matches(substr(text, 1, 200), '转载|来源：|reposted from|source:') THEN 0.0 ELSE 100.0 END AS own FROM a),
 g AS (SELECT account, count(*) AS n, least(avg(hit) * 10, 100.0) AS relevance, CASE WHEN count(age) = 0 THEN 50.0 ELSE 0.6 * greatest(0.0, 100.0 - 2 * min(age)) + 0.4 * least(count(*) FILTER (age <= 30) * 10.0, 100.0) END AS activity, avg(own) AS originality, least(avg(deep), 100.0) AS depth FROM s GROUP BY account),
 t AS (SELECT *, round(0.40 * relevance + 0.20 * activity + 0.25 * originality + 0.15 * depth, 4) AS total FROM g)
-SELECT account, n, round(relevance, 3) AS relevance, round(activity, 3) AS activity, round(originality, 3) AS originality, round(depth, 3) AS depth, round(total, 3) AS total, CASE WHEN total >= 75 THEN 'A' WHEN total >= 50 THEN 'B' WHEN total >= 30 THEN 'C' ELSE 'D' END AS grade FROM t""")
+SELECT account, n, round(relevance, 3) AS relevance, CAST(round(activity, 3) AS DOUBLE) AS activity, round(originality, 3) AS originality, round(depth, 3) AS depth, round(total, 3) AS total, CASE WHEN total >= 75 THEN 'A' WHEN total >= 50 THEN 'B' WHEN total >= 30 THEN 'C' ELSE 'D' END AS grade FROM t""")
 def account_score(spark, sf_dir) -> DataFrame:
     d = table(spark, sf_dir, "documents").select(F.col("source").alias("account"), F.col("lang").alias("title"), F.col("text").alias("content"), F.when(F.col("doc_id") % 20 != 3, F.col("doc_id") % 90).alias("age_days"))
     s = corpus.account_scores(d)
@@ -410,7 +410,7 @@ def html_strip(spark, sf_dir) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", tx.strip_html(F.col("html")).alias("text"))
 
 
-@query("""SELECT page_id, round(0.2 * CAST(regexp_matches(html, '<title>[^<]+') AS INT) + 0.2 * CAST(starts_with(url, 'http') AS INT) + 0.1 * CAST(length(html) > 0 AS INT) + 0.2 * CAST(length(html) >= 500 AS INT) + 0.2 * CAST(length(html) >= 2000 AS INT) + 0.1 * CAST(regexp_matches(html, '```|<code|<pre') AS INT), 6) AS score FROM pages""")
+@query("""SELECT page_id, round(0.2::DOUBLE * CAST(regexp_matches(html, '<title>[^<]+') AS INT) + 0.2 * CAST(starts_with(url, 'http') AS INT) + 0.1 * CAST(length(html) > 0 AS INT) + 0.2 * CAST(length(html) >= 500 AS INT) + 0.2 * CAST(length(html) >= 2000 AS INT) + 0.1 * CAST(regexp_matches(html, '```|<code|<pre') AS INT), 6) AS score FROM pages""")
 def completeness_score(spark, sf_dir) -> DataFrame:
     title = F.regexp_extract("html", "<title>([^<]+)", 1)
     return table(spark, sf_dir, "pages").select("page_id", corpus.completeness(title, F.col("url"), F.col("html")).alias("score"))

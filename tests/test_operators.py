@@ -156,7 +156,7 @@ def test_swap(spark, tmp_path):
 
 def test_quality(spark):
     long = "x" * 200
-    score = lambda t, u: one(spark, govern.quality(F.col("t"), F.col("u")), t=t, u=u)
+    score = lambda t, u: govern.with_quality(spark.createDataFrame([(t, u)], "text string, url string")).first().quality
     assert score("short", "https://github.com/a").reason == "too_short"
     r = score(long + " payload = 1 CVE-2021-44228", "https://www.github.com/a/b/blob/x")
     assert round(r.score, 6) == 1.0 and r.has_poc and r.has_cve and not r.has_commands
