@@ -139,7 +139,7 @@ def retrieval_document(experiences: DataFrame) -> DataFrame:
     hints = F.slice(F.array_compact(F.array_distinct(F.concat(F.array("service"), F.col("cves"), F.array("layer", "sub_dimension")))), 1, 12)
     lines = F.concat_ws(
         "\n",
-        F.concat(F.lit("[XPEC] "), F.col("layer"), F.lit(" | "), F.col("exp_id").cast("string")),
+        F.concat(F.lit("[KNOWLEDGE] "), F.col("layer"), F.lit(" | "), F.col("exp_id").cast("string")),
         F.concat(F.lit("knowledge_layer: "), F.col("layer")),
         F.concat(F.lit("target_service: "), F.col("service")),
         F.concat(F.lit("maturity: "), F.col("maturity")),
@@ -159,7 +159,7 @@ def document_issues() -> Column:
     words = F.size(F.filter(F.split("doc_text", r"\s+"), lambda x: x != ""))
     return F.array_compact(
         F.array(
-            F.when(~head.contains("[xpec]"), "missing_header_xpec"),
+            F.when(~head.contains("[knowledge]"), "missing_header_mark"),
             F.when(~head.contains(F.lower("layer")), "missing_header_layer"),
             F.when((F.col("service") != "") & (F.col("service") != "unknown") & ~head.contains(F.lower("service")), "missing_header_target_service"),
             F.when(~F.col("doc_text").contains("QUERY_HINTS:"), "missing_query_hints"),

@@ -318,7 +318,7 @@ def quality_score(spark, sf_dir) -> DataFrame:
     return govern.with_quality(d, "t", "url").select("doc_id", F.round("quality.score", 6).alias("score"), F.col("quality.reason").alias("reason"))
 
 
-DOCS = ROWS + """, dt AS (SELECT *, '[XPEC] ' || layer || ' | ' || exp_id || chr(10) || 'knowledge_layer: ' || layer || chr(10) || 'target_service: ' || service || chr(10) || 'maturity: ' || maturity || chr(10) || 'cve_ids: ' || array_to_string(cves, ', ') || chr(10) || substr(text, 1, 1500) || chr(10) || 'QUERY_HINTS: ' || array_to_string(list_distinct_ordered, ' | ') AS doc FROM (SELECT *, list_filter(list_concat([service], cves, [layer], CASE WHEN sub_dimension = service OR sub_dimension = layer THEN [] ELSE [sub_dimension] END), lambda x: x IS NOT NULL)[1:12] AS list_distinct_ordered FROM vx)),
+DOCS = ROWS + """, dt AS (SELECT *, '[KNOWLEDGE] ' || layer || ' | ' || exp_id || chr(10) || 'knowledge_layer: ' || layer || chr(10) || 'target_service: ' || service || chr(10) || 'maturity: ' || maturity || chr(10) || 'cve_ids: ' || array_to_string(cves, ', ') || chr(10) || substr(text, 1, 1500) || chr(10) || 'QUERY_HINTS: ' || array_to_string(list_distinct_ordered, ' | ') AS doc FROM (SELECT *, list_filter(list_concat([service], cves, [layer], CASE WHEN sub_dimension = service OR sub_dimension = layer THEN [] ELSE [sub_dimension] END), lambda x: x IS NOT NULL)[1:12] AS list_distinct_ordered FROM vx)),
 di AS (SELECT exp_id, len(list_filter(regexp_split_to_array(doc, '[ \\t\\n\\r\\f\\x0b]+'), lambda x: x <> '')) AS words FROM dt) """
 
 

@@ -169,7 +169,7 @@ def test_documents_and_budget(spark):
     out = {r.exp_id: r.i for r in govern.retrieval_document(row).withColumn("i", govern.document_issues()).collect()}
     assert out[1] == [] and [x.split(":")[0] for x in out[2]] == ["too_long_words", "code_like_content"]
     bare = row.withColumn("doc_text", F.lit("nothing")).withColumn("i", govern.document_issues()).filter("exp_id = 1").first().i
-    assert bare == ["missing_header_xpec", "missing_header_layer", "missing_header_target_service", "missing_query_hints", "missing_cve_ids:CVE-2021-1"]
+    assert bare == ["missing_header_mark", "missing_header_layer", "missing_header_target_service", "missing_query_hints", "missing_cve_ids:CVE-2021-1"]
     docs = spark.createDataFrame([("q", i, "x" * 40) for i in range(4)] + [("r", 0, "x" * 200)], "q string, i int, text string")
     assert [(r.q, r.i) for r in govern.byte_budget(docs, "q", ["i"], 5, 100).orderBy("q", "i").collect()] == [("q", 0), ("q", 1)]
 
