@@ -128,3 +128,19 @@ def collapse(text: Column, limit: int = 257) -> Column:
 def timestamp(text: Column) -> Column:
     """Tolerant ISO parse: as it stands, else without the offset."""
     return F.coalesce(F.try_to_timestamp(text), F.try_to_timestamp(F.regexp_replace(text, r"([+-]\d\d:?\d\d|Z)$", "")))
+
+
+def first_word(command: Column) -> Column:
+    """Base name, in lower case, of the first word of a command; the word may be quoted."""
+    quoted = F.coalesce(F.nullif(F.regexp_extract(command, r"^\s*\"([^\"]+)\"", 1), F.lit("")), F.nullif(F.regexp_extract(command, r"^\s*'([^']+)'", 1), F.lit("")))
+    word = F.coalesce(quoted, F.regexp_extract(command, r"^\s*(\S*)", 1))
+    return F.lower(F.regexp_extract(word, r"([^/\\]*)$", 1))
+
+
+def code_summary(code: Column, limit: int = 2000) -> Column:
+    """Code over the limit cut to what names things: imports, definitions, comments, CVEs, targets; its first 60 lines if that says little."""
+    lines = F.split(code, r"\r?\n")
+    telling = F.filter(lines, lambda v: v.rlike(r"^\s*(?:import |from |def |class |#|if __name__)|(?i)CVE-\d{4}-\d+|\b(?:host|target|port|payload|lhost|lport)\s*="))
+    short = F.array_join(telling, "\n")
+    chosen = F.when(F.length(short) < 100, F.array_join(F.slice(lines, 1, 60), "\n")).otherwise(short)
+    return F.when(F.length(code) <= limit, code).otherwise(F.substr(chosen, F.lit(1), F.lit(limit)))

@@ -92,6 +92,34 @@ def merge_candidates(channels: DataFrame) -> DataFrame:
     return channels.groupBy("name").agg(F.min("ord").alias("first"), F.array_join(F.array_distinct(F.transform(ordered, lambda x: x["source"])), "+").alias("sources"), F.count(F.lit(1)).alias("n"))
 
 
+# Words that speak for a candidate (the first group that fits adds its points once), and trust by source.
+NAME_WORDS = [
+    (15, ["渗透", "红队", "漏洞", "代码审计", "内网", "security", "安全"]),
+    (8, ["ctf", "逆向", "二进制", "应急", "exploit", "web安全"]),
+    (3, ["研究", "实验室", "cert", "response", "预警"]),
+]
+SOURCE_TRUST = {"community_regex": 18, "community_llm": 20, "citation": 10, "citation_biz": 12, "sogou_account_search": 5, "sogou_article_search": 3}
+CHANNELS = ["sogou", "citation", "community"]
+
+
+def quick_score(name: Column, source: Column, description: Column) -> Column:
+    """Score of a candidate before any of its articles is read: words of its name, its source, a description."""
+    low, total = F.lower(F.coalesce(name, F.lit(""))), F.lit(0)
+    for points, words in NAME_WORDS:
+        total = total + F.when(low.rlike("|".join(words)), points).otherwise(0)
+    for known, points in SOURCE_TRUST.items():
+        total = total + F.when(source == known, points).otherwise(0)
+    return F.least(total + F.when(F.length(description) > 20, 5).otherwise(0), F.lit(100)).cast("double")
+
+
+def first_channel(candidates: DataFrame) -> DataFrame:
+    """One row per biz, or per name without one: that of the first channel in CHANNELS, by ord within it."""
+    key = F.coalesce(F.nullif(F.trim("biz"), F.lit("")), F.col("name"))
+    rank = F.coalesce(F.nullif(F.array_position(F.array(*[F.lit(c) for c in CHANNELS]), F.col("channel")), F.lit(0)), F.lit(len(CHANNELS) + 1))
+    keyed = candidates.withColumns({"__key": key, "__rank": rank})
+    return first_by(keyed, ["__key"], ["__rank", "ord"]).drop("__key", "__rank")
+
+
 def new_only(rows: DataFrame, seen: DataFrame, keys: list[str]) -> DataFrame:
     """Rows none of whose keys was seen before (each key on its own)."""
     out = rows

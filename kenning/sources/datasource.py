@@ -1,0 +1,95 @@
+"""JSONL logs as a data source: spark.read.format("agent_lines").load(path) gives source_file, line_no and raw.
+
+Files are the partitions and are streamed in batches, so a file of any length takes bounded memory; blank lines and
+lines that aren't JSON objects are dropped, as the other readers do. Register with register(spark).
+"""
+
+from __future__ import annotations
+
+import json
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import SparkSession
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+
+BATCH = 4096
+
+
+class LogFile(InputPartition):
+    def __init__(self, path: str):
+        super().__init__(path)
+
+
+class LogLines(DataSource):
+    @classmethod
+    def name(cls) -> str:
+        return "agent_lines"
+
+    def schema(self) -> str:
+        return "source_file string, line_no int, raw string"
+
+    def reader(self, schema) -> LogReader:
+        return LogReader(self.options["path"], self.options.get("suffix", ".jsonl"))
+
+
+class LogReader(DataSourceReader):
+    def __init__(self, path: str, suffix: str):
+        self.path, self.suffix = path, suffix
+
+    def _open(self):
+        from pyarrow import fs
+
+        return fs.FileSystem.from_uri(self.path) if "://" in self.path or self.path.startswith("/") else fs.FileSystem.from_uri("file:///" + self.path)
+
+    def partitions(self) -> list[LogFile]:
+        from pyarrow import fs
+
+        files, root = self._open()
+        info = files.get_file_info(root)
+        if info.type == fs.FileType.File:
+            return [LogFile(root)]
+        found = files.get_file_info(fs.FileSelector(root, recursive=True, allow_not_found=True))
+        return [LogFile(f.path) for f in sorted(found, key=lambda f: f.path) if f.type == fs.FileType.File and f.path.endswith(self.suffix)] or [LogFile("")]
+
+    def read(self, partition: LogFile) -> Iterator[pa.RecordBatch]:
+        if not partition.value:
+            return
+        files, _ = self._open()
+        numbers, kept = [], []
+        with files.open_input_stream(partition.value) as raw:
+            for n, line in enumerate(_lines(raw), 1):
+                text = line.decode("utf-8", "replace").strip()
+                if text.startswith("{") and _is_json(text):
+                    numbers.append(n)
+                    kept.append(text)
+                if len(kept) >= BATCH:
+                    yield _batch(partition.value, numbers, kept)
+                    numbers, kept = [], []
+        if kept:
+            yield _batch(partition.value, numbers, kept)
+
+
+def _lines(stream) -> Iterator[bytes]:
+    rest = b""
+    while block := stream.read(1 << 20):
+        *whole, rest = (rest + block).split(b"\n")
+        yield from whole
+    if rest:
+        yield rest
+
+
+def _is_json(text: str) -> bool:
+    try:
+        json.loads(text)
+    except ValueError:
+        return False
+    return True
+
+
+def _batch(path: str, numbers: list[int], kept: list[str]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([path] * len(kept), pa.string()), pa.array(numbers, pa.int32()), pa.array(kept, pa.string())], names=["source_file", "line_no", "raw"])
+
+
+def register(spark: SparkSession) -> None:
+    spark.dataSource.register(LogLines)

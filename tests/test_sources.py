@@ -76,3 +76,19 @@ def test_catalogue_and_sinks(spark, tmp_path):
     files.write_sessions(df, str(tmp_path / "out"))
     files.write_sessions(df.filter("n = 1").withColumn("n", df.n + 5), str(tmp_path / "out"))
     assert sorted((r.session_id, r.n) for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [("a", 6), ("b", 2)]
+
+
+def test_line_source(spark, tmp_path):
+    from kenning.sources import datasource
+
+    (tmp_path / "deep").mkdir()
+    (tmp_path / "a.jsonl").write_text('{"a": 1}\n\nnot json\n[1]\n{"bad": \n{"b": "é"}')
+    (tmp_path / "deep" / "b.jsonl").write_text("".join(f'{{"n": {i}}}\r\n' for i in range(10_000)))
+    (tmp_path / "c.txt").write_text('{"no": 1}')
+    datasource.register(spark)
+    rows = spark.read.format("agent_lines").load(str(tmp_path))
+    assert rows.rdd.getNumPartitions() == 2
+    assert [(r.line_no, r.raw) for r in rows.filter("source_file LIKE '%a.jsonl'").orderBy("line_no").collect()] == [(1, '{"a": 1}'), (6, '{"b": "é"}')]
+    assert rows.filter("source_file LIKE '%b.jsonl'").count() == 10_000
+    assert spark.read.format("agent_lines").load(str(tmp_path / "a.jsonl")).count() == 2
+    assert spark.read.format("agent_lines").load(str(tmp_path / "nothing")).count() == 0
