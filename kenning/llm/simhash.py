@@ -207,15 +207,21 @@ def star_edges(nodes: np.ndarray, prints: np.ndarray, groups: np.ndarray, radius
     return nodes[linked], nodes[root[linked]]
 
 
-def close_edges(prints: DataFrame, bands: list[np.ndarray], radius: int) -> DataFrame:
-    """a, b: star edges that join the fingerprints (node, fp; distinct) within the radius of each other."""
-    rows = band_rows(prints, bands)
+def deal(rows: DataFrame) -> DataFrame:
+    """band, node, fp, pair: rows (band, node, fp) with the pairs of chunks they belong to; 0 for bands that aren't hot.
+
+    Chunks go by a hash of the node: a band fixes some of the node's own bits, so these can't split it evenly.
+    """
     hot = rows.groupBy("band").agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > HOT).select("band", F.ceil(F.col("__n") / HOT).cast("int").alias("__chunks"))
     joined = rows.join(checked_broadcast(materialise(hot, "hot")), "band", "left")
-    chunk = F.pmod(F.col("node"), F.col("__chunks"))
+    chunk = F.pmod(F.xxhash64("node"), F.col("__chunks"))
     pairs = F.transform(F.sequence(F.lit(0), F.col("__chunks") - 1), lambda j: F.least(chunk, j) * F.col("__chunks") + F.greatest(chunk, j))
-    dealt = joined.select("band", "node", "fp", F.explode(F.when(F.col("__chunks").isNull(), F.array(F.lit(0).cast("long"))).otherwise(pairs)).alias("pair"))
-    grouped = dealt.repartition("band", "pair").sortWithinPartitions("band", "pair", "node")
+    return joined.select("band", "node", "fp", F.explode(F.when(F.col("__chunks").isNull(), F.array(F.lit(0).cast("long"))).otherwise(pairs)).alias("pair"))
+
+
+def close_edges(prints: DataFrame, bands: list[np.ndarray], radius: int) -> DataFrame:
+    """a, b: star edges that join the fingerprints (node, fp; distinct) within the radius of each other."""
+    grouped = deal(band_rows(prints, bands)).repartition("band", "pair").sortWithinPartitions("band", "pair", "node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Whole groups of a sorted partition, some hundred thousand rows at a time."""

@@ -88,6 +88,20 @@ def test_near_duplicates(spark, monkeypatch):
     assert simhash.near_duplicates(frame(spark, texts).limit(0)).count() == 0
 
 
+def test_hot_bands_are_cut_evenly(spark, monkeypatch):
+    """Fingerprints that agree in their low bits, as those of a band do, still spread over the chunks."""
+    monkeypatch.setattr(simhash, "HOT", 64)
+    rows = spark.createDataFrame([(1, i << 22, b"x" * 8) for i in range(512)] + [(2, i, b"y" * 8) for i in range(3)], "band long, node long, fp binary")
+    dealt = simhash.deal(rows).collect()
+    sizes = collections.Counter((r.band, r.pair) for r in dealt)
+    assert sizes.pop((2, 0)) == 3 and max(sizes.values()) <= 3 * 64
+    together = collections.defaultdict(set)
+    for r in dealt:
+        together[r.band, r.pair].add(r.node)
+    met = {pair for group in together.values() for pair in itertools.combinations(sorted(group), 2)}
+    assert len(met) >= 512 * 511 // 2, "every two rows of the band meet"
+
+
 def test_drop_near_copies(spark):
     rng = random.Random(6)
     base = [words(rng, 200) for _ in range(6)]
