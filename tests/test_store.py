@@ -88,3 +88,17 @@ def test_marks_and_ties(spark):
     logs = spark.createDataFrame([("/z/a.jsonl",), ("b.jsonl",)], "path string")
     for tie, want in (("last", "second"), ("first", "first")):
         assert {r.path: r.label for r in history.annotate_logs(logs, notes, tie).collect()} == {"/z/a.jsonl": want, "b.jsonl": None}
+
+
+def test_audit_and_stages(spark, tmp_path):
+    from kenning.operators import report
+
+    changes = spark.createDataFrame([("archive", 1), ("archive", 2), ("suspend", 3)], "action string, exp_id long")
+    assert {tuple(r) for r in report.audit(changes, str(tmp_path), dry_run=True).collect()} == {("archive", 2), ("suspend", 1)} and not list(tmp_path.iterdir())
+    for _ in range(2):
+        report.audit(changes, str(tmp_path))
+    assert spark.read.parquet(str(tmp_path / "trail")).count() == 6 and spark.read.parquet(str(tmp_path / "summary")).count() == 2
+    stages, state = spark.createDataFrame([("a", 0), ("b", 1)], "stage string, place int"), spark.createDataFrame([("a", "done", "", 1.0)], "stage string, status string, message string, seconds double")
+    assert [(r.stage, r.status) for r in report.stage_table(stages, state).collect()] == [("a", "done"), ("b", "pending")]
+    d = spark.createDataFrame([(None, None, None), (["version"], ["1"], None), (["port"], ["1"], [" "]), (["port"], ["1"], ["CVE-1"])], "k array<string>, v array<string>, c array<string>")
+    assert [r.h for r in d.select(report.hollow(F.col("k"), F.col("v"), F.col("c")).alias("h")).collect()] == [True, False, True, False]
