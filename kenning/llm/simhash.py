@@ -6,8 +6,12 @@ each row with the row s places on is then a shift and an exclusive or per plane;
 distances at a time, and words whose distances all exceed the radius are abandoned. Linked fingerprints are joined in a
 union-find and leave the task as star edges, at most one a row, never as pairs.
 
-Bands: with radius r and r + 2 blocks, two blocks at least are equal, so all pairs of blocks are an exact search. Wider
-radii use sampled bit positions, with a recall that their number sets.
+Bands: with radius r and r + 2 blocks, two blocks at least are equal, so all pairs of blocks are an exact search.
+
+Near copies by Jaccard similarity (drop_near_copies) take shared shingles as bands instead: of a set of n shingles, the
+n - ceil(0.8 n) + 1 least hashes. Two sets with 0.8 or more in common share one of these, so no such pair is missed. A
+wide radius over 128 bits drops pairs that share little else; the links left form loose groups, and within these only
+pairs whose shingles were compared and have 0.8 or more in common become edges.
 
 A band held by more than HOT different fingerprints is cut into chunks, and each pair of chunks is a group of its own;
 no task ever holds more than 2 * HOT rows of one band.
@@ -33,6 +37,10 @@ from kenning.llm.graph import connected_components
 
 SEED = 42
 HOT = 4096
+#: Near copies have four fifths of their shingles in common.
+SIMILAR = (4, 5)
+#: Rows of a chunk of a loose group; bytes of shingles that a task gathers before it compares whole groups.
+CHUNK, HELD_BYTES = 128, 64 << 20
 #: Odd constants that derive further hash words from the first; fixed values of the SplitMix64 generator.
 GAMMA, MIX1, MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -88,11 +96,6 @@ def exact_bands(radius: int, width: int = 64) -> list[np.ndarray]:
     return [np.concatenate(pair) for pair in combinations(blocks, 2)]
 
 
-def sampled_bands(count: int, bits: int, width: int, seed: int = 7) -> list[np.ndarray]:
-    random = np.random.default_rng(seed)
-    return [np.sort(random.choice(width, bits, replace=False)) for _ in range(count)]
-
-
 def _bits(prints: np.ndarray) -> np.ndarray:
     """(rows, width) of 0 and 1."""
     return np.unpackbits(prints, axis=1, bitorder="little")
@@ -180,15 +183,22 @@ class Planes:
         return at[row] * 64 + bit
 
 
-def star_edges(nodes: np.ndarray, prints: np.ndarray, groups: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """(node, root) of the rows that link within their groups. groups: sorted."""
+def star_edges(nodes: np.ndarray, prints: np.ndarray, groups: np.ndarray, radius: int, sets: list[bytes] | None = None, settle: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """(node, root) of the rows that link within their groups. groups: sorted.
+
+    sets: only rows whose shingle sets are similar() link. settle: groups that are joined as a whole are left early,
+    which saves the comparisons that can't add a link.
+    """
     n = len(nodes)
     _, sizes = np.unique(groups, return_counts=True)
     busy = np.repeat(sizes, sizes) > 1
     nodes, prints, groups = nodes[busy], prints[busy], groups[busy]
+    rows = np.flatnonzero(busy)
     n = len(nodes)
     if not n:
         return nodes, nodes
+    _, group, sizes = np.unique(groups, return_inverse=True, return_counts=True)
+    missing = sizes - 1
     planes, parent = Planes(prints, groups), list(range(n))
 
     def find(x: int) -> int:
@@ -198,10 +208,15 @@ def star_edges(nodes: np.ndarray, prints: np.ndarray, groups: np.ndarray, radius
         return x
 
     for s in range(1, int(sizes.max())):
+        if settle and s & (s - 1) == 0:  # a power of two
+            planes.groups = np.where(missing[group] > 0, groups, -1 - np.arange(n))
+        if settle and s >= sizes[missing > 0].max(initial=0):
+            break
         for i in planes.close(s, radius).tolist():
             a, b = find(i), find(i + s)
-            if a != b:
+            if a != b and (sets is None or similar(sets[rows[i]], sets[rows[i + s]])):
                 parent[max(a, b)] = min(a, b)
+                missing[group[i]] -= 1
     root = np.fromiter((find(i) for i in range(n)), dtype=np.int64, count=n)
     linked = np.flatnonzero(root != np.arange(n))
     return nodes[linked], nodes[root[linked]]
@@ -219,9 +234,10 @@ def deal(rows: DataFrame) -> DataFrame:
     return joined.select("band", "node", "fp", F.explode(F.when(F.col("__chunks").isNull(), F.array(F.lit(0).cast("long"))).otherwise(pairs)).alias("pair"))
 
 
-def close_edges(prints: DataFrame, bands: list[np.ndarray], radius: int) -> DataFrame:
-    """a, b: star edges that join the fingerprints (node, fp; distinct) within the radius of each other."""
-    grouped = deal(band_rows(prints, bands)).repartition("band", "pair").sortWithinPartitions("band", "pair", "node")
+def close_edges(dealt: DataFrame, radius: int, settle: bool = False) -> DataFrame:
+    """a, b: star edges that join the rows (band, node, fp, pair) within the radius of each other, and if there is a column `shingles`, with similar() ones."""
+    checked = "shingles" in dealt.columns
+    grouped = dealt.repartition("band", "pair").sortWithinPartitions("band", "pair", "node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Whole groups of a sorted partition, some hundred thousand rows at a time."""
@@ -233,13 +249,14 @@ def close_edges(prints: DataFrame, bands: list[np.ndarray], radius: int) -> Data
             band, pair = table["band"].to_numpy(), table["pair"].to_numpy()
             new = np.ones(len(band), dtype=bool)
             new[1:] = (band[1:] != band[:-1]) | (pair[1:] != pair[:-1])
-            a, b = star_edges(table["node"].to_numpy(), _as_rows(table["fp"], len(band)), np.cumsum(new), radius)
+            sets = table["shingles"].to_pylist() if checked else None
+            a, b = star_edges(table["node"].to_numpy(), _as_rows(table["fp"], len(band)), np.cumsum(new), radius, sets, settle)
             return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
         for batch in batches:
             held.append(batch)
             size += batch.num_rows
-            if size >= 200_000:
+            if size >= 200_000 or checked and sum(x.nbytes for x in held) >= HELD_BYTES:
                 table = pa.Table.from_batches(held)
                 band, pair = table["band"].to_numpy(), table["pair"].to_numpy()
                 edge = np.flatnonzero((band != band[-1]) | (pair != pair[-1]))
@@ -257,7 +274,7 @@ def close_edges(prints: DataFrame, bands: list[np.ndarray], radius: int) -> Data
 def components(prints: DataFrame, bands: list[np.ndarray], radius: int) -> DataFrame:
     """node, root for the fingerprints that link to another."""
     distinct = materialise(prints.groupBy("node").agg(F.first("fp").alias("fp")), "prints")
-    return connected_components(close_edges(distinct, bands, radius).distinct())
+    return connected_components(close_edges(deal(band_rows(distinct, bands)), radius).distinct())
 
 
 def near_duplicates(docs: DataFrame, size: int = 4, radius: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -271,20 +288,86 @@ def near_duplicates(docs: DataFrame, size: int = 4, radius: int = 4, id_col: str
     return prints.join(named, "node").select("doc_id", F.lower(F.lpad(F.hex("node"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def drop_near_copies(docs: DataFrame, size: int = 5, words: int = 4, radius: int = 50, bands: int = 60, bits: int = 16) -> DataFrame:
+def heads(n: int) -> int:
+    """How many of n shingles in a fixed order a set needs so that it shares one with every similar() set."""
+    return n - -(-n * SIMILAR[0] // SIMILAR[1]) + 1 if n else 0
+
+
+def similar(a: bytes, b: bytes) -> bool:
+    """If the shingle sets (sorted 64-bit hashes) have a Jaccard similarity of SIMILAR at least."""
+    part, whole = SIMILAR
+    least, most = sorted((len(a) // 8, len(b) // 8))
+    if whole * least < part * most:
+        return False
+    both = np.sort(np.concatenate([np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)]))
+    common = int((both[1:] == both[:-1]).sum())
+    return whole * common >= part * (least + most - common)
+
+
+def shingle_sets(docs: DataFrame, size: int, words: int, whole: bool) -> DataFrame:
+    """docs (text last) with node (hash of the shingle set), fp (of the set) and shingles (sorted hashes; only heads() of them unless whole) for the text."""
+    names = docs.columns[:-1]
+    kinds = ", ".join(f"`{n}` {docs.schema[n].dataType.simpleString()}" for n in names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.unique(shingle_hashes(t or b"", size)) for t in batch.column(len(names)).cast(pa.binary()).to_pylist()]
+            nodes = np.array([xxhash.xxh64_intdigest(x.tobytes()) for x in sets], dtype=np.uint64).view(np.int64)
+            kept = [x.tobytes() if whole else x[: heads(len(x))].tobytes() for x in sets]
+            new = [pa.array(nodes), pa.array([fingerprint(x, words) for x in sets], pa.binary()), pa.array(kept, pa.binary())]
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(names))), *new], names=[*names, "node", "fp", "shingles"])
+
+    return docs.mapInArrow(run, f"{kinds}, node long, fp binary, shingles binary")
+
+
+def head_rows(sets: DataFrame) -> DataFrame:
+    """band, node, fp: a row for each shingle of the heads."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(2).to_pylist()
+            at = np.repeat(np.arange(len(lists)), [len(x) // 8 for x in lists])
+            for k in range(0, len(at), 50_000):
+                own = pa.array(at[k : k + 50_000])
+                bands = np.frombuffer(b"".join(lists), dtype=np.int64)[k : k + 50_000]
+                yield pa.RecordBatch.from_arrays([pa.array(bands), batch.column(0).take(own), batch.column(1).take(own)], names=["band", "node", "fp"])
+
+    return sets.select("node", "fp", "shingles").mapInArrow(run, "band long, node long, fp binary")
+
+
+def deal_groups(sets: DataFrame, roots: DataFrame) -> DataFrame:
+    """band (the loose group's root), node, fp, shingles, pair: each two rows of a group meet in one pair of chunks.
+
+    A group has a chunk per CHUNK rows up to 16 chunks, then one per HOT / 2 rows.
+    """
+    n = F.col("__n")
+    sizes = roots.groupBy("root").agg(F.count(F.lit(1)).alias("__n")).filter(n > CHUNK).select("root", F.greatest(F.least(F.lit(16), F.ceil(n / CHUNK)), F.ceil(2 * n / HOT)).cast("int").alias("__chunks"))
+    joined = sets.join(checked_broadcast(materialise(sizes, "sizes")), "root", "left")
+    chunk = F.pmod(F.xxhash64("node"), F.col("__chunks"))
+    pairs = F.transform(F.sequence(F.lit(0), F.col("__chunks") - 1), lambda j: F.least(chunk, j) * F.col("__chunks") + F.greatest(chunk, j))
+    return joined.select(F.col("root").alias("band"), "node", "fp", "shingles", F.explode(F.when(F.col("__chunks").isNull(), F.array(F.lit(0).cast("long"))).otherwise(pairs)).alias("pair"))
+
+
+def drop_near_copies(docs: DataFrame, size: int = 5, words: int = 2, radius: int = 44) -> DataFrame:
     """docs with one row of each group of near copies: that with the smallest doc_id (then text hash).
 
-    Texts count as near copies when their wide fingerprints differ in at most `radius` of 64 * words bits. 50 of 256
-    is what a share of 0.7 common five-word shingles gives on average, so that nearly all pairs with 0.8 or more are
-    caught; unrelated texts differ in about half of the bits. A pair at 0.8 (15 % of bits) shares one of 60 bands of
-    16 bits with a probability of 0.99.
+    Texts are near copies when 0.8 or more of their five-word shingles are common (Jaccard similarity of the sets), and
+    groups are joined by such pairs alone. Every such pair shares a head; of 64 * words bits it differs in 15 % on
+    average (19 % for the shortest texts), so that a radius of 44 of 128 leaves it out in less than one of 10,000 cases.
     """
-    prints = materialise(fingerprints(docs, size, words), "docs")
-    roots = components(prints, sampled_bands(bands, bits, 64 * words), radius)
+    marked = docs.withColumn("__text", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
+    prints = materialise(shingle_sets(marked.select("doc_id", F.col("__text").alias("copy"), F.col("text").cast("string").alias("text")), size, words, False), "docs")
+    distinct = materialise(prints.groupBy("node").agg(F.first("fp").alias("fp"), F.first("shingles").alias("shingles")), "prints")
+    loose = materialise(connected_components(close_edges(deal(head_rows(distinct)), radius, True).distinct()), "loose")
+    one = prints.join(loose, "node").groupBy("node", "root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "copy")).alias("k"))
+    one = materialise(one.select("root", F.col("k.doc_id").alias("__id"), F.col("k.copy").alias("__copy")), "one")
+    texts = marked.select("doc_id", "__text", F.col("text").cast("string").alias("text")).join(checked_broadcast(one), F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__copy")))
+    # Rows that are repeated with their id and text give equal sets, of which one stays.
+    sets = shingle_sets(texts.select("root", "text"), size, words, True).dropDuplicates(["node"])
+    roots = connected_components(close_edges(deal_groups(sets, loose), radius, True).distinct())
     per_copy = prints.groupBy("node", "doc_id", "copy").agg(F.count(F.lit(1)).alias("__rows"))
     best = per_copy.join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("__root")).agg(F.min_by(F.struct("doc_id", "copy", "__rows"), F.struct(F.col("doc_id").isNull(), "doc_id", "copy")).alias("k"))
     keep = materialise(best.select(F.col("k.doc_id").alias("__id"), F.col("k.copy").alias("__copy"), F.col("k.__rows").alias("__rows")), "keep")
-    marked = docs.withColumn("__text", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
     stay = marked.join(keep, marked["doc_id"].eqNullSafe(keep["__id"]) & (marked["__text"] == keep["__copy"]))
     once, repeated = stay.filter("__rows = 1"), stay.filter("__rows > 1")
     if keep.filter("__rows > 1").limit(1).count():

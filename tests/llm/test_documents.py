@@ -114,6 +114,30 @@ def test_drop_near_copies(spark):
     assert simhash.drop_near_copies(frame(spark, texts).limit(0)).count() == 0
 
 
+def test_near_copies_against_brute_force(spark, monkeypatch):
+    """Pairs just above and just below 0.8, and short texts: as brute force over the shingle sets joins them, no more and no less."""
+    rng = random.Random(16)
+    texts = []
+    for n in [6, 9, 12, 30, 60, 120, 500] * 12:
+        w = words(rng, n).split()
+        texts.append(" ".join(w))
+        # Of m shingles a share x is common to texts that differ in their ends: m (1 - x) / (1 + x) words of each.
+        for x in (0.86, 0.81, 0.78, 0.7, 0.6):
+            k = round((n - 4) * (1 - x) / (1 + x))
+            texts.append(" ".join(w[: n - k] + words(rng, k).split()))
+    middle = words(rng, 150).split()
+    texts += [" ".join(words(rng, 14).split() + middle + words(rng, 14).split()) for _ in range(40)]  # a template: about 0.68
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in (t.lower().split() for t in texts)]
+    pairs = [(i, j, len(a & b) / len(a | b)) for (i, a), (j, b) in itertools.combinations(enumerate(sets), 2) if a & b]
+    want = set(components(range(len(texts)), [(i, j) for i, j, x in pairs if x >= 0.8]).values())
+    assert sum(0.8 <= x < 0.84 for *_, x in pairs) > 50 and sum(0.5 < x < 0.8 for *_, x in pairs) > 500
+    for chunk, hot in ((128, 4096), (3, 16)):  # also with every group and hot shingle cut into chunks
+        monkeypatch.setattr(simhash, "CHUNK", chunk)
+        monkeypatch.setattr(simhash, "HOT", hot)
+        got = {r.doc_id for r in simhash.drop_near_copies(frame(spark, texts)).collect()}
+        assert got == want, (len(want - got), len(got - want))
+
+
 def test_components_of_a_path(spark):
     n = 60
     edges = spark.createDataFrame([(i, i + 1) for i in range(n)] + [(100, 101), (7, 7)], "a long, b long")
