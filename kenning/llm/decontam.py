@@ -1,7 +1,8 @@
 """Benchmark decontamination by q-gram lemma filtering.
 
-A passage of a benchmark item (the whole item, or windows of it if it is long) of m characters that occurs in a text
-with at most k edits shares at least m + 1 - (k + 1) * q character q-grams with the region, all of them within k
+Passages of a benchmark item are the whole item (or windows of 240 bytes, by half overlapping, if it is longer) and
+windows of 80 bytes, one every 16 bytes, so that every contiguous quote of 95 bytes or more of a longer item holds a
+whole one. A passage of m characters that occurs in a text with at most k edits (7 % of m, and (m + 1) // 12 - 2 at most) shares at least m + 1 - (k + 1) * q character q-grams with the region, all of them within k
 diagonals of each other. So, per text:
 
   1. every q-gram of the text is looked up in a hash table of the benchmark's q-grams;
@@ -10,11 +11,13 @@ diagonals of each other. So, per text:
      are dropped;
   4. what remains is verified by banded alignment (edit distance within the band), bit-exact.
 
+q is 12, or 8 or 6 for passages under 60 bytes whose bound would be under 1 with 12; each q has an index of its own.
+
 Texts are compared lower-cased (A-Z), with runs of white space as one space. The benchmark is processed in blocks of a
 fixed size, so what is broadcast at a time has a fixed bound however large the benchmark is; the texts are then read
 once per block.
 
-Defined results: null or empty texts and items match nothing; items shorter than q characters are compared whole words
+Defined results: null or empty texts and items match nothing; items shorter than 12 characters are compared whole words
 only, as exact substrings; repeated rows give equal rows; an empty table on either side gives no matches; other columns
 are ignored by find() and kept by drop_contaminated().
 """
@@ -32,6 +35,8 @@ from pyspark.sql import types as T
 from kenning.llm.common import materialise
 
 Q, RATE, WINDOW = 12, 0.07, 240
+#: Short passages: bytes, and bytes from one to the next.
+QUOTE, STRIDE = 80, 16
 #: Most characters of passages in one block: a block's arrays take about 40 bytes a character.
 BLOCK_CHARS = 1_000_000
 _TABLE_BITS = 22
@@ -42,14 +47,29 @@ def normalise(text: bytes) -> bytes:
     return b" ".join(text.lower().split())
 
 
-def passages(item: bytes, window: int = WINDOW) -> list[bytes]:
-    """The item, or windows that overlap by half and cover it."""
+def windows(item: bytes, window: int, stride: int) -> list[bytes]:
+    """The item, or windows that cover it."""
     if len(item) <= window:
         return [item] if item else []
-    starts = [*range(0, len(item) - window, window // 2), len(item) - window]
+    starts = [*range(0, len(item) - window, stride), len(item) - window]
     return [item[s : s + window] for s in starts]
 
 
+def passages(item: bytes, window: int = WINDOW) -> list[bytes]:
+    """The item, or windows that overlap by half and cover it; and the short windows for quotes of a part."""
+    return list(dict.fromkeys(windows(item, window, window // 2) + windows(item, QUOTE, STRIDE)))
+
+
+def edits_allowed(length: int, rate: float = RATE) -> int:
+    return max(0, min(int(length * rate), (length + 1) // Q - 2))
+
+
+def gram_size(length: int, q: int = Q, rate: float = RATE) -> int:
+    """The largest of q, 8, 6, 4 and 3 for which a passage with all its edits still shares a gram; q for passages shorter than q."""
+    fits = [x for x in (q, 8, 6, 4, 3) if x <= q and x * (edits_allowed(length, rate) + 1) <= length]
+    return fits[0] if fits and length >= q else q
+
+
 def gram_hashes(text: np.ndarray, q: int) -> np.ndarray:
     """A 64-bit polynomial hash of each q-gram of the bytes, from those of halves: q must be 4 * 2 ** i or 3 * 2 ** i."""
     if len(text) < q:
@@ -100,13 +120,13 @@ def edit_distance_within(pattern: bytes, text: bytes, k: int) -> tuple[int, int,
 
 
 class Index:
-    """The q-grams of a block of passages."""
+    """The q-grams of passages with the same gram_size(); those under `whole` bytes are compared as whole words."""
 
-    def __init__(self, items: list[tuple[int, bytes]], q: int = Q, rate: float = RATE):
+    def __init__(self, items: list[tuple[int, bytes]], q: int = Q, rate: float = RATE, whole: int = Q):
         self.q = q
         self.item = [i for i, _ in items]
         self.text = [t for _, t in items]
-        self.edits = np.array([max(0, min(int(len(t) * rate), (len(t) + 1) // q - 2)) for t in self.text], dtype=np.int64)
+        self.edits = np.array([edits_allowed(len(t), rate) for t in self.text], dtype=np.int64)
         lengths = np.array([len(t) for t in self.text], dtype=np.int64)
         self.lengths = lengths
         self.need = np.maximum(1, lengths + 1 - (self.edits + 1) * q)
@@ -118,14 +138,13 @@ class Index:
         self.hashes, self.owner, self.place = hashes[order], owner[order], place[order]
         self.table = np.zeros(1 << _TABLE_BITS, dtype=bool)
         self.table[(self.hashes >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)] = True
-        long = lengths >= q
+        long = lengths >= whole
         self.least = int(self.need[long].min()) if long.any() else 1
         self.widest = int((lengths + self.edits)[long].max()) if long.any() else q
-        self.short = [k for k in range(len(lengths)) if lengths[k] < q]
+        self.short = [k for k in range(len(lengths)) if lengths[k] < whole]
 
-    def search(self, raw: bytes) -> list[tuple[int, int, int, int]]:
+    def search(self, text: bytes) -> list[tuple[int, int, int, int]]:
         """(passage, edits, start, end) in the normalised text."""
-        text = normalise(raw)
         found = []
         for k in self.short:
             at = (b" " + text + b" ").find(b" " + self.text[k] + b" ")
@@ -181,6 +200,23 @@ class Index:
         return found + [(k, *v) for (k, _), v in best.items()]
 
 
+class Block:
+    """The indexes of a block of passages, one for each gram_size()."""
+
+    def __init__(self, items: list[tuple[int, bytes]], q: int = Q, rate: float = RATE):
+        sizes: dict[int, list[tuple[int, bytes]]] = {}
+        for item, text in items:
+            sizes.setdefault(gram_size(len(text), q, rate), []).append((item, text))
+        self.parts = [Index(held, size, rate, q) for size, held in sorted(sizes.items(), reverse=True)]
+
+    def search(self, raw: bytes) -> Iterator[tuple[int, int]]:
+        """(item, edits) of the passages found."""
+        text = normalise(raw)
+        for part in self.parts:
+            for k, edits, *_ in part.search(text):
+                yield part.item[k], edits
+
+
 def blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", window: int = WINDOW, limit: int = BLOCK_CHARS) -> Iterator[list[tuple[int, bytes]]]:
     """(item, passage) lists of bounded size; the benchmark is a stated query set and passes through the driver block by block."""
     held: list[tuple[int, bytes]] = []
@@ -198,22 +234,22 @@ def blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text"
 
 
 def find(docs: DataFrame, benchmark: DataFrame, q: int = Q, rate: float = RATE, window: int = WINDOW, limit: int = BLOCK_CHARS) -> DataFrame:
-    """One row per row of docs: doc_id, contaminated, n_items, item_ids (sorted), least_edits (of the best match)."""
+    """One row per row of docs: doc_id, contaminated, n_items, item_ids (sorted), least_edits (of the best passage)."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     base = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     context = docs.sparkSession.sparkContext
     each = []
     for block in blocks(benchmark, window=window, limit=limit):
-        shared = context.broadcast(Index(block, q, rate))
+        shared = context.broadcast(Block(block, q, rate))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index = shared.value
             for batch in batches:
                 items, edits = [], []
                 for text in batch.column(1).cast(pa.binary()).to_pylist():
-                    found = index.search(text) if text else []
-                    items.append(sorted({index.item[k] for k, *_ in found}))
-                    edits.append(min((e for _, e, *_ in found), default=None))
+                    found = list(index.search(text)) if text else []
+                    items.append(sorted({i for i, _ in found}))
+                    edits.append(min((e for _, e in found), default=None))
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(items, pa.list_(pa.int64())), pa.array(edits, pa.int32()), batch.column(2)], names=["doc_id", "items", "edits", "row"])
 
         each.append(base.withColumn("row", F.xxhash64(F.coalesce("text", F.lit("")))).mapInArrow(run, f"doc_id {kind}, items array<bigint>, edits int, row long"))
@@ -239,11 +275,11 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, q: int = Q, rate: f
     context = docs.sparkSession.sparkContext
     schema = T.StructType(docs.schema.fields)
     for block in blocks(benchmark, window=window, limit=limit):
-        shared = context.broadcast(Index(block, q, rate))
+        shared = context.broadcast(Block(block, q, rate))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                clean = [not (t and shared.value.search(t)) for t in batch.column(at).cast(pa.binary()).to_pylist()]
+                clean = [not (t and any(True for _ in shared.value.search(t))) for t in batch.column(at).cast(pa.binary()).to_pylist()]
                 yield batch.filter(pa.array(clean, pa.bool_()))
 
         docs = docs.select(*[f"`{c}`" for c in names]).mapInArrow(run, schema)

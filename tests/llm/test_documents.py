@@ -227,6 +227,18 @@ def test_decontamination(spark):
     assert decontam.find(df.limit(0), bench).count() == 0
 
 
+def test_every_quote_of_the_stated_length_is_found():
+    rng = random.Random(20)
+    items = [words(rng, n).encode() for n in (16, 25, 40, 60, 140)]
+    block = decontam.Block([(i, p) for i, t in enumerate(items) for p in decontam.passages(t)])
+    least = decontam.QUOTE + decontam.STRIDE - 1
+    for i, t in enumerate(items):
+        for at in range(0, len(t) - least + 1):
+            text = f"{words(rng, 8)} ".encode() + t[at : at + least] + b" zz " + words(rng, 8).encode()
+            assert {x for x, _ in block.search(text)} == {i}, (i, at)
+    assert not list(block.search(words(rng, 2000).encode()))
+
+
 def plain_pii(t):
     out = []
     patterns = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
