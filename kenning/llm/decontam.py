@@ -2,7 +2,7 @@
 
 Passages of a benchmark item are the whole item (or windows of 240 bytes, by half overlapping, if it is longer) and
 windows of 80 bytes, one every 16 bytes, so that every contiguous quote of 95 bytes or more of a longer item holds a
-whole one. A passage of m characters that occurs in a text with at most k edits (7 % of m, and (m + 1) // 12 - 2 at most) shares at least m + 1 - (k + 1) * q character q-grams with the region, all of them within k
+whole one. A passage of m characters that occurs in a text with at most k edits (7 % of m, rounded down) shares at least m + 1 - (k + 1) * q character q-grams with the region, all of them within k
 diagonals of each other. So, per text:
 
   1. every q-gram of the text is looked up in a hash table of the benchmark's q-grams;
@@ -61,7 +61,7 @@ def passages(item: bytes, window: int = WINDOW) -> list[bytes]:
 
 
 def edits_allowed(length: int, rate: float = RATE) -> int:
-    return max(0, min(int(length * rate), (length + 1) // Q - 2))
+    return int(length * rate)
 
 
 def gram_size(length: int, q: int = Q, rate: float = RATE) -> int:

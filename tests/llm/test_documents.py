@@ -239,6 +239,19 @@ def test_every_quote_of_the_stated_length_is_found():
     assert not list(block.search(words(rng, 2000).encode()))
 
 
+def test_stated_edit_rate_holds_at_every_length():
+    rng = random.Random(21)
+    for m in [*range(12, 140), 200, 240]:
+        item = bytes(rng.choice(b"abcdefghijklmnop") for _ in range(m))
+        block, k = decontam.Block([(7, item)]), int(m * 0.07)
+        for _ in range(4):
+            copy = bytearray(item)
+            for j in range(k):  # spread as evenly as can be: the worst case for grams
+                copy[(2 * j + 1) * m // (2 * k)] = rng.choice(b"XYZ") + 32
+            found = list(block.search(b"some words " + bytes(copy) + b" and more"))
+            assert found and found[0][0] == 7 and found[0][1] <= k, (m, k)
+
+
 def plain_pii(t):
     out = []
     patterns = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
