@@ -1,11 +1,11 @@
 """Quality rules with cross-document line frequency.
 
 Normalised lines are hashed; for each host the number of different documents that hold a line is counted; lines held
-by more documents than the host's limit are removed, and documents that lose over half of their words are rejected.
+by more than MIN_DOCS documents are removed, however many documents the host has, and documents that lose over half of their words are rejected.
 Exact copies of a document count once, so that copies don't make each other's lines look like boilerplate.
 
-The limit is max(min_docs, share * documents of the host). A document of a host can't add more lines than it has, so a
-host has at most (mean lines a document) / share lines above the limit: the list joined to each row is bounded.
+Up to LISTED frequent lines are handed to the tasks as hashes by host. Beyond that they are joined by (host, hash) with
+the lines of the documents, salted as a line may be in very many, and each document gets the list of its own lines.
 
 Defined results: a null text has no words and fails the base rules; a null host is a host of its own; lines without a
 word are neither counted nor removed; repeated rows get equal results; an empty table gives an empty result.
@@ -22,9 +22,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kenning.llm.common import checked_broadcast, materialise
+from kenning.llm.common import BROADCAST_ROWS, materialise
 
 MIN_WORDS = 50
+MIN_DOCS = 10
+#: Most frequent lines that are handed to the tasks as a whole; salts of the join beyond that.
+LISTED, SALTS = BROADCAST_ROWS, 16
 SYMBOLS = b"#*$%&|<>"
 SPACES = b" \t\n\x0b\x0c\r"
 
@@ -89,50 +92,80 @@ def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             copy = xxhash.xxh64_intdigest(text or b"")
             copy -= (copy >> 63) << 64
             found = {line_key(x) for x in (text or b"").split(b"\n")}
-            found.add(0)  # stands for the document itself
+            found.discard(0)
             hosts += [host] * len(found)
             keys += found
             texts += [copy] * len(found)
         yield pa.record_batch([pa.array(hosts, pa.string()), pa.array(keys, pa.int64()), pa.array(texts, pa.int64())], names=["host", "line", "copy"])
 
 
-def frequent_lines(docs: DataFrame, share: float = 0.1, min_docs: int = 10, text_col: str = "text", host_col: str = "source") -> DataFrame:
-    """host, lines: hashes of the lines that over max(min_docs, share * documents) different documents of the host hold."""
+def document_lines(docs: DataFrame, text_col: str = "text", host_col: str = "source") -> DataFrame:
+    """host, line, copy: the hashes of the lines with a word of each different text of the host."""
     slim = docs.select(F.col(host_col).cast("string").alias("host"), F.col(text_col).cast("string").alias("text"))
-    each = slim.mapInArrow(_lines, "host string, line long, copy long").groupBy("host", "line", "copy").agg(F.lit(1).alias("one"))
-    held = each.groupBy("host", "line").agg(F.count(F.lit(1)).alias("n")).filter(f"line = 0 OR n > {int(min_docs)}")
-    counted = materialise(held, "lines")
-    totals = counted.filter("line = 0").select(F.col("host").alias("__h"), F.col("n").alias("total"))
-    over = counted.filter("line <> 0").join(checked_broadcast(totals), F.col("host").eqNullSafe(F.col("__h"))).filter(F.col("n") > F.greatest(F.lit(min_docs).cast("double"), F.lit(share) * F.col("total")))
-    return over.groupBy("host").agg(F.sort_array(F.collect_list("line")).alias("lines"))
+    return slim.mapInArrow(_lines, "host string, line long, copy long").groupBy("host", "line", "copy").agg(F.lit(1).alias("one")).drop("one")
 
 
-def apply_rules(docs: DataFrame, share: float = 0.1, min_docs: int = 10, lost: float = 0.5, text_col: str = "text", host_col: str = "source") -> DataFrame:
+def frequent_lines(lines: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
+    """host, line: lines that over min_docs different documents of the host hold."""
+    return materialise(lines.groupBy("host", "line").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > min_docs).select("host", "line"), "lines")
+
+
+def own_lines(lines: DataFrame, frequent: DataFrame) -> DataFrame:
+    """__host, __copy, __lines: the frequent lines of each text that holds any."""
+    salted = lines.withColumn("salt", F.pmod("copy", F.lit(SALTS)).cast("int"))
+    over = frequent.select(F.col("host").alias("__host"), F.col("line").alias("__line"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("__salt"))
+    held = salted.join(over.hint("merge"), F.col("host").eqNullSafe(F.col("__host")) & (F.col("line") == F.col("__line")) & (F.col("salt") == F.col("__salt")))
+    return held.groupBy(F.col("host").alias("__host"), F.col("copy").alias("__copy")).agg(F.collect_list("line").alias("__lines"))
+
+
+def _with_copy(docs: DataFrame, text_col: str) -> DataFrame:
+    """docs with __copy, the hash of the text that document_lines() has."""
+    at, names = docs.columns.index(text_col), [*docs.columns, "__copy"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = np.array([xxhash.xxh64_intdigest(t or b"") for t in batch.column(at).cast(pa.binary()).to_pylist()], dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found.view(np.int64))], names=names)
+
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("__copy", T.LongType())]))
+
+
+def apply_rules(docs: DataFrame, min_docs: int = MIN_DOCS, lost: float = 0.5, text_col: str = "text", host_col: str = "source") -> DataFrame:
     """docs with the columns of STATS and clean_text under the struct `__quality`."""
     fields = ", ".join(f"{n} {t}" for n, t in STATS) + ", clean_text string"
-    lists = frequent_lines(docs, share, min_docs, text_col, host_col)
-    lists = materialise(lists.select(F.col("host").alias("__host"), F.col("lines").alias("__lines")), "hosts")
-    joined = docs.join(checked_broadcast(lists, 2000), F.col(host_col).cast("string").eqNullSafe(F.col("__host")), "left").drop("__host")
+    lines = document_lines(docs, text_col, host_col)
+    frequent = frequent_lines(lines, min_docs)
+    by_host: dict[str | None, list[int]] = {}
+    listed = frequent.limit(LISTED + 1).count() <= LISTED
+    if listed:
+        for host, line in frequent.toLocalIterator():
+            by_host.setdefault(host, []).append(line)
+        joined = docs.withColumn("__lines", F.lit(None).cast("array<bigint>"))
+    else:
+        marked = _with_copy(docs, text_col)
+        own = own_lines(lines, frequent).hint("merge")
+        joined = marked.join(own.withColumnRenamed("__copy", "__own"), F.col(host_col).cast("string").eqNullSafe(F.col("__host")) & (F.col("__copy") == F.col("__own")), "left")
+    joined = joined.withColumn("__named", F.col(host_col).cast("string"))
+    shared = docs.sparkSession.sparkContext.broadcast({h: np.array(v, dtype=np.int64) for h, v in by_host.items()})
     names = docs.columns
     schema = T.StructType([*docs.schema.fields, T.StructField("__quality", T._parse_datatype_string(fields))])
     at = names.index(text_col)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = dict(bigint=pa.int64(), boolean=pa.bool_())
-        known: dict[bytes, frozenset] = {}
+        known: dict[str | None, frozenset] = {}
         for batch in batches:
-            listed = batch.column(batch.schema.get_field_index("__lines"))
+            own, hosts = batch.column(len(names)), batch.column(len(names) + 1).to_pylist()
             out: list[list] = [[] for _ in range(len(STATS) + 1)]
             for k, raw in enumerate(batch.column(at).cast(pa.binary()).to_pylist()):
                 text = raw or b""
-                values = listed[k].values
-                over = frozenset()
-                if values is not None and len(values):
-                    mark = values.to_numpy().tobytes()
-                    if mark not in known:
-                        known.clear() if len(known) > 1000 else None
-                        known[mark] = frozenset(values.to_pylist())
-                    over = known[mark]
+                if listed:
+                    host = hosts[k]
+                    if host not in known:
+                        known[host] = frozenset(shared.value[host].tolist()) if host in shared.value else frozenset()
+                    over = known[host]
+                else:
+                    over = frozenset(own[k].as_py() or ())
                 n, chars, symbols, dup, repeats = base_stats(text)
                 failed = n < MIN_WORDS or 100 * repeats > 50 * n
                 clean, removed, left = text, 0, n
@@ -149,7 +182,7 @@ def apply_rules(docs: DataFrame, share: float = 0.1, min_docs: int = 10, lost: f
             verdict = pa.StructArray.from_arrays(arrays, names=[n for n, _ in STATS] + ["clean_text"])
             yield pa.RecordBatch.from_arrays([batch.column(i) for i in range(len(names))] + [verdict], names=[*names, "__quality"])
 
-    return joined.select(*[F.col(f"`{n}`") for n in names], "__lines").mapInArrow(judge, schema)
+    return joined.select(*[F.col(f"`{n}`") for n in names], "__lines", "__named").mapInArrow(judge, schema)
 
 
 def score(docs: DataFrame, **rules) -> DataFrame:
