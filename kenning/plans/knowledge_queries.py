@@ -45,6 +45,13 @@ def sensitive_keys(spark, sf_dir) -> DataFrame:
     return table(spark, sf_dir, "events").filter("event_id % 10 = 0").select("event_id", given.alias("given"), reflux.strip_sensitive(given).alias("safe"))
 
 
+@query("""SELECT event_id, replace(props, '"k"', '"api_token"') AS given, '{"api_token": "***"}' AS safe FROM events""")
+def sensitive_keys_whole(spark, sf_dir) -> DataFrame:
+    """sensitive_keys over all events."""
+    given = F.replace("props", F.lit('"k"'), F.lit('"api_token"'))
+    return table(spark, sf_dir, "events").select("event_id", given.alias("given"), reflux.strip_sensitive(given).alias("safe"))
+
+
 STATUS = pick("k % 5", ["failure", "patched", "success", "partial", "unknown"])
 
 

@@ -64,3 +64,11 @@ def test_names_dates_citations(spark):
     rows = spark.createDataFrame([(i, *c) for i, c in enumerate(cases)], "i int, o string, s boolean, near boolean, t string")
     got = rows.orderBy("i").select(evaluate.session_status(F.col("o"), F.col("s"), F.col("near"), F.col("t")).alias("x")).collect()
     assert [r.x for r in got] == ["success", "possible_success", "possible_success", "failure", "success", "unknown"]
+
+
+def test_whole_events_are_redacted(spark):
+    import __spark_entry__
+
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    out = __spark_entry__.queries()["sensitive_keys_whole"](spark, "/root/testdata/sf0.001")
+    assert out.count() == events.count() and out.filter("safe not like '%***%'").count() == 0
