@@ -280,6 +280,14 @@ def union_precedence(spark, sf_dir) -> DataFrame:
     return serve.union_precedence(a, b).withColumnRenamed("exp_id", "doc_id")
 
 
+@query("SELECT doc_id, CASE WHEN doc_id IN (SELECT doc_id FROM labels) THEN 'registry' ELSE 'consolidated' END AS origin FROM (SELECT doc_id FROM labels UNION SELECT doc_id FROM documents)")
+def union_precedence_whole(spark, sf_dir) -> DataFrame:
+    """union_precedence with all documents as the second side."""
+    a = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("exp_id"), F.lit("registry").alias("origin"))
+    b = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("exp_id"), F.lit("consolidated").alias("origin"))
+    return serve.union_precedence(a, b).withColumnRenamed("exp_id", "doc_id")
+
+
 QUEUE = """SELECT doc_id AS gap_id, 's' || (doc_id % 33) AS session_id, source AS service, 'sub' || (doc_id % 6) AS sub_dimension, CASE doc_id % 3 WHEN 0 THEN 'P0' WHEN 1 THEN 'P1' ELSE 'P2' END AS priority,
 CASE WHEN doc_id % 5 = 0 THEN 'done' ELSE 'pending' END AS status, CAST(doc_id % 4 AS BIGINT) AS retry_count, doc_id AS arrival FROM documents"""
 

@@ -72,3 +72,11 @@ def test_whole_events_are_redacted(spark):
     events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
     out = __spark_entry__.queries()["sensitive_keys_whole"](spark, "/root/testdata/sf0.001")
     assert out.count() == events.count() and out.filter("safe not like '%***%'").count() == 0
+
+
+def test_union_precedence_has_every_document(spark):
+    import __spark_entry__
+
+    documents = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    out = __spark_entry__.queries()["union_precedence_whole"](spark, "/root/testdata/sf0.001")
+    assert documents.join(out, "doc_id", "left_anti").count() == 0
