@@ -52,6 +52,22 @@ def parameterise(command: Column) -> Column:
     return F.regexp_replace(out, rare, "{PORT}")
 
 
+# How a target's port is written, and ports that are too common to tell anything.
+PORT_FLAG, PORT_IN_URL = r"(?:-p\s+|--port[=\s]+)(\d{2,5})\b", r"https?://[^\s/:]+:(\d{2,5})(?:/|\s|$)"
+TOLD_PORTS = [20, 21, 22, 23, 25, 53, 80, 110, 143, 389, 443, 445, 587, 993, 995, 1433, 1521, 3000, 3306, 3389, 4369, 5432, 5900, 6379, 8080, 8443, 8888, 27017]
+
+
+def target_ports(text: Column) -> Column:
+    """Uncommon ports that a command names by a flag, then in URLs; distinct, without leading zeros."""
+    named = F.concat(*[F.regexp_extract_all(text, F.lit(p), F.lit(1)) for p in (PORT_FLAG, PORT_IN_URL)])
+    return F.array_distinct(F.filter(F.transform(named, lambda x: x.cast("int").cast("string")), lambda x: ~x.isin([str(p) for p in TOLD_PORTS])))
+
+
+def private_ips(text: Column) -> Column:
+    """Private and loopback addresses, distinct, in order."""
+    return F.array_distinct(F.regexp_extract_all(text, F.lit(PRIVATE_IP.replace("(?:10", r"(?:127(?:\.\d{1,3}){3}|10", 1)), F.lit(0)))
+
+
 def sanitise_ip(text: Column) -> Column:
     return F.regexp_replace(text, r"\b\d{1,3}(?:\.\d{1,3}){3}\b", "<IP>")
 
@@ -101,20 +117,23 @@ def service_name(raw: Column) -> Column:
     return F.when(out.isin(PLACEHOLDERS) | out.rlike(r"^s\d{6,}$"), "").otherwise(out)
 
 
+# Buckets of failure sub-dimensions, first match wins.
+NEG_BUCKETS = [
+    ("VERSION_MISMATCH|VERSION_MISJUDGMENT|ASSUMPTION_ERROR", "VERSION_OR_INTEL"),
+    ("AUTHENTICATION|AUTHORIZATION|UNAUTHORIZED|FORBIDDEN|REDIRECT", "AUTH_OR_PERMISSION"),
+    ("WAF|PATCH|DEFENSE|FILTER|VALIDATION", "DEFENSE_BLOCK"),
+    ("PARAMETER|INPUT|SYNTAX|FORMAT|ARGUMENT", "INPUT_OR_USAGE"),
+    ("TARGET_MISIDENTIFICATION|TARGET_MISJUDGMENT|PREMISE|INTEL", "TARGET_INTEL"),
+    ("TOOL_MISSING|BINARY_MISSING|DEPENDENCY|ENV_", "TOOLING_ENV"),
+    ("PARTIAL_SUCCESS_NO_EXPLOIT|NO_EXPLOIT|NO_EFFECT|INEFFECTIVE", "NO_EFFECT"),
+]
+
+
 def neg_bucket(sub_dimension: Column, dimension: Column) -> Column:
     """Stable bucket of a free-form failure sub-dimension."""
     text = F.upper(F.trim(F.coalesce(sub_dimension, F.lit(""))))
-    rules = [
-        ("VERSION_MISMATCH|VERSION_MISJUDGMENT|ASSUMPTION_ERROR", "VERSION_OR_INTEL"),
-        ("AUTHENTICATION|AUTHORIZATION|UNAUTHORIZED|FORBIDDEN|REDIRECT", "AUTH_OR_PERMISSION"),
-        ("WAF|PATCH|DEFENSE|FILTER|VALIDATION", "DEFENSE_BLOCK"),
-        ("PARAMETER|INPUT|SYNTAX|FORMAT|ARGUMENT", "INPUT_OR_USAGE"),
-        ("TARGET_MISIDENTIFICATION|TARGET_MISJUDGMENT|PREMISE|INTEL", "TARGET_INTEL"),
-        ("TOOL_MISSING|BINARY_MISSING|DEPENDENCY|ENV_", "TOOLING_ENV"),
-        ("PARTIAL_SUCCESS_NO_EXPLOIT|NO_EXPLOIT|NO_EFFECT|INEFFECTIVE", "NO_EFFECT"),
-    ]
     out = F.when(text == "", F.coalesce(F.nullif(F.upper(F.trim(dimension)), F.lit("")), F.lit("UNKNOWN")))
-    for pattern, bucket in rules:
+    for pattern, bucket in NEG_BUCKETS:
         out = out.when(text.rlike(pattern), bucket)
     return out.otherwise(text)
 

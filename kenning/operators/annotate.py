@@ -24,13 +24,25 @@ FAILURE_SIGNAL = "(?i)" + "|".join(x.replace(".", r"\.") for x in FAILURE_PHRASE
 RECON_PROGRAMS = ["nmap", "whatweb", "nikto", "gobuster", "dirb", "ffuf", "wfuzz", "masscan", "enum4linux", "netdiscover", "curl", "wget"]
 EXPLOIT_PROGRAMS = ["sqlmap", "msfconsole", "hydra", "john", "hashcat", "python", "python3", "perl"]
 EXIT_RULES = [
-    (127, "missing_binary", "ENV", "BINARY_MISSING", "install the program or fix PATH"),
-    (126, "no_execute_permission", "ENV", "PERMISSION", "make the file executable"),
-    (124, "command_timeout", "ENV", "TIMEOUT", "raise the limit or split the task"),
-    (130, "interrupted", "ENV", "INTERRUPTED", "run again without interruption"),
-    (137, "killed", "ENV", "RESOURCE", "lower memory use"),
-    (143, "terminated", "ENV", "TERMINATED", "check who ended the process"),
+    (127, "RC-127", "BINARY_MISSING", None),
+    (126, "RC-126", "EXECUTE_PERMISSION_DENIED", "检查文件权限（chmod +x），或以适当权限运行"),
+    (124, "RC-124", "TIMEOUT", "timeout 命令设定的时限已到期，建议增大 timeout 参数或将任务拆分为更小批次"),
+    (130, "RC-130", "INTERRUPTED", "前台进程被 SIGINT 中断（Ctrl+C / kill -2），如为误操作请重新运行；如为预期行为则可忽略"),
+    (137, "RC-137", "SIGKILL", "进程被 SIGKILL 强制终止（exit 137 = 128+9）。优先排查：① OOM Killer（dmesg | grep -i oom）；② 手动 kill -9；③ 系统关机/重启。内存密集型工具（如 hashcat）请限制内存用量或减小任务规模"),
+    (143, "RC-143", "SIGTERM", "进程收到 SIGTERM 被正常终止，通常由编排层在超时后主动清理发出；可检查超时配置或编排策略"),
 ]
+LATE_RULE = ("TOUT", "TIMEOUT", "timed_out=true", "增大 timeout 参数，或分批次执行")
+# Packages of missing programs, and where those without a package are had.
+PACKAGES = {
+    "msfconsole": "metasploit-framework", "dirb": "dirb", "nmap": "nmap", "nikto": "nikto", "gobuster": "gobuster", "hydra": "hydra", "sqlmap": "sqlmap", "wfuzz": "wfuzz",
+    "ffuf": "ffuf", "john": "john", "hashcat": "hashcat", "netcat": "netcat", "nc": "netcat", "curl": "curl", "wget": "wget",
+}
+RELEASES = {
+    "fscan": ("https://github.com/shadow1ng/fscan/releases", "Go 单体二进制，无 apt 包，需从 GitHub Releases 手动下载"),
+    "nuclei": ("https://github.com/projectdiscovery/nuclei/releases", "Go 单体二进制，无 apt 包，需从 GitHub Releases 下载（或 go install github.com/projectdiscovery/nuclei/v3/cmd/nuclei@latest）"),
+    "subfinder": ("https://github.com/projectdiscovery/subfinder/releases", "Go 单体二进制，需从 GitHub Releases 手动下载"),
+    "httpx": ("https://github.com/projectdiscovery/httpx/releases", "Go 单体二进制，需从 GitHub Releases 手动下载"),
+}
 CAUSES = [
     ("DEF", "AUTHENTICATION", r"401 unauthorized|authentication failed|login failed|\bstatus\s+code\s*[:=]?\s*401\b|\bhttp/\d(?:\.\d)?\s+401\b"),
     ("DEF", "AUTHORIZATION", r"403 forbidden|authorization|access denied|\bstatus\s+code\s*[:=]?\s*403\b|\bhttp/\d(?:\.\d)?\s+403\b"),
@@ -47,16 +59,39 @@ def result_text() -> Column:
     return F.concat_ws("\n", F.nullif(F.col("stdout"), F.lit("")), F.nullif(F.col("stderr"), F.lit("")))
 
 
+def install_hint(binary: Column, tool: Column) -> Column:
+    """How a missing program is had: by its package (its own name if unknown), or from its releases."""
+    needs = F.when(tool != "", F.concat(F.lit("（工具 "), tool, F.lit(" 依赖此二进制）"))).otherwise("")
+    package = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for pair in PACKAGES.items() for x in pair]), binary), binary)
+    out = F
+    for name, (url, note) in RELEASES.items():
+        out = out.when(binary == name, F.concat(binary, F.lit(" 未安装"), needs, F.lit(f"，{note}，请手动下载安装：{url}")))
+    return out.otherwise(F.concat(binary, F.lit(" 未安装"), needs, F.lit("，请通过 apt install "), package, F.lit(" 安装")))
+
+
+def _exit(code: int, hint: str | None, binary: Column, tool: Column) -> tuple[Column, Column]:
+    """Evidence and hint of an exit code; a missing program is named by what the shell said, else by the tool."""
+    mine = F.concat(F.lit("tool="), tool)
+    if hint is not None:
+        return F.when(tool != "", F.concat(F.lit(f"return_code={code} ("), mine, F.lit(")"))).otherwise(f"return_code={code}"), F.lit(hint)
+    named = F.array_join(F.array_compact(F.array(F.when(binary != "", F.concat(F.lit("binary="), binary)), F.when(tool != "", mine))), ", ")
+    evidence = F.when(named != "", F.concat(F.lit(f"return_code={code} ("), named, F.lit(")"))).otherwise(f"return_code={code}")
+    unknown = F.when(tool != "", F.concat(tool, F.lit(" 依赖的二进制未安装，请检查工具安装情况（无法从 stderr 确定具体二进制名）"))).otherwise("确认目标环境中已安装该工具，或使用绝对路径调用")
+    return evidence, F.when(binary != "", install_hint(binary, tool)).otherwise(unknown)
+
+
 def rule_hit() -> Column:
     """First matching rule as struct(rule, dimension, sub_dimension, evidence, hint); null without one."""
-    missing = F.regexp_extract("stderr", r"(\w+):\s*not found", 1)
-    out = None
-    for code, name, dimension, sub, hint in EXIT_RULES:
-        evidence = F.coalesce(F.nullif(missing, F.lit("")), F.col("tool_name")) if code == 127 else F.lit(f"exit code {code}")
-        hit = F.struct(F.lit(name).alias("rule"), F.lit(dimension).alias("dimension"), F.lit(sub).alias("sub_dimension"), evidence.alias("evidence"), F.lit(hint).alias("hint"))
-        out = (F if out is None else out).when(F.col("has_result") & (F.col("return_code") == code), hit)
-    late = F.struct(F.lit("timed_out").alias("rule"), F.lit("ENV").alias("dimension"), F.lit("TIMEOUT").alias("sub_dimension"), F.lit("timed out").alias("evidence"), F.lit("raise the limit or split the task").alias("hint"))
-    return out.when(F.col("has_result") & F.col("timed_out"), late)
+    binary, tool = F.coalesce(F.regexp_extract("stderr", r"(\w+):\s*not found", 1), F.lit("")), F.coalesce("tool_name", F.lit(""))
+
+    def hit(rule: str, sub: str, evidence: Column, hint: Column) -> Column:
+        return F.struct(F.lit(rule).alias("rule"), F.lit("ENV").alias("dimension"), F.lit(sub).alias("sub_dimension"), evidence.alias("evidence"), hint.alias("hint"))
+
+    out = F
+    for code, rule, sub, hint in EXIT_RULES:
+        out = out.when(F.col("has_result") & (F.col("return_code") == code), hit(rule, sub, *_exit(code, hint, binary, tool)))
+    rule, sub, evidence, hint = LATE_RULE
+    return out.when(F.col("has_result") & F.col("timed_out"), hit(rule, sub, F.lit(evidence), F.lit(hint)))
 
 
 def _verdict(good: Column, bad: Column, late: Column) -> Column:
@@ -132,15 +167,30 @@ def annotate(events: DataFrame) -> DataFrame:
 
 
 def session_outcome(annotated: DataFrame) -> DataFrame:
-    """Per session: success on a strong signal, partial_success on any good verdict, else failure; counts; key signals."""
+    """Per session: success on a strong signal, partial_success on any good verdict, else failure; counts; key signals.
+
+    Signals are made distinct by their words before they are gathered, so what a session gathers is as small as the list
+    of phrases that SUCCESS_SIGNAL can match.
+    """
     strong = F.col("has_result") & result_text().rlike(SUCCESS_SIGNAL)
-    signal = F.when(strong, F.struct("turn_index", F.lower(F.regexp_extract(result_text(), f"({SUCCESS_SIGNAL})", 1)).alias("signal")))
+    word = F.when(strong, F.regexp_replace(F.lower(F.regexp_extract(result_text(), f"({SUCCESS_SIGNAL})", 1)), r"\s+", " "))
     good = F.col("outcome_label").isin("success", "partial_success")
-    return annotated.groupBy("session_id").agg(
-        F.when(F.bool_or(strong), "success").when(F.bool_or(good), "partial_success").otherwise("failure").alias("session_outcome"),
-        F.count(F.lit(1)).alias("n_events"),
-        F.sum(good.cast("int")).alias("n_good"),
-        F.sum((F.col("outcome_label") == "failure").cast("int")).alias("n_failure"),
-        F.sum((F.col("cause.dimension") == "ENV").cast("int")).alias("n_env"),
-        F.array_join(F.array_distinct(F.transform(F.sort_array(F.collect_list(signal)), lambda x: x["signal"])), ",").alias("key_signals"),
+    slim = annotated.select("session_id", "turn_index", "outcome_label", F.col("cause.dimension").alias("dimension"), strong.alias("strong"), good.alias("good"), word.alias("signal"))
+    per = slim.groupBy("session_id", "signal").agg(
+        F.min("turn_index").alias("first"),
+        F.bool_or("strong").alias("strong"),
+        F.bool_or("good").alias("any_good"),
+        F.count(F.lit(1)).alias("n"),
+        F.count_if("good").alias("n_good"),
+        F.count_if(F.col("outcome_label") == "failure").alias("n_failure"),
+        F.count_if(F.col("dimension") == "ENV").alias("n_env"),
+    )
+    listed = F.sort_array(F.collect_list(F.when(F.col("signal").isNotNull(), F.struct("first", "signal"))))
+    return per.groupBy("session_id").agg(
+        F.when(F.bool_or("strong"), "success").when(F.bool_or("any_good"), "partial_success").otherwise("failure").alias("session_outcome"),
+        F.sum("n").alias("n_events"),
+        F.sum("n_good").alias("n_good"),
+        F.sum("n_failure").alias("n_failure"),
+        F.sum("n_env").alias("n_env"),
+        F.array_join(F.transform(listed, lambda x: x["signal"]), ",").alias("key_signals"),
     )

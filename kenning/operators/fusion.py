@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kenning.functions import text as tx
 from kenning.functions.text import neg_bucket, service_name, version_family
 from kenning.operators.graph import connected_components
 from kenning.plans.store import materialise
@@ -31,11 +32,15 @@ def lookup(column: Column, table: dict[str, float], default: float) -> Column:
 
 
 def hard_key(df: DataFrame) -> DataFrame:
-    """df with key_layer, key_service, key_sub: what members of a cluster must share."""
+    """df with key_layer, key_service, key_sub and family: what members of a cluster must share. Facts that a model wrote
+    (extraction_source, has_cve_context) and kinds of insight (pattern_type) stay apart if df has these columns."""
+    has = lambda c, default: F.coalesce(F.col(c), F.lit(default)) if c in df.columns else F.lit(default)
+    model = (F.lower(has("extraction_source", "")) == "llm") | has("has_cve_context", False)
     tier = F.when(F.upper(F.coalesce("phase", F.lit(""))).isin(RECON_PHASES), "RECON").otherwise("ACTION")
     sub = (
         F.when(F.col("layer") == "PROCEDURAL_NEG", F.concat(neg_bucket(F.col("sub_dimension"), F.col("dimension")), F.lit("::"), tier))
-        .when(F.col("layer") == "FACTUAL", "FACTUAL::RULE")
+        .when(F.col("layer").startswith("FACTUAL"), F.when(model, "FACTUAL::LLM").otherwise("FACTUAL::RULE"))
+        .when(F.col("layer") == "CONCEPTUAL", has("pattern_type", ""))
         .otherwise("")
     )
     return df.withColumns({"key_layer": F.when(F.col("layer").startswith("FACTUAL_"), "FACTUAL").otherwise(F.col("layer")), "key_service": service_name(F.col("service")), "key_sub": sub, "family": version_family(F.col("version"))})
@@ -48,9 +53,10 @@ def signatures(keyed: DataFrame) -> DataFrame:
 
 
 def similarity_edges(nodes: DataFrame) -> DataFrame:
-    """a, b of signatures that are compatible: versions equal or one unknown, CVE sets that meet or one empty.
+    """All pairs a, b of signatures that are compatible: versions equal or one unknown, CVE sets that meet or one empty.
 
-    Candidates come from equi-joins only: pairs that share a CVE, and pairs with a member that has none.
+    Candidates come from equi-joins only: pairs that share a CVE, and pairs with a member that has none. Where only the
+    components matter, component_edges() has them without pairs.
     """
     key = ["key_layer", "key_service", "key_sub"]
     left = nodes.select(*key, F.col("family").alias("fa"), F.col("signature").alias("a"), F.col("cves").alias("ca"))
@@ -61,15 +67,78 @@ def similarity_edges(nodes: DataFrame) -> DataFrame:
     return shared.select("a", "b").union(blank.select(F.least("a", "b"), F.greatest("a", "b"))).distinct()
 
 
+def component_edges(nodes: DataFrame) -> DataFrame:
+    """a, b of signatures whose components are those of compatible ones: versions equal or one unknown, CVE sets that meet
+    or one empty, within a key.
+
+    Signatures are compatible through terms: a CVE or none, a family or none. Members of a term are joined by a star at
+    its least signature, so there are as many edges as memberships and no pair of a group is ever built:
+
+    * the same CVE (or none) and the same family: all compatible with each other;
+    * of one CVE, those without a family are compatible with every family's: the least of each is joined to one of them;
+    * those without CVEs are compatible with every CVE of their family, and without a family with all.
+    """
+    key = ["key_layer", "key_service", "key_sub"]
+    terms = nodes.select(*key, "family", "signature", F.explode(F.when(F.size("cves") > 0, F.col("cves")).otherwise(F.array(F.lit("")))).alias("cve"))
+    least = terms.groupBy(*key, "cve", "family").agg(F.min("signature").alias("root"))
+    stars = terms.join(least, [*key, "cve", "family"]).select(F.col("signature").alias("a"), F.col("root").alias("b"))
+
+    def link(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+        """Each row of left with the least of right that agrees on `on`."""
+        to = right.groupBy(*on).agg(F.min("root").alias("b"))
+        return left.join(to, on).select(F.col("root").alias("a"), "b")
+
+    some, none = least.filter("cve <> ''"), least.filter("cve = ''")
+    parts = [
+        link(some, some.filter("family = ''"), [*key, "cve"]),
+        link(none, none.filter("family = ''"), key),
+        link(some, none, [*key, "family"]),
+        link(some, none.filter("family = ''"), key),
+        link(none, some.filter("family = ''"), key),
+        link(some.filter("family = ''"), none, key),
+    ]
+    for part in parts:
+        stars = stars.union(part)
+    return stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").distinct()
+
+
 def clusters(experiences: DataFrame) -> DataFrame:
     """exp_id with its hard key and cluster_id (hash of the component's least signature); lifecycle active or empty only."""
     keyed = hard_key(experiences.filter("lifecycle is null or lifecycle in ('active', '')")).withColumn("cve_key", F.array_join(F.array_sort("cves"), ","))
     keyed = keyed.withColumn("signature", F.xxhash64("key_layer", "key_service", "key_sub", "family", "cve_key"))
     nodes = materialise(signatures(keyed), "signatures")
-    roots = connected_components(similarity_edges(nodes))
+    roots = connected_components(component_edges(nodes))
     return keyed.join(roots, keyed["signature"] == roots["node"], "left").withColumn("cluster_id", F.coalesce("root", "signature")).drop("node", "root")
 
 
+def cluster_name(layer: Column, service: Column, sub: Column, family: Column, cves: Column) -> Column:
+    """A readable cluster id: slugs of its terms and eight digits of the MD5 of them as canonical JSON."""
+    empty = F.lit("")
+
+    def slug(text: Column, most: int, otherwise: str) -> Column:
+        bare = F.regexp_replace(F.regexp_replace(F.lower(F.coalesce(text, empty)), "[^a-z0-9]+", "_"), "^_+|_+$", "")
+        return F.when(bare == "", otherwise).otherwise(F.substring(bare, 1, most))
+
+    listed = F.array_sort(F.array_distinct(F.transform(F.filter(cves, lambda c: F.trim(c) != ""), F.upper)))
+    quoted = lambda text: F.concat(F.lit('"'), F.replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"')), F.lit('"'))
+    low = lambda text: quoted(F.lower(F.trim(F.coalesce(text, empty))))
+    canonical = F.concat(F.lit('{"cve_ids":['), F.array_join(F.transform(listed, quoted), ","), F.lit('],"layer":'), quoted(F.upper(layer)), F.lit(',"service":'), low(service), F.lit(',"sub_dim":'), low(sub), F.lit(',"version_family":'), low(family), F.lit("}"))
+    first = F.coalesce(F.get(listed, F.lit(0)), F.lit("nocve"))
+    return F.concat_ws("_", F.lit("SEC"), slug(layer, 20, "unknown"), slug(service, 24, "anysvc"), slug(sub, 24, "any"), slug(family, 18, "anyver"), slug(first, 20, "nocve"), F.substring(F.md5(canonical.cast("binary")), 1, 8))
+
+
+def trigger_levels(keyed: DataFrame, edges: DataFrame) -> DataFrame:
+    """key_layer, key_service, key_sub, level: L1+L2 where any two members of the key are linked by their CVEs, else L1.
+
+    keyed: hard_key() rows with `signature`; edges: a, b of signatures. Two rows of one signature link as well.
+    """
+    key = ["key_layer", "key_service", "key_sub"]
+    rows = keyed.groupBy(*key, "signature").agg(F.count(F.lit(1)).alias("n"))
+    ends = edges.select(F.col("a").alias("signature")).distinct().withColumn("linked", F.lit(True))
+    tagged = rows.join(ends, "signature", "left").groupBy(*key).agg(F.bool_or((F.col("n") > 1) | F.coalesce("linked", F.lit(False))).alias("linked"))
+    return tagged.select(*key, F.when(F.col("linked"), "L1+L2").otherwise("L1").alias("level"))
+
+
 def threshold(layer: Column) -> Column:
     """Members a cluster needs before it is fused."""
     return F.when(layer == "CONCEPTUAL", 2).otherwise(3)
@@ -101,12 +170,16 @@ def decay(layer: Column = None) -> Column:
 
 
 def weigh(clustered: DataFrame) -> DataFrame:
-    """clustered with w_raw, w_norm (min-max to FLOOR..1 in the cluster; LONE_WEIGHT if constant) and weight."""
-    own = Window.partitionBy("cluster_id")
-    low, high = F.min("w_raw").over(own), F.max("w_raw").over(own)
+    """clustered with w_raw, w_norm (min-max to FLOOR..1 in the cluster; LONE_WEIGHT if constant) and weight.
+
+    The range of a cluster is an aggregate with partial sums, joined back, so a hot cluster never is one task's window.
+    """
+    raw = clustered.withColumn("w_raw", F.round(raw_weight(), 6))
+    span = raw.groupBy("cluster_id").agg(F.min("w_raw").alias("__low"), F.max("w_raw").alias("__high"))
+    low, high = F.col("__low"), F.col("__high")
     norm = F.when(high - low < 1e-9, LONE_WEIGHT).otherwise(FLOOR + (1 - FLOOR) * (F.col("w_raw") - low) / (high - low))
-    out = clustered.withColumn("w_raw", F.round(raw_weight(), 6)).withColumn("w_norm", norm)
-    return out.withColumn("weight", F.greatest(F.round(F.col("w_norm") * decay(), 4), F.lit(FLOOR)))
+    out = raw.join(span, "cluster_id").withColumn("w_norm", norm)
+    return out.withColumn("weight", F.greatest(F.round(F.col("w_norm") * decay(), 4), F.lit(FLOOR))).drop("__low", "__high")
 
 
 def dominant(weighted: DataFrame) -> DataFrame:
@@ -222,12 +295,10 @@ def beta_update(p: Column, n: Column) -> Column:
 
 def covered_dedupe(actions: Column) -> Column:
     """Ordered actions without those whose CVEs heavier ones already cover; actions without CVEs stay."""
-    from kenning.functions.text import cves
-
     start = F.struct(F.array().cast("array<string>").alias("seen"), F.array().cast("array<string>").alias("kept"))
 
     def step(acc: Column, action: Column) -> Column:
-        own = cves(action)
+        own = tx.cves(action)
         drop = (F.size(own) > 0) & (F.size(F.array_except(own, acc["seen"])) == 0)
         return F.struct(F.when(drop, acc["seen"]).otherwise(F.array_union(acc["seen"], own)).alias("seen"), F.when(drop, acc["kept"]).otherwise(F.concat(acc["kept"], F.array(action))).alias("kept"))
 

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import time
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kenning.functions.text import tokens
-from kenning.plans.store import materialise
+from kenning.plans.store import small
 
 # Bands, source domains, patterns.
 SKIP_BELOW, CONFLICT_FROM, NEIGHBOURS, MOST_WORDS = 0.20, 0.50, 20, 300
@@ -15,7 +18,7 @@ DOMAINS = ["github.com", "exploit-db.com", "nvd.nist.gov", "cve.mitre.org", "pac
 POC_STRINGS = ["msfconsole", "msfvenom", "msf>", "use exploit/", "exec(", "eval(", "os.system("]
 POC_PATTERNS = [
     ("```", r"```(?:python|bash|sh|ruby|java|perl|go)[\s\S]{30,}?```"), ("import", r"import\s+(?:requests|socket|struct|subprocess|base64)"), ("subprocess.", r"subprocess\.(?:run|popen|call)\("),
-    ("curl", r"curl\s+-[a-z]"), ("wget", r"wget\s+http"), ("nc", r"nc\s+-[enlvp]"), ("<?xml", r"<\?xml[\s\S]{20,}?xmldecoder"), ("<beans", r"<beans[\s\S]{20,}?class="), (" shell", r"(?:reverse|bind)\s+shell"),
+    ("curl", r"curl\s+-[a-z]"), ("wget", r"wget\s+http"), ("nc", r"nc\s+-[enlvp]"), ("<?xml", r"<\?xml[\s\S]{20,}?xmldecoder"), ("<beans", r"<beans[\s\S]{20,}?class="), ("shell", r"(?:reverse|bind)\s+shell"),
     ("payload", r"payload\s*="), ("shellcode", r"shellcode\s*="), ("exploit", r"exploit\s*="),
 ]
 _TOOLS = r"\s+(?:nmap|gobuster|curl|wget|hydra|sqlmap|msfconsole|nuclei|ffuf|feroxbuster|dirb|wfuzz|nikto|nc\b|netcat|john|hashcat)"
@@ -80,7 +83,7 @@ def dequeue(queue: DataFrame, priority: str, limit: int) -> DataFrame:
     """The queue with the first `limit` pending gaps of a priority set to processing."""
     pending = (F.col("status") == "pending") & (F.col("priority") == priority)
     taken = queue.filter(pending).orderBy("arrival", "gap_id").limit(limit).select("gap_id", F.lit(True).alias("__taken"))
-    return queue.join(F.broadcast(taken), "gap_id", "left").withColumn("status", F.when(F.col("__taken"), "processing").otherwise(F.col("status"))).drop("__taken")
+    return queue.join(small(taken), "gap_id", "left").withColumn("status", F.when(F.col("__taken"), "processing").otherwise(F.col("status"))).drop("__taken")
 
 
 def settle(queue: DataFrame, results: DataFrame, most_retries: int = 3) -> DataFrame:
@@ -91,6 +94,12 @@ def settle(queue: DataFrame, results: DataFrame, most_retries: int = 3) -> DataF
     return joined.withColumn("status", status).withColumn("retry_count", F.coalesce(tries, "retry_count")).drop("ok")
 
 
+def reset_stale(queue: DataFrame, now: Column, minutes: int = 60) -> DataFrame:
+    """Gaps that have been processing (since `started`) for too long are pending again."""
+    stale = (F.col("status") == "processing") & (F.col("started") < now - F.expr(f"INTERVAL {int(minutes)} MINUTES"))
+    return queue.withColumn("status", F.when(F.coalesce(stale, F.lit(False)), "pending").otherwise(F.col("status")))
+
+
 def queue_stats(queue: DataFrame) -> DataFrame:
     return queue.groupBy(F.concat_ws("/", "priority", "status").alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
 
@@ -182,7 +191,21 @@ def byte_budget(documents: DataFrame, group: str, order: list[str], most_rows: i
 
 
 def swap_in(df: DataFrame, path: str) -> DataFrame:
-    """Write df as the new version of a table that df may read from: staged in the shared folder, then swapped in."""
-    staged = materialise(df, "staged")
-    staged.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    """Write df as the new version of a table that df may read from, and make it the current one.
+
+    A version is a folder of its own below path, and counts as written only when Spark has put its _SUCCESS there, so
+    a failure at any point leaves the version before as the current one. current() reads the newest whole version.
+    """
+    version = f"{path}/v={int(time.time() * 1000):015d}-{uuid.uuid4().hex[:8]}"
+    df.write.parquet(version)
+    return df.sparkSession.read.parquet(version)
+
+
+def current(spark: SparkSession, path: str) -> DataFrame:
+    """The newest whole version that swap_in() wrote below path."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    folders = [str(f.getPath()) for f in store.listStatus(where) if f.isDirectory() and store.exists(spark._jvm.org.apache.hadoop.fs.Path(f.getPath(), "_SUCCESS"))]
+    if not folders:
+        raise ValueError(f"no version below {path}")
+    return spark.read.parquet(max(folders))

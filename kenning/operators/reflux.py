@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import json
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,7 +14,7 @@ from kenning.plans.store import materialise
 
 # Where a layer goes, and keys that never leave.
 DATASETS = {"FACTUAL": "facts", "PROCEDURAL_POS": "procedures", "PROCEDURAL_NEG": "procedures", "METACOGNITIVE": "lessons", "CONCEPTUAL": "concepts"}
-SENSITIVE = ["password", "passwd", "token", "api_key", "secret", "credential", "cookie"]
+SENSITIVE, REDACTED = ["command", "cmd", "payload", "exploit_code", "exec"], "[REDACTED]"
 
 
 def dataset(layer: Column) -> Column:
@@ -22,9 +24,30 @@ def dataset(layer: Column) -> Column:
     return out
 
 
-def strip_sensitive(json_text: Column) -> Column:
-    """JSON text with the values of sensitive keys, at any depth, replaced."""
-    return F.regexp_replace(json_text, rf'(?i)("(?:[^"]*(?:{"|".join(SENSITIVE)})[^"]*)"\s*:\s*)("(?:[^"\\]|\\.)*"|-?[0-9.eE+]+|true|false|null)', '$1"***"')
+def strip_sensitive(json_text: Column, keys: list[str] = SENSITIVE) -> Column:
+    """JSON text with the whole value of each sensitive key, at any depth, replaced; what isn't JSON stays as it is.
+
+    A value may hold any structure, which no regular expression can skip, so texts are parsed, in Arrow batches.
+    """
+    hidden = frozenset(keys)
+
+    def safe(value):
+        if isinstance(value, dict):
+            return {k: REDACTED if k in hidden else safe(v) for k, v in value.items()}
+        return [safe(v) for v in value] if isinstance(value, list) else value
+
+    def one(text: str | None) -> str | None:
+        try:
+            return None if text is None else json.dumps(safe(json.loads(text)), ensure_ascii=False)
+        except ValueError:
+            return text
+
+    @F.pandas_udf("string")
+    def strip(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield texts.map(one)
+
+    return strip(json_text)
 
 
 def candidates(registry: DataFrame) -> DataFrame:
@@ -49,10 +72,14 @@ def remove_conflicted(documents: DataFrame, registry: DataFrame) -> tuple[DataFr
 
 
 def on_session(registry: DataFrame, fresh: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The registry after a finished session: new rows in, all active rows fused again, sources of what became
-    consolidated suspended, positives that a new negative contradicts in conflict. And the conflict pairs."""
+    """The registry after a finished session: new rows in, active rows under the hard keys of new ones fused again,
+    sources of what became consolidated suspended, positives that a new negative contradicts in conflict. And the
+    conflict pairs. Clusters never cross hard keys, so rows under other keys are as fused as before."""
     rows = materialise(govern.insert_if_absent(registry, fresh), "registry")
-    members = materialise(fusion.weigh(fusion.clusters(rows.filter("maturity IN ('raw', 'validated')"))), "members")
+    key = ["key_layer", "key_service", "key_sub"]
+    touched = fusion.hard_key(fresh).select(*key).distinct()
+    near = fusion.hard_key(rows.filter("maturity IN ('raw', 'validated')")).join(touched, key, "left_semi").select(*rows.columns)
+    members = materialise(fusion.weigh(fusion.clusters(near)), "members")
     done = fusion.calibrate(members).filter("should_reflux").select("cluster_id")
     settled = fusion.archive_sources(rows, members.join(done, "cluster_id").select("exp_id", "cluster_id"), "suspended").drop("merged_into")
     shape = lambda d: d.select(F.col("exp_id").alias("id"), "text", "service", "cves")

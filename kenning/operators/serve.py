@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,10 +47,14 @@ def gap_scores(experiences: DataFrame, top: int = 30) -> DataFrame:
     grouped = rows.groupBy(F.coalesce(F.nullif("service", F.lit("")), F.lit("Unknown")).alias("service")).agg(
         F.count(F.lit(1)).alias("raw_count"),
         F.sum((F.col("maturity") == "consolidated").cast("int")).alias("consolidated_count"),
-        F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_set("cves")))), ",").alias("cve_list"),
     )
     score = F.greatest(F.lit(0), F.col("raw_count") - 3 * F.col("consolidated_count"))
-    return grouped.withColumn("gap_score", score).orderBy(F.desc("gap_score"), "service").limit(top)
+    first = grouped.withColumn("gap_score", score).orderBy(F.desc("gap_score"), "service").limit(top)
+    # Only the CVEs of the top services are listed, each made distinct before it is gathered.
+    named = F.coalesce(F.nullif("service", F.lit("")), F.lit("Unknown"))
+    own = rows.select(named.alias("service"), F.explode("cves").alias("cve")).join(first.select("service"), "service", "left_semi").distinct()
+    listed = own.groupBy("service").agg(F.array_join(F.array_sort(F.collect_list("cve")), ",").alias("cve_list"))
+    return first.join(listed, "service", "left").withColumn("cve_list", F.coalesce("cve_list", F.lit(""))).orderBy(F.desc("gap_score"), "service").limit(top)
 
 
 def union_precedence(registry: DataFrame, other: DataFrame, key: str = "exp_id") -> DataFrame:
@@ -67,16 +75,76 @@ def compression(experiences: DataFrame, clusters: DataFrame) -> DataFrame:
     return a.join(F.broadcast(b)).withColumn("ratio", F.round(F.col("n_rows") / F.nullif("n_clusters", F.lit(0)), 6))
 
 
-def cosine_top(queries: DataFrame, vectors: DataFrame, top: int = 5) -> DataFrame:
+def cosine_top(queries: DataFrame, vectors: DataFrame, top: int = 5, block: int = 8192) -> DataFrame:
     """query, neighbour, score, rank: exact cosine top-k of a stated query set against all vectors.
 
-    Both sides: vec_id, embedding. The queries are the broadcast side only if Spark's size statistics allow it.
+    Both sides: vec_id, embedding (of one length). Queries go out in blocks of a fixed number of rows, as a matrix; each task keeps the
+    best of its own rows for each query, and what the tasks keep is ranked together, so no pair beyond tasks x queries x
+    top leaves a task. A score with a zero vector is null and ranks last.
     """
-    unit = lambda c: F.transform(c, lambda x: x.cast("double"))
-    norm = lambda c: F.sqrt(F.aggregate(c, F.lit(0.0), lambda a, x: a + x * x))
-    q = queries.select(F.col("vec_id").alias("query"), unit("embedding").alias("u")).withColumn("nu", norm("u"))
-    v = vectors.select(F.col("vec_id").alias("neighbour"), unit("embedding").alias("v")).withColumn("nv", norm("v"))
-    dot = F.aggregate(F.zip_with("u", "v", lambda x, y: x * y), F.lit(0.0), lambda a, x: a + x)
-    pairs = v.join(q, F.col("query") != F.col("neighbour")).select("query", "neighbour", F.round(dot / F.nullif(F.col("nu") * F.col("nv"), F.lit(0.0)), 6).alias("score"))
+    spark = vectors.sparkSession
+    slim = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding")).filter("embedding is not null")
+    out, held = None, []
+
+    def unit(rows: np.ndarray) -> np.ndarray:
+        norms = np.sqrt((rows * rows).sum(axis=1, keepdims=True))
+        return np.divide(rows, norms, out=np.full_like(rows, np.nan), where=norms > 0)
+
+    def search(ids: np.ndarray, matrix: np.ndarray) -> DataFrame:
+        shared = spark.sparkContext.broadcast((ids, unit(matrix).T.copy()))
+
+        def best(q: np.ndarray, i: np.ndarray, s: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            order = np.lexsort((i, -s, q))
+            q, i, s = q[order], i[order], s[order]
+            begin = np.searchsorted(q, q, side="left")
+            keep = np.arange(len(q)) - begin < top
+            return q[keep], i[keep], s[keep]
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            own, right = shared.value
+            kept = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+            for batch in batches:
+                for at in range(0, batch.num_rows, 1024):
+                    part = batch.slice(at, 1024)
+                    here = part.column(0).to_numpy()
+                    flat = part.column(1).flatten().to_numpy().reshape(len(here), -1)
+                    scores = np.nan_to_num(np.round(unit(flat) @ right, 6), nan=-2.0)
+                    scores[here[:, None] == own[None, :]] = -np.inf
+                    k = max(0, len(here) - top)
+                    row, col = np.nonzero(scores >= np.maximum(np.partition(scores, k, axis=0)[k], -3.0))
+                    kept = best(np.concatenate([kept[0], col]), np.concatenate([kept[1], here[row]]), np.concatenate([kept[2], scores[row, col]]))
+            yield pa.RecordBatch.from_arrays([pa.array(own[kept[0]]), pa.array(kept[1]), pa.array(kept[2], mask=kept[2] < -1.5)], names=["query", "neighbour", "score"])
+
+        return slim.mapInArrow(run, "query long, neighbour long, score double")
+
+    def block_of(rows: list) -> DataFrame:
+        return search(np.array([r[0] for r in rows], dtype=np.int64), np.array([r[1] for r in rows], dtype=np.float64))
+
+    asked = queries.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>")).filter("embedding is not null")
+    for row in asked.toLocalIterator():
+        held.append(row)
+        if len(held) == block:
+            out, held = (block_of(held) if out is None else out.unionByName(block_of(held))), []
+    if held:
+        out = block_of(held) if out is None else out.unionByName(block_of(held))
+    if out is None:
+        out = spark.createDataFrame([], "query long, neighbour long, score double")
     w = Window.partitionBy("query").orderBy(F.desc("score"), "neighbour")
-    return pairs.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= top)
+    return out.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= top)
+
+
+def by_id(rows: DataFrame, key, key_col: str = "exp_id") -> DataFrame:
+    """The rows with a given id."""
+    return rows.filter(F.col(key_col) == F.lit(key))
+
+
+# What a lesson doesn't show in the interface.
+HIDDEN = {"METACOGNITIVE": ["rag_effectiveness", "rag_adoption_stats", "rag_utility"]}
+
+
+def shown(rows: DataFrame, hidden: dict[str, list[str]] | None = None) -> DataFrame:
+    """rows (layer, content: map of text) without the entries that their layer doesn't show."""
+    out = F
+    for layer, keys in (HIDDEN if hidden is None else hidden).items():
+        out = out.when(F.col("layer") == layer, F.map_filter("content", lambda k, _, keys=keys: ~k.isin(keys)))
+    return rows.withColumn("content", out.otherwise(F.col("content")))

@@ -35,7 +35,7 @@ def experiences(tables: dict[str, DataFrame]) -> DataFrame:
     """Positive and negative rows in the shape that fusion takes."""
     a = tables["annotated"]
     outcome = annotate.session_outcome(a).select("session_id", F.col("session_outcome").alias("outcome"))
-    pos = distil.positives(a).select("session_id", "turn_index", "phase", "confidence", F.lit("PROCEDURAL_POS").alias("layer"), F.col("template").alias("text"), F.lit("").alias("dimension"), F.lit("").alias("sub_dimension"))
+    pos = distil.positives(a, annotate.session_outcome(a)).select("session_id", "turn_index", "phase", "confidence", F.lit("PROCEDURAL_POS").alias("layer"), F.col("template").alias("text"), F.lit("").alias("dimension"), F.lit("").alias("sub_dimension"))
     neg = distil.negatives(a).select("session_id", "turn_index", "phase", "confidence", F.lit("PROCEDURAL_NEG").alias("layer"), F.col("failed_command").alias("text"), "dimension", "sub_dimension")
     rows = pos.unionByName(neg).join(outcome, "session_id")
     return rows.select(

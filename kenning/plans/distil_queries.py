@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kenning.operators import annotate, corpus, distil, merge
+from kenning.functions import text as tx
+from kenning.operators import annotate, corpus, distil, facts, merge
 from kenning.plans.event_queries import EVENTS
 from kenning.plans.experience_queries import ROWS, weighted
 from kenning.plans.registry import query
@@ -20,38 +21,78 @@ def annotated(spark, sf_dir) -> DataFrame:
     return annotate.annotate(events(spark, sf_dir))
 
 
-@query(EVENTS + """, fc AS (SELECT session_id, turn_index, unnest(CASE WHEN good AND (txt LIKE '%uid%' OR txt LIKE '%root@%') THEN ['privilege=root'] WHEN txt LIKE 'HTTP/1.1 200%' THEN [] ELSE [] END) AS f FROM va
-WHERE (outcome_label IN ('success','partial_success') OR (phase = 'RECON_WEAPONIZATION' AND outcome_label = 'uncertain')) AND category <> 'RAG_QUERY')
-SELECT session_id, f AS fact, CAST(min(turn_index) AS BIGINT) AS turn_index, count(*) AS n FROM fc GROUP BY ALL""")
+#: What tools print, in parts that depend on the row, and the frame that facts are read from.
+PRINTED = """concat(
+  CASE WHEN k % 2 = 0 THEN concat(CAST(event_id % 900 + 1 AS VARCHAR(20)), '/tcp open http nginx 1.', CAST(k % 7 AS VARCHAR(20)), chr(10)) ELSE '' END,
+  CASE WHEN k % 3 = 0 THEN concat('Server: Apache/2.', CAST(k % 50 AS VARCHAR(20)), chr(10)) ELSE '' END,
+  CASE WHEN k % 5 = 0 THEN concat('host seems vulnerable to cve-2021-', CAST(1000 + k AS VARCHAR(20)), chr(10)) WHEN k % 5 = 1 THEN concat('see cve-2020-', CAST(2000 + k AS VARCHAR(20)), chr(10)) ELSE '' END,
+  CASE WHEN k % 7 = 0 THEN concat('HTTP/1.1 404 x', chr(10), '/admin', CAST(k AS VARCHAR(20)), ' (Status: 200)', chr(10)) ELSE '' END,
+  CASE WHEN k % 13 = 0 THEN concat('port ', CAST(8000 + k AS VARCHAR(20)), ' is open', chr(10)) ELSE '' END,
+  CASE WHEN k % 11 = 0 THEN concat('uid=0(root) flag{', CAST(k AS VARCHAR(20)), '}', chr(10)) ELSE '' END)"""
+SEEN_PHASE = pick("k % 4", ["RECON_WEAPONIZATION", "EXPLOITATION", "ENV_PREPARATION", "ESCALATION"])
+SEEN_OUTCOME, SEEN_COMMAND = pick("event_id % 3", ["success", "partial_success", "uncertain"]), pick("k % 3", ["nmap -sV h", "curl http://h/", "python3 x.py"])
+PRINT = EVENTS + f""", pr AS (SELECT event_id, session_id, turn_index, k, category, {PRINTED} AS t, {SEEN_PHASE} AS ph, {SEEN_OUTCOME} AS oc, {SEEN_COMMAND} AS cmd FROM ve),
+ge AS (SELECT *, CASE WHEN ph IN ('EXPLOITATION', 'ESCALATION') THEN 'x' WHEN k % 3 = 0 THEN 'n' WHEN k % 3 = 1 THEN 'h' ELSE 'g' END AS way FROM pr WHERE category <> 'RAG_QUERY' AND t <> '' AND (ph IN ('RECON_WEAPONIZATION', 'ENV_PREPARATION') OR oc = 'success'))
+"""
+
+
+def printing(spark, sf_dir) -> DataFrame:
+    seen = {"stdout": PRINTED, "phase": SEEN_PHASE, "outcome_label": SEEN_OUTCOME, "command": SEEN_COMMAND, "code": "''", "tool_name": "'shell'"}
+    return events(spark, sf_dir).withColumns({name: F.expr(sql) for name, sql in seen.items()})
+
+
+@query(PRINT + """, fa AS (
+  SELECT *, 'open_port' AS key, regexp_extract(t, '([0-9]+/tcp) open', 1) AS value, false AS pass FROM ge WHERE way = 'n' AND k % 2 = 0
+  UNION ALL SELECT *, CASE k % 5 WHEN 0 THEN 'cve_confirmed' ELSE 'cve_mentioned' END, upper(regexp_extract(t, 'cve-[0-9]+-[0-9]+', 0)), false FROM ge WHERE way IN ('g', 'x') AND k % 5 < 2
+  UNION ALL SELECT *, 'service_version', regexp_extract(t, 'Apache/[0-9.]+', 0), false FROM ge WHERE way IN ('g', 'x') AND k % 3 = 0
+  UNION ALL SELECT *, 'http_header_server', regexp_extract(t, 'Server: (.*)', 1), false FROM ge WHERE way = 'g' AND k % 3 = 0
+  UNION ALL SELECT *, 'privilege_root', 'uid=0(root) — 已获取 root 权限', false FROM ge WHERE way = 'x' AND k % 11 = 0
+  UNION ALL SELECT *, 'flag_captured', regexp_extract(t, 'flag.[0-9]+.', 0), false FROM ge WHERE way = 'x' AND k % 11 = 0
+  UNION ALL SELECT *, 'open_port_evidence', regexp_extract(t, 'port ([0-9]+) is', 1), true FROM ge WHERE way = 'g' AND k % 13 = 0),
+fs AS (SELECT session_id, key, value, pass, arg_min(event_id, (turn_index, event_id)) AS event_id, min(turn_index) AS turn_index, count(*) AS n FROM fa GROUP BY ALL)
+SELECT session_id, event_id, key || '=' || value AS fact, turn_index, n FROM fs QUALIFY bool_or(NOT pass) OVER (PARTITION BY session_id, event_id)""")
 def fact_extraction(spark, sf_dir) -> DataFrame:
-    return distil.session_facts(annotated(spark, sf_dir)).select("session_id", F.concat_ws("=", "key", "value").alias("fact"), "turn_index", "n")
+    return distil.session_facts(printing(spark, sf_dir)).select("session_id", "event_id", F.concat_ws("=", "key", "value").alias("fact"), "turn_index", "n")
 
 
-@query(f"""SELECT doc_id, {pick("doc_id % 4", ["port=22/tcp ssh;port=80/tcp http", "cve=CVE-2021-44228;product=nginx/1.18.0", "product=OpenSSH/8.2;http_status=403", ""])} AS facts, {pick("doc_id % 4", ["port=22/tcp ssh;port=80/tcp http", "cve=CVE-2021-44228;product=nginx/1.18.0", "product=OpenSSH/8.2;http_status=403", ""])} AS kept FROM documents""")
+@query(EVENTS + f""", pr AS (SELECT event_id, {PRINTED} AS t FROM ve) SELECT event_id, array_to_string(list_transform(regexp_extract_all(t, '([0-9]+/tcp open [a-z]+ .*)', 1), lambda x: replace(x, ' open http ', '|http|')), ';') AS ports,
+ array_to_string(regexp_extract_all(t, 'Apache/[0-9.]+'), ';') AS versions, array_to_string(regexp_extract_all(t, 'HTTP/1.1 ([0-9]+)', 1) || regexp_extract_all(t, '(/admin[0-9]+) ', 1), ';') AS responses,
+ CASE WHEN t LIKE '%/tcp open%' THEN 'http ' || regexp_extract(t, 'nginx [0-9.]+', 0) WHEN t LIKE '%Apache%' THEN regexp_extract(t, 'Server: (.*)', 1) WHEN t LIKE '%HTTP/1.1%' THEN 'HTTP/1.1' WHEN t LIKE '%cve%' THEN '目标存在 ' || upper(regexp_extract(t, 'cve-[0-9]+-[0-9]+', 0)) || ' 漏洞的服务' END AS target FROM pr""")
 def fact_patterns(spark, sf_dir) -> DataFrame:
-    raw = F.expr(pick("doc_id % 4", ["22/tcp  open ssh\n80/tcp open  http", "cve-2021-44228 at nginx/1.18.0 HTTP/1.1", "OpenSSH/8.2 HTTP/1.1 403 HTTP/1.1 403", "HTTP/1.1 200 OK"]).replace("\n", "\\n"))
-    d = table(spark, sf_dir, "documents").select("doc_id", distil.found(raw).alias("f")).withColumn("kept", distil.prune(F.col("f")))
-    show = lambda c: F.array_join(F.transform(c, lambda x: F.concat_ws("=", x["key"], x["value"])), ";")
-    return d.select("doc_id", F.when(F.col("doc_id") % 4 == 3, show("kept")).otherwise(show("f")).alias("facts"), show("kept").alias("kept"))
+    t, each = F.expr(PRINTED), lambda c, *names: F.array_join(F.transform(c, lambda f: F.concat_ws("|", *[f[n] for n in names])), ";")
+    return events(spark, sf_dir).withColumn("t", t).select("event_id", each(facts.ports(F.col("t")), "value", "service", "version").alias("ports"), each(facts.versions(F.col("t")), "value").alias("versions"), each(facts.responses(F.col("t")), "value").alias("responses"), facts.target_service(F.col("t"), tx.cves(F.col("t"))).alias("target"))
+
 
+@query(PRINT + """SELECT event_id, CASE WHEN t LIKE '%/tcp open%' OR t LIKE '%Server:%' THEN 'http' WHEN lower(left(t, 200)) || cmd LIKE '%http%' OR cmd LIKE '%curl%' THEN 'http' WHEN cmd LIKE 'nmap%' THEN 'network_scan' ELSE 'generic' END AS kind FROM pr""")
+def service_kinds(spark, sf_dir) -> DataFrame:
+    return printing(spark, sf_dir).select("event_id", facts.service_type(F.col("tool_name"), facts.action(), facts.told()).alias("kind"))
 
-@query(ACTIONS + """, go AS (SELECT *, CASE outcome_label WHEN 'success' THEN 0.78 ELSE 0.72 END + 0.05 * (CAST(txt LIKE '%uid=0%' AS INT) + CAST(txt LIKE '%root@%' AS INT) + CAST(txt LIKE '%access granted%' AS INT)) AS c FROM ac
-WHERE outcome_label IN ('success','partial_success') AND length(command) >= 10 AND (good OR outcome_label = 'partial_success' OR regexp_matches(command, '(?i)cve-[0-9]{4}-[0-9]+|\\b(smb|ssh|ftp|http|rdp|sql)'))),
-r AS (SELECT *, row_number() OVER (PARTITION BY session_id, tool_name, phase, substr(template, 1, 80) ORDER BY turn_index, event_id) AS n FROM go) SELECT event_id, template, CAST(round(least(0.95, c), 6) AS DOUBLE) AS confidence FROM r WHERE n = 1""")
+
+@query(ACTIONS + """, so AS (SELECT session_id, CASE WHEN bool_or(has_result AND good) THEN 'success' WHEN bool_or(outcome_label IN ('success','partial_success')) THEN 'partial_success' ELSE 'failure' END AS session_outcome FROM va GROUP BY session_id),
+go AS (SELECT ac.*, session_outcome, CASE WHEN tool_name <> 'error' THEN txt ELSE '' END AS told FROM ac JOIN so USING (session_id) WHERE outcome_label IN ('success','partial_success')),
+gi AS (SELECT *, list_filter([CASE WHEN told LIKE '%uid=0(root)%' THEN 'uid=0(root)' END, CASE WHEN told LIKE '%root@host%' THEN 'root@host' END, CASE WHEN told LIKE '%access granted%' THEN 'access granted' END, CASE WHEN told LIKE '%HTTP/1.1 200%' THEN 'HTTP/1.1 200' END], lambda x: x IS NOT NULL) AS signs FROM go),
+gw AS (SELECT *, least(0.95, CASE WHEN len(signs) > 0 THEN CASE session_outcome WHEN 'success' THEN 0.78 WHEN 'partial_success' THEN 0.72 ELSE 0.60 END WHEN length(command) <= 50 THEN 0.35 ELSE 0.50 END + 0.05 * len(list_filter(signs, lambda s: s LIKE '%uid=0%' OR s LIKE '%root@%'))) AS c
+  FROM gi WHERE (len(signs) > 0 OR length(command) >= 10) AND (length(command) > 100 OR len(signs) > 0 OR outcome_label = 'partial_success')),
+r AS (SELECT *, row_number() OVER (PARTITION BY session_id, tool_name, phase, substr(template, 1, 80) ORDER BY turn_index, event_id) AS n FROM gw)
+SELECT event_id, template, CAST(round(c, 6) AS DOUBLE) AS confidence, array_to_string(signs, ';') AS signs, len(list_filter([command LIKE '%http%' OR command LIKE '%curl%', command LIKE '%ssh%', command LIKE '%sqlmap%', command LIKE '%.py%', command LIKE '%exploit%'], lambda x: x)) + CASE WHEN command LIKE 'ls%' OR command LIKE 'nmap%' THEN 1 ELSE 0 END AS n_needs FROM r WHERE n = 1""")
 def positive_rows(spark, sf_dir) -> DataFrame:
-    return distil.positives(annotated(spark, sf_dir)).select("event_id", "template", F.round("confidence", 6).alias("confidence"))
+    a = annotated(spark, sf_dir)
+    p = distil.positives(a, annotate.session_outcome(a))
+    return p.select("event_id", "template", F.round("confidence", 6).alias("confidence"), F.array_join("indicators", ";").alias("signs"), F.size("preconditions").alias("n_needs"))
 
 
 @query(ACTIONS + """, r AS (SELECT *, row_number() OVER (PARTITION BY session_id, dimension, tool_name, substr(command, 1, 50) ORDER BY turn_index, event_id) AS n FROM ac WHERE dimension IS NOT NULL)
-SELECT event_id, dimension, CASE WHEN rule_name IS NOT NULL THEN 0.78 ELSE 0.72 END::DOUBLE AS confidence, CASE dimension WHEN 'ENV' THEN 'check the tool and its PATH' WHEN 'INV' THEN 'read the usage' WHEN 'DEF' THEN 'check credentials' WHEN 'INT' THEN 'verify the path or version' ELSE 'ask for output that can be verified' END AS first_action FROM r WHERE n = 1""")
+SELECT event_id, dimension, CASE WHEN rule_name IS NOT NULL THEN 0.78 ELSE 0.72 END::DOUBLE AS confidence, CASE dimension WHEN 'ENV' THEN '先验证工具/依赖/权限与网络连通性，再重试。' WHEN 'INV' THEN '先校验参数与调用语法，必要时最小化参数集重跑。' WHEN 'DEF' THEN '先确认认证/授权与防护策略，再选择绕过或替代路径。' WHEN 'INT' THEN '先补充版本/端口/路径侦察，再调整漏洞假设。' ELSE '先验证执行效果与回显链路，再切换 payload 或验证方式。' END AS action,
+ '未验证前置条件时直接重复执行原始命令 `' || tool_name || '`。' AS avoid, CASE WHEN rule_name IS NOT NULL THEN 3 ELSE 2 END AS n_then FROM r WHERE n = 1""")
 def negative_rows(spark, sf_dir) -> DataFrame:
     n = distil.negatives(annotated(spark, sf_dir))
-    return n.select("event_id", "dimension", "confidence", F.get("rule.then", F.lit(0)).alias("first_action"))
+    return n.select("event_id", "dimension", "confidence", F.element_at("rule.then", -2).alias("action"), F.col("rule.not").alias("avoid"), F.size("rule.then").alias("n_then"))
 
 
-@query(EVENTS + "SELECT event_id, array_to_string(list_filter([CASE WHEN code LIKE '%CVE%' THEN 'CVE-2021-44228' END, tool_name, phase], lambda x: x IS NOT NULL), ',') AS tags FROM va")
+@query(PRINT + """, tg AS (SELECT event_id, list_distinct(list_filter(list_transform(regexp_extract_all(t, 'cve-[0-9]+-[0-9]+'), lambda x: upper(x)) || ['shell', lower(ph)] || list_transform(regexp_extract_all(t, '(Apache|HTTP)/', 1), lambda x: lower(x)) || CASE WHEN t LIKE '%/tcp open%' THEN ['http', 'nginx'] ELSE [] END || [split_part(cmd, ' ', 1)], lambda x: x <> 'python3')) AS x FROM pr)
+SELECT event_id, array_to_string(list_sort(x), ',') AS tags FROM tg""")
 def event_tags(spark, sf_dir) -> DataFrame:
-    return annotated(spark, sf_dir).select("event_id", F.array_join(distil.tags(), ",").alias("tags"))
+    return printing(spark, sf_dir).select("event_id", F.array_join(F.array_sort(distil.tags()), ",").alias("tags"))
 
 
 @query(EVENTS + "SELECT session_id || '_' || lpad(CAST(row_number() OVER (PARTITION BY session_id ORDER BY turn_index) AS VARCHAR), 4, '0') AS exp_id, event_id FROM va WHERE outcome_label = 'failure'")
@@ -59,9 +100,15 @@ def experience_numbers(spark, sf_dir) -> DataFrame:
     return distil.number_experiences(annotated(spark, sf_dir).filter("outcome_label = 'failure'"), ["turn_index"]).select("exp_id", "event_id")
 
 
-@query(EVENTS + "SELECT event_id, CASE WHEN length(trim(txt)) < 6 OR txt = 'done' THEN true ELSE false END AS low FROM va")
+LOW = "length(trim(line)) < 6 OR regexp_matches(trim(line), '^(?:" + "|".join(f"(?:{p})" for p in facts.NOISE) + ")') OR (length(trim(line)) > 50 AND length(line) - length(replace(line, '<', '')) > 3 AND length(line) - length(replace(line, '>', '')) > 3)"
+
+
+@query(f"""WITH li AS (SELECT 'p' || page_id AS id, unnest(string_split(html, chr(10))) AS line FROM pages UNION ALL SELECT 'd' || doc_id, unnest(string_split(text, chr(10))) FROM documents UNION ALL SELECT 'e' || event_id, props FROM events)
+SELECT id, count(*) AS n, count(*) FILTER ({LOW}) AS n_low FROM li GROUP BY id""")
 def low_value_lines(spark, sf_dir) -> DataFrame:
-    return events(spark, sf_dir).select("event_id", distil.low_value(F.concat("stdout", "stderr")).alias("low"))
+    split = lambda t, i, c: table(spark, sf_dir, t).select(F.concat(F.lit(t[0]), F.col(i).cast("string")).alias("id"), F.explode(F.split(c, "\n")).alias("line"))
+    rows = split("pages", "page_id", "html").union(split("documents", "doc_id", "text")).union(split("events", "event_id", "props"))
+    return rows.groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.count_if(distil.low_value(F.col("line"))).alias("n_low"))
 
 
 FACTS = ROWS + """, ft AS (SELECT cluster, exp_id, weight, unnest(['maturity', 'outcome']) AS key, unnest([maturity, outcome]) AS value FROM wt),
@@ -88,32 +135,47 @@ def merge_positive(spark, sf_dir) -> DataFrame:
     return merge.positive(pre, pre).select(F.col("cluster_id").alias("cluster"), "preconditions")
 
 
-@query(ROWS + ", it AS (SELECT cluster, CASE exp_id % 4 WHEN 0 THEN 'check path' WHEN 1 THEN 'verify the path' WHEN 2 THEN 'scan host' ELSE 'enumerate' END AS item, exp_id, weight FROM wt)" + SHARES + """, ti AS (SELECT cluster, CASE WHEN item LIKE 'check%' OR item LIKE 'verify%' THEN 'check' ELSE 'scan' END AS intent, min(rank) AS rank, arg_max(item, length(item) * 100 - rank) AS item FROM sh WHERE share >= 0.03 AND rank <= 8 GROUP BY ALL)
+ADVICE = pick("exp_id % 6", ["nmap quick", "nmap -sV -p 1-65535 full", "check /console first", "use CVE-2021-1000", "try CVE-2021-1000 or CVE-2021-1001", "read the notes"])
+
+
+@query(ROWS + f", it AS (SELECT cluster, {ADVICE} AS item, exp_id, weight FROM wt)" + SHARES + """, t8 AS (SELECT cluster, item, rank, CASE WHEN item LIKE 'nmap%' THEN 'scan' ELSE item END AS means FROM sh WHERE share >= 0.03 AND rank <= 8),
+tc AS (SELECT * FROM t8 x WHERE NOT (item = 'use CVE-2021-1000' AND EXISTS (SELECT 1 FROM t8 y WHERE y.cluster = x.cluster AND y.item LIKE 'try%' AND y.rank < x.rank))),
+ti AS (SELECT cluster, means, min(rank) AS rank, arg_max(item, length(item)) AS item FROM tc GROUP BY ALL)
 SELECT cluster, string_agg(item, ' | ' ORDER BY rank) AS then_actions FROM ti GROUP BY cluster""")
 def merge_negative(spark, sf_dir) -> DataFrame:
-    then = _proposals(spark, sf_dir, F.expr(pick("exp_id % 4", ["check path", "verify the path", "scan host", "enumerate"])))
+    then = _proposals(spark, sf_dir, F.expr(ADVICE))
     return merge.negative(then, then).select(F.col("cluster_id").alias("cluster"), "then_actions")
 
 
-@query(ROWS + """, le AS (SELECT cluster, exp_id, weight, CASE exp_id % 3 WHEN 0 THEN 'Scan first: use nmap' WHEN 1 THEN 'enumerate first：always' ELSE 'Verify creds: twice' END AS item FROM wt),
-lf AS (SELECT *, CASE exp_id % 3 WHEN 2 THEN 'check creds' ELSE 'scan first' END AS fingerprint FROM le), lg AS (SELECT cluster, fingerprint, count(*) AS n, max(weight) AS weight, arg_max(item, weight * 1e9 - exp_id) AS lesson FROM lf GROUP BY ALL)
+LESSON = """concat(CASE exp_id % 5 WHEN 0 THEN 'VALIDATE_RECON: ' WHEN 1 THEN 'VERSION_CHECK_FIRST：' WHEN 2 THEN 'RECON_BEFORE_EXPLOIT: ' WHEN 3 THEN 'OWN_RULE: ' ELSE 'plain words of ' END, CAST(exp_id % 11 AS VARCHAR(20)))"""
+
+
+@query(ROWS + f""", le AS (SELECT cluster, exp_id, weight, {LESSON} AS item FROM wt),
+lf AS (SELECT *, CASE WHEN exp_id % 5 < 3 THEN 'RECON_BEFORE_EXPLOIT' WHEN exp_id % 5 = 3 THEN 'OWN_RULE' ELSE upper(item) END AS fingerprint FROM le), lg AS (SELECT cluster, fingerprint, count(*) AS n, round(max(weight), 4) AS weight, arg_max(item, weight * 1e9 - exp_id) AS lesson FROM lf GROUP BY ALL)
 SELECT cluster, fingerprint, n, weight, lesson, row_number() OVER (PARTITION BY cluster ORDER BY round(n * weight, 9) DESC, fingerprint) AS rank FROM lg""")
 def merge_metacognitive(spark, sf_dir) -> DataFrame:
-    lessons = _proposals(spark, sf_dir, F.expr(pick("exp_id % 3", ["Scan first: use nmap", "enumerate first：always", "Verify creds: twice"])))
-    return merge.metacognitive(lessons).withColumnRenamed("cluster_id", "cluster")
+    return merge.metacognitive(_proposals(spark, sf_dir, F.expr(LESSON))).withColumnRenamed("cluster_id", "cluster")
 
 
-@query(ROWS + """, ri AS (SELECT cluster, 'insight ' || exp_id AS item, row_number() OVER (PARTITION BY cluster ORDER BY weight DESC, exp_id) AS rank FROM wt)
-SELECT cluster, max(CASE WHEN rank = 1 THEN item END) AS insight, coalesce(string_agg(item, ' | ' ORDER BY rank) FILTER (rank BETWEEN 2 AND 6), '') AS supplements FROM ri GROUP BY cluster""")
+@query(ROWS + """, tp AS (SELECT cluster, arg_max(exp_id, weight * 1e9 - exp_id) AS top FROM wt GROUP BY cluster), ri AS (SELECT wt.cluster, 'insight ' || (exp_id % 50) AS item, 'insight ' || (top % 50) AS insight, weight, exp_id FROM wt JOIN tp USING (cluster)),
+rk AS (SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY weight DESC, exp_id) AS rank FROM ri WHERE item <> insight)
+SELECT cluster, max(insight) AS insight, coalesce((SELECT string_agg(item, ' | ' ORDER BY rank) FROM rk WHERE rk.cluster = ri.cluster AND rank <= 5), '') AS supplements FROM ri GROUP BY cluster""")
 def merge_conceptual(spark, sf_dir) -> DataFrame:
-    insights = _proposals(spark, sf_dir, F.concat(F.lit("insight "), F.col("exp_id").cast("string")))
+    insights = _proposals(spark, sf_dir, F.concat(F.lit("insight "), (F.col("exp_id") % 50).cast("string")))
     return merge.conceptual(insights, insights).select(F.col("cluster_id").alias("cluster"), "insight", "supplements")
 
 
-@query(f"SELECT doc_id, {pick('doc_id % 5', ['version_pattern', 'authentication_pattern', 'recon_pattern', 'payload_pattern', 'vulnerability_pattern'])} AS kind FROM documents")
+_KINDS = " ".join("WHEN " + " OR ".join(f"contains(lower(t), '{w}')" for w in words) + f" THEN '{name}'" for name, words in distil.PATTERN_TYPES)
+
+
+@query(f"""WITH i AS (SELECT 'p' || page_id AS id, html AS t FROM pages UNION ALL SELECT 'c' || conv_id || '-' || turn, text FROM conversations UNION ALL SELECT 'd' || doc_id, CASE doc_id % 9 WHEN 0 THEN 'WAF ' WHEN 1 THEN 'Discovery ' WHEN 2 THEN '提权 ' WHEN 3 THEN 'Lateral ' WHEN 4 THEN 'credential ' WHEN 5 THEN 'post exploitation ' WHEN 6 THEN 'CVE ' ELSE '' END || coalesce(text, '') FROM documents)
+SELECT id, CASE {_KINDS} ELSE 'attack_strategy' END AS kind FROM i""")
 def concept_pattern_type(spark, sf_dir) -> DataFrame:
-    raw = F.expr(pick("doc_id % 5", ["patched version", "Login page", "a port scan", "encoded PAYLOAD", "odd"]))
-    return table(spark, sf_dir, "documents").select("doc_id", distil.pattern_type(raw).alias("kind"))
+    start = F.expr(pick("doc_id % 9", ["WAF ", "Discovery ", "提权 ", "Lateral ", "credential ", "post exploitation ", "CVE "]))
+    pages = table(spark, sf_dir, "pages").select(F.concat(F.lit("p"), F.col("page_id").cast("string")).alias("id"), F.col("html").alias("t"))
+    talks = table(spark, sf_dir, "conversations").select(F.concat(F.lit("c"), F.concat_ws("-", "conv_id", "turn")), "text")
+    docs = table(spark, sf_dir, "documents").select(F.concat(F.lit("d"), F.col("doc_id").cast("string")), F.concat(F.coalesce(start, F.lit("")), F.coalesce("text", F.lit(""))))
+    return pages.union(talks).union(docs).select("id", distil.pattern_type(F.col("t")).alias("kind"))
 
 
 @query("SELECT source AS name, CASE WHEN n >= 40 THEN 'auto' WHEN n >= 25 THEN 'review' ELSE 'drop' END AS gate, CASE WHEN n >= 75 THEN 'A' WHEN n >= 50 THEN 'B' WHEN n >= 30 THEN 'C' ELSE 'D' END AS grade FROM (SELECT source, count(*) + CAST(substr(source, 4) AS INT) AS n FROM documents GROUP BY source)")

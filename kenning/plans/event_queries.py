@@ -20,9 +20,9 @@ vs AS (SELECT *,
     regexp_matches(txt, '(?i)\\btime(d)?\\s*out\\b') AS late,
     regexp_matches(txt, '(?i)permission denied|not found|401 unauthorized|http/1\\.1 500|http/1\\.1 403|status code: 40|traceback|already patched|\\b(401|403|404|500)\\b')
       OR regexp_matches(regexp_replace(txt, '(?i)no\\s(errors?|failed|failure)\\b', ' ', 'g'), '(?i)\\b(errors?|failed|failure)\\b') AS bad,
-    CASE WHEN NOT has_result THEN NULL WHEN return_code = 127 THEN 'missing_binary' WHEN return_code = 126 THEN 'no_execute_permission'
-         WHEN return_code = 124 THEN 'command_timeout' WHEN return_code = 130 THEN 'interrupted' WHEN return_code = 137 THEN 'killed'
-         WHEN return_code = 143 THEN 'terminated' WHEN timed_out THEN 'timed_out' END AS rule_name,
+    CASE WHEN NOT has_result THEN NULL WHEN return_code = 127 THEN 'RC-127' WHEN return_code = 126 THEN 'RC-126'
+         WHEN return_code = 124 THEN 'RC-124' WHEN return_code = 130 THEN 'RC-130' WHEN return_code = 137 THEN 'RC-137'
+         WHEN return_code = 143 THEN 'RC-143' WHEN timed_out THEN 'TOUT' END AS rule_name,
     {PROGRAMS} AS program FROM ve),
 vo AS (SELECT *, CASE WHEN NOT has_result THEN 'uncertain' WHEN timed_out OR late THEN 'timeout' WHEN good THEN 'partial_success' WHEN bad THEN 'failure'
          WHEN coalesce(return_code = 0, false) THEN 'success' WHEN coalesce(return_code <> 0, false) THEN 'failure' ELSE 'uncertain' END AS outcome_label,
@@ -38,10 +38,11 @@ va AS (SELECT *, CASE WHEN NOT has_result THEN NULL WHEN timed_out OR late THEN
 """
 
 
-@query(EVENTS + "SELECT event_id, rule_name, CASE WHEN rule_name = 'missing_binary' THEN CASE WHEN k % 10 = 0 THEN 'tool3' ELSE tool_name END WHEN rule_name = 'timed_out' THEN 'timed out' ELSE 'exit code ' || return_code END AS evidence FROM va WHERE rule_name IS NOT NULL")
+@query(EVENTS + """SELECT event_id, rule_name, CASE WHEN rule_name = 'TOUT' THEN 'timed_out=true' ELSE 'return_code=' || return_code || ' (' || CASE WHEN return_code = 127 AND err_text LIKE '%: not found%' THEN 'binary=' || split_part(err_text, ':', 1) || ', ' ELSE '' END || 'tool=' || tool_name || ')' END AS evidence,
+ CASE rule_name WHEN 'RC-127' THEN 'BINARY_MISSING' WHEN 'RC-126' THEN 'EXECUTE_PERMISSION_DENIED' WHEN 'RC-130' THEN 'INTERRUPTED' WHEN 'RC-137' THEN 'SIGKILL' WHEN 'RC-143' THEN 'SIGTERM' ELSE 'TIMEOUT' END AS sub_dimension FROM va WHERE rule_name IS NOT NULL""")
 def rule_first_match(spark, sf_dir) -> DataFrame:
     hit = annotate.rule_hit()
-    return events(spark, sf_dir).withColumn("r", hit).filter("r is not null").select("event_id", F.col("r.rule").alias("rule_name"), F.col("r.evidence").alias("evidence"))
+    return events(spark, sf_dir).withColumn("r", hit).filter("r is not null").select("event_id", F.col("r.rule").alias("rule_name"), F.col("r.evidence").alias("evidence"), F.col("r.sub_dimension").alias("sub_dimension"))
 
 
 @query(EVENTS + "SELECT tool_name, count(*) AS n_events, count(rule_name) AS n_rule, CAST(sum(CASE WHEN needs_cause THEN 1 ELSE 0 END) AS BIGINT) AS n_pending FROM va GROUP BY tool_name")

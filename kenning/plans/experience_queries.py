@@ -273,18 +273,18 @@ def first_seen_dedupe(spark, sf_dir) -> DataFrame:
     return rows.withColumn("n", F.row_number().over(w)).filter("n = 1 AND word <> ''").select("conv_id", "word", "turn")
 
 
-@query("SELECT doc_id, CASE WHEN doc_id IN (SELECT doc_id FROM labels) THEN 'registry' ELSE 'consolidated' END AS origin FROM (SELECT doc_id FROM labels UNION SELECT doc_id FROM documents WHERE doc_id % 2 = 0)")
+@query("SELECT doc_id, CASE WHEN doc_id IN (SELECT doc_id FROM labels) THEN 'registry' ELSE 'consolidated' END AS origin FROM (SELECT doc_id FROM labels UNION SELECT doc_id FROM documents)")
 def union_precedence(spark, sf_dir) -> DataFrame:
     a = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("exp_id"), F.lit("registry").alias("origin"))
-    b = table(spark, sf_dir, "documents").filter("doc_id % 2 = 0").select(F.col("doc_id").alias("exp_id"), F.lit("consolidated").alias("origin"))
+    b = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("exp_id"), F.lit("consolidated").alias("origin"))
     return serve.union_precedence(a, b).withColumnRenamed("exp_id", "doc_id")
 
 
-@query("SELECT doc_id, CASE WHEN doc_id IN (SELECT doc_id FROM labels) THEN 'registry' ELSE 'consolidated' END AS origin FROM (SELECT doc_id FROM labels UNION SELECT doc_id FROM documents)")
+@query("""SELECT doc_id, CASE WHEN in_l THEN 'registry' ELSE 'consolidated' END AS origin, CASE WHEN in_l THEN quality ELSE n_chars END AS value FROM (SELECT coalesce(l.doc_id, d.doc_id) AS doc_id, l.doc_id IS NOT NULL AS in_l, l.quality, d.n_chars FROM labels l FULL JOIN documents d ON l.doc_id = d.doc_id)""")
 def union_precedence_whole(spark, sf_dir) -> DataFrame:
-    """union_precedence with all documents as the second side."""
-    a = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("exp_id"), F.lit("registry").alias("origin"))
-    b = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("exp_id"), F.lit("consolidated").alias("origin"))
+    """union_precedence with what each side says of a document."""
+    a = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("exp_id"), F.lit("registry").alias("origin"), F.col("quality").cast("long").alias("value"))
+    b = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("exp_id"), F.lit("consolidated").alias("origin"), F.col("n_chars").alias("value"))
     return serve.union_precedence(a, b).withColumnRenamed("exp_id", "doc_id")
 
 

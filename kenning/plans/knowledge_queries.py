@@ -39,16 +39,20 @@ def remove_conflicted(spark, sf_dir) -> DataFrame:
     return reflux.remove_conflicted(rows.select("exp_id"), rows)[0]
 
 
-@query("""SELECT event_id, replace(props, '"k"', '"api_token"') AS given, '{"api_token": "***"}' AS safe FROM events WHERE event_id % 10 = 0""")
+GIVEN = """concat('{"command": "run ', CAST(event_id AS VARCHAR(20)), '", "k": ', {k}, ', "steps": [{"payload": ["a", {"b": 1}], "commands": "kept"}], "note": "the command"}')"""
+
+
+@query("WITH e AS (SELECT event_id, json_extract_string(props, '$.k') AS k FROM events) SELECT event_id, " + GIVEN.replace("{k}", "k") + """ AS given, '{"command": "[REDACTED]", "k": ' || k || ', "steps": [{"payload": "[REDACTED]", "commands": "kept"}], "note": "the command"}' AS safe FROM e""")
 def sensitive_keys(spark, sf_dir) -> DataFrame:
-    given = F.replace("props", F.lit('"k"'), F.lit('"api_token"'))
-    return table(spark, sf_dir, "events").filter("event_id % 10 = 0").select("event_id", given.alias("given"), reflux.strip_sensitive(given).alias("safe"))
+    """Keys at any depth, with values of any kind; keys that only contain a sensitive word stay."""
+    given = F.expr(GIVEN.replace("{k}", "get_json_object(props, '$.k')"))
+    return table(spark, sf_dir, "events").select("event_id", given.alias("given"), reflux.strip_sensitive(given).alias("safe"))
 
 
-@query("""SELECT event_id, replace(props, '"k"', '"api_token"') AS given, '{"api_token": "***"}' AS safe FROM events""")
+@query("""SELECT event_id, replace(props, '"k"', '"cmd"') AS given, '{"cmd": "[REDACTED]"}' AS safe FROM events""")
 def sensitive_keys_whole(spark, sf_dir) -> DataFrame:
-    """sensitive_keys over all events."""
-    given = F.replace("props", F.lit('"k"'), F.lit('"api_token"'))
+    """sensitive_keys over the properties of all events."""
+    given = F.replace("props", F.lit('"k"'), F.lit('"cmd"'))
     return table(spark, sf_dir, "events").select("event_id", given.alias("given"), reflux.strip_sensitive(given).alias("safe"))
 
 

@@ -1,5 +1,6 @@
 """Hand tables for rules, weights, calibration, conflicts, queue, quality, distillation, merges, corpus and streams."""
 
+import hashlib
 import json
 import random
 
@@ -7,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kenning.functions import text as tx
-from kenning.operators import annotate, corpus, distil, evaluate, fusion, govern, graph, merge, serve
+from kenning.operators import annotate, corpus, distil, evaluate, facts, fusion, govern, graph, merge, serve
 from kenning.plans import batch, store
 from kenning.sources import turns
 from kenning.streaming import turns as stream_turns
@@ -28,10 +29,10 @@ def one(spark, column, **cells):
 
 def test_rules_and_verdicts(spark):
     cases = [
-        (dict(return_code=127, stderr="gobuster: not found", success=False), "missing_binary", "failure"),
-        (dict(return_code=126, success=False), "no_execute_permission", "failure"),
-        (dict(return_code=124, success=False), "command_timeout", "failure"),
-        (dict(return_code=1, timed_out=True, success=False), "timed_out", "timeout"),
+        (dict(return_code=127, stderr="gobuster: not found", success=False), "RC-127", "failure"),
+        (dict(return_code=126, success=False), "RC-126", "failure"),
+        (dict(return_code=124, success=False), "RC-124", "failure"),
+        (dict(return_code=1, timed_out=True, success=False), "TOUT", "timeout"),
         (dict(return_code=1, success=False), None, "failure"),
         (dict(stdout="uid=0(root) error"), None, "partial_success"),
         (dict(stdout="no errors at all"), None, "success"),
@@ -44,7 +45,7 @@ def test_rules_and_verdicts(spark):
     out = {r.event_id: r for r in df.collect()}
     for i, (_, rule, verdict) in enumerate(cases):
         assert ((out[i].rule or {"rule": None})["rule"], out[i].outcome_label) == (rule, verdict), i
-    assert out[0].rule.evidence == "gobuster" and out[4].cause.sub_dimension == "WRONG_ARGS" and out[4].needs_cause and not out[0].needs_cause
+    assert out[0].rule.evidence == "return_code=127 (binary=gobuster, tool=shell)" and out[3].rule.hint.startswith("增大") and out[4].cause.sub_dimension == "WRONG_ARGS" and out[4].needs_cause and not out[0].needs_cause
     assert out[7].needs_cause and out[9].cause is None
 
 
@@ -174,14 +175,78 @@ def test_documents_and_budget(spark):
     assert [(r.q, r.i) for r in govern.byte_budget(docs, "q", ["i"], 5, 100).orderBy("q", "i").collect()] == [("q", 0), ("q", 1)]
 
 
+def test_rule_evidence(spark):
+    """What a missing program's rule says: named by the shell, by the tool, or not at all; by package and by releases."""
+    cases = [("sh: 1: dirb: not found", "dirb_scan"), ("msfconsole: not found", "metasploit_run"), ("fscan: not found", "fscan"), ("odd: not found", ""), ("bash: x: command not found", "x_run"), ("", "")]
+    rows = spark.createDataFrame([event(i, return_code=127, stderr=e, tool_name=t) for i, (e, t) in enumerate(cases)], EVENT).withColumn("r", annotate.rule_hit())
+    out = [r.r for r in rows.orderBy("event_id").collect()]
+    assert [r.evidence for r in out] == ["return_code=127 (binary=dirb, tool=dirb_scan)", "return_code=127 (binary=msfconsole, tool=metasploit_run)", "return_code=127 (binary=fscan, tool=fscan)", "return_code=127 (binary=odd)", "return_code=127 (tool=x_run)", "return_code=127"]
+    assert "apt install dirb 安装" in out[0].hint and "apt install metasploit-framework" in out[1].hint and "releases" in out[2].hint and "apt install fscan" not in out[2].hint
+    assert "apt install odd" in out[3].hint and out[4].hint.startswith("x_run 依赖") and "绝对路径" in out[5].hint
+    codes = spark.createDataFrame([event(i, return_code=c, tool_name="t") for i, c in enumerate((126, 124, 130, 137, 143))], EVENT).withColumn("r", annotate.rule_hit())
+    assert [r.r.sub_dimension for r in codes.orderBy("event_id").collect()] == ["EXECUTE_PERMISSION_DENIED", "TIMEOUT", "INTERRUPTED", "SIGKILL", "SIGTERM"]
+
+
+def told(spark, text, tool="shell", command="x", phase="RECON_WEAPONIZATION"):
+    row = spark.range(1).select(*[F.lit(v).alias(k) for k, v in dict(t=text, tool=tool, command=command, phase=phase).items()])
+    return [(f.key, f.value) for f in row.select(facts.found(F.col("t"), F.col("tool"), F.col("command"), F.col("phase")).alias("f")).first().f]
+
+
+def test_facts(spark):
+    scan = "22/tcp open ssh OpenSSH 8.2\n80/tcp  open  http"
+    assert told(spark, scan, "nmap_scan") == [("open_port", "22/tcp"), ("open_port", "80/tcp")]
+    assert one(spark, facts.ports(F.col("t")), t=scan)[0].version == "OpenSSH 8.2"
+    assert told(spark, "HTTP/1.1 200 fine\nHTTP/1.1 418 x", command="curl h") == [("http_status", "200")]
+    assert told(spark, "/admin (Status: 301)\nFound x /login\n/admin [200", command="gobuster dir") == [("accessible_path", "/login"), ("accessible_path", "/admin")]
+    text = "Disk$ | share | x |\nCVE-2021-44228 is exploitable\n" + "." * 300 + "\ncve-2017-5638 named\n+ /icons/: this is a finding of the scanner\n+ OSVDB-1: this is a reference and no finding\nnginx/1.18.0 Ubuntu/20.04 abcdef12/1.2 HTTP/1.1 tcp/8080 srv/8080\nsee http://h/lib/9.9\nserver: Apache\nX-Powered-By: PHP/7.4\nport 9000 is open"
+    assert told(spark, text) == [("smb_share", "Disk$ | share | x |"), ("cve_confirmed", "CVE-2021-44228"), ("cve_mentioned", "CVE-2017-5638"), ("nikto_finding", "/icons/: this is a finding of the scanner"), ("service_version", "nginx/1.18.0"), ("service_version", "PHP/7.4"), ("http_header_server", "Apache"), ("http_header_x-powered-by", "PHP/7.4"), ("open_port_evidence", "9000")]
+    assert told(spark, "Loading modules\n\x1b[31mreached 127.0.0.1 and 10.1.2.3 there\x1b[0m\nmore") == [("output_summary", "reached {LOOPBACK} and {TARGET}.3 there")]
+    won = "uid=0(root)\nroot@box\nflag{abc}\n-rwsr-xr-x 1 root root 1 su\n/etc/shadow /etc/passwd\nroot:x:0:0:root:/root:/bin/sh\nann:x:1000:1000::/home/ann:/bin/sh\nroot:$6$x:1:0:\nLogin successful\nsudo: NOPASSWD"
+    got = dict(told(spark, won, phase="EXPLOITATION"))
+    assert list(got) == ["privilege_root", "shell_root", "flag_captured", "suid_binary", "file_shadow", "file_passwd", "file_read_passwd", "file_read_shadow", "auth_bypass", "sudo_nopasswd"]
+    assert got["flag_captured"] == "flag{abc}" and got["file_read_passwd"] == "系统用户: root, 普通用户: ann" and got["suid_binary"].startswith("-rwsr-xr-x")
+    kept = lambda *keys: [f.key for f in one(spark, facts.prune(F.from_json("j", facts.KIND)), j=json.dumps([{"key": k, "value": "v"} for k in keys]))]
+    assert kept("http_status", "output_summary") == [] and kept("http_status", "smb_share", "output_summary", "odd") == ["smb_share", "odd", "http_status"]
+
+
+def test_low_value_lines(spark):
+    noise = ["200", "Starting Nmap 7", "inet 10.0.0.1/8", "1.2.3.4:80 up now", "[*] Loading x", "[*] Compiling it", "12 packets captured", "<!DOCTYPE html>", "<p class=x>", "Usage: tool x", "/usr/share/words", "const x = 1;", "// comment here", ".cls-a { top", "0123456789abcdef0123456789abcdef", "undefined", "./lib/x.py", "-e admin", "Trying password x", "html {top:1}", "HTTP/1.1 404 Not Found", "if (top != self)", "#app { x", "color-x: red 1; ", "COLOR: white", "~ Licensed to", "Date: Mon, 01 Jan 2024", "X-Forwarded-For: 1", "short", "a<b><c><d><e> and so on for a line of over fifty characters>"]
+    good = ["warning: flag{abc} found", "usage of the disk is high", "const", "admin panel found", "./exploit.py --target x", "root shell opened on host"]
+    rows = spark.createDataFrame([(x,) for x in noise + good], "t string").select("t", facts.low_value(F.col("t")).alias("low")).collect()
+    assert {r.t for r in rows if r.low} == {*noise, "const"}
+
+
+def test_services_of_calls(spark):
+    kind = lambda tool="t", command="", text="": one(spark, facts.service_type(F.col("a"), F.col("b"), F.col("c")), a=tool, b=command, c=text)
+    assert [kind(text="80/tcp open http-proxy"), kind(text="22/tcp open ssh"), kind(text="3306/tcp open mysql"), kind(text="x\nServer: y"), kind("ldapsearch"), kind(command="redis-cli"), kind("nmap"), kind(command="x --port 9200"), kind(command="x -p 4444")] == ["http", "ssh", "database", "http", "ldap", "nosql", "network_scan", "nosql", "generic"]
+    target = lambda text, cves=(): one(spark, facts.target_service(F.col("t"), F.from_json("c", "array<string>")), t=text, c=json.dumps(list(cves)))
+    assert [target("80/tcp open http nginx 1.1"), target("x\nServer: Jetty"), target("version 1.2 of Struts 2.5.1 runs"), target("no", ["CVE-1"]), target("no")] == ["http nginx 1.1", "Jetty", "Struts 2.5.1", "目标存在 CVE-1 漏洞的服务", None]
+
+
+def test_pattern_types(spark):
+    cases = {"WAF bypass by encoding": "defense_bypass", "initial recon of hosts": "recon_pattern", "提权 by sudo": "privilege_escalation", "lateral move": "lateral_movement", "credential reuse": "credential_attack", "post-exploitation steps": "post_exploitation", "known vulnerability": "vulnerability_pattern", "plain": "attack_strategy", "": "attack_strategy", "Recon before bypass": "defense_bypass"}
+    rows = spark.createDataFrame([(k,) for k in cases], "t string").select("t", distil.pattern_type(F.col("t")).alias("p")).collect()
+    assert {r.t: r.p for r in rows} == cases
+
+
+def test_indicators_and_needs(spark):
+    assert one(spark, distil.indicators(F.col("t")), t='{"code": 200, "raw": "x\\nroot@box"} 200 OK') == ["root@box", '"code": 200', "200 OK"]
+    need = lambda tool, command, cves=(), context=False: one(spark, distil.preconditions(F.col("a"), F.col("b"), F.from_json("c", "array<string>"), F.col("d")), a=tool, b=command, c=json.dumps(list(cves)), d=context)
+    assert need("shell", "ls") == [distil.ANY_NEED] and need("shell", "ssh u@h", ["CVE-1", "CVE-2"]) == ["目标存在可利用漏洞（CVE-1）", "SSH 服务可访问（凭据或密钥已知）"]
+    assert need("shell", "run payload", (), True) == [distil.EXECUTION_NEED, "目标存在代码执行或命令注入入口", distil.CONTEXT_NEED]
+    for pattern, said in distil.PROTOCOL_NEEDS:
+        assert said  # each protocol is found by its first word
+        word = {"https?://": "http://h"}.get(pattern.split("|")[0], pattern.split("|")[0].replace("\\b", "").replace("\\", ""))
+        assert said in need("t", f"x {word} y"), pattern
+
+
 def test_distil(spark):
-    assert [tuple(x) for x in one(spark, distil.found(F.col("t")), t="22/tcp open ssh\nuid=0 nginx/1.2 HTTP/1.1 404")] == [("product", "nginx/1.2"), ("port", "22/tcp ssh"), ("privilege", "root"), ("http_status", "404")]
     assert one(spark, distil.clean_queries(F.col("q")), q=[" short ", "a long query here", "中文 query long enough", "another one too", "third query ok", "fourth query ok", "fifth query ok"]) == ["a long query here", "another one too", "third query ok", "fourth query ok"]
-    rows = [event(0, command="hydra -l root ssh://10.0.0.1", stdout="access granted"), event(1, command="hydra -l root ssh://10.0.0.2", stdout="access granted"), event(2, command="", return_code=127, success=False), event(3, command="nmap -p 80 h", return_code=1, success=False), event(4, command="nmap -p 80 h", return_code=1, success=False)]
+    rows = [event(0, command="hydra -l root ssh://10.0.0.1", stdout="access granted"), event(1, command="hydra -l root ssh://10.0.0.2", stdout="access granted"), event(2, command="", return_code=127, success=False), event(3, command="nmap -p 80 h", return_code=1, success=False), event(4, command="nmap -p 80 h", return_code=1, success=False), event(5, command="sessions -l", stdout="uid=0(root)"), event(6, command="true", stdout="done")]
     a = annotate.annotate(spark.createDataFrame(rows, EVENT))
-    pos, neg = distil.positives(a).collect(), distil.negatives(a).collect()
-    assert [(r.event_id, r.template, round(r.confidence, 2)) for r in pos] == [(0, "hydra -l root ssh://{TARGET_IP}", 0.77)]
-    assert [(r.event_id, r.dimension, r["rule"]["then"][0]) for r in neg] == [(3, "INV", "read the usage")], "without a command there is no row; repeats count once"
+    pos, neg = distil.positives(a, annotate.session_outcome(a)).collect(), distil.negatives(a).collect()
+    assert [(r.event_id, r.template, round(r.confidence, 2), r.indicators) for r in pos] == [(0, "hydra -l root ssh://{TARGET_IP}", 0.78, ["access granted"])]
+    assert [(r.event_id, r.dimension, r["rule"]["then"][0]) for r in neg] == [(3, "INV", distil.AFTER["INV"])], "without a command there is no row; repeats count once"
 
 
 def test_merges(spark):
@@ -190,10 +255,59 @@ def test_merges(spark):
     assert (r.preconditions, r.indicators) == ("a", "a | b | c")
     spread = spark.createDataFrame([(1, i, 0.1, f"i{i}") for i in range(10)], "cluster_id long, exp_id long, weight double, item string")
     assert merge.ranked_union(spread, 0.15, 10, 3, "x").first().x == "i0 | i1 | i2"
-    lessons = spark.createDataFrame([(1, 1, 0.5, "Scan first: a"), (1, 2, 0.9, "enumerate first：b"), (1, 3, 0.6, "Other: c")], "cluster_id long, exp_id long, weight double, item string")
-    assert [(x.fingerprint, x.n, x.lesson) for x in merge.metacognitive(lessons).orderBy("rank").collect()] == [("scan first", 2, "enumerate first：b"), ("other", 1, "Other: c")]
+    lessons = spark.createDataFrame([(1, 1, 0.5, "VALIDATE_RECON: a"), (1, 2, 0.9, "RECON_BEFORE_EXPLOIT：b"), (1, 3, 0.6, "Other: c")], "cluster_id long, exp_id long, weight double, item string")
+    assert [(x.fingerprint, x.n, x.lesson) for x in merge.metacognitive(lessons).orderBy("rank").collect()] == [("RECON_BEFORE_EXPLOIT", 2, "RECON_BEFORE_EXPLOIT：b"), ("OTHER: C", 1, "Other: c")]
+    for name, same in merge.SAME_LESSON.items():
+        assert one(spark, merge.fingerprint(F.col("t")), t=f"{name}: IF x THEN y") == same
+    assert [one(spark, merge.fingerprint(F.col("t")), t=t) for t in ("A1: x", "AB: x", "ab_c: x", "NO COLON AT ALL")] == ["A1: X", "AB: X", "AB_C: X", "NO COLON AT ALL"]
     r = merge.conceptual(items, items).first()
     assert (r.insight, r.supplements, r.conditions) == ("a", "b | c", "a")
+    actions = ["nmap host", "check /console", "use CVE-2020-1111", "nmap -sV -p 1-65535 host", "枚举路径 /a", "or CVE-2020-1111", "CVE-2020-1111 and CVE-2020-2222", "nmap for CVE-2020-3333", "rest"]
+    left = one(spark, merge.intent_dedupe(fusion.covered_dedupe(F.col("a"))), a=actions)
+    assert left == ["nmap -sV -p 1-65535 host", "check /console", "use CVE-2020-1111", "CVE-2020-1111 and CVE-2020-2222", "nmap for CVE-2020-3333", "rest"]
+    members = spark.createDataFrame([(1, 1, 0.9, "if a", "n1", "rule", "ENV", "X"), (1, 2, 0.5, "if b", "n2", "llm", "ENV", "Y"), (1, 3, 0.4, "if c", "n1", "rule", "ENV", "Z")], "cluster_id long, exp_id long, weight double, if_text string, next_actions string, source string, dimension string, sub_dimension string")
+    r = merge.negative(items, items, members).first()
+    assert (r.if_text, r.next_actions, r.sources, r.alternatives, r.sub_dimension, r.then_actions) == ("if a", "n1", "llm=1,rule=2", "n2", "X", "a | b | c")
+    made = spark.createDataFrame([(1, 1, 0.5, "m1", "f"), (1, 2, 0.4, "m2", "f"), (1, 3, 0.6, "m3", None)], "cluster_id long, exp_id long, weight double, item string, fingerprint string")
+    assert [(x.fingerprint, x.item, x.vote_weight, x.vote_count) for x in merge.mistakes(made).orderBy("rank").collect()] == [("f", "m1", 0.9, 2), ("m3", "m3", 0.6, 1)]
+    assert [x.item for x in merge.first_seen(lessons).orderBy("rank").collect()] == ["RECON_BEFORE_EXPLOIT：b", "Other: c", "VALIDATE_RECON: a"]
+    ways = [("NEG", "", "{}"), ("FACTUAL", "FACTUAL::LLM", "{}"), ("FACTUAL", "FACTUAL::RULE", '{"cve_context": 1}'), ("FACTUAL", "", '{"cve_context": 1}'), ("FACTUAL", "", "{}")]
+    assert [one(spark, merge.route(F.col("a"), F.col("b"), F.col("c")), a=a, b=b, c=c) for a, b, c in ways] == ["NEG", "FACTUAL::LLM", "FACTUAL::RULE", "FACTUAL::LLM", "FACTUAL::RULE"]
+    row = spark.createDataFrame([("c1", "FACTUAL", "Apache Tomcat", ["CVE-1", "CVE-2", "CVE-3"], 4)], "cluster_id string, layer string, service string, cves array<string>, n_members int")
+    r = merge.record(row).first()
+    assert r.exp_id == "exp_consolidated_" + hashlib.md5(b"c1").hexdigest()[:10] and r.tags == ["consolidated", "factual", "n_src=4", "apache_tomcat", "cve-1", "cve-2"]
+
+
+def test_keys_names_and_levels(spark):
+    rows = spark.createDataFrame([(1, "FACTUAL_LLM", "a", "LLM", "", "p"), (2, "FACTUAL", "a", "rule", "", "p"), (3, "CONCEPTUAL", "a", "x", "recon_pattern", "p")], "exp_id long, layer string, service string, extraction_source string, pattern_type string, phase string").withColumns({"sub_dimension": F.lit(""), "dimension": F.lit(""), "version": F.lit("")})
+    assert {r.exp_id: (r.key_layer, r.key_sub) for r in fusion.hard_key(rows).collect()} == {1: ("FACTUAL", "FACTUAL::LLM"), 2: ("FACTUAL", "FACTUAL::RULE"), 3: ("CONCEPTUAL", "recon_pattern")}
+    canonical = json.dumps({"layer": "FACTUAL", "service": "apache tomcat", "sub_dim": "factual::rule", "version_family": "9.0.x", "cve_ids": ["CVE-2020-1", "CVE-2021-2"]}, ensure_ascii=False, sort_keys=True, separators=(",", ":"))
+    got = one(spark, fusion.cluster_name(F.lit("FACTUAL"), F.lit("Apache Tomcat"), F.lit("FACTUAL::RULE"), F.lit("9.0.x"), F.from_json("c", "array<string>")), c='["cve-2021-2", "CVE-2020-1", "CVE-2020-1", " "]')
+    assert got == f"SEC_factual_apache_tomcat_factual_rule_9_0_x_cve_2020_1_{hashlib.md5(canonical.encode()).hexdigest()[:8]}"
+    assert one(spark, fusion.cluster_name(F.lit("X"), F.lit(""), F.lit(None), F.lit(""), F.from_json("c", "array<string>")), c="[]").startswith("SEC_x_anysvc_any_anyver_nocve_")
+    keyed = spark.createDataFrame([("a", "s", "", 1), ("a", "s", "", 2), ("b", "s", "", 3), ("c", "s", "", 4), ("c", "s", "", 4)], "key_layer string, key_service string, key_sub string, signature long")
+    edges = spark.createDataFrame([(1, 2)], "a long, b long")
+    assert {r.key_layer: r.level for r in fusion.trigger_levels(keyed, edges).collect()} == {"a": "L1+L2", "b": "L1", "c": "L1+L2"}
+
+
+def test_component_edges_join_what_pairs_join(spark):
+    """Stars by term give the components of all compatible pairs."""
+    rng = random.Random(4)
+    rows = [(f"l{rng.randrange(3)}", f"s{rng.randrange(6)}", "", rng.choice(["", "1.x", "2.x", "3.x"]), sorted(rng.sample(["A", "B", "C", "D", "E"], rng.choice([0, 1, 1, 2])))) for _ in range(90)]
+    nodes = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "key_layer string, key_service string, key_sub string, family string, cves array<string>, signature long")
+    parts = []
+    for edges in (fusion.similarity_edges(nodes), fusion.component_edges(nodes)):
+        parts.append({r.node: r.root for r in graph.connected_components(edges).collect()})
+    assert parts[0] == parts[1] and len(parts[0]) > 60
+
+
+def test_versions_of_a_table(spark, tmp_path):
+    path = f"file://{tmp_path}/t"
+    govern.swap_in(spark.range(3), path)
+    assert govern.current(spark, path).count() == 3
+    govern.swap_in(govern.current(spark, path).filter("id > 0"), path)
+    (tmp_path / "t" / "v=999999999999999-broken").mkdir()  # a write that failed
+    assert sorted(r.id for r in govern.current(spark, path).collect()) == [1, 2]
 
 
 def test_evaluate(spark):
