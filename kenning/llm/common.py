@@ -1,46 +1,46 @@
-"""What the training-data operators share: table access, written cut points, size checks."""
+"""What the training-data operators share: table access, columns of any name; cut points and size checks as elsewhere."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Most rows of a small-row table (under about 100 bytes a row) that may be broadcast; beyond it the join shuffles.
-BROADCAST_ROWS = 200_000
+from kenning.plans.store import checked_broadcast, drop_cut, materialise, new_path, release, shared_dir
+
+__all__ = ["checked_broadcast", "columns", "dealt", "drop_cut", "materialise", "new_path", "or_empty", "plain", "release", "shared_dir", "table"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or in a local session without one a new folder."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="kenning-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
+def plain(df: DataFrame, *names: str) -> tuple:
+    """df under the column names c0, c1, ... and the new names of `names` (None for one that df lacks).
 
+    Extra columns may then have any names, dotted or clashing; toDF(*df.columns) gives them back.
+    """
+    old = df.columns
+    found = [old.index(n) if n in old else next((i for i, o in enumerate(old) if o.lower() == n.lower()), None) for n in names]
+    return df.toDF(*[f"c{i}" for i in range(len(old))]), *[None if i is None else f"c{i}" for i in found]
 
-def new_path(spark: SparkSession, what: str) -> str:
-    return f"{shared_dir(spark)}/kenning/{what}-{uuid.uuid4().hex}"
 
+def columns(df: DataFrame, **names: str) -> DataFrame:
+    """Only the named columns of df, under new names: columns(df, doc_id="id", text="body")."""
+    safe, *found = plain(df, *names.values())
+    if None in found:
+        raise ValueError(f"no column {list(names.values())[found.index(None)]!r}")
+    return safe.select(*[F.col(c).alias(n) for n, c in zip(names, found, strict=True)])
 
-def materialise(df: DataFrame, what: str = "cut") -> DataFrame:
-    """Write df to the shared folder and read it back: lineage is cut and a lost executor costs one task, not the plan."""
-    spark = df.sparkSession
-    path = new_path(spark, what)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
 
+def or_empty(column: str):
+    return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
-def checked_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """df with a broadcast hint if a count shows it to be under the limit, else as it is (the join then shuffles)."""
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df.hint("merge")
 
+def dealt(names: DataFrame, a_task: int = 4) -> DataFrame:
+    """A written list of file names over tasks of a few files each, at least two a core as far as there are files.
 
-def or_empty(column: str):
-    return F.coalesce(F.col(column).cast("string"), F.lit(""))
+    The rows are small and what they stand for is not, so the count is stated and adaptive execution doesn't merge tasks.
+    """
+    n = names.count()
+    cores = names.sparkSession.sparkContext.defaultParallelism
+    return names.repartition(max(1, min(n, max(2 * cores, -(-n // a_task)))))
