@@ -37,7 +37,7 @@ PATTERNS = {
     "card": r"[0-9](?:[\x20-]?[0-9]){13,}+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-_PART = "0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
+_PART = "0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9][0-9]?)?"
 CANDIDATE = r"(?<![A-Za-z0-9_-])(?=[A-Za-z_-]*+[0-9])[A-Za-z0-9_-]{6,}+"
 #: Seeds beside the base kinds: tokens that only a machine writes, by form.
 SECRET = r"(?i)^(?:[0-9a-f]{32,}|(?=[a-z_-]*[0-9])(?=[0-9_-]*[a-z])[a-z0-9_-]{40,})$"
