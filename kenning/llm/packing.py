@@ -14,7 +14,8 @@ A bundle is a folder:
 Bundles get fresh names and count only if their task's index row was committed, so retried tasks do no harm.
 
 Defined results: null and empty texts have no tokens and no segments, and a row all the same; a null id stays null;
-repeated rows are packed as often as they occur; an empty table gives no bundle; other columns are ignored.
+repeated rows are packed as often as they occur; a text of any length is tokenised whole and split into rows; an empty
+table gives no bundle; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ from pyarrow import fs, ipc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kenning.llm.common import materialise, new_path
+from kenning.llm.common import columns, dealt, materialise, new_path
 
 RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Fixed value: the split pattern that belongs to the vocabulary.
@@ -179,6 +180,7 @@ class Group:
 def write(docs: DataFrame, tokens: Tokens, folder: str, length: int = LENGTH, group_tokens: int = GROUP_TOKENS) -> DataFrame:
     """bundle, documents, rows, tokens of the bundles written below folder."""
     shared = docs.sparkSession.sparkContext.broadcast(tokens)
+    docs = columns(docs, doc_id="doc_id", text="text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, base = fs.FileSystem.from_uri(folder)
@@ -234,12 +236,11 @@ def read(spark: SparkSession, folder: str, index: DataFrame, id_type: str = "big
                 lists = pa.ListArray.from_arrays(pa.array(first, pa.int32()), places)
                 yield pa.RecordBatch.from_arrays([ids, pa.array(totals, pa.int64()), pa.array(np.diff(first), pa.int32()), pa.array([name] * len(ids)), lists, pa.array(digests)], names=["doc_id", "n_tokens", "n_segments", "bundle", "placements", "ids_sha256"])
 
-    names = index.select("bundle").repartition("bundle")
-    return names.mapInArrow(run, schema)
+    return dealt(index.select("bundle")).mapInArrow(run, schema)
 
 
 def pack(docs: DataFrame, tokens: Tokens, folder: str | None = None, length: int = LENGTH, group_tokens: int = GROUP_TOKENS) -> DataFrame:
     """Write the bundles and read them back."""
     spark = docs.sparkSession
     folder = folder or new_path(spark, "packs")
-    return read(spark, folder, write(docs, tokens, folder, length, group_tokens), docs.schema["doc_id"].dataType.simpleString(), length)
+    return read(spark, folder, write(docs, tokens, folder, length, group_tokens), columns(docs, doc_id="doc_id").schema["doc_id"].dataType.simpleString(), length)
