@@ -14,7 +14,9 @@ go through pyarrow's file systems (file, hdfs, s3, gs).
 
 Defined results: null html is an empty payload; a null page_id is never chosen as response over another; rows that
 repeat page_id and payload give one response and revisits of the same id; line breaks in a URL are percent-encoded, null
-is empty; an empty table gives no bundle and an empty result; other columns are ignored.
+is empty; page ids that aren't whole numbers are kept as strings, percent-encoded in records; a payload of any length
+is one record, and a frame of its own if it is long; an empty table gives no bundle and an empty result; other columns
+are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -24,33 +26,44 @@ import hashlib
 import struct
 import uuid
 from collections.abc import Iterator
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 import zstandard
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from kenning.llm.common import checked_broadcast, materialise, new_path
+from kenning.llm.common import checked_broadcast, columns, dealt, materialise, new_path
 
 #: Fixed values of the Zstandard seekable format.
 SKIPPABLE_MAGIC, SEEKABLE_MAGIC = 0x184D2A5E, 0x8F92EAB1
 FRAME_BYTES, BUNDLE_BYTES, LEVEL = 1 << 18, 1 << 27, 3
-INDEX = "page_id long, copy int, bundle string, frame int, frame_offset int, record_bytes int"
+INDEX = "page_id {id}, copy int, bundle string, frame int, frame_offset int, record_bytes int"
 
 
 def digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def record(page_id: int | None, copy: int, url: str, payload: bytes, refers_to: int | None, date: str) -> bytes:
+def name(page_id: int | str | None) -> str:
+    """A page id as part of a URN; empty for null."""
+    return "" if page_id is None else quote(str(page_id), safe="-") or "%"
+
+
+def name_back(text: str, whole: bool) -> int | str | None:
+    return None if not text else int(text) if whole else "" if text == "%" else unquote(text)
+
+
+def record(page_id: int | str | None, copy: int, url: str, payload: bytes, refers_to: int | str | None, date: str) -> bytes:
     """A response record, or a revisit record if refers_to is given."""
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(payload)
     block = http if refers_to is not None else http + payload
     head = [
         "WARC/1.1",
         f"WARC-Type: {'response' if refers_to is None else 'revisit'}",
-        f"WARC-Record-ID: <urn:page:{page_id}:{copy}>",
+        f"WARC-Record-ID: <urn:page:{name(page_id)}:{copy}>",
         f"WARC-Date: {date}",
         f"WARC-Target-URI: {url.replace('\r', '%0D').replace('\n', '%0A')}",
         f"WARC-Payload-Digest: sha1:{digest(payload)}",
@@ -58,7 +71,7 @@ def record(page_id: int | None, copy: int, url: str, payload: bytes, refers_to:
         f"Content-Length: {len(block)}",
     ]
     if refers_to is not None:
-        head += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: <urn:page:{refers_to}:0>"]
+        head += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: <urn:page:{name(refers_to)}:0>"]
     return "\r\n".join(head).encode("utf-8") + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
@@ -137,7 +150,8 @@ class Writer:
 
 def plan(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     """page_id, copy, url, payload, refers_to (null for responses)."""
-    base = pages.select(F.col("page_id").cast("long").alias("page_id"), F.coalesce(F.col("url").cast("string"), F.lit("")).alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary").alias("payload"))
+    pages = columns(pages, page_id="page_id", url="url", html="html")
+    base = pages.select(F.col("page_id").cast("long" if isinstance(pages.schema["page_id"].dataType, T.IntegralType) else "string").alias("page_id"), F.coalesce(F.col("url").cast("string"), F.lit("")).alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary").alias("payload"))
     keyed = base.withColumn("sha", F.unhex(F.sha1("payload")))
     top = F.struct("page_id", F.lit(1).alias("one"))
     repeated = (
@@ -163,6 +177,8 @@ def plan(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
 
 def write(planned: DataFrame, folder: str, date: str = "1970-01-01T00:00:00Z") -> DataFrame:
     """Write the bundles; the index (INDEX), written to the shared folder."""
+    kind = planned.schema["page_id"].dataType.simpleString()
+    index = INDEX.format(id=kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         writer = Writer(folder)
@@ -172,13 +188,13 @@ def write(planned: DataFrame, folder: str, date: str = "1970-01-01T00:00:00Z") -
         writer.close()
         if writer.index:
             columns = list(zip(*writer.index, strict=True))
-            kinds = [pa.int64(), pa.int32(), pa.string(), pa.int32(), pa.int32(), pa.int32()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=[x.split()[0] for x in INDEX.split(", ")])
+            kinds = [pa.int64() if kind == "bigint" else pa.string(), pa.int32(), pa.string(), pa.int32(), pa.int32(), pa.int32()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=[x.split()[0] for x in index.split(", ")])
 
-    return materialise(planned.mapInArrow(run, INDEX), "index")
+    return materialise(planned.mapInArrow(run, index), "index")
 
 
-def _row(head: dict[str, str], block: bytes) -> tuple:
+def _row(head: dict[str, str], block: bytes, whole: bool = True) -> tuple:
     page = head["WARC-Record-ID"].split(":")[2]
     split = block.index(b"\r\n\r\n") + 4
     length = int(block[:split].split(b"Content-Length: ")[1].split(b"\r\n")[0])
@@ -186,11 +202,13 @@ def _row(head: dict[str, str], block: bytes) -> tuple:
     if head["WARC-Type"] == "response" and (len(block) - split != length or digest(block[split:]) != told):
         raise ValueError(f"payload of page {page} is damaged")
     refers = head.get("WARC-Refers-To")
-    return None if page == "None" else int(page), length, told, head["WARC-Type"], int(refers.split(":")[2]) if refers else None, block[split:]
+    return name_back(page, whole), length, told, head["WARC-Type"], name_back(refers.split(":")[2], whole) if refers else None, block[split:]
 
 
 def read(spark: SparkSession, folder: str, index: DataFrame) -> DataFrame:
     """Every record of the bundles that the index names, frame by frame: one row each, from the archive alone."""
+    kind = index.schema["page_id"].dataType.simpleString()
+    whole, id_type = kind == "bigint", pa.int64() if kind == "bigint" else pa.string()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, base = fs.FileSystem.from_uri(folder)
@@ -204,23 +222,23 @@ def read(spark: SparkSession, folder: str, index: DataFrame) -> DataFrame:
                         rows, here = [], 0
                         while here < len(plain):
                             head, block, here = parse(plain, here)
-                            rows.append(_row(head, block)[:5])
+                            rows.append(_row(head, block, whole)[:5])
                         columns = list(zip(*rows, strict=True))
-                        kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64()]
+                        kinds = [id_type, pa.int64(), pa.string(), pa.string(), id_type]
                         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"])
 
-    names = index.select("bundle").distinct()
-    return names.mapInArrow(run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
+    names = dealt(materialise(index.select("bundle").distinct(), "bundles"))
+    return names.mapInArrow(run, f"page_id {kind}, payload_bytes long, payload_digest string, record_type string, refers_to {kind}")
 
 
-def lookup(folder: str, bundle: str, frame: int, frame_offset: int) -> tuple:
+def lookup(folder: str, bundle: str, frame: int, frame_offset: int, whole: bool = True) -> tuple:
     """One record by its index entry, reading the footer and one frame: page_id, bytes, digest, type, refers_to, payload."""
     store, base = fs.FileSystem.from_uri(folder)
     with store.open_input_file(f"{base}/{bundle}") as f:
         at, packed, _ = read_seek_table(f, f.size())[frame]
         f.seek(at)
         head, block, _ = parse(zstandard.ZstdDecompressor().decompress(f.read(packed)), frame_offset)
-        return _row(head, block)
+        return _row(head, block, whole)
 
 
 def archive(pages: DataFrame, folder: str | None = None, least_bytes: int = 0) -> DataFrame:
