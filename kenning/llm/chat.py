@@ -10,8 +10,10 @@ that isn't plain letters, digits, `_` or `-` is written as `=` and its base64.
 
 Defined results: null text is empty; null role is an empty role; turns with equal numbers are ordered by role and text;
 a null conversation id is a conversation; a conversation without assistant turns has loss 0 and the digest of the empty
-string; an empty table gives an empty result. The output grows with the square of a conversation's turns: that is what
-the method asks for.
+string; an empty table gives an empty result; long texts are kept whole, and extra columns are ignored, whatever their
+names. The output grows with the square of a conversation's turns: that is what the method asks for. A conversation and
+its examples are handled in one row each, as the result has one digest a conversation: what bounds memory is the longest
+conversation, not their number or the size of a group.
 """
 
 from __future__ import annotations
@@ -19,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kenning.llm.common import columns
+
 JOINER = "\u2060"
 START, END = "<|im_start|>", "<|im_end|>"
 #: Control strings of common templates.
@@ -45,6 +49,7 @@ def _role_back(role: Column) -> Column:
 
 def expand(conversations: DataFrame) -> DataFrame:
     """conv_id, example, formatted, loss_start, loss_end (code points; null without a trainable part)."""
+    conversations = columns(conversations, conv_id="conv_id", turn="turn", role="role", text="text")
     turn = F.struct("turn", F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     grouped = conversations.select("conv_id", turn.alias("t")).groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("ts"))
     parts = grouped.select(

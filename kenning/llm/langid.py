@@ -9,15 +9,18 @@ loss over the bits; texts whose two best codewords are close are flagged as ambi
 Held out: documents whose crc32(doc_id as text) mod 4 is 2 are never learned from. A null doc_id is neither held out
 nor learned from. Only the text is an input of a prediction.
 
+Confidence grows with the number of n-grams up to SATURATION of them an order: a margin is the mean weight of all the
+text's n-grams, times that number or their own number if it is less. No text is cut.
+
 Defined results: null texts and texts without a letter are `und` with score 0; so is every text if no language was
-learned; ties go to the alphabetically first language; repeated rows give equal rows; an empty table gives an empty
-result; other columns are ignored.
+learned; ties go to the alphabetically first language; repeated rows give equal rows; very long texts are read whole, in
+time and memory in proportion to their length; an empty table gives an empty result; other columns are ignored, whatever
+their names.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +28,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kenning.llm.common import columns
+
 #: Buckets of an n-gram order; the orders; the n-grams after which more text adds no confidence.
 BUCKETS, ORDERS, SATURATION = 1 << 13, (1, 2, 3, 4), 200
 _MULTIPLIER = np.uint32(2654435761)
@@ -50,7 +55,7 @@ def held_out(id_col: str = "doc_id"):
 
 
 def codewords(n: int) -> np.ndarray:
-    """n codewords of +1 and -1: all dichotomies up to 7 classes, else random ones, far apart; fixed by n."""
+    """n codewords of +1 and -1: all dichotomies up to 7 classes, else the random ones of 30 draws whose two nearest are farthest apart; fixed by n."""
     if n <= 1:
         return np.ones((n, 1))
     if n <= 7:
@@ -62,7 +67,8 @@ def codewords(n: int) -> np.ndarray:
     for _ in range(30):
         code = random.choice([-1, 1], (n, bits))
         code = code[:, np.abs(code.sum(axis=0)) < n]
-        least = min((int((code[a] != code[b]).sum()) for a, b in combinations(range(min(n, 60)), 2)), default=0)
+        apart = (code.shape[1] - code @ code.T) // 2  # of all pairs of codewords
+        least = int(apart[~np.eye(n, dtype=bool)].min())
         if least > most:
             best, most = code, least
     return best
@@ -119,6 +125,8 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
             at = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at)), pa.array(at, pa.int32()), pa.array(total[at].astype(np.int64))], names=["lang", "bucket", "n"])
 
+    docs = columns(docs, doc_id=id_col, text=text_col, lang=lang_col)
+    id_col, text_col, lang_col = docs.columns
     labelled = docs.filter(F.col(id_col).isNotNull() & ~held_out(id_col) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     counted = labelled.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "lang string, bucket int, n long")
     rows = counted.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
@@ -132,7 +140,8 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of docs: doc_id, held_out, lang_pred, score, ambiguous."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    kind = docs.schema[id_col].dataType.simpleString()
+    docs = columns(docs, doc_id=id_col, text=text_col)
+    kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
@@ -141,5 +150,5 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
             lang, score, unclear = zip(*found, strict=True) if found else ((), (), ())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(unclear, pa.bool_())], names=["doc_id", "held_out", "lang_pred", "score", "ambiguous"])
 
-    slim = docs.select(F.col(id_col).alias("doc_id"), held_out(id_col).alias("held_out"), F.col(text_col).cast("string").alias("text"))
+    slim = docs.select("doc_id", held_out().alias("held_out"), F.col("text").cast("string").alias("text"))
     return slim.mapInArrow(run, f"doc_id {kind}, held_out boolean, lang_pred string, score double, ambiguous boolean")

@@ -1,14 +1,17 @@
 """Quality rules with cross-document line frequency.
 
 Normalised lines are hashed; for each host the number of different documents that hold a line is counted; lines held
-by more than MIN_DOCS documents are removed, however many documents the host has, and documents that lose over half of their words are rejected.
+by more than MIN_DOCS documents are removed, however many documents the host has, and documents that lose over half of
+their words are rejected.
 Exact copies of a document count once, so that copies don't make each other's lines look like boilerplate.
 
 Up to LISTED frequent lines are handed to the tasks as hashes by host. Beyond that they are joined by (host, hash) with
 the lines of the documents, salted as a line may be in very many, and each document gets the list of its own lines.
 
 Defined results: a null text has no words and fails the base rules; a null host is a host of its own; lines without a
-word are neither counted nor removed; repeated rows get equal results; an empty table gives an empty result.
+word are neither counted nor removed; repeated rows get equal results; very long texts and lines are read whole, in time
+and memory in proportion to their length; an empty table gives an empty result; extra columns are ignored by score() and
+kept by keep_good(), whatever their names.
 """
 
 from __future__ import annotations
@@ -22,12 +25,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kenning.llm.common import BROADCAST_ROWS, materialise
+from kenning.llm.common import columns, materialise, plain
 
 MIN_WORDS = 50
 MIN_DOCS = 10
 #: Most frequent lines that are handed to the tasks as a whole; salts of the join beyond that.
-LISTED, SALTS = BROADCAST_ROWS, 16
+LISTED, SALTS = 200_000, 16
 SYMBOLS = b"#*$%&|<>"
 SPACES = b" \t\n\x0b\x0c\r"
 
@@ -130,8 +133,8 @@ def _with_copy(docs: DataFrame, text_col: str) -> DataFrame:
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("__copy", T.LongType())]))
 
 
-def apply_rules(docs: DataFrame, min_docs: int = MIN_DOCS, lost: float = 0.5, text_col: str = "text", host_col: str = "source") -> DataFrame:
-    """docs with the columns of STATS and clean_text under the struct `__quality`."""
+def _judge(docs: DataFrame, text_col: str, host_col: str, min_docs: int, lost: float) -> DataFrame:
+    """docs (of plain names) with the struct `__quality`: the columns of STATS and clean_text."""
     fields = ", ".join(f"{n} {t}" for n, t in STATS) + ", clean_text string"
     lines = document_lines(docs, text_col, host_col)
     frequent = frequent_lines(lines, min_docs)
@@ -157,7 +160,7 @@ def apply_rules(docs: DataFrame, min_docs: int = MIN_DOCS, lost: float = 0.5, te
         for batch in batches:
             own, hosts = batch.column(len(names)), batch.column(len(names) + 1).to_pylist()
             out: list[list] = [[] for _ in range(len(STATS) + 1)]
-            for k, raw in enumerate(batch.column(at).cast(pa.binary()).to_pylist()):
+            for k, raw in enumerate(batch.column(at).cast(pa.string()).cast(pa.binary()).to_pylist()):
                 text = raw or b""
                 if listed:
                     host = hosts[k]
@@ -182,19 +185,20 @@ def apply_rules(docs: DataFrame, min_docs: int = MIN_DOCS, lost: float = 0.5, te
             verdict = pa.StructArray.from_arrays(arrays, names=[n for n, _ in STATS] + ["clean_text"])
             yield pa.RecordBatch.from_arrays([batch.column(i) for i in range(len(names))] + [verdict], names=[*names, "__quality"])
 
-    return joined.select(*[F.col(f"`{n}`") for n in names], "__lines", "__named").mapInArrow(judge, schema)
+    return joined.select(*names, "__lines", "__named").mapInArrow(judge, schema)
 
 
-def score(docs: DataFrame, **rules) -> DataFrame:
+def score(docs: DataFrame, min_docs: int = MIN_DOCS, lost: float = 0.5) -> DataFrame:
     """One row per row of docs: doc_id, the counts, base_failed, kept, and what the line rule did."""
-    slim = docs.select("doc_id", "text", "source")
-    return apply_rules(slim, **rules).select("doc_id", *[F.col(f"__quality.{n}").alias(n) for n, _ in STATS])
+    slim = columns(docs, doc_id="doc_id", text="text", source="source")
+    return _judge(slim, "text", "source", min_docs, lost).select("doc_id", *[F.col(f"__quality.{n}").alias(n) for n, _ in STATS])
 
 
-def keep_good(docs: DataFrame, **rules) -> DataFrame:
+def keep_good(docs: DataFrame, min_docs: int = MIN_DOCS, lost: float = 0.5) -> DataFrame:
     """The kept rows with frequent lines removed from the text; n_chars, if there is one, follows the text."""
-    judged = apply_rules(docs, **rules).filter("__quality.kept")
-    changed = {"text": F.col("__quality.clean_text")}
-    if "n_chars" in docs.columns:
-        changed["n_chars"] = F.when(F.col("__quality.n_removed_lines") > 0, F.length("__quality.clean_text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
-    return judged.withColumns(changed).select(*docs.columns)
+    safe, text, host, chars = plain(docs, "text", "source", "n_chars")
+    judged = _judge(safe, text, host, min_docs, lost).filter("__quality.kept")
+    changed = {text: F.col("__quality.clean_text")}
+    if chars:
+        changed[chars] = F.when(F.col("__quality.n_removed_lines") > 0, F.length("__quality.clean_text")).otherwise(F.col(chars)).cast(safe.schema[chars].dataType)
+    return judged.withColumns(changed).select(*safe.columns).toDF(*docs.columns)

@@ -4,7 +4,8 @@ A key and the number of shards decide the shard; there is no ring table. Growing
 about 1 / (n + 1) of the keys, all of them into the new shard.
 
 Defined results: a null text has no bytes and CRC 0; a null id hashes as key 0; repeated rows go to the same shard
-and get slots of their own; an empty table gives an empty result; other columns are ignored.
+and get slots of their own; of a very long text only its length and CRC leave the scan; an empty table gives an empty
+result; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kenning.llm.common import materialise, or_empty
+from kenning.llm.common import columns, materialise, or_empty
 
 #: Fixed values of the published generator (Lamping and Veach).
 MULTIPLIER = np.uint64(2862933555777941757)
@@ -60,6 +61,8 @@ def shard(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", text_col: s
     is as small as an input partition, so that no task holds a shard; running counts of the groups give the offsets.
     The text itself never leaves the scan.
     """
+    docs = columns(docs, doc_id=id_col, text=text_col)
+    id_col, text_col = docs.columns
     kind = dict(docs.dtypes)[id_col]
     key = F.col(id_col).cast("long") if kind in ("tinyint", "smallint", "int", "bigint") else F.xxhash64(F.col(id_col).cast("string"))
     slim = docs.select(
