@@ -4,7 +4,12 @@ A model file is read on the driver (its wire format is parsed here) and its arra
 broadcast. Segments of a text that no piece can straddle are encoded once and kept in a bounded table; all segments
 that are new in a batch are matched against the trie and decoded together, position by position, as array operations.
 
-Scores: those of a Unigram model are used as they stand. Other kinds store merge ranks, which aren't log scores; they
+Segments of over LONG_SEGMENT bytes are decoded BLOCK bytes at a time; a place keeps the length and number of its last
+piece (6 bytes) and no more, so that a text without spaces takes memory in proportion to its length, and they aren't
+kept in the table.
+
+Scores: those of a Unigram model are used as they stand. A user-defined piece scores its characters times the best normal
+score or 0, whichever is more, less 0.1, as the public library has it, so that it is always taken. Other kinds store merge ranks, which aren't log scores; they
 become log probabilities by Zipf's law, -log(rank + 2) less the log of the sum.
 
 Ties: of equally good ways to reach a position, the one with the shorter last piece wins.
@@ -13,7 +18,8 @@ White space: a space is the marker; one is put before the text and taken off aga
 characters without a piece are written as bytes, so decoding gives the text back exactly.
 
 Defined results: null text gives null ids and decodes to null; empty text gives no ids; ids out of range decode to
-nothing, malformed byte runs to U+FFFD; repeated rows give equal rows; extra columns of a frame are kept.
+nothing, malformed byte runs to U+FFFD; repeated rows give equal rows; an empty table gives an empty result; texts of any
+length are encoded whole; extra columns are ignored by encode_decode() and kept by the others, whatever their names.
 """
 
 from __future__ import annotations
@@ -21,6 +27,7 @@ from __future__ import annotations
 import hashlib
 import re
 import struct
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,11 +35,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from kenning.llm.common import columns, plain
+
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 NORMAL, USER_DEFINED, BYTE, UNIGRAM = 1, 4, 6, 1
 #: How much worse than the worst piece an unknown character is.
 UNKNOWN_PENALTY = 10.0
-CACHE_SEGMENTS, CHUNK_BYTES, LONG_SEGMENT = 250_000, 1 << 16, 192
+CACHE_SEGMENTS, CHUNK_BYTES, LONG_SEGMENT, BLOCK = 250_000, 1 << 16, 192, 1 << 14
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, object]]:
@@ -130,12 +139,16 @@ class Unigram:
             ranks = np.array([max(0.0, -s) for _, _, s in marked]) + 2.0
             logs = -np.log(ranks) - np.log(np.sum(1.0 / ranks))
             marked = [(p, i, float(s)) for (p, i, _), s in zip(marked, logs, strict=True)]
+        own = {i for i, (_, _, t) in enumerate(pieces) if t == USER_DEFINED}
+        normal = [s for _, i, s in marked if i not in own]
+        if own:
+            marked = [(p, i, len(p.decode("utf-8")) * max([0.0, *normal]) - 0.1 if i in own else s) for p, i, s in marked]
         marked.sort()
         self.base, self.check, self.value = double_array([p for p, _, _ in marked])
         self.ids = np.array([i for _, i, _ in marked], dtype=np.int32)
         self.scores = np.array([s for _, _, s in marked], dtype=np.float64)
         self.longest = max((len(p) for p, _, _ in marked), default=1)
-        self.unknown = float(self.scores.min() if len(marked) else 0.0) - UNKNOWN_PENALTY
+        self.unknown = float(min(normal, default=0.0)) - UNKNOWN_PENALTY
         self.byte_ids = np.full(256, -1, dtype=np.int32)
         self.spell = [b""] * len(pieces)
         for p, i, _ in marked:
@@ -158,10 +171,10 @@ class Unigram:
     def __getstate__(self) -> dict:
         return self.__dict__ | {"known": {}}
 
-    def _edges(self, flat: np.ndarray, ends: np.ndarray) -> list[tuple[int, np.ndarray, np.ndarray]]:
-        """(length, start positions, key indices) of all pieces found in flat; ends: for each position its segment's end."""
-        at = np.arange(len(flat), dtype=np.int64)
-        state = np.zeros(len(flat), dtype=np.int64)
+    def _edges(self, flat: np.ndarray, ends: np.ndarray, begins: int) -> list[tuple[int, np.ndarray, np.ndarray]]:
+        """(length, start positions, key indices) of all pieces found in flat that begin in its first `begins` places; ends: for each place its segment's end."""
+        at = np.arange(begins, dtype=np.int64)
+        state = np.zeros(begins, dtype=np.int64)
         found = []
         for depth in range(1, self.longest + 1):
             inside = at + depth <= ends[at]
@@ -176,8 +189,9 @@ class Unigram:
                 found.append((depth, at[hit], key[hit]))
         return found
 
-    def _with_unknown(self, flat: np.ndarray, found: list) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    def _with_unknown(self, flat: np.ndarray, found: list, begins: int) -> list[tuple[int, np.ndarray, np.ndarray]]:
         """found with edges of key -1 for characters that aren't pieces."""
+        flat = flat[:begins]
         width = np.select([flat < 0x80, flat < 0xC0, flat < 0xE0, flat < 0xF0], [1, 0, 2, 3], 4)
         by = {d: (p, k) for d, p, k in found}
         for w in (1, 2, 3, 4):
@@ -189,45 +203,48 @@ class Unigram:
                 by[w] = (np.concatenate([p, extra]), np.concatenate([k, np.full(len(extra), -1, np.int32)]))
         return [(d, *by[d]) for d in sorted(by)]
 
-    def _ids(self, segment: bytes, path: list[tuple[int, int, int]]) -> bytes:
-        """path: (start, length, key) from left to right."""
-        out: list[int] = []
-        for start, n, key in path:
-            if key >= 0:
-                out.append(int(self.ids[key]))
+    def _long(self, segment: bytes) -> bytes:
+        """Ids of a segment of any length, BLOCK bytes at a time."""
+        flat, size = np.frombuffer(segment, dtype=np.uint8), len(segment)
+        length, key = np.zeros(size + 1, dtype=np.uint16 if self.longest < 1 << 16 else np.int32), np.zeros(size + 1, dtype=np.int32)
+        best, last, what = [0.0], [0], [0]  # of the places from `begin` on, as far as they are reached
+        for begin in range(0, size, BLOCK):
+            own = min(BLOCK, size - begin)
+            part = flat[begin : begin + own + self.longest + 4]
+            found = self._with_unknown(part, self._edges(part, np.full(len(part), len(part), dtype=np.int64), own), own)
+            none = [np.zeros(0, dtype=np.int64)]  # a block may lie within a character
+            start = np.concatenate([*none, *(p for _, p, _ in found)])
+            step = np.concatenate([*none, *(np.full(len(p), d) for d, p, _ in found)])
+            keys = np.concatenate([*none, *(k for _, _, k in found)])
+            score = np.where(keys >= 0, self.scores[keys], self.unknown)
+            order = np.lexsort((step, start))
+            more = len(part) + 1 - len(best)
+            best += [-np.inf] * more
+            last += [0] * more
+            what += [0] * more
+            for s, n, k, v in zip(start[order].tolist(), step[order].tolist(), keys[order].tolist(), score[order].tolist(), strict=True):
+                if best[s] + v >= best[s + n]:
+                    best[s + n], last[s + n], what[s + n] = best[s] + v, n, k
+            length[begin : begin + own + 1], key[begin : begin + own + 1] = last[: own + 1], what[: own + 1]
+            best, last, what = best[own:], last[own:], what[own:]
+        out, at = array("i"), size
+        while at > 0:
+            n, k = int(length[at]), int(key[at])
+            if k >= 0:
+                out.append(int(self.ids[k]))
             elif self.fallback:
-                out += self.byte_ids[list(segment[start : start + n])].tolist()
+                out.extend(self.byte_ids[list(segment[at - n : at][::-1])].tolist())
             else:
                 out.append(self.unknown_id)
-        return np.array(out, dtype=np.int32).tobytes()
-
-    def _long(self, segment: bytes) -> bytes:
-        flat = np.frombuffer(segment, dtype=np.uint8)
-        found = self._with_unknown(flat, self._edges(flat, np.full(len(flat), len(flat), dtype=np.int64)))
-        start = np.concatenate([p for _, p, _ in found])
-        length = np.concatenate([np.full(len(p), d) for d, p, _ in found])
-        key = np.concatenate([k for _, _, k in found])
-        score = np.where(key >= 0, self.scores[key], self.unknown)
-        order = np.lexsort((length, start))
-        best = [-np.inf] * (len(flat) + 1)
-        best[0] = 0.0
-        back: list[tuple[int, int, int]] = [(0, 0, 0)] * (len(flat) + 1)
-        for s, n, k, v in zip(start[order].tolist(), length[order].tolist(), key[order].tolist(), score[order].tolist(), strict=True):
-            if best[s] + v >= best[s + n]:
-                best[s + n] = best[s] + v
-                back[s + n] = (s, n, k)
-        path, at = [], len(flat)
-        while at > 0:
-            path.append(back[at])
-            at = back[at][0]
-        return self._ids(segment, path[::-1])
+            at -= n
+        return np.array(out[::-1], dtype=np.int32).tobytes()
 
     def _chunk(self, segments: list[bytes]) -> None:
         """Encode short segments together. segments: longest first."""
         lengths = np.array([len(s) for s in segments], dtype=np.int64)
         flat = np.frombuffer(b"".join(segments), dtype=np.uint8)
         starts = np.cumsum(lengths) - lengths
-        found = self._with_unknown(flat, self._edges(flat, np.repeat(starts + lengths, lengths)))
+        found = self._with_unknown(flat, self._edges(flat, np.repeat(starts + lengths, lengths), len(flat)), len(flat))
         top, n = int(lengths[0]), len(segments)
         gain, keys = {}, {}
         for d, p, k in found:
@@ -306,6 +323,9 @@ class Unigram:
             get = self.known.__getitem__
             out.extend(None if g is None else b"".join(map(get, g)) for g in group)
             group.clear()
+            for s in new:
+                if len(s) > LONG_SEGMENT:
+                    del self.known[s]
 
         for text in texts:
             group.append(None if text is None else find(b" " + text) if text else [])
@@ -346,37 +366,42 @@ def _list_array(rows: list[bytes | None]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), values, mask=valid)
 
 
-def encode(df: DataFrame, model: Unigram, text_col: str = "text", out: str = "piece_ids") -> DataFrame:
-    """df with the ids of text_col as array<int> (a column of that name is replaced)."""
-    shared = df.sparkSession.sparkContext.broadcast(model)
-    names = [c for c in df.columns if c != out]
-    schema = T.StructType([*[df.schema[c] for c in names], T.StructField(out, T.ArrayType(T.IntegerType()))])
-    at = names.index(text_col)
+def _appended(df: DataFrame, read_col: str, added: list[T.StructField], make) -> DataFrame:
+    """df with columns appended (those of their names are replaced); make: the read column of a batch -> arrays."""
+    safe, at = plain(df, read_col)
+    again = {f.name.lower() for f in added}
+    kept = [i for i, c in enumerate(df.columns) if c.lower() not in again]
+    place, names = int(at[1:]), [f"n{i}" for i in range(len(kept) + len(added))]
+    fields = [safe.schema.fields[i].dataType for i in kept] + [f.dataType for f in added]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
         for batch in batches:
-            rows = m.encode_bytes(batch.column(at).cast(pa.binary()).to_pylist())
-            yield pa.RecordBatch.from_arrays([*batch.columns, _list_array(rows)], names=[*names, out])
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in kept), *make(batch.column(place))], names=names)
+
+    out = safe.mapInArrow(run, T.StructType([T.StructField(n, f) for n, f in zip(names, fields, strict=True)]))
+    return out.toDF(*[df.columns[i] for i in kept], *[f.name for f in added])
 
-    return df.select(*[f"`{c}`" for c in names]).mapInArrow(run, schema)
+
+def _texts(column: pa.Array) -> list[bytes | None]:
+    return column.cast(pa.string()).cast(pa.binary()).to_pylist()
+
+
+def encode(df: DataFrame, model: Unigram, text_col: str = "text", out: str = "piece_ids") -> DataFrame:
+    """df with the ids of text_col as array<int> (a column of that name is replaced)."""
+    shared = df.sparkSession.sparkContext.broadcast(model)
+    field = T.StructField(out, T.ArrayType(T.IntegerType()))
+    return _appended(df, text_col, [field], lambda column: [_list_array(shared.value.encode_bytes(_texts(column)))])
 
 
 def decode(df: DataFrame, model: Unigram, ids_col: str = "piece_ids", out: str = "decoded") -> DataFrame:
     """df with the text of ids_col."""
     shared = df.sparkSession.sparkContext.broadcast(model)
-    names = [c for c in df.columns if c != out]
-    schema = T.StructType([*[df.schema[c] for c in names], T.StructField(out, T.StringType())])
-    at = names.index(ids_col)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
-        for batch in batches:
-            column = batch.column(at)
-            texts = [None if not x.is_valid else m.decode_bytes(x.values.to_numpy(zero_copy_only=False)).decode("utf-8", "replace") for x in column]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*names, out])
+    def make(column: pa.Array) -> list[pa.Array]:
+        texts = [None if not x.is_valid else shared.value.decode_bytes(x.values.to_numpy(zero_copy_only=False)).decode("utf-8", "replace") for x in column]
+        return [pa.array(texts, pa.string())]
 
-    return df.select(*[f"`{c}`" for c in names]).mapInArrow(run, schema)
+    return _appended(df, ids_col, [T.StructField(out, T.StringType())], make)
 
 
 def encode_decode(docs: DataFrame, model: Unigram, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -385,7 +410,8 @@ def encode_decode(docs: DataFrame, model: Unigram, id_col: str = "doc_id", text_
     doc_id, n_pieces, n_byte_pieces, round_trip (null for a null text), decoded_sha256, piece_ids.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    schema = f"{id_col} {docs.schema[id_col].dataType.simpleString()}, n_pieces long, n_byte_pieces long, round_trip boolean, decoded_sha256 string, piece_ids array<int>"
+    slim = columns(docs, doc_id=id_col, text=text_col)
+    schema = f"doc_id {slim.schema['doc_id'].dataType.simpleString()}, n_pieces long, n_byte_pieces long, round_trip boolean, decoded_sha256 string, piece_ids array<int>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
@@ -393,7 +419,7 @@ def encode_decode(docs: DataFrame, model: Unigram, id_col: str = "doc_id", text_
         is_byte[m.byte_ids] = True
         is_byte[-1] = False
         for batch in batches:
-            texts = batch.column(1).cast(pa.binary()).to_pylist()
+            texts = _texts(batch.column(1))
             rows = m.encode_bytes(texts)
             pieces, raw, same, digests = [], [], [], []
             for text, row in zip(texts, rows, strict=True):
@@ -403,26 +429,20 @@ def encode_decode(docs: DataFrame, model: Unigram, id_col: str = "doc_id", text_
                 back = None if row is None else m.decode_bytes(ids)
                 same.append(None if row is None else back == text)
                 digests.append(None if row is None else hashlib.sha256(back).hexdigest())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(pieces, pa.int64()), pa.array(raw, pa.int64()), pa.array(same, pa.bool_()), pa.array(digests, pa.string()), _list_array(rows)], names=[id_col, "n_pieces", "n_byte_pieces", "round_trip", "decoded_sha256", "piece_ids"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(pieces, pa.int64()), pa.array(raw, pa.int64()), pa.array(same, pa.bool_()), pa.array(digests, pa.string()), _list_array(rows)], names=["doc_id", "n_pieces", "n_byte_pieces", "round_trip", "decoded_sha256", "piece_ids"])
 
-    return docs.select(id_col, text_col).mapInArrow(run, schema)
+    return slim.mapInArrow(run, schema).withColumnRenamed("doc_id", id_col)
 
 
 def with_pieces(docs: DataFrame, model: Unigram, text_col: str = "text") -> DataFrame:
     """docs with piece_ids, n_pieces and round_trip (whether decoding gives the text back; null for a null text)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    added = ["piece_ids", "n_pieces", "round_trip"]
-    names = [c for c in docs.columns if c not in added]
-    more = [T.StructField(added[0], T.ArrayType(T.IntegerType())), T.StructField(added[1], T.LongType()), T.StructField(added[2], T.BooleanType())]
-    at = names.index(text_col)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
-        for batch in batches:
-            texts = batch.column(at).cast(pa.binary()).to_pylist()
-            rows = m.encode_bytes(texts)
-            same = [None if r is None else m.decode_bytes(np.frombuffer(r, dtype=np.int32)) == t for t, r in zip(texts, rows, strict=True)]
-            counts = [len(r or b"") // 4 for r in rows]
-            yield pa.RecordBatch.from_arrays([*batch.columns, _list_array(rows), pa.array(counts, pa.int64()), pa.array(same, pa.bool_())], names=[*names, *added])
+    def make(column: pa.Array) -> list[pa.Array]:
+        m, texts = shared.value, _texts(column)
+        rows = m.encode_bytes(texts)
+        same = [None if r is None else m.decode_bytes(np.frombuffer(r, dtype=np.int32)) == t for t, r in zip(texts, rows, strict=True)]
+        return [_list_array(rows), pa.array([len(r or b"") // 4 for r in rows], pa.int64()), pa.array(same, pa.bool_())]
 
-    return docs.select(*[f"`{c}`" for c in names]).mapInArrow(run, T.StructType([*[docs.schema[c] for c in names], *more]))
+    added = [T.StructField("piece_ids", T.ArrayType(T.IntegerType())), T.StructField("n_pieces", T.LongType()), T.StructField("round_trip", T.BooleanType())]
+    return _appended(docs, text_col, added, make)
