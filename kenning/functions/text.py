@@ -12,6 +12,11 @@ PRIVATE_IP = r"\b(?:10(?:\.\d{1,3}){3}|192\.168(?:\.\d{1,3}){2}|172\.(?:1[6-9]|2
 COMMON_PORTS = ["21", "22", "23", "25", "53", "80", "110", "139", "143", "443", "445", "3306", "3389", "5432", "6379", "8080"]
 
 
+def strip(text: Column) -> Column:
+    """Without white space at either end (trim() takes spaces only)."""
+    return F.regexp_replace(text, r"^\s+|\s+$", "")
+
+
 def cves(text: Column) -> Column:
     """Strict CVE ids, upper-cased, in order of first appearance."""
     return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(r"(?i)\bCVE-\d{4}-\d{4,7}\b"), F.lit(0)), F.upper))
@@ -77,11 +82,16 @@ def ip_topology(text: Column) -> Column:
     return F.when(text.rlike(r"\b127(?:\.\d{1,3}){3}\b"), "loopback").when(text.rlike(PRIVATE_IP), "private").when(text.rlike(r"\b\d{1,3}(?:\.\d{1,3}){3}\b"), "public").otherwise("none")
 
 
+# Where a text may end, in the order they are tried.
+SENTENCE_ENDS = ["。", "！", "？", ".", "!", "?"]
+
+
 def soft_truncate(text: Column, limit: int) -> Column:
-    """At most limit characters, cut after the last sentence end of the second half if there is one."""
+    """At most limit characters, cut after the last of the first kind of sentence end that has one in the second half."""
     head = F.substring(text, 1, limit)
-    cut = F.greatest(*[F.length(head) - F.locate(mark, F.reverse(head)) + 1 - F.when(F.locate(mark, F.reverse(head)) == 0, limit).otherwise(0) for mark in ("。", ".", "\n")])
-    return F.when(F.length(text) <= limit, text).when(cut > limit / 2, F.substr(head, F.lit(1), cut)).otherwise(head)
+    last = lambda mark: F.when(F.locate(mark, F.reverse(head)) > 0, F.length(head) - F.locate(mark, F.reverse(head)) + 1)
+    cuts = [F.when(last(mark) - 1 > limit // 2, F.substr(head, F.lit(1), last(mark))) for mark in SENTENCE_ENDS]
+    return F.when(F.length(text) <= limit, text).otherwise(F.coalesce(*cuts, head))
 
 
 def tokens(text: Column) -> Column:

@@ -130,7 +130,7 @@ def preconditions(tool: Column, command: Column, cves: Column, context: Column)
 
 def worthy(command: Column, signs: Column, service: Column, outcome: Column, cves: Column) -> Column:
     """A command worth remembering: no session management; if short, with a sign, a service, a CVE or a partial success."""
-    size, signed = F.length(F.trim(command)), F.size(signs) > 0
+    size, signed = F.length(tx.strip(command)), F.size(signs) > 0
     managing = F.lit(False)
     for p in SESSION_COMMANDS:
         managing = managing | command.rlike(f"(?i){p}")
@@ -144,13 +144,13 @@ def positive_confidence(signs: Column, command: Column, session_outcome: Column)
     signed = F
     for outcome, share in SIGNED.items():
         signed = signed.when(session_outcome == outcome, F.lit(share))
-    base = F.when(F.size(signs) > 0, signed.otherwise(F.lit(SIGNED_ELSE))).when(F.length(F.trim(command)) <= SHORT, F.lit(UNSIGNED_SHORT)).otherwise(F.lit(UNSIGNED))
+    base = F.when(F.size(signs) > 0, signed.otherwise(F.lit(SIGNED_ELSE))).when(F.length(tx.strip(command)) <= SHORT, F.lit(UNSIGNED_SHORT)).otherwise(F.lit(UNSIGNED))
     return F.least(F.lit(MOST_CONFIDENCE), base + STRONG_BONUS * strong)
 
 
 def positives(annotated: DataFrame, sessions: DataFrame) -> DataFrame:
     """What worked, once per session, tool, phase and the start of its template. sessions: session_id, session_outcome."""
-    good = annotated.filter(F.col("outcome_label").isin("success", "partial_success") & (F.trim(action()) != ""))
+    good = annotated.filter(F.col("outcome_label").isin("success", "partial_success") & (tx.strip(action()) != ""))
     context = F.col("has_rag_context") if "has_rag_context" in annotated.columns else F.lit(False)
     read = good.withColumns({"__command": action(), "__told": told(), "__context": context}).withColumns({"cves": tx.cves(F.concat_ws(" ", "__command", "__told")), "indicators": indicators(F.col("__told"))})
     read = read.withColumn("target_service", target_service(F.col("__told"), F.col("cves")))
@@ -200,11 +200,11 @@ def tech_names(text: Column) -> Column:
     products = every(TAG_PRODUCT, 1)
 
     def scanned(row: Column) -> Column:
-        words = F.split(F.trim(F.regexp_extract(row, TAG_SERVICE, 2)), r"\s+")
+        words = F.split(tx.strip(F.regexp_extract(row, TAG_SERVICE, 2)), r"\s+")
         telling = F.filter(words, lambda w: (F.length(w) >= 4) & (w.rlike(r"^(?!\d)[\p{L}\p{N}]+$") | w.contains("-")))
-        return F.concat(F.array(F.trim(F.regexp_extract(row, TAG_SERVICE, 1))), F.slice(telling, 1, 4))
+        return F.concat(F.array(tx.strip(F.regexp_extract(row, TAG_SERVICE, 1))), F.slice(telling, 1, 4))
 
-    headed = F.filter(F.transform(every(TAG_HEADER, 1), lambda v: F.get(F.split(F.trim(v), r"[/\s]"), F.lit(0))), lambda v: F.length(v) >= 3)
+    headed = F.filter(F.transform(every(TAG_HEADER, 1), lambda v: F.get(F.split(tx.strip(v), r"[/\s]"), F.lit(0))), lambda v: F.length(v) >= 3)
     named = F.concat(products, F.flatten(F.transform(every(TAG_SERVICE), scanned)), headed, every(r"(?i)\b(" + "|".join(TAG_TOOLS) + r")\b", 1))
     return F.array_distinct(F.filter(F.transform(named, F.lower), lambda n: n != ""))
 
@@ -232,4 +232,4 @@ def pattern_type(text: Column) -> Column:
 
 def clean_queries(queries: Column) -> Column:
     """Up to four trimmed queries of over eight characters without CJK."""
-    return F.slice(F.filter(F.transform(queries, lambda q: F.trim(q)), lambda q: (F.length(q) > 8) & ~q.rlike(r"[一-鿿]")), 1, 4)
+    return F.slice(F.filter(F.transform(queries, lambda q: tx.strip(q)), lambda q: (F.length(q) > 8) & ~q.rlike(r"[一-鿿]")), 1, 4)

@@ -151,13 +151,13 @@ def action() -> Column:
 
 def low_value(line: Column) -> Column:
     """Too short, noise, or mostly markup."""
-    bare = F.trim(line)
+    bare = tx.strip(line)
     many = lambda mark: F.length(bare) - F.length(F.replace(bare, F.lit(mark), F.lit(""))) > MARKUP_TAGS
     return (F.length(bare) < LEAST_CHARS) | bare.rlike("^(?:" + "|".join(f"(?:{p})" for p in NOISE) + ")") | ((F.length(bare) > MARKUP_CHARS) & many("<") & many(">"))
 
 
 def ports(text: Column) -> Column:
-    part = lambda x, i: F.trim(F.regexp_extract(x, PORT_LINE, i))
+    part = lambda x, i: tx.strip(F.regexp_extract(x, PORT_LINE, i))
     return F.transform(_all(text, PORT_LINE), lambda x: _fact("open_port", part(x, 1), part(x, 2), F.substring(part(x, 3), 1, 100)))
 
 
@@ -197,14 +197,14 @@ def headers(text: Column) -> Column:
 
     def one(name: str) -> Column:
         pattern = rf"(?im)^{name}:\s*(.+)"
-        return F.when(text.rlike(pattern), _fact(f"http_header_{name.lower()}", F.substring(F.trim(F.regexp_extract(text, pattern, 1)), 1, 100)))
+        return F.when(text.rlike(pattern), _fact(f"http_header_{name.lower()}", F.substring(tx.strip(F.regexp_extract(text, pattern, 1)), 1, 100)))
 
     return F.array_compact(F.array(*[one(h) for h in HEADERS]))
 
 
 def summary(text: Column, strict: bool = True) -> Column:
     """The first line that says something; strict: without colours and addresses, and no line of a tool's progress."""
-    lines = F.transform(F.split(text, "\n"), lambda x: F.trim(x))
+    lines = F.transform(F.split(text, "\n"), lambda x: tx.strip(x))
     if strict:
         bare = F.transform(lines, lambda x: F.regexp_replace(x, r"\x1b\[[0-9;]*[mGKHF]", ""))
         lines = F.transform(bare, lambda x: F.regexp_replace(F.regexp_replace(x, LOOPBACK, "{LOOPBACK}"), INNER_ADDRESS, "{TARGET}"))
@@ -214,8 +214,8 @@ def summary(text: Column, strict: bool = True) -> Column:
 
 def generic(text: Column) -> Column:
     """Shares, CVEs, findings, versions, headers and open ports; without any the first telling line."""
-    shares = F.transform(_all(text, SHARE), lambda x: F.substring(F.trim(x), 1, 150))
-    findings = F.transform(_all(F.substring(text, 1, FINDING_CHARS), FINDING, 1), lambda x: F.substring(F.trim(x), 1, 150))
+    shares = F.transform(_all(text, SHARE), lambda x: F.substring(tx.strip(x), 1, 150))
+    findings = F.transform(_all(F.substring(text, 1, FINDING_CHARS), FINDING, 1), lambda x: F.substring(tx.strip(x), 1, 150))
     opened = F.transform(_all(text, OPEN_PORT), lambda x: F.coalesce(F.nullif(F.regexp_extract(x, OPEN_PORT, 1), F.lit("")), F.regexp_extract(x, OPEN_PORT, 2)))
     found = F.concat(_facts("smb_share", shares), mentioned(text), _facts("nikto_finding", findings), versions(text), headers(text), _facts("open_port_evidence", F.filter(opened, lambda x: x != "")))
     return F.when(F.size(found) > 0, F.array_distinct(found)).otherwise(summary(text))
@@ -237,7 +237,7 @@ def access(text: Column) -> Column:
         if key == "flag_captured":
             return F.concat(F.lit("flag{"), F.regexp_extract(match, pattern, 1), F.lit("}"))
         if key == "suid_binary":
-            return F.substring(F.trim(match), 1, 120)
+            return F.substring(tx.strip(match), 1, 120)
         return people(text) if key == "file_read_passwd" else F.lit(value)
 
     def signs(pattern: str, key: str, value: str | None) -> Column:
@@ -278,10 +278,10 @@ def service_type(tool: Column, command: Column, text: Column) -> Column:
 def target_service(text: Column, cves: Column) -> Column:
     """What the output says the target runs: port table, response header, product and version, else the first CVE; null without."""
     row = r"(?i)\d+/(?:tcp|udp)\s+open\s+(\S+)(?:\s+(.+))?"
-    listed = F.trim(F.concat_ws(" ", F.regexp_extract(text, row, 1), F.substring(F.trim(F.regexp_extract(text, row, 2)), 1, 80)))
-    header = [F.substring(F.trim(F.regexp_extract(text, rf"(?im)^{h}:\s*(.+)", 1)), 1, 80) for h in TARGET_HEADERS]
+    listed = tx.strip(F.concat_ws(" ", F.regexp_extract(text, row, 1), F.substring(tx.strip(F.regexp_extract(text, row, 2)), 1, 80)))
+    header = [F.substring(tx.strip(F.regexp_extract(text, rf"(?im)^{h}:\s*(.+)", 1)), 1, 80) for h in TARGET_HEADERS]
     product = F.filter(F.flatten(F.transform(_clear_lines(text), lambda line: _all(line, TARGET_VERSION))), lambda x: ~F.lower(F.regexp_extract(x, TARGET_VERSION, 1)).isin(NOT_PRODUCTS))
-    said = [F.nullif(x, F.lit("")) for x in (listed, *header, F.substring(F.trim(F.get(product, F.lit(0))), 1, 80))]
+    said = [F.nullif(x, F.lit("")) for x in (listed, *header, F.substring(tx.strip(F.get(product, F.lit(0))), 1, 80))]
     return F.coalesce(*said, F.concat(F.lit("目标存在 "), F.get(cves, F.lit(0)), F.lit(" 漏洞的服务")))
 
 
@@ -289,7 +289,7 @@ def gate() -> Column:
     """Reconnaissance may be partial or uncertain, anything else must have succeeded; no knowledge search; something was printed."""
     recon = F.col("phase").isin(RECON_PHASES) & F.col("outcome_label").isin(RECON_OUTCOMES)
     beyond = F.col("phase").isin(EXPLOIT_PHASES) & F.col("outcome_label").isin(EXPLOIT_OUTCOMES)
-    return (recon | beyond) & (F.col("category") != "RAG_QUERY") & (F.trim(told()) != "")
+    return (recon | beyond) & (F.col("category") != "RAG_QUERY") & (tx.strip(told()) != "")
 
 
 def event_facts(annotated: DataFrame) -> DataFrame:

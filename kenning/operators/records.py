@@ -42,10 +42,10 @@ def cause_payload(raw: Column) -> Column:
     Texts are trimmed, the source is `rule` by default, and queries are an array whatever they were.
     """
     literal = F.regexp_replace(F.regexp_replace(raw, r"(?<=[:,\[]\s?)None(?=\s*[,\]}])", "null"), r"(?<=[:,\[]\s?)(?:True|False)(?=\s*[,\]}])", "true")
-    read = F.from_json(F.when(F.trim(raw).startswith("{"), literal), CAUSE, {"allowSingleQuotes": "true"})
-    said = lambda name: F.trim(F.coalesce(read[name], F.lit("")))
+    read = F.from_json(F.when(tx.strip(raw).startswith("{"), literal), CAUSE, {"allowSingleQuotes": "true"})
+    said = lambda name: tx.strip(F.coalesce(read[name], F.lit("")))
     asked = F.coalesce(read["search_queries"], F.lit(""))
-    listed = F.when(asked == "", F.array().cast("array<string>")).when(asked.startswith("["), F.filter(F.from_json(asked, "array<string>"), lambda q: F.trim(q) != "")).otherwise(F.array(asked))
+    listed = F.when(asked == "", F.array().cast("array<string>")).when(asked.startswith("["), F.filter(F.from_json(asked, "array<string>"), lambda q: tx.strip(q) != "")).otherwise(F.array(asked))
     made = F.struct(
         said("dimension").alias("dimension"), said("sub_dimension").alias("sub_dimension"), said("evidence").alias("evidence"), F.coalesce(F.nullif(said("source"), F.lit("")), F.lit("rule")).alias("source"),
         read["remediation_hint"].alias("remediation_hint"), read["reasoning"].alias("reasoning"), listed.alias("search_queries"),
@@ -86,7 +86,7 @@ def without_empty(constraints: Column) -> Column:
 
 def merged_constraints(service: Column, version: Column, cves: Column, told: dict[str, Column]) -> dict[str, Column]:
     """Service and version of a row, from another source where it has none, and the upper-cased union of both CVE lists."""
-    own = lambda a, b: F.coalesce(F.nullif(F.trim(a), F.lit("")), F.nullif(F.trim(b), F.lit("")), F.lit(""))
+    own = lambda a, b: F.coalesce(F.nullif(tx.strip(a), F.lit("")), F.nullif(tx.strip(b), F.lit("")), F.lit(""))
     upper = lambda c: F.transform(F.coalesce(c, F.array().cast("array<string>")), F.upper)
     return {"service": own(service, told["service"]), "version": own(version, told["version"]), "cves": F.array_union(upper(cves), upper(told["cves"]))}
 
@@ -109,12 +109,12 @@ def searchable(content: Column, tags: Column) -> Column:
 
 def crawl_worthy(sub_dimension: Column) -> Column:
     """Whether outside documents can help with a failure; unknown kinds can't."""
-    return F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for pair in CRAWL_WORTHY.items() for x in pair]), F.upper(F.trim(sub_dimension))), F.lit(False))
+    return F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for pair in CRAWL_WORTHY.items() for x in pair]), F.upper(tx.strip(sub_dimension))), F.lit(False))
 
 
 def result_count(output: Column, reader: str = "generic") -> Column:
     """How many documents a knowledge search gave: a JSON list's length, else separators and one, else numbered words, else -1; 0 for nothing."""
-    bare = F.trim(F.coalesce(output, F.lit("")))
+    bare = tx.strip(F.coalesce(output, F.lit("")))
     whole = F.when(bare.startswith("["), F.json_array_length(bare)) if RESULT_KEYS[reader] else F.lit(None).cast("int")
     keyed = [F.when(bare.startswith("{"), F.json_array_length(F.get_json_object(bare, f"$.{k}"))) for k in RESULT_KEYS[reader]]
     marks, words = F.regexp_count(bare, F.lit("---")), F.regexp_count(bare, F.lit(RESULT_WORDS[reader]))
@@ -126,7 +126,7 @@ def result_count(output: Column, reader: str = "generic") -> Column:
 def reasoning(log: Column) -> Column:
     """What an agent thought, without the lines that only name the call; null if nothing is left."""
     lines = F.filter(F.split(log, r"\r?\n"), lambda x: ~x.rlike(r"(?i)^\s*Invoking\s*:"))
-    return F.nullif(F.trim(F.array_join(lines, "\n")), F.lit(""))
+    return F.nullif(tx.strip(F.array_join(lines, "\n")), F.lit(""))
 
 
 def category(own: Column, is_search: Column) -> Column:
@@ -142,7 +142,7 @@ def account_name(name: Column, banned: list[str] | None = None) -> Column:
 
 def candidate_name(name: Column, banned: list[str] | None = None) -> Column:
     """Whether a listed name may be a candidate."""
-    bare = F.trim(name)
+    bare = tx.strip(name)
     good = F.length(bare).between(2, 35) & ~bare.rlike(r"(?i)http|www\.|github\.com")
     return good & ~bare.isin(banned) if banned else good
 
@@ -172,7 +172,7 @@ def file_report(lines: DataFrame, events: DataFrame) -> DataFrame:
 
     lines: source_file, raw (every non-blank line); events: source_file, category.
     """
-    bad = F.try_parse_json("raw").isNull() | ~F.trim("raw").startswith("{")
+    bad = F.try_parse_json("raw").isNull() | ~tx.strip(F.col("raw")).startswith("{")
     read = lines.groupBy("source_file").agg(F.count(F.lit(1)).alias("n_lines"), F.count_if(bad).alias("n_bad"))
     made = events.groupBy("source_file").agg(F.count(F.lit(1)).alias("n_events"), F.count_if(F.col("category") == "CODE_WRITE").alias("n_code_writes"))
     both = read.join(made, "source_file", "left").na.fill(0, ["n_events", "n_code_writes"])

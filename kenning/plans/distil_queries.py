@@ -100,7 +100,8 @@ def experience_numbers(spark, sf_dir) -> DataFrame:
     return distil.number_experiences(annotated(spark, sf_dir).filter("outcome_label = 'failure'"), ["turn_index"]).select("exp_id", "event_id")
 
 
-LOW = "length(trim(line)) < 6 OR regexp_matches(trim(line), '^(?:" + "|".join(f"(?:{p})" for p in facts.NOISE) + ")') OR (length(trim(line)) > 50 AND length(line) - length(replace(line, '<', '')) > 3 AND length(line) - length(replace(line, '>', '')) > 3)"
+BARE = "regexp_replace(line, '^\\s+|\\s+$', '', 'g')"
+LOW = f"length({BARE}) < 6 OR regexp_matches({BARE}, '^(?:" + "|".join(f"(?:{p})" for p in facts.NOISE) + f")') OR (length({BARE}) > 50 AND length(line) - length(replace(line, '<', '')) > 3 AND length(line) - length(replace(line, '>', '')) > 3)"
 
 
 @query(f"""WITH li AS (SELECT 'p' || page_id AS id, unnest(string_split(html, chr(10))) AS line FROM pages UNION ALL SELECT 'd' || doc_id, unnest(string_split(text, chr(10))) FROM documents UNION ALL SELECT 'e' || event_id, props FROM events)

@@ -444,6 +444,9 @@ def candidate_merge(spark, sf_dir) -> DataFrame:
     return merged.join(rows.groupBy("name").agg(F.min("first").alias("first"), F.sum("k").alias("n")), "name").select("name", "first", "sources", "n")
 
 
-@query("SELECT doc_id, soft FROM (SELECT doc_id, CASE WHEN length(text) <= 200 THEN text WHEN cut > 100 THEN substr(text, 1, cut) ELSE substr(text, 1, 200) END AS soft FROM (SELECT doc_id, text, 200 - CASE WHEN strpos(reverse(h), '.') = 0 AND strpos(reverse(h), chr(10)) = 0 THEN 200 WHEN strpos(reverse(h), '.') = 0 THEN strpos(reverse(h), chr(10)) WHEN strpos(reverse(h), chr(10)) = 0 THEN strpos(reverse(h), '.') ELSE least(strpos(reverse(h), '.'), strpos(reverse(h), chr(10))) END + 1 AS cut FROM (SELECT doc_id, text, substr(text, 1, 200) AS h FROM documents)))")
+_LAST = [f"CASE WHEN strpos(reverse(h), '{mark}') BETWEEN 1 AND length(h) - 101 THEN substr(h, 1, length(h) - strpos(reverse(h), '{mark}') + 1) END" for mark in ("。", "！", "？", ".", "!", "?")]
+
+
+@query(f"SELECT doc_id, CASE WHEN length(text) <= 200 THEN text ELSE coalesce({', '.join(_LAST)}, h) END AS soft FROM (SELECT doc_id, text, substr(text, 1, 200) AS h FROM documents)")
 def soft_truncate(spark, sf_dir) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", tx.soft_truncate(F.col("text"), 200).alias("soft"))

@@ -216,10 +216,22 @@ def phase_summaries(spark, sf_dir) -> DataFrame:
     return history.summaries(rows, history.EXPLOITING, 12, True)
 
 
-@query("SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 'apt-get install -y nmap' WHEN 1 THEN 'apt-get install -y hydra' END AS hint, CASE doc_id % 4 WHEN 0 THEN 'Apache' WHEN 1 THEN 'Nginx/PHP' WHEN 2 THEN 'mongo-express' ELSE 'Log4j' END AS family, CASE doc_id % 4 WHEN 0 THEN 7 WHEN 1 THEN 3 END AS run FROM documents")
+_TOOLS = sorted(history.INSTALL)
+_ENDS = ["", *history.ACTION_WORDS]
+_HINTS = " ".join(f"WHEN '{name}' THEN '{hint}'" for name, hint in history.INSTALL.items())
+
+
+@query(f"""WITH t AS (SELECT doc_id, {pick(f"doc_id % {len(_TOOLS)}", _TOOLS)} AS known, {pick(f"doc_id % {len(_ENDS)}", _ENDS)} AS ending FROM documents)
+SELECT doc_id, CASE WHEN doc_id % 5 < 4 THEN CASE known {_HINTS} END END AS hint, CASE doc_id % 4 WHEN 0 THEN 'Apache' WHEN 1 THEN 'Nginx/PHP' WHEN 2 THEN 'mongo-express' ELSE 'Log4j' END AS family, CASE doc_id % 4 WHEN 0 THEN 7 + doc_id % 9 WHEN 1 THEN 3 END AS run FROM t""")
 def remedies_and_families(spark, sf_dir) -> DataFrame:
+    """Every tool of the table with every ending, by its own name, or by a name that the evidence quotes, or neither."""
     v = lambda *values: F.expr(pick("doc_id % 4", list(values)))
-    d = table(spark, sf_dir, "documents").select("doc_id", v("Nmap_scan", "tool", "x", "").alias("tool"), v("", 'no "hydra" here', "none", "").alias("evidence"), v("Apache Struts", "nginx 1.2", "Mongo-Express", "Log4j Core").alias("service"), v("a_Run7.jsonl", "b.jsonl", "c.jsonl", "").alias("file"), v("第 1 / 3 次", "第 3 / 5 次", "", "").alias("told"))
+    known, ending = F.expr(pick(f"doc_id % {len(_TOOLS)}", _TOOLS)), F.expr(pick(f"doc_id % {len(_ENDS)}", _ENDS))
+    way = F.col("doc_id") % 5
+    tool = F.when(way < 3, F.initcap(F.concat(known, ending))).otherwise("odd tool")
+    evidence = F.when(way == 3, F.concat(F.lit('no "'), known, F.lit('" here'))).otherwise("nothing 'Other' named")
+    file = F.when(F.col("doc_id") % 4 == 0, F.concat(F.lit("a_Run"), (7 + F.col("doc_id") % 9).cast("string"), F.lit(".jsonl"))).otherwise("b.jsonl")
+    d = table(spark, sf_dir, "documents").select("doc_id", tool.alias("tool"), evidence.alias("evidence"), v("Apache Struts", "nginx 1.2", "Mongo-Express", "Log4j Core").alias("service"), file.alias("file"), v("第 1 / 3 次", "第 3 / 5 次", "", "").alias("told"))
     return d.select("doc_id", history.install_hint(F.col("tool"), F.col("evidence")).alias("hint"), history.service_family(F.col("service")).alias("family"), history.run_id(F.col("file"), F.col("told")).alias("run"))
 
 

@@ -209,7 +209,7 @@ def register(name: str, reader: Callable[..., DataFrame]) -> None:
     READERS[name] = reader
 
 
-def sniff(spark: SparkSession, path: str) -> DataFrame:
+def sniff(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """source_file, dialect: the first of native, callbacks, run_steps that fits, else generic."""
     whole = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("source_file"), "value")
     head = F.slice(F.filter(F.split("value", r"\r?\n"), lambda x: F.trim(x) != ""), 1, 15)
@@ -219,7 +219,7 @@ def sniff(spark: SparkSession, path: str) -> DataFrame:
     return whole.select("source_file", F.when(F.coalesce(starts, F.lit(False)), "native").when(F.coalesce(calls, F.lit(False)), "callbacks").when(steps, "run_steps").otherwise("generic").alias("dialect"))
 
 
-def read(spark: SparkSession, path: str) -> DataFrame:
+def read(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Events of a folder of mixed logs: each file by the reader of its dialect. File names, not contents, reach the driver."""
     out = None
     by: dict[str, list[str]] = {}

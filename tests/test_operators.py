@@ -59,6 +59,7 @@ def test_text_functions(spark):
     assert one(spark, tx.cves_loose(F.col("t")), t="cve_2021 44228, CVE-2017-5638 cve20215555") == ["CVE-2017-5638", "CVE-2021-44228", "CVE-2021-5555"]
     assert [one(spark, tx.version_family(F.col("t")), t=t) for t in ("10.3.6.0", "2.0", "7", "", " 1.2 ")] == ["10.3.x", "2.0.x", "", "", "1.2.x"]
     assert one(spark, tx.soft_truncate(F.col("t"), 10), t="abcdefg. hijk") == "abcdefg." and one(spark, tx.soft_truncate(F.col("t"), 10), t="a. cdefghijk") == "a. cdefghi"
+    assert one(spark, tx.soft_truncate(F.col("t"), 10), t="一二三四五六七。a.b." * 2) == "一二三四五六七。" and one(spark, tx.soft_truncate(F.col("t"), 10), t="。bcdefg!?xyz") == "。bcdefg!"
     assert abs(one(spark, tx.jaccard(tx.tokens(F.col("a")), tx.tokens(F.col("b"))), a="run scan port", b="scan port host deep") - 0.4) < 1e-9
     assert one(spark, tx.strip_html(F.col("t")), t="<p>a&amp;b<script>x<y</script><!-- c --> d</p>") == "a&b d"
     assert one(spark, tx.collapse(F.col("t"), 5), t=" a  b\ncdefg") == "a b c..."
