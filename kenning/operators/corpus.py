@@ -88,8 +88,9 @@ def score_gate(total: Column) -> Column:
 
 def merge_candidates(channels: DataFrame) -> DataFrame:
     """Candidates by name with their sources joined in order of first appearance: name, source, ord."""
+    per = channels.groupBy("name", "source").agg(F.min("ord").alias("ord"), F.count(F.lit(1)).alias("n"))
     ordered = F.array_sort(F.collect_list(F.struct("ord", "source")))
-    return channels.groupBy("name").agg(F.min("ord").alias("first"), F.array_join(F.array_distinct(F.transform(ordered, lambda x: x["source"])), "+").alias("sources"), F.count(F.lit(1)).alias("n"))
+    return per.groupBy("name").agg(F.min("ord").alias("first"), F.array_join(F.transform(ordered, lambda x: x["source"]), "+").alias("sources"), F.sum("n").alias("n"))
 
 
 # Words that speak for a candidate (the first group that fits adds its points once), and trust by source.

@@ -145,14 +145,19 @@ def threshold(layer: Column) -> Column:
 
 
 def rollup(clustered: DataFrame) -> DataFrame:
-    """Per cluster: size, sessions, CVE union, its version if there is only one, and whether it may be fused."""
-    return clustered.groupBy("cluster_id", "key_layer", "key_service", "key_sub").agg(
+    """Per cluster: size, sessions, CVE union, its version if there is only one, and whether it may be fused.
+
+    CVEs are made distinct as rows before they are gathered.
+    """
+    key = ["cluster_id", "key_layer", "key_service", "key_sub"]
+    union = clustered.select("cluster_id", F.explode("cves").alias("cve")).distinct().groupBy("cluster_id").agg(F.array_join(F.array_sort(F.collect_list("cve")), ",").alias("cve_union"))
+    per = clustered.groupBy(*key).agg(
         F.count(F.lit(1)).alias("n_members"),
         F.count_distinct("session_id").alias("n_sessions"),
-        F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_set("cves")))), ",").alias("cve_union"),
         F.when(F.count_distinct(F.nullif("family", F.lit(""))) == 1, F.max(F.nullif("family", F.lit("")))).otherwise("").alias("version"),
         (F.count(F.lit(1)) >= F.max(threshold(F.col("key_layer")))).alias("fusable"),
     )
+    return per.join(union, "cluster_id", "left").withColumn("cve_union", F.coalesce("cve_union", F.lit(""))).select(*key, "n_members", "n_sessions", "cve_union", "version", "fusable")
 
 
 def raw_weight() -> Column:

@@ -107,12 +107,17 @@ def negative(then: DataFrame, avoid: DataFrame, members: DataFrame | None = None
 
 
 def factual(facts: DataFrame) -> DataFrame:
-    """Per (cluster_id, key, value): members, weight, their ids; heavier facts first by rank. facts: + key, value."""
-    grouped = facts.groupBy("cluster_id", "key", "value").agg(F.count_distinct("exp_id").alias("n"), F.round(F.sum(F.round("weight", 4)), 4).alias("support"), F.array_join(F.array_sort(F.collect_set("exp_id")), ",").alias("ids"))
+    """Per (cluster_id, key, value): how many members have it, its weight, the first of them; heavier facts first by rank. facts: + key, value."""
+    grouped = facts.groupBy("cluster_id", "key", "value").agg(F.count_distinct("exp_id").alias("n"), F.round(F.sum(F.round("weight", 4)), 4).alias("support"), F.min("exp_id").alias("first_id"))
     w = Window.partitionBy("cluster_id").orderBy(F.desc("support"), "key", "value")
     return grouped.withColumn("rank", F.row_number().over(w))
 
 
+def fact_sources(facts: DataFrame) -> DataFrame:
+    """cluster_id, key, value, exp_id: which members have a fact, a row each."""
+    return facts.select("cluster_id", "key", "value", "exp_id").distinct()
+
+
 def fingerprint(lesson: Column) -> Column:
     """What two lessons must share to be one: the label before a colon, else the first characters, folded by SAME_LESSON."""
     labels = [F.trim(F.substring_index(lesson, mark, 1)) for mark in SEPARATORS]

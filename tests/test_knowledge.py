@@ -4,8 +4,8 @@ import json
 
 from pyspark.sql import functions as F
 
-from kenning.operators import corpus, evaluate, reflux, services
-from kenning.plans import settings
+from kenning.operators import corpus, evaluate, govern, records, reflux, services
+from kenning.plans import maintenance, settings
 
 REGISTRY = "exp_id long, layer string, service string, cves array<string>, version string, session_id string, confidence double, outcome string, maturity string, age_days int, lifecycle string, max_turn int, dimension string, sub_dimension string, phase string, text string, refluxed boolean"
 
@@ -82,3 +82,51 @@ def test_union_precedence_has_every_document(spark):
     documents = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     out = __spark_entry__.queries()["union_precedence_whole"](spark, "/root/testdata/sf0.001")
     assert documents.join(out, "doc_id", "left_anti").count() == 0
+
+
+def test_daily_maintenance(spark):
+    registry = spark.createDataFrame([row(i, text=f"text {i}") for i in range(1, 5)] + [row(9, service="db", text="old")], REGISTRY)
+    registry = registry.withColumn("age_days", F.when(F.col("exp_id") == 9, 5000).otherwise(F.col("age_days")).cast(registry.schema["age_days"].dataType))
+    queue = spark.createDataFrame([(1, "P1", "pending", 1, None), (2, "P1", "processing", 2, "2024-01-01 00:00:00"), (3, "P1", "processing", 3, "2024-01-01 23:30:00")], "gap_id long, priority string, status string, arrival long, started string").withColumn("started", F.col("started").cast("timestamp"))
+    tables, state = maintenance.daily(spark, registry, queue, F.lit("2024-01-02 00:00:00").cast("timestamp"), 1)
+    assert {r.status for r in state.collect()} == {"done"}, state.collect()
+    assert {r.exp_id: r.lifecycle for r in tables["suspended"].collect()}[9] == "suspended"
+    assert {r.gap_id: r.status for r in tables["queue_after"].collect()} == {1: "processing", 2: "pending", 3: "processing"}
+    assert tables["recalibrated"].count() == 5
+
+
+def test_stream_of_finished_sessions(spark, tmp_path):
+    """Sessions one by one through the stream leave the registry that one call after the other leaves."""
+    registry = spark.createDataFrame([row(1, text="scan port host"), row(2), row(9, service="db", text="you should try scan port now")], REGISTRY)
+    fresh = spark.createDataFrame([row(3), row(7, layer="PROCEDURAL_NEG", service="db", dimension="ENV", sub_dimension="X", outcome="failure", text="try scan port now")], REGISTRY)
+    path = f"file://{tmp_path}/registry"
+    govern.swap_in(registry, path)
+    fresh.coalesce(1).write.parquet(f"{tmp_path}/in")
+    maintenance.on_sessions(spark.readStream.schema(fresh.schema).parquet(f"{tmp_path}/in"), path, f"{tmp_path}/ck", f"{tmp_path}/conflicts").awaitTermination()
+    got = {r.exp_id: r.lifecycle for r in govern.current(spark, path).collect()}
+    assert got == {r.exp_id: r.lifecycle for r in reflux.on_session(registry, fresh)[0].collect()}
+    assert spark.read.parquet(f"{tmp_path}/conflicts").count() == 1
+
+
+def test_sources_fail_alone(spark):
+    def broken():
+        raise OSError("no route")
+
+    rows, told = records.collect(spark, {"a": lambda: spark.createDataFrame([("x",)], "title string"), "b": broken}, "title string")
+    assert [tuple(r) for r in rows.collect()] == [("a", "x")] and {(r.source, r.status, r.n) for r in told.collect()} == {("a", "ok", 1), ("b", "failed", 0)}
+
+
+def test_records(spark):
+    rows = spark.createDataFrame([("e1", None, 0.5), ("e2", "validated", None), (None, "raw", 0.1)], "exp_id string, maturity string, confidence double")
+    out = {r.exp_id: (r.maturity, r.confidence, r.knowledge_layer, r.extraction_source) for r in records.with_defaults(rows).collect()}
+    assert out["e1"] == ("raw", 0.5, "FACTUAL", "rule") and out["e2"] == ("validated", 0.7, "FACTUAL", "rule")
+    kept = records.whole_records(rows, ["exp_id", "confidence", "provenance"], ["exp_id", "confidence"])
+    assert [tuple(r) for r in kept.collect()] == [("e1", 0.5, None)]
+    labels = spark.createDataFrame([("success",), ("partial_success",), ("odd",), (None,)], "l string")
+    got = labels.select(*[c.alias(n) for n, c in records.settled_outcome(F.col("l")).items()]).collect()
+    assert [tuple(r) for r in got] == [("success", True, True), ("partial_success", False, True), ("failure", False, False), ("failure", False, False)]
+    text = spark.range(1).select(records.retrieval_text(F.lit("e"), F.lit("L"), F.lit("c"), F.create_map(F.lit("tags"), F.lit("t"), F.lit("source_event_ids"), F.lit("1")), F.lit(0.5)).alias("x")).first().x
+    assert json.loads(text) == {"exp_id": "e", "knowledge_layer": "L", "content": "c", "metadata": {"tags": "t"}, "confidence": 0.5}
+    dates = spark.createDataFrame([("2024-01-02T03:04:05",), ("never",), (None,)], "d string").select(records.date_or_epoch(F.col("d")).cast("string").alias("d")).collect()
+    assert [r.d for r in dates] == ["2024-01-02 03:04:05", "1970-01-01 00:00:00", "1970-01-01 00:00:00"]
+    assert [r.ok for r in spark.createDataFrame([("x",), ("ok name",), ("see github.com/x",)], "n string").select(records.candidate_name(F.col("n")).alias("ok")).collect()] == [False, True, False]
