@@ -45,7 +45,7 @@ SECRET = r"(?i)^(?:[0-9a-f]{32,}|(?=[a-z_-]*[0-9])(?=[0-9_-]*[a-z])[a-z0-9_-]{40
 TOKEN = r"[A-Za-z]+|[0-9]+|[^\x00-\x7F]+|\S"
 #: How many tokens before a place a pattern has.
 SIZES = (2, 3)
-#: Most different last tokens of patterns that are listed in a filter.
+#: Most patterns that are listed in a filter; more are joined.
 LISTED = 500
 #: Matches whose places are summed up at a time.
 RUN = 128
@@ -164,14 +164,20 @@ def _instances(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def _occurrences(docs: DataFrame, text_col: str, patterns: DataFrame) -> DataFrame:
     """pattern, total: how often each of the patterns (pattern, last: its last token) occurs in all texts, followed by anything or nothing.
 
-    If the patterns end in few different tokens, places after others are skipped before anything is hashed.
+    Up to LISTED patterns are a list in a filter: places after other tokens than their last ones are skipped before
+    anything is hashed. More are joined. Either way a place of a text gives a row for each size at most.
     """
-    most, ends = max(SIZES), [r[0] for r in patterns.select("last").distinct().limit(LISTED + 1).collect()]
+    most, listed = max(SIZES), patterns.select("pattern", "last").limit(LISTED + 1).collect()
+    few = len(listed) <= LISTED
     raw = docs.select(_tokens(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("raw"))
     shifted = [F.concat(F.array_repeat(F.lit(None).cast("string"), k), F.col("raw")).alias(f"t{k}") for k in range(most - 1, -1, -1)]
-    each = raw.select(F.explode(F.arrays_zip(*shifted)).alias("w")).filter(F.col("w.t0").isin(ends) if len(ends) <= LISTED else F.col("w.t0").isNotNull())
+    each = raw.select(F.explode(F.arrays_zip(*shifted)).alias("w")).filter(F.col("w.t0").isin(sorted({r["last"] for r in listed})) if few else F.col("w.t0").isNotNull())
     hashed = each.select(F.explode(F.array(*[_pattern([F.col(f"w.t{k}") for k in range(n - 1, -1, -1)]) for n in SIZES])).alias("found"))
-    return hashed.join(checked_broadcast(patterns), F.col("found") == F.col("pattern")).groupBy("pattern").agg(F.count(F.lit(1)).alias("total"))
+    if few:
+        hits = hashed.filter(F.col("found").isin([r["pattern"] for r in listed])).withColumnRenamed("found", "pattern")
+    else:
+        hits = hashed.join(checked_broadcast(patterns), F.col("found") == F.col("pattern")).select("pattern")
+    return hits.groupBy("pattern").agg(F.count(F.lit(1)).alias("total"))
 
 
 def discover(docs: DataFrame, found: DataFrame, text_col: str = "text", rounds: int = 3, support: int = 5, confidence: float = 0.5) -> DataFrame:
