@@ -131,8 +131,9 @@ def test_near_copies_against_brute_force(spark, monkeypatch):
     pairs = [(i, j, len(a & b) / len(a | b)) for (i, a), (j, b) in itertools.combinations(enumerate(sets), 2) if a & b]
     want = set(components(range(len(texts)), [(i, j) for i, j, x in pairs if x >= 0.8]).values())
     assert sum(0.8 <= x < 0.84 for *_, x in pairs) > 50 and sum(0.5 < x < 0.8 for *_, x in pairs) > 500
-    for chunk, hot in ((128, 4096), (3, 16)):  # also with every group and hot shingle cut into chunks
-        monkeypatch.setattr(simhash, "CHUNK", chunk)
+    for rows, block, hot in ((1024, 1024, 4096), (2, 3, 16)):  # also with every group taken as a large one and bands joined as a whole
+        monkeypatch.setattr(simhash, "GROUP_ROWS", rows)
+        monkeypatch.setattr(simhash, "BLOCK_ROWS", block)
         monkeypatch.setattr(simhash, "HOT", hot)
         got = {r.doc_id for r in simhash.drop_near_copies(frame(spark, texts)).collect()}
         assert got == want, (len(want - got), len(got - want))
@@ -220,7 +221,7 @@ def test_banded_alignment():
         for _ in range(rng.randint(0, 5)):
             q[rng.randrange(len(q))] = rng.choice(b"abc")
         t = b"ca" + bytes(q) + b"b"
-        want, got = plain_distance(p, t), decontam.edit_distance_within(p, t, 6)
+        want, got = plain_distance(p, t), decontam.edit_distance_within(np.frombuffer(p, np.uint8), np.frombuffer(t, np.uint8), 6)
         assert got[0] == want if want <= 6 else got[0] > 6
         if want <= 6:
             assert plain_distance(p, t[got[1] : got[2]]) == want
@@ -246,27 +247,65 @@ def test_decontamination(spark):
 
 def test_every_quote_of_the_stated_length_is_found():
     rng = random.Random(20)
-    items = [words(rng, n).encode() for n in (16, 25, 40, 60, 140)]
+    items = [words(rng, n) for n in (16, 25, 40, 60, 140)]
     block = decontam.Block([(i, p) for i, t in enumerate(items) for p in decontam.passages(t)])
     least = decontam.QUOTE + decontam.STRIDE - 1
     for i, t in enumerate(items):
         for at in range(0, len(t) - least + 1):
-            text = f"{words(rng, 8)} ".encode() + t[at : at + least] + b" zz " + words(rng, 8).encode()
-            assert {x for x, _ in block.search(text)} == {i}, (i, at)
+            text = f"{words(rng, 8)} {t[at : at + least]} zz {words(rng, 8)}"
+            assert {x for x, _ in block.search(text.encode())} == {i}, (i, at)
     assert not list(block.search(words(rng, 2000).encode()))
 
 
 def test_stated_edit_rate_holds_at_every_length():
+    """Edits of characters, of one byte or several, spread as evenly as can be: the worst case for grams."""
     rng = random.Random(21)
-    for m in [*range(12, 140), 200, 240]:
-        item = bytes(rng.choice(b"abcdefghijklmnop") for _ in range(m))
-        block, k = decontam.Block([(7, item)]), int(m * 0.07)
-        for _ in range(4):
-            copy = bytearray(item)
-            for j in range(k):  # spread as evenly as can be: the worst case for grams
-                copy[(2 * j + 1) * m // (2 * k)] = rng.choice(b"XYZ") + 32
-            found = list(block.search(b"some words " + bytes(copy) + b" and more"))
-            assert found and found[0][0] == 7 and found[0][1] <= k, (m, k)
+    for alphabet in ("abcdefghijklmnop", "aàâeéèêiîoôuûçœß"):
+        for m in [*range(12, 140), 200, 240]:
+            item = "".join(rng.choice(alphabet) for _ in range(m))
+            block, k = decontam.Block([(7, item)]), int(m * 0.07)
+            for _ in range(4):
+                copy = list(item)
+                for j in range(k):
+                    copy[(2 * j + 1) * m // (2 * k)] = rng.choice("xyzž日")
+                found = list(block.search(f"some words {''.join(copy)} and more".encode()))
+                assert found and found[0][0] == 7 and found[0][1] <= k, (m, k)
+
+
+def test_found_passages_against_brute_force():
+    """Every passage within its budget of some region, with its least distance, and no other."""
+    rng = random.Random(22)
+    items = [" ".join("".join(rng.choice("abcé") for _ in range(rng.randint(2, 5))) for _ in range(rng.randint(4, 14))) for _ in range(12)]
+    block = decontam.Block(list(enumerate(items)))
+    hits = 0
+    for _ in range(60):
+        copy = list(rng.choice(items))
+        for _ in range(rng.randint(0, 5)):
+            at = rng.randrange(len(copy))
+            copy[at : at + rng.randint(0, 1)] = rng.choice(["", "z", "bé"])
+        text = " ".join(f"{words(rng, 4)} {''.join(copy)} {words(rng, 3)}".split())
+        want = {}
+        for i, t in enumerate(items):
+            if len(t) >= decontam.Q and (d := plain_distance(t, text)) <= decontam.edits_allowed(len(t)):
+                want[i] = d
+        got = {}
+        for i, d in block.search(text.encode()):
+            got[i] = min(d, got.get(i, 99))
+        assert {i: d for i, d in got.items() if len(items[i]) >= decontam.Q} == want
+        hits += len(want)
+    assert hits > 20
+
+
+def test_long_and_periodic_texts_are_searched_in_bounded_memory(monkeypatch):
+    monkeypatch.setattr(decontam, "SLICE", 5000)
+    monkeypatch.setattr(decontam, "REGION", 2000)
+    rng = random.Random(23)
+    block = decontam.Block([(1, "a" * 240), (2, "ab cd " * 20 + "x"), (3, "no such passage at all here")])
+    assert {i for i, _ in block.search(b"a" * 20_000)} == {1}
+    assert {i for i, _ in block.search(b"ab cd " * 3000 + b"ab cd x")} == {2}
+    assert {i for i, _ in block.search(b"ab cd " * 3000)} <= {2}
+    text = f"{words(rng, 30_000)} {'a' * 240} {words(rng, 30_000)}"
+    assert {i for i, _ in block.search(text.encode())} == {1}
 
 
 def plain_pii(t):
@@ -287,7 +326,8 @@ def plain_pii(t):
 
 def test_pii_base(spark):
     rng = random.Random(11)
-    texts = ["a@b.c%x@d.e.f", "+1 (652) 555-5229 x 4111 1111 1111 1111 and 1.2.3.4.5.6.7.8 300.1.1.1 a.b@c", "é🙂 x@y.zz é +12345678901234 4111-1111-1111-1111,4111111111111112", "a" * 3000 + "@" + "b" * 3000 + ".c", "1 " * 4000, "", None, "1.2.3.4@x.y 00012.1.1.1", "x@y.z@w.v a--@-.-"]
+    texts = ["a@b.c%x@d.e.f", "+1 (652) 555-5229 x 4111 1111 1111 1111 and 1.2.3.4.5.6.7.8 300.1.1.1 a.b@c", "é🙂 x@y.zz é +12345678901234 4111-1111-1111-1111,4111111111111112", "a" * 3000 + "@" + "b" * 3000 + ".c", "1 " * 4000, "", None, "1.2.3.4@x.y 00012.1.1.1", "x@y.z@w.v a--@-.-", "10.0.0.7 0.0.0.0 192.168.0.255 1.256.0.1 00.000.010.0255 1.2.3.0300"]
+    texts += [".".join(str(rng.choice([0, 1, 9, 10, 99, 100, 199, 200, 249, 250, 255, 256, 300, "00", "007"])) for _ in range(rng.randint(3, 9))) for _ in range(100)]
     texts += ["".join(rng.choice("01 -.@+ab(){}\n") for _ in range(200)) for _ in range(150)]
     out = {r.doc_id: r for r in pii.find(frame(spark, texts)).collect()}
     for i, t in enumerate(texts):
