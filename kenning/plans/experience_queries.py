@@ -72,10 +72,14 @@ def connected_components(spark, sf_dir) -> DataFrame:
     return clustered(spark, sf_dir).select("exp_id", "cluster")
 
 
-@query(ROWS.replace("FROM vk WHERE lifecycle = 'active')", "FROM vk WHERE lifecycle = 'active' AND len(cves) > 0 AND family <> '')").replace("JOIN cs ON cs.sig = sn.sig WHERE lifecycle = 'active'", "JOIN cs ON cs.sig = sn.sig WHERE lifecycle = 'active' AND len(vk.cves) > 0 AND vk.family <> ''") + "SELECT exp_id, cluster FROM cm")
+@query(ROWS.replace("FROM vk WHERE lifecycle = 'active')", "FROM vk WHERE lifecycle = 'active' AND len(cves) > 0 AND family <> '')").replace("JOIN cs ON cs.sig = sn.sig WHERE lifecycle = 'active'", "JOIN cs ON cs.sig = sn.sig WHERE lifecycle = 'active' AND len(vk.cves) > 0 AND vk.family <> ''") + "SELECT exp_id, cluster FROM cm UNION ALL SELECT exp_id, exp_id FROM vx WHERE lifecycle = 'active' AND (len(cves) = 0 OR family = '')")
 def connected_components_strict(spark, sf_dir) -> DataFrame:
-    df = fusion.clusters(strict(experiences(spark, sf_dir)))
-    return df.select("exp_id", F.min("exp_id").over(Window.partitionBy("cluster_id")).alias("cluster"))
+    """Clusters where a row without CVEs or version is linked to none and stays alone."""
+    rows = experiences(spark, sf_dir)
+    df = fusion.clusters(strict(rows))
+    linked = df.select("exp_id", F.min("exp_id").over(Window.partitionBy("cluster_id")).alias("cluster"))
+    alone = rows.filter("lifecycle = 'active'").join(strict(rows).select("exp_id"), "exp_id", "left_anti")
+    return linked.union(alone.select("exp_id", "exp_id"))
 
 
 @query(ROWS + "SELECT cluster, count(*) AS n_members, count(DISTINCT session_id) AS n_sessions, array_to_string(list_sort(list_distinct(flatten(list(cves)))), ',') AS cve_union, CASE WHEN count(DISTINCT nullif(family, '')) = 1 THEN max(nullif(family, '')) ELSE '' END AS version, count(*) >= CASE WHEN max(layer) = 'CONCEPTUAL' THEN 2 ELSE 3 END AS fusable FROM cm GROUP BY cluster")

@@ -71,12 +71,17 @@ class LogReader(DataSourceReader):
 
 
 def _lines(stream) -> Iterator[bytes]:
-    rest = b""
+    """Lines of a stream; the pieces of a line that spans blocks are joined once."""
+    rest: list[bytes] = []
     while block := stream.read(1 << 20):
-        *whole, rest = (rest + block).split(b"\n")
-        yield from whole
-    if rest:
-        yield rest
+        first, *others = block.split(b"\n")
+        rest.append(first)
+        if others:
+            yield b"".join(rest)
+            yield from others[:-1]
+            rest = [others[-1]]
+    if any(rest):
+        yield b"".join(rest)
 
 
 def _is_json(text: str) -> bool:

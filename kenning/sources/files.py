@@ -36,5 +36,12 @@ def write_sessions(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("session_id").parquet(path)
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+def write_csv(df: DataFrame, path: str, mark: bool = False) -> None:
+    """CSV with a header in every file; mark: the header starts with a byte order mark, which spreadsheets ask for."""
+    marked = df.withColumnRenamed(df.columns[0], "\ufeff" + df.columns[0]) if mark else df
+    marked.write.mode("overwrite").option("header", True).csv(path)
+
+
+def write_json(df: DataFrame, path: str, key: str) -> None:
+    """A JSON file for each value of key, in a folder of its own, each row an object on one line."""
+    df.repartition(key).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key).json(path)

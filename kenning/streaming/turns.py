@@ -40,8 +40,9 @@ def build(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Ite
 def stream_turns(lines: DataFrame, quiet_ms: int = 0) -> DataFrame:
     """Closed turns of a stream with source_file, line_no, kind.
 
-    With quiet_ms a file that stays silent that long closes its open turn. Such a query never runs out of batches, so
-    it doesn't go with a trigger that ends when the input does.
+    With quiet_ms a file that stays silent that long closes its open turn and its state goes: what a stream without end
+    asks for. Such a query never runs out of batches, so it doesn't go with a trigger that ends when the input does;
+    without quiet_ms state stays as long as the query, a few numbers a file.
     """
 
     def timed(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:

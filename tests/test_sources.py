@@ -92,3 +92,25 @@ def test_line_source(spark, tmp_path):
     assert rows.filter("source_file LIKE '%b.jsonl'").count() == 10_000
     assert spark.read.format("agent_lines").load(str(tmp_path / "a.jsonl")).count() == 2
     assert spark.read.format("agent_lines").load(str(tmp_path / "nothing")).count() == 0
+
+
+def test_lines_of_any_length():
+    """Lines over many blocks, at block ends, and without a last line break."""
+    import io
+
+    from kenning.sources.datasource import _lines
+
+    for lines in ([b"a" * 3_000_000, b"b"], [b"x" * ((1 << 20) - 1), b"y"], [b"x" * (1 << 20), b"", b"y"], [b"one"], []):
+        for tail in (b"", b"\n"):
+            text = b"\n".join(lines) + (tail if lines else b"")
+            assert list(_lines(io.BytesIO(text))) == lines
+
+
+def test_marked_csv(spark, tmp_path):
+    from kenning.sources import files
+
+    files.write_csv(spark.createDataFrame([(1, "é")], "a int, b string"), str(tmp_path / "c"), mark=True)
+    text = next((tmp_path / "c").glob("*.csv")).read_bytes()
+    assert text == "﻿a,b\n1,é\n".encode()
+    files.write_json(spark.createDataFrame([("s1", 1), ("s2", 2)], "session_id string, n int"), str(tmp_path / "j"), "session_id")
+    assert spark.read.json(str(tmp_path / "j")).count() == 2 and (tmp_path / "j" / "session_id=s1").is_dir()
