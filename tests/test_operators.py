@@ -201,7 +201,7 @@ def test_facts(spark):
     assert told(spark, "/admin (Status: 301)\nFound x /login\n/admin [200", command="gobuster dir") == [("accessible_path", "/login"), ("accessible_path", "/admin")]
     text = "Disk$ | share | x |\nCVE-2021-44228 is exploitable\n" + "." * 300 + "\ncve-2017-5638 named\n+ /icons/: this is a finding of the scanner\n+ OSVDB-1: this is a reference and no finding\nnginx/1.18.0 Ubuntu/20.04 abcdef12/1.2 HTTP/1.1 tcp/8080 srv/8080\nsee http://h/lib/9.9\nserver: Apache\nX-Powered-By: PHP/7.4\nport 9000 is open"
     assert told(spark, text) == [("smb_share", "Disk$ | share | x |"), ("cve_confirmed", "CVE-2021-44228"), ("cve_mentioned", "CVE-2017-5638"), ("nikto_finding", "/icons/: this is a finding of the scanner"), ("service_version", "nginx/1.18.0"), ("service_version", "PHP/7.4"), ("http_header_server", "Apache"), ("http_header_x-powered-by", "PHP/7.4"), ("open_port_evidence", "9000")]
-    assert told(spark, "Loading modules\n\x1b[31mreached 127.0.0.1 and 10.1.2.3 there\x1b[0m\nmore") == [("output_summary", "reached {LOOPBACK} and {TARGET}.3 there")]
+    assert told(spark, "Loading modules\n\x1b[31mReached 127.0.0.1 and 10.1.2.3 there\x1b[0m\nmore") == [("output_summary", "Reached {LOOPBACK} and {TARGET}.3 there")]
     won = "uid=0(root)\nroot@box\nflag{abc}\n-rwsr-xr-x 1 root root 1 su\n/etc/shadow /etc/passwd\nroot:x:0:0:root:/root:/bin/sh\nann:x:1000:1000::/home/ann:/bin/sh\nroot:$6$x:1:0:\nLogin successful\nsudo: NOPASSWD"
     got = dict(told(spark, won, phase="EXPLOITATION"))
     assert list(got) == ["privilege_root", "shell_root", "flag_captured", "suid_binary", "file_shadow", "file_passwd", "file_read_passwd", "file_read_shadow", "auth_bypass", "sudo_nopasswd"]
