@@ -209,13 +209,27 @@ def register(name: str, reader: Callable[..., DataFrame]) -> None:
     READERS[name] = reader
 
 
+def registered() -> list[str]:
+    """Names of the dialects, in the order they were added."""
+    return list(READERS)
+
+
+def unregister(name: str | None = None) -> None:
+    """Take away a dialect, or all of them."""
+    READERS.clear() if name is None else READERS.pop(name, None)
+
+
 def sniff(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """source_file, dialect: the first of native, callbacks, run_steps that fits, else generic."""
     whole = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("source_file"), "value")
     head = F.slice(F.filter(F.split("value", r"\r?\n"), lambda x: F.trim(x) != ""), 1, 15)
-    starts = F.exists(F.slice(head, 1, 10), lambda x: F.get_json_object(x, "$.event") == "session_start")
+    # Of the first ten lines the first that is a session start or no object decides: an early broken line rejects.
+    tell = lambda x: F.when(~F.trim(x).startswith("{") | F.try_parse_json(x).isNull(), -1).when(F.get_json_object(x, "$.event") == "session_start", 1).otherwise(0)
+    starts = F.get(F.filter(F.transform(F.slice(F.split("value", r"\r?\n"), 1, 10), tell), lambda x: x != 0), F.lit(0)) == 1
     calls = F.exists(head, lambda x: F.get_json_object(x, "$.type").isin(CALLBACK_KINDS))
-    steps = F.substring("value", 1, 131072).rlike(r'"object"\s*:\s*"thread\.run\.step')
+    chunk = F.substring("value", 1, 131072)
+    weak = chunk.contains("thread.run.step") & chunk.contains('"step_details"') & F.try_parse_json(chunk).isNull()  # a cut-off file
+    steps = chunk.rlike(r'"object"\s*:\s*"thread\.run\.step') | weak
     return whole.select("source_file", F.when(F.coalesce(starts, F.lit(False)), "native").when(F.coalesce(calls, F.lit(False)), "callbacks").when(steps, "run_steps").otherwise("generic").alias("dialect"))
 
 

@@ -114,3 +114,17 @@ def test_marked_csv(spark, tmp_path):
     assert "﻿a,b\n1,é\n".encode() in texts and all(x.startswith("﻿a,b\n".encode()) for x in texts)
     files.write_json(spark.createDataFrame([("s1", 1), ("s2", 2)], "session_id string, n int"), str(tmp_path / "j"), "session_id")
     assert spark.read.json(str(tmp_path / "j")).count() == 2 and (tmp_path / "j" / "session_id=s1").is_dir()
+
+
+def test_sniffing_of_broken_starts(spark, tmp_path):
+    start, other = '{"event": "session_start", "session_id": "a"}', '{"event": "x"}'
+    cases = {"first": start, "later": f"{other}\n{start}", "broken": f"{{cut\n{start}", "blank": f"\n{start}", "late": f"{other}\n" * 10 + start, "list": f"[1]\n{start}", "weak": '[{"object": {"kind": "thread.run.step"}, "step_details": {"x": "' + "y" * 200_000 + '"}}]', "whole": '{"thread.run.step": 1, "step_details": 2}'}
+    for name, text in cases.items():
+        (tmp_path / f"{name}.jsonl").write_text(text)
+    found = {r.source_file.split("/")[-1][:-6]: r.dialect for r in logs.sniff(spark, str(tmp_path)).collect()}
+    assert found == {"first": "native", "later": "native", "broken": "generic", "blank": "generic", "late": "generic", "list": "generic", "weak": "run_steps", "whole": "generic"}
+    assert logs.registered() == ["native", "callbacks", "run_steps", "generic"]
+    reader = logs.READERS["generic"]
+    logs.register("mine", reader)
+    logs.unregister("mine")
+    assert "mine" not in logs.registered()
