@@ -77,7 +77,23 @@ g AS (SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) ||
   CAST(sum(until) FILTER (role = 'assistant' OR i = n) AS BIGINT) AS formatted_chars FROM s GROUP BY conv_id)
 SELECT conv_id, n_turns, turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars FROM g"""
 
+_WORDS = r"'[^\x20\x09-\x0D]+'"
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+OP9 = f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS t FROM documents),
+w AS (SELECT r, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM (SELECT r, regexp_extract_all(t, {_WORDS}) AS ws FROM d)),
+g AS (SELECT r, i, w || ' ' || lead(w) OVER o || ' ' || lead(w, 2) OVER o AS gram FROM w WINDOW o AS (PARTITION BY r ORDER BY i)),
+c AS (SELECT r, i, count(*) OVER (PARTITION BY r, gram) AS n FROM g WHERE gram IS NOT NULL),
+p AS (SELECT r, count(DISTINCT i + k) AS n_repeat_words FROM c, (SELECT unnest([0, 1, 2]) AS k) WHERE n > 1 GROUP BY r),
+b AS (SELECT r, count(*) AS n_words, CAST(sum(length(w)) AS BIGINT) AS word_chars FROM w GROUP BY r),
+l AS (SELECT r, source, t, line, array_to_string(regexp_extract_all(translate(line, '{_UPPER}', '{_UPPER.lower()}'), {_WORDS}), ' ') AS key, len(regexp_extract_all(line, {_WORDS})) AS words FROM (SELECT r, source, t, unnest(string_split(t, chr(10))) AS line FROM d)),
+f AS (SELECT source, key FROM l WHERE key <> '' GROUP BY source, key HAVING count(DISTINCT t) > {quality.MIN_DOCS}),
+q AS (SELECT l.r, count(*) FILTER (words > 0) - count(DISTINCT line) FILTER (words > 0) AS n_dup_lines, count(f.key) AS n_removed_lines, coalesce(sum(words) FILTER (f.key IS NOT NULL), 0) AS gone FROM l LEFT JOIN f ON l.key = f.key AND l.source IS NOT DISTINCT FROM f.source GROUP BY l.r),
+x AS (SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(word_chars, 0) AS word_chars, CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, n_removed_lines, CAST(coalesce(n_words, 0) - gone AS BIGINT) AS n_left_words
+  FROM d LEFT JOIN b USING (r) LEFT JOIN p USING (r) JOIN q USING (r)),
+y AS (SELECT *, n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM x)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND 2 * n_left_words >= n_words AS kept, n_removed_lines, n_left_words FROM y"""
+
 
 def oracle_sql() -> dict[str, str]:
     """The queries that DuckDB can express; the others are held against brute force in the tests."""
-    return {"op5_warc": OP5, "op10_chat_formatting": OP10}
+    return {"op5_warc": OP5, "op9_quality_rules": OP9, "op10_chat_formatting": OP10}
