@@ -11,8 +11,8 @@ from pyspark.sql import types as T
 
 #: Most bytes (estimated from the values) of a table that may be broadcast; beyond it the join shuffles.
 BROADCAST_BYTES = 32 << 20
-#: Cut points written and not yet released, by session.
-_written: dict[int, list[str]] = {}
+#: Cut points written and not yet released, by application.
+_written: dict[str, list[str]] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -29,7 +29,7 @@ def shared_dir(spark: SparkSession) -> str:
 def new_path(spark: SparkSession, what: str) -> str:
     """A fresh path in the shared folder, deleted by release()."""
     path = f"{shared_dir(spark)}/kenning/{what}-{uuid.uuid4().hex}"
-    _written.setdefault(id(spark), []).append(path)
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
     return path
 
 
@@ -50,7 +50,7 @@ def delete(spark: SparkSession, path: str) -> None:
 def drop_cut(df: DataFrame) -> None:
     """Delete the files of a frame that materialise() gave, when nothing will read it again."""
     spark = df.sparkSession
-    mine = _written.get(id(spark), [])
+    mine = _written.get(spark.sparkContext.applicationId, [])
     for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
         for path in [p for p in mine if p.rsplit("/", 1)[-1] == folder.rsplit("/", 1)[-1]]:
             mine.remove(path)
@@ -58,8 +58,8 @@ def drop_cut(df: DataFrame) -> None:
 
 
 def release(spark: SparkSession) -> None:
-    """Delete all cut points of the session: call it when the results that were read from them are written."""
-    for path in _written.pop(id(spark), []):
+    """Delete all cut points of the application: call it when the results that were read from them are written."""
+    for path in _written.pop(spark.sparkContext.applicationId, []):
         delete(spark, path)
 
 

@@ -102,3 +102,17 @@ def test_audit_and_stages(spark, tmp_path):
     assert [(r.stage, r.status) for r in report.stage_table(stages, state).collect()] == [("a", "done"), ("b", "pending")]
     d = spark.createDataFrame([(None, None, None), (["version"], ["1"], None), (["port"], ["1"], [" "]), (["port"], ["1"], ["CVE-1"])], "k array<string>, v array<string>, c array<string>")
     assert [r.h for r in d.select(report.hollow(F.col("k"), F.col("v"), F.col("c")).alias("h")).collect()] == [True, False, True, False]
+
+
+def test_cut_points_are_deleted(spark):
+    from pathlib import Path
+
+    from kenning.plans import store
+
+    a, b = store.materialise(spark.range(3), "one"), store.materialise(spark.range(4), "two")
+    folder = lambda df: Path(df.inputFiles()[0].removeprefix("file://")).parent
+    places = folder(a), folder(b)
+    store.drop_cut(a)
+    assert not places[0].exists() and places[1].exists() and b.count() == 4
+    store.release(spark)
+    assert not places[1].exists()
