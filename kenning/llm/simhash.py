@@ -56,8 +56,10 @@ GROUP_ROWS, GROUP_BYTES, BLOCK_ROWS = 1024, 16 << 20, 1024
 PIVOTS, ROUNDS = 8, 3
 #: Documents of a batch that must hold a shingle for it to count as frequent there; most frequent shingles that are listed.
 LOCAL, LISTED = 4, 500_000
+#: Rows that a task gathers before it compares whole groups; documents whose shingles are counted at a time.
+HELD_ROWS, COUNTED = 100_000, 4000
 #: Fingerprint words and radius within loose groups; bytes of shingles that a task gathers before it compares whole groups.
-FINE_WORDS, FINE_RADIUS, HELD_BYTES = 8, 140, 64 << 20
+FINE_WORDS, FINE_RADIUS, HELD_BYTES = 8, 140, 16 << 20
 #: Odd constants that derive further hash words from the first; fixed values of the SplitMix64 generator.
 GAMMA, MIX1, MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -79,7 +81,7 @@ class WordHashes(dict):
     """XXH64 of words, remembered."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 100_000:
             self.clear()
         found = self[word] = xxhash.xxh64_intdigest(word, SEED)
         return found
@@ -318,7 +320,7 @@ def close_edges(dealt: DataFrame, radius: int, settle: bool = False) -> DataFram
         for batch in batches:
             held.append(batch)
             size += batch.num_rows
-            if size >= 200_000 or checked and sum(x.nbytes for x in held) >= HELD_BYTES:
+            if size >= HELD_ROWS or checked and sum(x.nbytes for x in held) >= HELD_BYTES:
                 table = pa.Table.from_batches(held)
                 band, pair = table["band"].to_numpy(), table["pair"].to_numpy()
                 edge = np.flatnonzero((band != band[-1]) | (pair != pair[-1]))
@@ -378,8 +380,8 @@ def frequent_shingles(texts: DataFrame, size: int) -> tuple[np.ndarray, np.ndarr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
-        for batch in batches:
-            sets = [shingle_set(t or b"", size, known) for t in batch.column(0).cast(pa.binary()).to_pylist()]
+        for part in (batch.slice(at, COUNTED) for batch in batches for at in range(0, batch.num_rows, COUNTED)):
+            sets = [shingle_set(t or b"", size, known) for t in part.column(0).cast(pa.binary()).to_pylist()]
             found, n = np.unique(np.concatenate(sets), return_counts=True) if sets else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
             yield pa.RecordBatch.from_arrays([pa.array(found[n >= LOCAL].view(np.int64)), pa.array(n[n >= LOCAL].astype(np.int64))], names=["shingle", "n"])
 

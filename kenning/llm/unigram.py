@@ -41,7 +41,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 NORMAL, USER_DEFINED, BYTE, UNIGRAM = 1, 4, 6, 1
 #: How much worse than the worst piece an unknown character is.
 UNKNOWN_PENALTY = 10.0
-CACHE_SEGMENTS, CHUNK_BYTES, LONG_SEGMENT, BLOCK = 250_000, 1 << 16, 192, 1 << 14
+CACHE_SEGMENTS, CHUNK_BYTES, LONG_SEGMENT, BLOCK = 100_000, 1 << 16, 192, 1 << 14
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, object]]:
