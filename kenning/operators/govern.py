@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from kenning.functions.text import tokens
+from kenning.operators.similar import top_pairs
 from kenning.plans.store import small
 
 # Bands, source domains, patterns.
@@ -26,20 +26,6 @@ COMMANDS = [("```", r"```(?:bash|sh|shell|console|terminal)[^`]{20,}```"), ("$",
 RECOMMEND = ["推荐", "建议", "可以", "should", "recommend", "try", "exploit", "尝试", "使用", "执行", "攻击", "利用"]
 
 
-def similar_pairs(left: DataFrame, right: DataFrame, top: int = NEIGHBOURS) -> DataFrame:
-    """a, b, shared, score, rank: per left row (id, text) the `top` right rows by Jaccard over distinct words.
-
-    An inverted index: words are joined, not rows. A word that a large share of the right side holds makes large groups;
-    they are aggregated by (a, b) at once with partial sums, and AQE splits the skewed join partitions.
-    """
-    l = left.select(F.col("id").alias("a"), tokens(F.col("text")).alias("w")).withColumn("na", F.size("w"))
-    r = right.select(F.col("id").alias("b"), tokens(F.col("text")).alias("w")).withColumn("nb", F.size("w"))
-    hits = l.select("a", "na", F.explode("w").alias("word")).join(r.select("b", "nb", F.explode("w").alias("word")), "word")
-    scored = hits.groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("shared")).withColumn("score", F.col("shared") / (F.col("na") + F.col("nb") - F.col("shared")))
-    order = Window.partitionBy("a").orderBy(F.col("score").desc(), "b")
-    return scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top).select("a", "b", "shared", "score", "rank")
-
-
 def constraint_gate(service_a: Column, service_b: Column, cves_a: Column, cves_b: Column) -> Column:
     """False if both services are known and differ, or both CVE sets are known and don't meet."""
     services = (F.coalesce(service_a, F.lit("")) != "") & (F.coalesce(service_b, F.lit("")) != "") & (F.lower(service_a) != F.lower(service_b))
@@ -53,7 +39,7 @@ def band(score: Column) -> Column:
 
 def conflicts(negatives: DataFrame, positives: DataFrame, top: int = NEIGHBOURS) -> DataFrame:
     """Similar pairs that pass the constraint gate, with their band. Rows: id, text, service, cves."""
-    pairs = similar_pairs(negatives, positives, top)
+    pairs = top_pairs(negatives, positives, top)
     n = negatives.select(F.col("id").alias("a"), F.col("service").alias("sa"), F.col("cves").alias("ca"))
     p = positives.select(F.col("id").alias("b"), F.col("service").alias("sb"), F.col("cves").alias("cb"), F.col("text").alias("tb"))
     joined = pairs.join(n, "a").join(p, "b").filter(constraint_gate(F.col("sa"), F.col("sb"), F.col("ca"), F.col("cb")))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from kenning.functions import text as tx
 from kenning.operators import corpus, fusion, govern, serve
+from kenning.operators.similar import top_pairs
 from kenning.plans.registry import query
 from kenning.plans.store import materialise
 from kenning.plans.views import ORACLE_EXP, experiences, pick, strict, table
@@ -218,7 +219,7 @@ s AS (SELECT *, shared / (na + nb - shared) AS score FROM h), r AS (SELECT *, ro
 def tokenise_jaccard_topk(spark, sf_dir) -> DataFrame:
     left = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("id"), "text")
     right = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
-    return govern.similar_pairs(left, right).withColumn("score", F.round("score", 6))
+    return top_pairs(left, right, govern.NEIGHBOURS).withColumn("score", F.round("score", 6))
 
 
 CONFLICTS = PAIRS + f""", x AS (SELECT exp_id, service, {CVES} AS cves FROM ({ORACLE_EXP})), g AS (SELECT r.a, r.b, score, x.service, CASE WHEN score < 0.2 THEN 'skip' WHEN score < 0.5 THEN 'judge' ELSE 'conflict' END AS band FROM r JOIN x ON x.exp_id = r.b
