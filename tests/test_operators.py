@@ -376,7 +376,7 @@ def test_batch_plan(spark, tmp_path):
     from tests.test_sources import native_log
 
     for i in range(3):
-        (tmp_path / f"log_{i}_x.jsonl").write_text(native_log().replace("not json\n", "").replace('"abc"', f'"abc{i}"'))
+        (tmp_path / f"log_{i}_x.jsonl").write_text(native_log().replace('"abc"', f'"abc{i}"'))
     tables, state = batch.run(spark, str(tmp_path))
     assert {r.status for r in state.collect()} == {"done"}, state.collect()
     assert tables["annotated"].count() == 12 and tables["experiences"].count() >= 3 and tables["consolidated"].count() >= 1

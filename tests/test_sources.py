@@ -24,7 +24,8 @@ def native_log():
         {"event": "assistant_message", "timestamp": "2026-01-01T00:00:09", "tool_calls": [call("d1", "shell", command="ls")]},
         {"event": "session_end", "timestamp": "2026-01-01T00:01:00", "session_id": "abc", "cost": {"total_cost": 0.05}},
     ]
-    return "\n".join(["", "not json", "[1]", *map(json.dumps, rows)])
+    first, *rest = map(json.dumps, rows)
+    return "\n".join([first, "", "not json", "[1]", *rest])
 
 
 def test_native_log(spark, tmp_path):
@@ -47,7 +48,7 @@ def test_session_id_from_file_name_and_interruption(spark, tmp_path):
 
 
 def test_other_dialects_and_sniffing(spark, tmp_path):
-    (tmp_path / "a_1.jsonl").write_text(native_log().replace("not json\n", ""))
+    (tmp_path / "a_1.jsonl").write_text(native_log())
     cb = [{"type": "on_chain_start", "run_id": "0"}, {"type": "on_tool_start", "run_id": "1", "name": "shell", "input": '{"command": "id"}'}, {"type": "on_tool_end", "run_id": "9", "output": "lost"}, {"type": "on_tool_end", "run_id": "1", "output": "uid=0", "run_metadata": {"return_code": 0}}]
     (tmp_path / "b.jsonl").write_text("\n".join(map(json.dumps, cb)))
     old = [{"type": "agent_action", "tool": "shell", "tool_input": "id"}, {"type": "tool_result", "output": "x"}, {"type": "tool_result", "output": "orphan"}]
@@ -56,10 +57,11 @@ def test_other_dialects_and_sniffing(spark, tmp_path):
     (tmp_path / "d.json").write_text(json.dumps({"data": steps}))
     generic = [{"session": "g", "tool": "shell", "args": {"command": "w"}, "output": "o", "exit_code": "2"}, {"session": "g", "note": "no tool"}]
     (tmp_path / "e.jsonl").write_text("\n".join(map(json.dumps, generic)))
-    found = {r.source_file[-7:]: r.dialect for r in logs.sniff(spark, str(tmp_path)).collect()}
-    assert {k.split("/")[-1]: v for k, v in found.items()} == {"1.jsonl": "native", "b.jsonl": "callbacks", "c.jsonl": "callbacks", "/d.json": "run_steps", "e.jsonl": "generic"} or found["/d.json"] == "run_steps"
+    found = {r.source_file.split("/")[-1]: r.dialect for r in logs.sniff(spark, str(tmp_path)).collect()}
+    assert found == {"a_1.jsonl": "native", "b.jsonl": "callbacks", "c.jsonl": "callbacks", "d.json": "run_steps", "e.jsonl": "generic"}
     rows = logs.read(spark, str(tmp_path)).collect()
     by = lambda part: sorted((r for r in rows if part in r.source_file.split("/")[-1]), key=lambda r: (r.turn_index, r.slot))
+    assert [(r.turn_index, r.slot, r.session_id, r.category, r.stdout) for r in by("a_1.jsonl")] == [(0, 0, "abc", "RAG_QUERY", ""), (0, 1, "abc", "GENERIC_COMMAND_CALL", "open"), (1, 0, "abc", "CODE_WRITE", "Command exited with code 127"), (2, 0, "abc", "GENERIC_COMMAND_CALL", "")]
     assert [(r.stdout, r.return_code, r.command) for r in by("b.jsonl")] == [("uid=0", 0, "id")]
     assert [(r.stdout, r.command) for r in by("c.jsonl")] == [("x", "id")]
     assert [(r.turn_index, r.slot, r.tool_name, r.stdout) for r in by("d.json")] == [(0, 0, "shell", "ok"), (1, 1, "search_knowledge", "doc")]
