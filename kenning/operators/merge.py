@@ -62,7 +62,7 @@ def dominant(members: DataFrame, fields: list[str]) -> DataFrame:
 def positive(preconditions: DataFrame, indicators: DataFrame, members: DataFrame | None = None) -> DataFrame:
     """cluster_id, preconditions (15 %, top 10, else best 3), indicators (5 %, top 5), and of members (if given: +
     template, tool_name, phase) what the heaviest has."""
-    merged = ranked_union(preconditions, 0.15, 10, 3, "preconditions").join(ranked_union(indicators, 0.05, 5, 0, "indicators"), "cluster_id", "left")
+    merged = ranked_union(preconditions, 0.15, 10, 3, "preconditions").join(ranked_union(indicators, 0.05, 5, 0, "indicators"), "cluster_id", "full")
     return merged if members is None else dominant(members, ["template", "tool_name", "phase"]).join(merged, "cluster_id", "left")
 
 
@@ -94,7 +94,7 @@ def negative(then: DataFrame, avoid: DataFrame, members: DataFrame | None = None
     listed = shares.groupBy("cluster_id").agg(F.sort_array(F.collect_list(F.struct("rank", "item"))).alias("__x"))
     listed = listed.select("cluster_id", F.transform("__x", lambda x: x["item"]).alias("__then"))
     listed = listed.withColumn("__then", covered_dedupe(F.col("__then"))).select("cluster_id", F.array_join(intent_dedupe(F.col("__then")), " | ").alias("then_actions"))
-    merged = listed.join(ranked_union(avoid, 0.20, 99, 1, "avoid"), "cluster_id", "left")
+    merged = listed.join(ranked_union(avoid, 0.20, 99, 1, "avoid"), "cluster_id", "full")
     if members is None:
         return merged
     heads = dominant(members, ["if_text", "next_actions", "dimension", "sub_dimension"])

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kenning.operators import fusion, govern
+from kenning.operators import consolidate, fusion, govern
 from kenning.plans.store import materialise
 
 # Where a layer goes, and keys that never leave.
@@ -61,8 +61,7 @@ def flush(registry: DataFrame, sink: Callable[[DataFrame], None] | None = None)
     docs = materialise(texts.select("exp_id", dataset(F.col("layer")).alias("dataset"), "doc_text", F.array_join("issues", ";").alias("issues"), govern.route(F.col("issues")).alias("route")), "reflux")
     if sink:
         sink(docs)
-    marked = registry.join(docs.select("exp_id", F.lit(True).alias("__out")), "exp_id", "left")
-    return docs, marked.withColumn("refluxed", F.coalesce("__out", "refluxed", F.lit(False))).drop("__out")
+    return docs, marked(registry, docs)
 
 
 def remove_conflicted(documents: DataFrame, registry: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -71,19 +70,24 @@ def remove_conflicted(documents: DataFrame, registry: DataFrame) -> tuple[DataFr
     return documents.join(bad, "exp_id", "left_anti"), documents.join(bad, "exp_id", "left_semi")
 
 
+def marked(registry: DataFrame, docs: DataFrame) -> DataFrame:
+    """registry with the rows of docs marked as out."""
+    out = registry.join(docs.select("exp_id", F.lit(True).alias("__out")), "exp_id", "left")
+    return out.withColumn("refluxed", F.coalesce("__out", "refluxed", F.lit(False))).drop("__out")
+
+
 def on_session(registry: DataFrame, fresh: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The registry after a finished session: new rows in, active rows under the hard keys of new ones fused again,
-    sources of what became consolidated suspended, positives that a new negative contradicts in conflict. And the
+    """The registry after a finished session: new rows in, active rows under the hard keys of new ones fused again, what
+    became consolidated put in and its sources suspended, positives that a new negative contradicts in conflict. And the
     conflict pairs. Clusters never cross hard keys, so rows under other keys are as fused as before."""
-    rows = materialise(govern.insert_if_absent(registry, fresh), "registry")
+    rows = materialise(govern.insert_if_absent(registry, fresh).select(*registry.columns), "registry")
     key = ["key_layer", "key_service", "key_sub"]
     touched = fusion.hard_key(fresh).select(*key).distinct()
-    near = fusion.hard_key(rows.filter("maturity IN ('raw', 'validated')")).join(touched, key, "left_semi").select(*rows.columns)
-    members = materialise(fusion.weigh(fusion.clusters(near)), "members")
-    done = fusion.calibrate(members).filter("should_reflux").select("cluster_id")
-    settled = fusion.archive_sources(rows, members.join(done, "cluster_id").select("exp_id", "cluster_id"), "suspended").drop("merged_into")
+    near = fusion.hard_key(consolidate.pending(rows)).join(touched, key, "left_semi").select(*rows.columns)
+    made, members = consolidate.merged(fusion.weigh(fusion.clusters(near)))
+    settled = consolidate.fold_in(rows, made.filter("should_reflux"), members)
     shape = lambda d: d.select(F.col("exp_id").alias("id"), "text", "service", "cves")
     pairs = materialise(govern.conflicts(shape(fresh.filter("layer = 'PROCEDURAL_NEG'")), shape(rows.filter("layer = 'PROCEDURAL_POS' AND lifecycle = 'active'"))).filter("recommends AND band = 'conflict'"), "pairs")
     hit = pairs.select(F.col("b").alias("exp_id"), F.lit(True).alias("__hit")).distinct()
-    after = settled.join(hit, "exp_id", "left").withColumn("lifecycle", F.when(F.col("__hit"), "conflicted").otherwise(F.col("lifecycle_after"))).drop("__hit", "lifecycle_after")
+    after = settled.join(hit, "exp_id", "left").withColumn("lifecycle", F.when(F.col("__hit"), "conflicted").otherwise(F.col("lifecycle")))
     return after.select(*registry.columns), pairs

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kenning.functions.text import cves
-from kenning.operators import annotate, distil, fusion
+from kenning.operators import annotate, consolidate, distil, fusion, registry
 from kenning.plans.store import materialise
 from kenning.sources import logs
 
@@ -35,8 +35,10 @@ def experiences(tables: dict[str, DataFrame]) -> DataFrame:
     """Positive and negative rows in the shape that fusion takes."""
     a = tables["annotated"]
     outcome = annotate.session_outcome(a).select("session_id", F.col("session_outcome").alias("outcome"))
-    pos = distil.positives(a, annotate.session_outcome(a)).select("session_id", "turn_index", "phase", "confidence", F.lit("PROCEDURAL_POS").alias("layer"), F.col("template").alias("text"), F.lit("").alias("dimension"), F.lit("").alias("sub_dimension"))
-    neg = distil.negatives(a).select("session_id", "turn_index", "phase", "confidence", F.lit("PROCEDURAL_NEG").alias("layer"), F.col("failed_command").alias("text"), "dimension", "sub_dimension")
+    told = F.col("rule.next_actions")
+    rule = F.struct(F.col("rule.if").alias("IF"), F.col("rule.then").alias("THEN"), F.col("rule.not").alias("NOT"), F.array_join(F.transform(told, lambda x: x["command"]), " ; ").alias("next"))
+    pos = distil.positives(a, annotate.session_outcome(a)).select("session_id", "turn_index", "phase", "confidence", F.lit("PROCEDURAL_POS").alias("layer"), F.col("template").alias("text"), F.lit("").alias("dimension"), F.lit("").alias("sub_dimension"), F.to_json(F.struct("tool_name", F.col("template").alias("command_template"), "preconditions", F.col("indicators").alias("success_indicators"))).alias("content"))
+    neg = distil.negatives(a).select("session_id", "turn_index", "phase", "confidence", F.lit("PROCEDURAL_NEG").alias("layer"), F.col("failed_command").alias("text"), "dimension", "sub_dimension", F.to_json(F.struct("tool_name", rule.alias("decision_rule"), F.lit("rule").alias("rule_source"))).alias("content"))
     rows = pos.unionByName(neg).join(outcome, "session_id")
     return rows.select(
         F.xxhash64("session_id", "layer", "turn_index", "text").alias("exp_id"), "*", F.coalesce(F.nullif(F.regexp_extract("text", r"https?://([\w.-]+)", 1), F.lit("")), F.lit("")).alias("service"),
@@ -49,7 +51,8 @@ STAGES = [
     ("facts", lambda t: distil.session_facts(t["annotated"])),
     ("experiences", experiences),
     ("members", lambda t: fusion.weigh(fusion.clusters(t["experiences"]))),
-    ("consolidated", lambda t: fusion.calibrate(t["members"])),
+    ("consolidated", lambda t: consolidate.merged(t["members"])[0]),
+    ("registry", lambda t: consolidate.fold_in(consolidate.widened(t["experiences"]), t["consolidated"], t["members"])),
 ]
 
 
@@ -58,6 +61,13 @@ def run(spark: SparkSession, log_path: str) -> tuple[dict[str, DataFrame], DataF
     return run_stages(spark, STAGES, {"events": logs.read(spark, log_path)})
 
 
+def store(spark: SparkSession, tables: dict[str, DataFrame], path: str) -> int:
+    """Commit the batch's registry: as the first version, or its new rows put into what is there; the version."""
+    if not registry.versions(spark, path):
+        return registry.commit(tables["registry"], path, 0)
+    return registry.update(spark, path, lambda rows: registry.merge(rows, tables["registry"].withColumn("op", F.lit("insert"))))
+
+
 def gates(tables: dict[str, DataFrame]) -> DataFrame:
     """gate, ok: there are sessions, there are experiences, not every cause is a fallback."""
     a, e = tables["annotated"], tables["experiences"]

@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kenning.functions import text as tx
-from kenning.operators import corpus, fusion, govern, serve
+from kenning.operators import consolidate, corpus, fusion, govern, registry, serve
 from kenning.operators.similar import top_pairs
 from kenning.plans.registry import query
-from kenning.plans.store import materialise
+from kenning.plans.store import materialise, new_path
 from kenning.plans.views import ORACLE_EXP, experiences, pick, strict, table
 
 CVES = "list_sort(list_filter([cve1, cve2], lambda x: x IS NOT NULL))"
@@ -173,6 +173,27 @@ def maturity_two_pass(spark, sf_dir) -> DataFrame:
     return _calibrated(spark, sf_dir).select("cluster", "maturity_before", "maturity_after", "n_counter", "should_reflux")
 
 
+@query(CALIBRATED + """, fu AS (SELECT cluster, count(*) AS n, max(layer) AS layer, max(service) AS service, array_to_string(list_sort(list_distinct(flatten(list(cves)))), ',') AS cve_union,
+   CASE WHEN round(sum(CASE outcome WHEN 'success' THEN weight WHEN 'failure' THEN -weight ELSE 0 END), 9) > 0 THEN 'success' WHEN round(sum(CASE outcome WHEN 'success' THEN weight WHEN 'failure' THEN -weight ELSE 0 END), 9) < 0 THEN 'failure' ELSE 'mixed' END AS outcome
+  FROM wt GROUP BY cluster HAVING count(*) >= CASE WHEN max(layer) = 'CONCEPTUAL' THEN 2 ELSE 3 END)
+SELECT cluster AS id, 'consolidated' AS session, layer, service, cve_union AS cves, outcome, m2 AS maturity, 'active' AS lifecycle, round(p_fused, 3) AS confidence, n AS n_sources FROM fu JOIN p2 USING (cluster)
+UNION ALL SELECT vx.exp_id, session_id, layer, service, cve_key, outcome, maturity, CASE WHEN lifecycle = 'active' AND EXISTS (SELECT 1 FROM cm JOIN fu USING (cluster) WHERE cm.exp_id = vx.exp_id) THEN 'suspended' ELSE lifecycle END, round(vx.confidence, 3), 0 FROM vx""")
+def consolidated_registry(spark, sf_dir) -> DataFrame:
+    """The registry as it is read back after clusters were merged into it: new rows, named by their least source, and old ones."""
+    path = new_path(spark, "registry")
+    rows = consolidate.widened(experiences(spark, sf_dir).drop("n_chars", "g", "h"))
+    registry.commit(rows, path, 0)
+    made, members = consolidate.merged(fusion.weigh(fusion.clusters(rows)))
+    registry.update(spark, path, lambda r: consolidate.fold_in(r, made, members))
+    after = registry.current(spark, path)
+    sources = consolidate.lineage(after).groupBy("exp_id").agg(F.min("source_id").alias("least"), F.count(F.lit(1)).alias("n_sources"))
+    named = after.join(sources, "exp_id", "left")
+    return named.select(
+        F.coalesce("least", "exp_id").alias("id"), F.col("session_id").alias("session"), "layer", "service", F.array_join(F.array_sort("cves"), ",").alias("cves"), "outcome", "maturity", "lifecycle",
+        F.round("confidence", 3).alias("confidence"), F.coalesce("n_sources", F.lit(0)).alias("n_sources"),
+    )
+
+
 @query(CALIBRATED + ", ar AS (SELECT exp_id, cluster FROM wt JOIN p2 USING (cluster) WHERE m2 = 'consolidated') SELECT vx.exp_id, CASE WHEN ar.exp_id IS NOT NULL AND lifecycle = 'active' THEN 'archived' ELSE lifecycle END AS lifecycle_after, ar.cluster AS merged_into FROM vx LEFT JOIN ar ON vx.exp_id = ar.exp_id")
 def lifecycle_archive(spark, sf_dir) -> DataFrame:
     w = weighted(spark, sf_dir)

@@ -2,9 +2,11 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
-from kenning.operators import corpus, evaluate, govern, records, reflux, services
+from kenning.operators import consolidate, corpus, evaluate, records, reflux, services
+from kenning.operators import registry as table
 from kenning.plans import maintenance, settings
 
 REGISTRY = "exp_id long, layer string, service string, cves array<string>, version string, session_id string, confidence double, outcome string, maturity string, age_days int, lifecycle string, max_turn int, dimension string, sub_dimension string, phase string, text string, refluxed boolean"
@@ -30,7 +32,9 @@ def test_on_session(spark):
     registry = spark.createDataFrame([row(1, text="scan port host"), row(2), row(9, service="db", text="you should try scan port now")], REGISTRY)
     fresh = spark.createDataFrame([row(3), row(1, text="known already"), row(7, layer="PROCEDURAL_NEG", service="db", dimension="ENV", sub_dimension="X", outcome="failure", text="try scan port now")], REGISTRY)
     after, pairs = reflux.on_session(registry, fresh)
-    out = {r.exp_id: r.lifecycle for r in after.collect()}
+    made = after.filter("maturity = 'consolidated'").collect()
+    assert [(r.layer, r.service, r.session_id, r.lifecycle, r.refluxed, r.text) for r in made] == [("PROCEDURAL_POS", "web", "consolidated", "active", False, "scan port host")]
+    out = {r.exp_id: r.lifecycle for r in after.filter("maturity <> 'consolidated'").collect()}
     assert out == {1: "suspended", 2: "suspended", 3: "suspended", 7: "active", 9: "conflicted"}
     assert [(r.a, r.b) for r in pairs.collect()] == [(7, 9)] and after.columns == registry.columns
     assert after.filter("exp_id = 1").first().text == "scan port host", "known rows stay as they are"
@@ -84,15 +88,127 @@ def test_union_precedence_has_every_document(spark):
     assert documents.join(out, "doc_id", "left_anti").count() == 0
 
 
-def test_daily_maintenance(spark):
-    registry = spark.createDataFrame([row(i, text=f"text {i}") for i in range(1, 5)] + [row(9, service="db", text="old")], REGISTRY)
-    registry = registry.withColumn("age_days", F.when(F.col("exp_id") == 9, 5000).otherwise(F.col("age_days")).cast(registry.schema["age_days"].dataType))
-    queue = spark.createDataFrame([(1, "P1", "pending", 1, None), (2, "P1", "processing", 2, "2024-01-01 00:00:00"), (3, "P1", "processing", 3, "2024-01-01 23:30:00")], "gap_id long, priority string, status string, arrival long, started string").withColumn("started", F.col("started").cast("timestamp"))
-    tables, state = maintenance.daily(spark, registry, queue, F.lit("2024-01-02 00:00:00").cast("timestamp"), 1)
+QUEUE = [(1, "P1", "pending", 1, None), (2, "P1", "processing", 2, "2024-01-01 00:00:00"), (3, "P1", "processing", 3, "2024-01-01 23:30:00")]
+
+
+def queue_of(spark):
+    return spark.createDataFrame(QUEUE, "gap_id long, priority string, status string, arrival long, started string").withColumn("started", F.col("started").cast("timestamp"))
+
+
+def test_daily_maintenance(spark, tmp_path):
+    """Fused rows are in the committed registry, their sources suspended; a second day adds nothing."""
+    rows = [row(i, text=f"text {i}", cves=["CVE-2021-1"], maturity="raw") for i in range(1, 5)] + [row(9, service="db", text="old", age_days=5000), row(10, service="db", maturity="consolidated", confidence=0.2, refluxed=True)]
+    path, queue = f"file://{tmp_path}/registry", f"file://{tmp_path}/queue"
+    table.commit(spark.createDataFrame(rows, REGISTRY), path, 0)
+    table.commit(queue_of(spark), queue, 0)
+    now, sent = F.lit("2024-01-02 00:00:00").cast("timestamp"), []
+    state = maintenance.daily_at(spark, path, queue, now, 1, lambda d: sent.extend(d.collect()))
     assert {r.status for r in state.collect()} == {"done"}, state.collect()
-    assert {r.exp_id: r.lifecycle for r in tables["suspended"].collect()}[9] == "suspended"
-    assert {r.gap_id: r.status for r in tables["queue_after"].collect()} == {1: "processing", 2: "pending", 3: "processing"}
-    assert tables["recalibrated"].count() == 5
+    assert {r.gap_id: r.status for r in table.current(spark, queue).collect()} == {1: "processing", 2: "pending", 3: "processing"}
+    after = {r.exp_id: r for r in table.current(spark, path).collect()}
+    new = [r for i, r in after.items() if i not in {r[0] for r in rows}]
+    assert len(new) == 1 and new[0].name.startswith("exp_consolidated_") and new[0].cves == ["CVE-2021-1"] and new[0].maturity == "consolidated" and new[0].n_members == 4
+    assert new[0].tags == ["consolidated", "procedural_pos", "n_src=4", "web", "cve-2021-1"] and json.loads(new[0].content)["command_template"] == "text 1"
+    assert [(after[i].lifecycle, after[i].merged_into) for i in range(1, 5)] == [("suspended", new[0].exp_id)] * 4 and after[9].lifecycle == "suspended" and after[9].merged_into is None
+    assert round(after[10].confidence, 4) == 0.4 and after[10].maturity == "raw", "a risen confidence below 0.6 is raw, whatever it was"
+    assert [r.exp_id for r in sent] == [new[0].exp_id] and new[0].refluxed
+    assert sorted(tuple(r) for r in consolidate.lineage(table.current(spark, path)).collect()) == [(new[0].exp_id, i, i) for i in range(1, 5)]
+    maintenance.daily_at(spark, path, queue, now, 1, lambda d: sent.extend(d.collect()))
+    assert table.versions(spark, path) == [1, 2, 3] and table.current(spark, path).count() == 7 and len(sent) == 1
+
+
+def test_daily_failure_commits_nothing(spark, tmp_path):
+    path, queue = f"file://{tmp_path}/registry", f"file://{tmp_path}/queue"
+    table.commit(spark.createDataFrame([row(1, maturity="consolidated")], REGISTRY), path, 0)
+    table.commit(queue_of(spark), queue, 0)
+
+    def down(_):
+        raise OSError("store is down")
+
+    with pytest.raises(RuntimeError, match="documents: store is down"):
+        maintenance.daily_at(spark, path, queue, F.current_timestamp(), 1, down)
+    assert table.versions(spark, path) == table.versions(spark, queue) == [1]
+
+
+def test_two_writers(spark, tmp_path):
+    """The slower writer finds its version taken and applies its change to the faster one's rows."""
+    path = f"file://{tmp_path}/t"
+    assert table.commit(spark.range(3), path, 0) == 1
+    calls = []
+
+    def slow(rows):
+        calls.append(rows.count())
+        if len(calls) == 1:
+            table.update(spark, path, lambda r: r.filter("id <> 0"))
+        return rows.union(spark.range(10, 11))
+
+    assert table.update(spark, path, slow) == 3 and calls == [3, 2]
+    assert sorted(r.id for r in table.current(spark, path).collect()) == [1, 2, 10]
+    with pytest.raises(table.Conflict):
+        table.commit(spark.range(9), path, 1)
+
+    def always(rows):
+        table.commit(rows, path, table.versions(spark, path)[-1])
+        return rows
+
+    with pytest.raises(table.Conflict):
+        table.update(spark, path, always, tries=2)
+    assert len(list((tmp_path / "t" / "data").iterdir())) == len(table.versions(spark, path)), "folders of lost claims are deleted"
+
+
+def test_failed_writes_and_old_versions(spark, tmp_path):
+    path = f"file://{tmp_path}/t"
+    table.commit(spark.range(1), path, 0)
+
+    def broken(rows):
+        return rows.select(F.raise_error(F.lit("no")).cast("long").alias("id"))
+
+    with pytest.raises(Exception, match="no"):
+        table.update(spark, path, broken)
+    assert table.versions(spark, path) == [1] and table.current(spark, path).count() == 1
+    for i in range(2, 6):
+        table.update(spark, path, lambda r, i=i: r.union(spark.range(i, i + 1)))
+    (tmp_path / "t" / "data" / "unnamed").mkdir()
+    assert table.vacuum(spark, path, keep=2) == [1, 2, 3] and table.versions(spark, path) == [4, 5]
+    assert (tmp_path / "t" / "data" / "unnamed").exists() and table.read(spark, path, 4)[1].count() == 4
+    table.vacuum(spark, path, keep=2, unnamed_s=-1)
+    assert len(list((tmp_path / "t" / "data").iterdir())) == 2 and table.current(spark, path).count() == 5
+    (tmp_path / "t" / "versions" / "000000000006").touch()
+    table.WAIT, before = 0.1, table.WAIT
+    with pytest.raises(RuntimeError, match="never named"):
+        table.current(spark, path)
+    table.WAIT = before
+    with pytest.raises(ValueError):
+        table.current(spark, f"file://{tmp_path}/none")
+
+
+def test_merge_by_key(spark):
+    rows = spark.createDataFrame([(1, "a", 1), (2, "b", 2), (3, None, 3), (4, "d", 4)], "exp_id long, t string, n int")
+    changes = spark.createDataFrame([(1, "delete", None), (2, "insert", "x"), (3, "update", "c"), (5, "update", "e"), (6, "insert", "f"), (7, "upsert", "g"), (4, "upsert", None), (8, "delete", "h")], "exp_id long, op string, t string")
+    got = sorted(tuple(r) for r in table.merge(rows, changes).collect())
+    assert got == [(2, "b", 2), (3, "c", 3), (4, "d", 4), (6, "f", None), (7, "g", None)]
+
+
+def test_merged_by_layer(spark):
+    """Each layer's rows say what its merge makes of their contents; clusters below their threshold stay as they are."""
+    told = {
+        "PROCEDURAL_NEG": {"decision_rule": {"IF": "when", "THEN": ["do a", "do b"], "NOT": "never c", "next": "n"}, "rule_source": "llm"},
+        "FACTUAL": {"facts": [{"key": "port", "value": "80"}, {"key": "os", "value": "x"}]},
+        "METACOGNITIVE": {"key_lessons": ["VALIDATE_RECON: scan first", "other lesson"]},
+        "CONCEPTUAL": {"core_insight": "insight", "applicable_conditions": ["if x"]},
+    }
+    rows = [(*row(10 * k + i, layer=layer, dimension="ENV" if "NEG" in layer else "", sub_dimension="X" if "NEG" in layer else "", maturity="raw"), json.dumps(c)) for k, (layer, c) in enumerate(told.items()) for i in range(3)]
+    rows += [(*row(90 + i, service="lone"), None) for i in range(2)] + [(*row(95 + i, service="bare", layer="PROCEDURAL_NEG", dimension="ENV", text="failed so"), "no json") for i in range(3)]
+    after, made = consolidate.consolidate(consolidate.widened(spark.createDataFrame(rows, REGISTRY + ", content string")))
+    got = {(r.layer, r.service): r for r in made.collect()}
+    assert set(got) == {(layer, "web") for layer in told} | {("PROCEDURAL_NEG", "bare")}
+    neg = json.loads(got["PROCEDURAL_NEG", "web"].content)
+    assert neg["then_actions"] == "do a | do b" and neg["avoid"] == "never c" and neg["if_text"] == "when" and neg["sources"] == "llm=3"
+    assert got["PROCEDURAL_NEG", "bare"].text == "failed so"
+    assert [(f["key"], f["value"], f["n"]) for f in json.loads(got["FACTUAL", "web"].content)["facts"]] == [("os", "x", 3), ("port", "80", 3)]
+    assert sorted(x["lesson"] for x in json.loads(got["METACOGNITIVE", "web"].content)["lessons"]) == ["VALIDATE_RECON: scan first", "other lesson"]
+    assert json.loads(got["CONCEPTUAL", "web"].content)["conditions"] == "if x"
+    assert after.filter("lifecycle = 'suspended'").count() == 15 and after.filter("merged_into IS NULL AND lifecycle = 'active'").count() == 7
 
 
 def test_stream_of_finished_sessions(spark, tmp_path):
@@ -100,10 +216,10 @@ def test_stream_of_finished_sessions(spark, tmp_path):
     registry = spark.createDataFrame([row(1, text="scan port host"), row(2), row(9, service="db", text="you should try scan port now")], REGISTRY)
     fresh = spark.createDataFrame([row(3), row(7, layer="PROCEDURAL_NEG", service="db", dimension="ENV", sub_dimension="X", outcome="failure", text="try scan port now")], REGISTRY)
     path = f"file://{tmp_path}/registry"
-    govern.swap_in(registry, path)
+    table.commit(registry, path, 0)
     fresh.coalesce(1).write.parquet(f"{tmp_path}/in")
     maintenance.on_sessions(spark.readStream.schema(fresh.schema).parquet(f"{tmp_path}/in"), path, f"{tmp_path}/ck", f"{tmp_path}/conflicts").awaitTermination()
-    got = {r.exp_id: r.lifecycle for r in govern.current(spark, path).collect()}
+    got = {r.exp_id: r.lifecycle for r in table.current(spark, path).collect()}
     assert got == {r.exp_id: r.lifecycle for r in reflux.on_session(registry, fresh)[0].collect()}
     assert spark.read.parquet(f"{tmp_path}/conflicts").count() == 1
 

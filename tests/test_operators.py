@@ -149,13 +149,6 @@ def test_queue(spark):
     assert govern.insert_if_absent(q, q.withColumn("gap_id", F.col("gap_id") + 2), "gap_id").count() == 5
 
 
-def test_swap(spark, tmp_path):
-    path = str(tmp_path / "t")
-    spark.range(3).write.parquet(path)
-    out = govern.swap_in(spark.read.parquet(path).filter("id > 0"), path)
-    assert sorted(r.id for r in out.collect()) == [1, 2]
-
-
 def test_quality(spark):
     long = "x" * 200
     score = lambda t, u: govern.with_quality(spark.createDataFrame([(t, u)], "text string, url string")).first().quality
@@ -302,15 +295,6 @@ def test_component_edges_join_what_pairs_join(spark):
     assert parts[0] == parts[1] and len(parts[0]) > 60
 
 
-def test_versions_of_a_table(spark, tmp_path):
-    path = f"file://{tmp_path}/t"
-    govern.swap_in(spark.range(3), path)
-    assert govern.current(spark, path).count() == 3
-    govern.swap_in(govern.current(spark, path).filter("id > 0"), path)
-    (tmp_path / "t" / "v=999999999999999-broken").mkdir()  # a write that failed
-    assert sorted(r.id for r in govern.current(spark, path).collect()) == [1, 2]
-
-
 def test_evaluate(spark):
     rows = [("s", i, p, o) for i, (p, o) in enumerate([("EXPLOITATION", "uncertain"), ("EXPLOITATION", "failure"), ("ESCALATION", "partial_success")])] + [("t", 0, "EXPLOITATION", "timeout"), ("u", 0, "EXPLOITATION", "failure")]
     df = spark.createDataFrame(rows, "session_id string, turn_index int, phase string, outcome_label string")
