@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kenning.operators import consolidate, fusion, govern
+from kenning.operators import consolidate, fusion, govern, increments
 from kenning.plans.store import materialise
 
 # Where a layer goes, and keys that never leave.
@@ -76,15 +76,20 @@ def marked(registry: DataFrame, docs: DataFrame) -> DataFrame:
     return out.withColumn("refluxed", F.coalesce("__out", "refluxed", F.lit(False))).drop("__out")
 
 
-def on_session(registry: DataFrame, fresh: DataFrame) -> tuple[DataFrame, DataFrame]:
+def on_session(registry: DataFrame, fresh: DataFrame, clusters_path: str | None = None) -> tuple[DataFrame, DataFrame]:
     """The registry after a finished session: new rows in, active rows under the hard keys of new ones fused again, what
     became consolidated put in and its sources suspended, positives that a new negative contradicts in conflict. And the
-    conflict pairs. Clusters never cross hard keys, so rows under other keys are as fused as before."""
+    conflict pairs. Clusters never cross hard keys, so rows under other keys are as fused as before.
+
+    With clusters_path, the state of increments.extend(), only the components that fresh rows belong to are looked at."""
     rows = materialise(govern.insert_if_absent(registry, fresh).select(*registry.columns), "registry")
-    key = ["key_layer", "key_service", "key_sub"]
-    touched = fusion.hard_key(fresh).select(*key).distinct()
-    near = fusion.hard_key(consolidate.pending(rows)).join(touched, key, "left_semi").select(*rows.columns)
-    made, members = consolidate.merged(fusion.weigh(fusion.clusters(near)))
+    if clusters_path:
+        increments.extend(registry.sparkSession, clusters_path, rows)
+        clustered = increments.touched(registry.sparkSession, clusters_path, consolidate.pending(rows), consolidate.pending(fresh))
+    else:
+        touched = fusion.hard_key(fresh).select(*increments.KEY).distinct()
+        clustered = fusion.clusters(fusion.hard_key(consolidate.pending(rows)).join(touched, increments.KEY, "left_semi").select(*rows.columns))
+    made, members = consolidate.merged(fusion.weigh(clustered))
     settled = consolidate.fold_in(rows, made.filter("should_reflux"), members)
     shape = lambda d: d.select(F.col("exp_id").alias("id"), "text", "service", "cves")
     pairs = materialise(govern.conflicts(shape(fresh.filter("layer = 'PROCEDURAL_NEG'")), shape(rows.filter("layer = 'PROCEDURAL_POS' AND lifecycle = 'active'"))).filter("recommends AND band = 'conflict'"), "pairs")

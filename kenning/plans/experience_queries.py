@@ -173,11 +173,11 @@ def maturity_two_pass(spark, sf_dir) -> DataFrame:
     return _calibrated(spark, sf_dir).select("cluster", "maturity_before", "maturity_after", "n_counter", "should_reflux")
 
 
-@query(CALIBRATED + """, fu AS (SELECT cluster, count(*) AS n, max(layer) AS layer, max(service) AS service, array_to_string(list_sort(list_distinct(flatten(list(cves)))), ',') AS cve_union,
+@query(CALIBRATED + """, fz AS (SELECT cluster, count(*) AS n, max(layer) AS layer, max(service) AS service, array_to_string(list_sort(list_distinct(flatten(list(cves)))), ',') AS cve_union,
    CASE WHEN round(sum(CASE outcome WHEN 'success' THEN weight WHEN 'failure' THEN -weight ELSE 0 END), 9) > 0 THEN 'success' WHEN round(sum(CASE outcome WHEN 'success' THEN weight WHEN 'failure' THEN -weight ELSE 0 END), 9) < 0 THEN 'failure' ELSE 'mixed' END AS outcome
   FROM wt GROUP BY cluster HAVING count(*) >= CASE WHEN max(layer) = 'CONCEPTUAL' THEN 2 ELSE 3 END)
-SELECT cluster AS id, 'consolidated' AS session, layer, service, cve_union AS cves, outcome, m2 AS maturity, 'active' AS lifecycle, round(p_fused, 3) AS confidence, n AS n_sources FROM fu JOIN p2 USING (cluster)
-UNION ALL SELECT vx.exp_id, session_id, layer, service, cve_key, outcome, maturity, CASE WHEN lifecycle = 'active' AND EXISTS (SELECT 1 FROM cm JOIN fu USING (cluster) WHERE cm.exp_id = vx.exp_id) THEN 'suspended' ELSE lifecycle END, round(vx.confidence, 3), 0 FROM vx""")
+SELECT cluster AS id, 'consolidated' AS session, layer, service, cve_union AS cves, outcome, m2 AS maturity, 'active' AS lifecycle, round(p_fused, 3) AS confidence, n AS n_sources FROM fz JOIN p2 USING (cluster)
+UNION ALL SELECT vx.exp_id, session_id, layer, service, cve_key, outcome, maturity, CASE WHEN lifecycle = 'active' AND EXISTS (SELECT 1 FROM cm JOIN fz USING (cluster) WHERE cm.exp_id = vx.exp_id) THEN 'suspended' ELSE lifecycle END, round(vx.confidence, 3), 0 FROM vx""")
 def consolidated_registry(spark, sf_dir) -> DataFrame:
     """The registry as it is read back after clusters were merged into it: new rows, named by their least source, and old ones."""
     path = new_path(spark, "registry")

@@ -10,7 +10,7 @@ from kenning.plans.event_queries import EVENTS
 from kenning.plans.registry import query
 from kenning.plans.store import new_path
 from kenning.plans.views import events, table
-from kenning.sources import logs
+from kenning.sources import arrays, logs
 
 FILES = 16
 READ = EVENTS + "SELECT event_id, session_id, tool_name, command, @@ FROM ve"
@@ -90,6 +90,24 @@ def read_run_steps(spark, sf_dir) -> DataFrame:
     return _seen(read, "return_code", "timed_out", "stdout", F.col("turn_index").alias("place"))
 
 
+@query("""SELECT CAST(event_id % 7 AS BIGINT) AS file, 'OK' AS status, count(*) AS n, sum(event_id) AS ids, sum(length(event_type)) AS chars FROM events GROUP BY ALL
+UNION ALL SELECT 7, 'TRUNCATED', 1, 1, 4""")
+def read_event_arrays(spark, sf_dir) -> DataFrame:
+    """All events as JSON arrays, one a file and on one line, beside a cut-off one; what each file gives."""
+    path = new_path(spark, "arrays")
+    rows = table(spark, sf_dir, "events").select((F.col("event_id") % 7).cast("long").alias("file"), "event_id", F.to_json(F.struct("event_id", "event_type", "props")).alias("value"))
+    opened = rows.select("file", F.struct(F.lit(1).alias("a"), "event_id").alias("at"), F.concat(F.lit(","), "value").alias("value"))
+    ends = spark.range(7).select(F.col("id").alias("file"), F.explode(F.array(F.struct(F.struct(F.lit(0).alias("a"), F.lit(0).cast("long").alias("event_id")).alias("at"), F.lit('[{"note": "]}"}').alias("value")), F.struct(F.struct(F.lit(2).alias("a"), F.lit(0).cast("long").alias("event_id")).alias("at"), F.lit("]").alias("value")))).alias("x")).select("file", "x.at", "x.value")
+    broken = spark.createDataFrame([(7, 0, 0, '[{"event_id": 1, "event_type": "view"}, {"event_id": 2')], "file long, a int, event_id long, value string").select("file", F.struct("a", "event_id").alias("at"), "value")
+    lines = opened.unionByName(ends).unionByName(broken)
+    lines.repartition("file").sortWithinPartitions("file", "at").select("file", "value").write.partitionBy("file").option("lineSep", " ").text(path)
+    file = F.regexp_extract("source_file", r"file=(\d+)", 1).cast("long").alias("file")
+    got = arrays.elements(spark, path).select(file, F.from_json("value", "event_id long, event_type string").alias("e"))
+    per = got.groupBy("file").agg(F.count("e.event_id").alias("n"), F.sum("e.event_id").alias("ids"), F.sum(F.length("e.event_type")).alias("chars"))
+    told = arrays.report(spark, path).select(file, "status")
+    return told.join(per, "file", "left").na.fill(0, ["n"])
+
+
 @query(READ.replace("@@", "turn_index, return_code, CASE WHEN tool_name = 'error' THEN '' ELSE out_text END AS stdout, timed_out"))
 def read_generic_logs(spark, sf_dir) -> DataFrame:
     """Any JSONL, its fields under other names, one of them mapped by the caller."""

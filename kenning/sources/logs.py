@@ -11,6 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from kenning.sources import arrays
+
 CANONICAL = ["source_file", "session_id", "turn_index", "slot", "ts", "tool_name", "args", "command", "code", "query", "has_result", "return_code", "timed_out", "success", "stdout", "stderr", "category"]
 # Tool names by category, and the event kinds that give a dialect away.
 TOOLS = {"rag_query": "RAG_QUERY", "search_knowledge": "RAG_QUERY", "generic_linux_command": "GENERIC_COMMAND_CALL", "run_command": "GENERIC_COMMAND_CALL", "shell": "GENERIC_COMMAND_CALL", "execute_code": "CODE_WRITE", "write_file": "CODE_WRITE"}
@@ -157,12 +159,10 @@ def read_callbacks(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_run_steps(spark: SparkSession, path: str) -> DataFrame:
-    """Run-step files: an array, or an object with `data`; turns are steps by creation time, slots keep their place."""
+    """Run-step files: an array, or an object with `data`, of any size; turns are steps by creation time, slots keep their place."""
     call = "struct<id:string,type:string,function:struct<name:string,arguments:string,output:string>,code_interpreter:struct<input:string,outputs:string>,file_search:struct<results:array<struct<id:string,text:string>>>>"
     step = f"struct<id:string,object:string,type:string,created_at:bigint,completed_at:bigint,run_id:string,thread_id:string,step_details:struct<tool_calls:array<{call}>>>"
-    raw = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("source_file"), "value")
-    listed = F.when(F.trim("value").startswith("["), F.from_json("value", f"array<{step}>")).otherwise(F.from_json("value", f"struct<data:array<{step}>>")["data"])
-    steps = raw.select("source_file", F.posexplode(listed).alias("pos", "s"))
+    steps = arrays.elements(spark, path).select("source_file", F.col("place").alias("pos"), F.from_json("value", step).alias("s"))
     order = Window.partitionBy("source_file").orderBy(F.col("s.created_at").asc_nulls_last(), "pos")
     calls = steps.withColumn("turn_index", F.row_number().over(order) - 1).select("source_file", "turn_index", "s", F.posexplode("s.step_details.tool_calls").alias("slot", "c")).filter("c.type IN ('function', 'file_search', 'code_interpreter')")
     is_function, is_search = F.col("c.type") == "function", F.col("c.type") == "file_search"
