@@ -40,7 +40,7 @@ def _native(rows: DataFrame) -> DataFrame:
     stamp = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")
     start = F.when(F.col("turn_index") == 0, F.to_json(F.struct(F.lit("session_start").alias("event"), stamp.alias("timestamp"), "session_id")))
     call = F.struct(F.concat(F.lit("c"), F.col("event_id").cast("string")).alias("id"), F.lit("function").alias("type"), F.struct(F.col("tool_name").alias("name"), F.col("args").alias("arguments")).alias("function"))
-    said = F.to_json(F.struct(F.lit("assistant_message").alias("event"), stamp.alias("timestamp"), F.lit("next").alias("content"), F.array(call).alias("tool_calls")))
+    said = F.to_json(F.struct(F.lit("assistant_message").alias("event"), stamp.alias("timestamp"), F.when(F.col("k") % 3 == 0, " ").otherwise(F.concat(F.lit(" next "), F.col("k").cast("string"))).alias("content"), F.array(call).alias("tool_calls")))
     content = F.to_json(F.struct(F.lit("text").alias("type"), F.col("result").alias("text")))
     message = F.struct(F.lit("tool").alias("role"), content.alias("content"), F.concat(F.lit("c"), F.col("event_id").cast("string")).alias("tool_call_id"))
     asked = F.when(F.col("has_result"), F.to_json(F.struct(F.lit("UNKNOWN").alias("event"), F.lit("").alias("object"), stamp.alias("timestamp"), F.array(message).alias("messages"))))
@@ -49,14 +49,23 @@ def _native(rows: DataFrame) -> DataFrame:
     return placed.select("file", F.struct("place", "pos").alias("at"), "value")
 
 
-@query(READ.replace("@@", ALL + ", category"))
+#: What the tools of the view are called in the logs: names of the readers' own table, so that they give the category.
+IN_LOGS = {"view": "search_knowledge", "click": "run_command", "signup": "execute_code"}
+
+
+def _renamed(tool, names: dict[str, str]):
+    out = F
+    for a, b in names.items():
+        out = out.when(tool == a, b)
+    return out.otherwise(tool)
+
+
+@query(READ.replace("@@", ALL + ", category, CASE WHEN k % 3 <> 0 THEN 'next ' || k END AS thought, CASE WHEN category = 'RAG_QUERY' THEN -1 END AS n_results"))
 def read_native_logs(spark, sf_dir) -> DataFrame:
-    path = _written(_native(_event_rows(spark, sf_dir).withColumn("tool_name", F.concat(F.lit("t_"), "tool_name"))), "native")
-    read = logs.read_native(spark, path)
-    # The reader's own category goes by its table of names; the view's is joined for what the oracle tells.
-    own = events(spark, sf_dir).select(F.col("event_id").alias("id"), F.col("category").alias("own"))
-    seen = _seen(read, "has_result", "return_code", "timed_out", F.coalesce("stdout", F.lit("")).alias("stdout")).join(own, F.col("event_id") == F.col("id")).drop("id")
-    return seen.withColumn("tool_name", F.substring("tool_name", 3, 99)).withColumnRenamed("own", "category")
+    """Category, thought and number of results are the reader's own."""
+    path = _written(_native(_event_rows(spark, sf_dir).withColumn("tool_name", _renamed(F.col("tool_name"), IN_LOGS))), "native")
+    seen = _seen(logs.read_native(spark, path), "has_result", "return_code", "timed_out", F.coalesce("stdout", F.lit("")).alias("stdout"), "category", "thought", "n_results")
+    return seen.withColumn("tool_name", _renamed(F.col("tool_name"), {b: a for a, b in IN_LOGS.items()}))
 
 
 @query(EVENTS + """, s AS (SELECT abs(hash(session_id)) AS h, session_id, count(*) AS n, CAST(sum(CASE WHEN has_result THEN 1 ELSE 0 END) AS BIGINT) AS n_results FROM ve GROUP BY session_id) SELECT session_id, n, n_results FROM s""")
@@ -66,16 +75,24 @@ def read_native_sessions(spark, sf_dir) -> DataFrame:
     return read.groupBy("session_id").agg(F.count(F.lit(1)).alias("n"), F.count_if("has_result").alias("n_results"))
 
 
-@query(READ.replace("@@", "return_code, CASE WHEN tool_name = 'error' THEN err_text ELSE out_text END AS stdout, return_code = 0 AS success"))
+@query(READ.replace("@@", """return_code, CASE WHEN tool_name = 'error' THEN err_text ELSE out_text END || CASE WHEN tool_name <> 'view' OR k % 3 = 0 THEN '' WHEN k % 3 = 1 THEN ' doc 1 Doc 22' ELSE ' --- x' END AS stdout, return_code = 0 AS success,
+ CASE WHEN tool_name = 'view' THEN 'RAG_QUERY' ELSE 'STRUCTURED_TOOL_CALL' END AS category, CASE k % 4 WHEN 0 THEN NULL WHEN 1 THEN 'think ' || k ELSE 'say ' || k END AS thought, CASE WHEN tool_name = 'view' THEN CASE k % 3 WHEN 0 THEN -1 ELSE 2 END END AS n_results"""))
 def read_callback_logs(spark, sf_dir) -> DataFrame:
+    """All calls of a file start before the first one ends; what the model said before a start is that call's thought."""
     rows = _event_rows(spark, sf_dir)
-    run = F.concat(F.lit("r"), F.col("event_id").cast("string"))
-    start = F.to_json(F.struct(F.lit("on_tool_start").alias("type"), run.alias("run_id"), "session_id", F.col("tool_name").alias("name"), F.col("args").alias("input")))
-    end = F.to_json(F.struct(F.lit("on_tool_end").alias("type"), run.alias("run_id"), "session_id", F.concat("stdout", "stderr").alias("output"), F.struct("return_code").alias("run_metadata")))
-    other = F.lit('{"type": "on_llm_end", "run_id": "x"}')
-    lines = F.array(start, other, end)
-    path = _written(rows.select("file", F.col("event_id").alias("place"), F.posexplode(lines).alias("pos", "value")).select("file", F.struct("pos", "place").alias("at"), "value"), "callbacks")
-    return _seen(logs.read_callbacks(spark, path), "return_code", "stdout", "success")
+    run, k = F.concat(F.lit("r"), F.col("event_id").cast("string")), F.col("k").cast("string")
+    said = lambda x, content: F.struct(F.array(F.array(F.struct(x.alias("text"), F.struct(content.alias("content")).alias("message")))).alias("generations"))
+    text = F.when(F.col("k") % 4 == 1, said(F.concat(F.lit("think "), k), F.lit(""))).when(F.col("k") % 4 > 1, said(F.lit("unused"), F.concat(F.lit(" say "), k, F.lit("\n"))))
+    model = F.when(F.col("k") % 4 > 0, F.to_json(F.struct(F.lit("on_llm_end").alias("type"), text.alias("response"))))
+    start = F.to_json(F.struct(F.lit("on_tool_start").alias("type"), run.alias("run_id"), "session_id", _renamed(F.col("tool_name"), {"view": "KB_search"}).alias("name"), F.col("args").alias("input")))
+    answer = F.when((F.col("tool_name") != "view") | (F.col("k") % 3 == 0), "").when(F.col("k") % 3 == 1, " doc 1 Doc 22").otherwise(" --- x")
+    end = F.to_json(F.struct(F.lit("on_tool_end").alias("type"), run.alias("run_id"), "session_id", F.concat("stdout", "stderr", answer).alias("output"), F.struct("return_code").alias("run_metadata")))
+    chain = F.when(F.col("k") % 5 == 0, F.lit('{"type": "on_chain_end", "run_id": "x"}'))
+    begin = rows.select("file", F.lit(0).alias("half"), F.col("event_id").alias("place"), F.posexplode(F.array(model, chain, start)).alias("pos", "value"))
+    ends = rows.select("file", F.lit(1).alias("half"), F.col("event_id").alias("place"), F.lit(0).alias("pos"), end.alias("value"))
+    lines = begin.unionByName(ends).filter("value IS NOT NULL").select("file", F.struct("half", "place", "pos").alias("at"), "value")
+    seen = _seen(logs.read_callbacks(spark, _written(lines, "callbacks")), "return_code", "stdout", "success", "category", "thought", "n_results")
+    return seen.withColumn("tool_name", _renamed(F.col("tool_name"), {"KB_search": "view"}))
 
 
 @query(READ.replace("@@", "return_code, timed_out, CASE WHEN tool_name = 'error' THEN '' ELSE out_text END AS stdout, row_number() OVER (PARTITION BY session_id ORDER BY turn_index) - 1 AS place"))

@@ -11,11 +11,14 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from kenning.functions import text as tx
+from kenning.operators import records
 from kenning.sources import arrays
 
-CANONICAL = ["source_file", "session_id", "turn_index", "slot", "ts", "tool_name", "args", "command", "code", "query", "has_result", "return_code", "timed_out", "success", "stdout", "stderr", "category"]
+CANONICAL = ["source_file", "session_id", "turn_index", "slot", "ts", "tool_name", "args", "command", "code", "query", "has_result", "return_code", "timed_out", "success", "stdout", "stderr", "category", "thought", "n_results"]
 # Tool names by category, and the event kinds that give a dialect away.
 TOOLS = {"rag_query": "RAG_QUERY", "search_knowledge": "RAG_QUERY", "generic_linux_command": "GENERIC_COMMAND_CALL", "run_command": "GENERIC_COMMAND_CALL", "shell": "GENERIC_COMMAND_CALL", "execute_code": "CODE_WRITE", "write_file": "CODE_WRITE"}
+SEARCHES = ["retrieval", "search", "kb_search", "rag_query", "retrieve", "vector_search", "knowledge_base_search", "similarity_search", "search_knowledge_base", "file_search"]
 CALLBACK_KINDS = ["on_chain_start", "on_chain_end", "on_tool_start", "on_tool_end", "on_llm_end", "agent_action", "tool_result"]
 
 _CALL = "array<struct<id:string,type:string,function:struct<name:string,arguments:string>>>"
@@ -95,11 +98,20 @@ def category(tool: Column) -> Column:
     return out.otherwise("STRUCTURED_TOOL_CALL")
 
 
-def _finish(rows: DataFrame) -> DataFrame:
-    """Canonical columns from rows with source_file, session_id, turn_index, slot, ts, tool_name, args and a result."""
+def _finish(rows: DataFrame, reader: str = "generic", searches: list[str] | None = None) -> DataFrame:
+    """Canonical columns from rows with source_file, session_id, turn_index, slot, ts, tool_name, args and a result.
+
+    A call of one of the searches (tool names in lower case) is a search whatever its table of categories says; n_results
+    is how many documents a search gave, by what its reader knows of answers (-1: unknown), and null for other calls.
+    """
+    own = category(F.col("tool_name"))
+    is_search = F.lower("tool_name").isin(searches or SEARCHES) | (own == "RAG_QUERY")
+    found = F.lit(-1) if reader == "native" else records.result_count(F.col("stdout"), reader)
+    thought = F.nullif(tx.strip(F.col("thought")), F.lit("")) if "thought" in rows.columns else F.lit(None).cast("string")
+    rows = rows.withColumns({"thought": thought, "n_results": F.when(is_search, found.cast("int")), "category": records.category(own, is_search)})
     arg = lambda *names: F.coalesce(*[F.get_json_object("args", f"$.{n}") for n in names])
     plain = F.when(~F.trim("args").startswith("{"), F.col("args"))
-    full = rows.withColumns({"command": F.coalesce(arg("command", "cmd"), plain), "code": arg("code", "content"), "query": arg("query", "question"), "category": category(F.col("tool_name"))})
+    full = rows.withColumns({"command": F.coalesce(arg("command", "cmd"), plain), "code": arg("code", "content"), "query": arg("query", "question")})
     return full.select(*CANONICAL)
 
 
@@ -110,10 +122,16 @@ def read_native(spark: SparkSession, path: str) -> DataFrame:
     """
     native = native_lines(spark, path)
     calls = F.when(F.size("said.calls") > 0, F.col("said.calls")).otherwise(F.col("completed"))
-    each = native_turns(native).select("source_file", "turn_index", "has_request", F.col("said.session_id").alias("session_id"), F.col("said.timestamp").alias("ts"), F.posexplode(calls).alias("slot", "c"))
-    named = each.select("*", F.col("c.id").alias("call_id"), F.col("c.function.name").alias("tool_name"), F.col("c.function.arguments").alias("args"))
+    each = native_turns(native).select("source_file", "turn_index", "has_request", F.col("said.session_id").alias("session_id"), F.col("said.timestamp").alias("ts"), said_text(F.col("said.content")).alias("content"), F.posexplode(calls).alias("slot", "c"))
+    named = each.withColumnRenamed("content", "thought").select("*", F.col("c.id").alias("call_id"), F.col("c.function.name").alias("tool_name"), F.col("c.function.arguments").alias("args"))
     joined = named.join(native_results(native), ["source_file", "call_id"], "left").withColumn("content", F.when(F.col("has_request"), F.col("content")))
-    return _finish(joined.withColumns(decode_result(F.col("content"))).withColumn("has_result", F.col("content").isNotNull()))
+    return _finish(joined.withColumns(decode_result(F.col("content"))).withColumn("has_result", F.col("content").isNotNull()), "native")
+
+
+def said_text(content: Column) -> Column:
+    """A message's text: its string, or the texts of its parts."""
+    parts = F.from_json(F.when(F.trim(content).startswith("["), content), "array<struct<type:string,text:string>>")
+    return F.coalesce(F.array_join(F.transform(parts, lambda p: F.coalesce(p["text"], F.lit(""))), " "), content)
 
 
 def read_sessions(spark: SparkSession, path: str) -> DataFrame:
@@ -136,16 +154,25 @@ def read_sessions(spark: SparkSession, path: str) -> DataFrame:
 
 def read_callbacks(spark: SparkSession, path: str) -> DataFrame:
     """Callback logs: each tool end with the latest start of its run before it; turns count the ends."""
-    schema = "struct<type:string,run_id:string,timestamp:string,name:string,input:string,output:string,session_id:string,tool:string,tool_input:string,run_metadata:struct<return_code:int>>"
+    schema = "struct<type:string,run_id:string,timestamp:string,name:string,input:string,output:string,session_id:string,tool:string,tool_input:string,log:string,run_metadata:struct<return_code:int>,response:struct<generations:array<array<struct<text:string,message:struct<content:string>>>>>>"
     rows = lines(spark, path).withColumn("o", F.from_json("raw", schema)).select("source_file", "line_no", "o.*")
+    # What a model said last counts for the next start (or, in old logs, the next result) and for no other.
+    said = F.get(F.get("response.generations", F.lit(0)), F.lit(0))
+    text = F.nullif(tx.strip(F.coalesce(F.nullif(said["message"]["content"], F.lit("")), said["text"])), F.lit(""))
+    ended = F.when(F.col("type").isin("on_llm_end", "llm_end"), F.struct(text.alias("text")))
+    earlier = Window.partitionBy("source_file").orderBy("line_no").rowsBetween(Window.unboundedPreceding, -1)
+    taken = F.coalesce(F.sum(F.col("type").isin("on_tool_start", "on_agent_action", "tool_result").cast("int")).over(earlier), F.lit(0))
+    since = Window.partitionBy("source_file", "__taken").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("__taken", taken).withColumn("said", F.last(ended, ignorenulls=True).over(since)["text"]).drop("__taken", "response")
     by_run = Window.partitionBy("source_file", "run_id").orderBy("line_no").rowsBetween(Window.unboundedPreceding, -1)
-    start = F.last(F.when(F.col("type") == "on_tool_start", F.struct("name", "input", "timestamp")), ignorenulls=True)
+    start = F.last(F.when(F.col("type") == "on_tool_start", F.struct("name", "input", "timestamp", F.col("said").alias("thought"))), ignorenulls=True)
     paired = rows.filter("type IN ('on_tool_start', 'on_tool_end')").withColumn("s", start.over(by_run)).filter("type = 'on_tool_end' AND s IS NOT NULL")
     order = Window.partitionBy("source_file").orderBy("line_no")
-    action = F.last(F.when(F.col("type") == "agent_action", F.struct(F.coalesce("tool", "name").alias("name"), F.coalesce("tool_input", "input").alias("input"), "timestamp")), ignorenulls=True)
+    action = F.last(F.when(F.col("type") == "agent_action", F.struct(F.coalesce("tool", "name").alias("name"), F.coalesce("tool_input", "input").alias("input"), "timestamp", records.reasoning(F.col("log")).alias("thought"))), ignorenulls=True)
     reset = F.sum((F.col("type") == "tool_result").cast("int")).over(order.rowsBetween(Window.unboundedPreceding, -1))
     old = rows.filter("type IN ('agent_action', 'tool_result')").withColumn("g", F.coalesce(reset, F.lit(0)))
     old = old.withColumn("s", action.over(Window.partitionBy("source_file", "g").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0))).filter("type = 'tool_result' AND s IS NOT NULL").drop("g")
+    old = old.withColumn("s", F.col("s").withField("thought", F.coalesce("said", "s.thought")))
     both = paired.unionByName(old)
     stem = F.regexp_extract("source_file", r"([^/]+?)(?:\.[^./]*)?$", 1)
     code = F.coalesce(F.col("run_metadata.return_code"), F.regexp_extract("output", r"Command exited with code (-?\d+)", 1).try_cast("int"))
@@ -153,8 +180,9 @@ def read_callbacks(spark: SparkSession, path: str) -> DataFrame:
         both.select(
             "source_file", F.coalesce("session_id", stem).alias("session_id"), (F.row_number().over(order) - 1).alias("turn_index"), F.lit(0).alias("slot"),
             F.col("s.timestamp").alias("ts"), F.col("s.name").alias("tool_name"), F.col("s.input").alias("args"), F.lit(True).alias("has_result"),
-            code.alias("return_code"), F.lit(False).alias("timed_out"), (code == 0).alias("success"), F.coalesce("output", F.lit("")).alias("stdout"), F.lit("").alias("stderr"),
-        )
+            code.alias("return_code"), F.lit(False).alias("timed_out"), (code == 0).alias("success"), F.coalesce("output", F.lit("")).alias("stdout"), F.lit("").alias("stderr"), F.col("s.thought").alias("thought"),
+        ),
+        "callbacks",
     )
 
 
@@ -172,13 +200,14 @@ def read_run_steps(spark: SparkSession, path: str) -> DataFrame:
         F.when(is_function, F.col("c.function.name")).when(is_search, "search_knowledge").otherwise("execute_code").alias("tool_name"),
         F.coalesce("c.function.arguments", F.to_json(F.struct(F.col("c.code_interpreter.input").alias("code"))), F.lit("{}")).alias("args"), output.alias("content"),
     )
-    return _finish(rows.withColumns(decode_result(F.col("content"))).withColumn("has_result", F.col("content").isNotNull()))
+    return _finish(rows.withColumns(decode_result(F.col("content"))).withColumn("has_result", F.col("content").isNotNull()), "run_steps")
 
 
 FIELD_MAP = {
     "session_id": ["session_id", "session", "conversation_id", "meta.session_id"], "turn_index": ["turn_index", "turn", "step"], "ts": ["timestamp", "ts", "time", "created_at"],
     "tool_name": ["tool_name", "tool", "name", "action.tool"], "args": ["tool_args", "args", "arguments", "input", "action.input"], "stdout": ["stdout", "output", "result", "response.output"],
     "stderr": ["stderr", "error"], "return_code": ["return_code", "exit_code", "rc"], "success": ["success", "ok"], "timed_out": ["timed_out", "timeout"],
+    "thought": ["reasoning", "thought", "observation_prefix", "log", "thinking"],
 }
 
 
@@ -196,7 +225,7 @@ def read_generic(spark: SparkSession, path: str, fields: dict[str, list[str]] |
         found.select(
             "source_file", F.coalesce("session_id", stem).alias("session_id"), F.coalesce(F.col("turn_index").try_cast("int"), F.row_number().over(order) - 1).alias("turn_index"), F.lit(0).alias("slot"),
             "ts", "tool_name", F.coalesce("args", F.lit("{}")).alias("args"), F.lit(True).alias("has_result"), code.alias("return_code"), F.coalesce(F.lower("timed_out") == "true", F.lit(False)).alias("timed_out"),
-            F.coalesce(truth, code == 0).alias("success"), F.coalesce("stdout", F.lit("")).alias("stdout"), F.coalesce("stderr", F.lit("")).alias("stderr"),
+            "thought", F.coalesce(truth, code == 0).alias("success"), F.coalesce("stdout", F.lit("")).alias("stdout"), F.coalesce("stderr", F.lit("")).alias("stderr"),
         )
     )
 

@@ -58,7 +58,7 @@ def test_large_array_on_one_line(spark, tmp_path):
     """200 MB on one line: tasks hold a piece and an element at a time, whatever the line's length."""
     import resource
 
-    item = json.dumps({"id": 1, "text": "x} " * 3000}) + ", "
+    item = json.dumps({"id": 1, "text": ("x} " + "x" * 1000) * 9}) + ", "
     n = 200_000_000 // len(item)
     with open(tmp_path / "large.json", "w") as f:
         f.write("[")

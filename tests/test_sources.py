@@ -49,9 +49,9 @@ def test_session_id_from_file_name_and_interruption(spark, tmp_path):
 
 def test_other_dialects_and_sniffing(spark, tmp_path):
     (tmp_path / "a_1.jsonl").write_text(native_log())
-    cb = [{"type": "on_chain_start", "run_id": "0"}, {"type": "on_tool_start", "run_id": "1", "name": "shell", "input": '{"command": "id"}'}, {"type": "on_tool_end", "run_id": "9", "output": "lost"}, {"type": "on_tool_end", "run_id": "1", "output": "uid=0", "run_metadata": {"return_code": 0}}]
+    cb = [{"type": "on_chain_start", "run_id": "0"}, {"type": "on_llm_end", "response": {"generations": [[{"text": "a", "message": {"content": " plan "}}]]}}, {"type": "on_tool_start", "run_id": "1", "name": "shell", "input": '{"command": "id"}'}, {"type": "on_llm_end", "response": {"generations": [[{"text": "too late"}]]}}, {"type": "on_tool_end", "run_id": "9", "output": "lost"}, {"type": "on_tool_end", "run_id": "1", "output": "uid=0", "run_metadata": {"return_code": 0}}]
     (tmp_path / "b.jsonl").write_text("\n".join(map(json.dumps, cb)))
-    old = [{"type": "agent_action", "tool": "shell", "tool_input": "id"}, {"type": "tool_result", "output": "x"}, {"type": "tool_result", "output": "orphan"}]
+    old = [{"type": "agent_action", "tool": "shell", "tool_input": "id", "log": "Invoking: `shell`\nwhy not"}, {"type": "tool_result", "output": "x"}, {"type": "agent_action", "tool": "search", "log": "Invoking: y"}, {"type": "llm_end", "response": {"generations": [[{"text": "said"}]]}}, {"type": "tool_result", "output": "a --- b"}, {"type": "tool_result", "output": "orphan"}]
     (tmp_path / "c.jsonl").write_text("\n".join(map(json.dumps, old)))
     steps = [{"id": "s2", "object": "thread.run.step", "created_at": 20, "thread_id": "t", "step_details": {"tool_calls": [{"id": "z", "type": "other"}, {"id": "y", "type": "file_search", "file_search": {"results": [{"id": "1", "text": "doc"}]}}]}}, {"id": "s1", "object": "thread.run.step", "created_at": 10, "thread_id": "t", "step_details": {"tool_calls": [{"id": "x", "type": "function", "function": {"name": "shell", "arguments": '{"command": "ls"}', "output": '{"return_code": 0, "stdout": "ok"}'}}]}}]
     (tmp_path / "d.json").write_text(json.dumps({"data": steps}))
@@ -62,8 +62,8 @@ def test_other_dialects_and_sniffing(spark, tmp_path):
     rows = logs.read(spark, str(tmp_path)).collect()
     by = lambda part: sorted((r for r in rows if part in r.source_file.split("/")[-1]), key=lambda r: (r.turn_index, r.slot))
     assert [(r.turn_index, r.slot, r.session_id, r.category, r.stdout) for r in by("a_1.jsonl")] == [(0, 0, "abc", "RAG_QUERY", ""), (0, 1, "abc", "GENERIC_COMMAND_CALL", "open"), (1, 0, "abc", "CODE_WRITE", "Command exited with code 127"), (2, 0, "abc", "GENERIC_COMMAND_CALL", "")]
-    assert [(r.stdout, r.return_code, r.command) for r in by("b.jsonl")] == [("uid=0", 0, "id")]
-    assert [(r.stdout, r.command) for r in by("c.jsonl")] == [("x", "id")]
+    assert [(r.stdout, r.return_code, r.command, r.thought, r.n_results) for r in by("b.jsonl")] == [("uid=0", 0, "id", "plan", None)]
+    assert [(r.stdout, r.command, r.category, r.thought, r.n_results) for r in by("c.jsonl")] == [("x", "id", "GENERIC_COMMAND_CALL", "why not", None), ("a --- b", None, "RAG_QUERY", "said", 2)]
     assert [(r.turn_index, r.slot, r.tool_name, r.stdout) for r in by("d.json")] == [(0, 0, "shell", "ok"), (1, 1, "search_knowledge", "doc")]
     assert [(r.session_id, r.return_code, r.success, r.command) for r in by("e.jsonl")] == [("g", 2, False, "w")]
 
