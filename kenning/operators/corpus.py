@@ -5,10 +5,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Keyword tiers and markers.
-KEYWORDS = {5: ["exploit", "payload", "webshell", "rce", "kerberos", "active directory"], 2: ["vulnerability", "cve-", "bypass", "injection"], 1: ["security", "scan", "nmap"]}
-REPOSTS = ["转载", "来源：", "reposted from", "source:"]
-TERMS = ["shellcode", "heap", "stack", "syscall", "kernel", "token", "deserialization", "xss", "ssrf", "sqli"]
+from kenning.operators.graph import connected_components
+from kenning.operators.records import account_name
+from kenning.plans.store import materialise
+
+# What an account's articles are scored by. Points of words, marks of reposts, technical terms.
+KEYWORDS = {
+    5: ["渗透测试", "红队", "漏洞挖掘", "代码审计", "内网渗透", "漏洞利用", "exploit", "payload", "webshell", "RCE", "Active Directory", "Kerberos", "横向移动", "持久化", "BypassAV", "免杀", "提权", "权限维持"],
+    2: ["安全", "CTF", "Writeup", "靶场", "漏洞", "vulnerability", "C2", "CobaltStrike", "Metasploit", "mimikatz", "SQL注入", "XSS", "SSRF", "XXE", "CSRF", "命令注入", "反序列化", "文件包含", "目录遍历", "越权"],
+    1: ["CVE", "POC", "EXP", "零日", "0day", "威胁情报", "应急响应", "APT", "供应链", "沙盒逃逸"],
+}
+REPOSTS = ["转载", "来源：", "来源:", "原文链接", "原文地址", "作者：", "作者:", "首发于", "本文来自"]
+TERMS = [
+    "payload", "exploit", "poc", "exp", "rce", "sql", "xss", "ssrf", "ldap", "ntlm", "kerberos", "mimikatz", "cobalt", "metasploit", "reverse shell", "bind shell", "c2", "c&c", "bypass", "webshell",
+    "privilege", "escalation", "lateral movement", "persistence", "渗透", "漏洞", "代码审计", "内网", "提权", "后门",
+]
 IDENTITY_KEYS = ["__biz", "mid", "idx", "sn"]
 
 
@@ -58,7 +69,7 @@ def account_scores(articles: DataFrame) -> DataFrame:
     Rows: account, title, content, age_days (null if unknown).
     """
     text = F.lower(F.concat_ws(" ", "title", "content"))
-    hits = sum((F.when(text.contains(k), w).otherwise(0) for w, words in KEYWORDS.items() for k in words), F.lit(0))
+    hits = sum((F.when(text.contains(k.lower()), w).otherwise(0) for w, words in KEYWORDS.items() for k in words), F.lit(0))
     content = F.coalesce("content", F.lit(""))
     original = ~F.substring(content, 1, 200).rlike("|".join(REPOSTS))
     code = F.least(F.floor(count_of(content, "```") / 2) * 15.0, F.lit(45.0))
@@ -152,35 +163,104 @@ def related(relations: DataFrame, objects: DataFrame, kind: str) -> DataFrame:
     return relations.filter(F.col("relationship_type") == kind).select("source_ref", "target_ref").join(s, "source_ref").join(t, "target_ref")
 
 
-# Hints of relevance and ways of naming a source.
-RELEVANT = r"(?i)\b(?:exploit|cve-\d{4}-\d+|rce|webshell|privilege escalation|payload)\b"
-HINTS = ["security", "attack", "scan", "injection", "bypass", "malware", "token"]
-NOISE_TITLE = r"(?i)\b(?:hiring|webinar|giveaway|newsletter)\b"
+# What makes an article worth keeping: patterns, hints, and words of advertising in titles and texts.
+STRONG = [
+    r"cve-\d{4}-\d{4,7}", r"漏洞|漏洞复现|漏洞分析|利用链|补丁分析", r"远程代码执行|任意代码执行|命令执行|提权|越权|越界|目录遍历|反序列化", r"sql注入|xss|ssrf|xxe|rce|lfi|rfi|ssti",
+    r"poc\b|\bexp\b|exploit|payload|getshell|shellcode", r"渗透测试|内网渗透|横向移动|红队|蓝队|应急响应|威胁狩猎",
+]
+HINTS = [
+    "渗透", "漏洞", "利用", "提权", "内网", "绕过", "web安全", "0day", "0-day", "cnnvd", "cnvd", "高危漏洞", "严重漏洞", "威胁情报", "恶意软件", "勒索", "木马",
+    "后门", "apt", "c2", "ctf", "逆向", "二进制", "代码审计", "nmap", "burp", "metasploit", "mimikatz", "sqlmap", "免杀", "攻击链", "复盘", "通告", "预警",
+]
+NOISE_TITLE = ["战略合作", "签署合作", "达成合作", "签约仪式", "发布会", "峰会", "论坛", "大会", "研讨会", "招聘", "校招", "内推", "获奖", "荣誉", "周年", "生态合作", "联合声明", "活动报名", "直播预告", "课程报名", "产品发布", "品牌升级"]
+NOISE_TEXT = ["签署战略合作协议", "双方经营班子成员", "出席并见证签约仪式", "市场需求的迎合", "业务团队代表", "合作伙伴", "品牌影响力", "市场拓展", "生态共建"]
+LEAST_CHARS = 260
+# What names are compared without, and endings that don't tell accounts apart.
+NAME_SPACE, NAME_MARKS = r"[\s\u3000]+", r"[·•,，.。:：;；\-_/\\|()（）\[\]{}<>《》【】\"'“”‘’`~!！?？]"
+NAME_ENDS = r"(官方公众号|公众号|官方|研究院|研究中心|实验室|安全实验室|安全研究院)$"
+# Ways in which a text names its source, most exact first; a link's account; words that are no names.
+SOURCES = [
+    r"转载[自来源于来自于]?\s*[【「\[]([^】」\]]{2,25})[】」\]]", r"来源[：:]\s*([^\s，,。\n【】「」]{2,25})", r"作者\s*[|｜]\s*([^\s，,。\n【】「」]{2,25})", r"(?:推荐关注|关注公众号|扫码关注)\s*[「【\[]([^」】\]]{2,25})[」】\]]",
+    r"首发[于:]?\s*([^\s，,。\n【】「」]{2,25})", r"本文(?:来自|转自|摘自|首发于|出处)\s*[：:]?\s*([^\s，,。\n【】「」]{2,25})", r"版权归\s*([^\s，,。\n【】「」]{2,20})\s*所有",
+]
+BIZ = r"mp\.weixin\.qq\.com/s[?/][^\"'>\s]*[?&]__biz=([A-Za-z0-9=+/]{10,})"
+NO_NAMES = [
+    "微信", "朋友圈", "公众号", "关注", "原文", "作者", "编辑", "转载", "来源", "版权", "声明", "本文", "文章", "链接", "网络", "互联网", "以上", "以下", "前者", "后者", "此处", "该文", "相关", "更多",
+    "点击", "阅读", "扫描", "扫码", "二维码", "联系", "合作", "投稿", "平台", "渠道", "官方", "账号", "号主", "小编", "原作者", "原作", "编译", "整理", "责编", "排版", "审核", "摘要", "全文", "部分", "关键词", "参考", "引用", "致谢",
+]
+
+
+def plain_name(name: Column) -> Column:
+    """Lower case without spaces and punctuation."""
+    return F.regexp_replace(F.regexp_replace(F.lower(F.coalesce(name, F.lit(""))), NAME_SPACE, ""), NAME_MARKS, "")
 
 
 def relevant(title: Column, body: Column) -> Column:
-    """A strong term, or two hints; never with a noise title."""
-    text = F.lower(F.concat_ws(" ", title, body))
-    hints = sum((text.contains(h).cast("int") for h in HINTS), F.lit(0))
-    return (text.rlike(RELEVANT) | (hints >= 2)) & ~F.coalesce(title, F.lit("")).rlike(NOISE_TITLE)
+    """Whether an article has technical worth.
 
+    Long enough; not an advertisement (words of one in the title and few signs against it, or two in the text and fewer);
+    then a pattern in the title, or one anywhere and two hints, or six hints.
+    """
+    head, text = F.coalesce(title, F.lit("")), F.coalesce(body, F.lit(""))
+    plain_head, plain_text, whole = plain_name(head), plain_name(text), F.concat(head, F.lit("\n"), text)
+    total = lambda flags: sum((f.cast("int") for f in flags), F.lit(0))
+    strong, in_title = total(whole.rlike(f"(?i){p}") for p in STRONG), total(head.rlike(f"(?i){p}") for p in STRONG)
+    hints = total(plain_head.contains(h) | plain_text.contains(h) for h in HINTS)
+    advertised = (total(plain_head.contains(w) for w in NOISE_TITLE) > 0) & (in_title == 0) & (hints < 3)
+    business = (total(text.contains(w) for w in NOISE_TEXT) >= 2) & (strong == 0) & (hints < 4)
+    return (F.length(text) >= LEAST_CHARS) & ~advertised & ~business & ((in_title > 0) | ((strong > 0) & (hints >= 2)) | (hints >= 6))
 
-def plain_name(name: Column) -> Column:
-    """Lower case without spaces and punctuation."""
-    return F.regexp_replace(F.lower(F.coalesce(name, F.lit(""))), r"[^\p{L}\p{N}]+", "")
 
+def core_name(name: Column) -> Column:
+    """The plain name without an ending that doesn't tell accounts apart."""
+    return F.regexp_replace(plain_name(name), NAME_ENDS, "")
 
-def same_name(a: Column, b: Column) -> Column:
-    """Equal after normalising, or one of three characters or more inside the other."""
-    x, y = plain_name(a), plain_name(b)
-    return (x != "") & (y != "") & ((x == y) | ((F.length(x) >= 3) & y.contains(x)) | ((F.length(y) >= 3) & x.contains(y)))
 
+def same_name(actual: Column, target: Column) -> Column:
+    """Whether an account's name is the one that was looked for: equal as plain or core names, or one core of three
+    characters or more inside the other. An unknown name passes."""
+    x, y, a, b = plain_name(actual), plain_name(target), core_name(actual), core_name(target)
+    inside = (F.least(F.length(a), F.length(b)) >= 3) & (a.contains(b) | b.contains(a))
+    return (x == "") | (x == y) | ((a != "") & (a == b)) | inside
 
-def citations(articles: DataFrame, id_col: str = "id", text_col: str = "text") -> DataFrame:
-    """id, name, n: names that a text gives as its source."""
-    patterns = [r"(?i)\bvia\s+@?([\p{L}\p{N}_]{2,30})", r"(?i)\bsource:\s*([\p{L}\p{N}_]{2,30})", r"来源[:：]\s*([\p{L}\p{N}_]{2,30})", r"公众号[「“\"]?([\p{L}\p{N}_]{2,30})"]
-    found = F.concat(*[F.regexp_extract_all(F.col(text_col), F.lit(p), F.lit(1)) for p in patterns])
-    return articles.select(F.col(id_col).alias("id"), F.explode(found).alias("name")).groupBy("id", "name").agg(F.count(F.lit(1)).alias("n"))
+
+#: Characters of the pieces by which contained names are found.
+GRAM = 3
+
+
+def rekeyed(names: DataFrame) -> DataFrame:
+    """name, account, n: accounts that go by several names, under the name most of their articles have (then the shortest).
+
+    names: name, n. Two names are one account if same_name() holds, through others if need be. A name that lies in
+    another shares all its pieces of three characters with it, so it is looked up by the rarest of them only; no pairs of
+    names are tried out.
+    """
+    cores = materialise(names.filter(plain_name(F.col("name")) != "").groupBy("name").agg(F.sum("n").alias("n")).withColumn("core", core_name(F.col("name"))), "names")
+    keys = cores.select(F.coalesce(F.nullif("core", F.lit("")), F.concat(F.lit("="), plain_name(F.col("name")))).alias("core")).distinct()
+    spots = F.when(F.length("core") >= GRAM, F.sequence(F.lit(1), F.length("core") - GRAM + 1)).otherwise(F.array().cast("array<int>"))
+    pieces = materialise(keys.filter(~F.col("core").startswith("=")).select("core", F.explode(F.array_distinct(F.transform(spots, lambda i: F.substr("core", i, F.lit(GRAM))))).alias("piece")), "pieces")
+    held = pieces.groupBy("piece").agg(F.count(F.lit(1)).alias("held"))
+    rarest = pieces.join(held, "piece").groupBy("core").agg(F.min(F.struct("held", "piece")).alias("r")).select(F.col("core").alias("inner"), F.col("r.piece").alias("piece"))
+    inside = pieces.join(rarest, "piece").filter((F.col("core") != F.col("inner")) & F.col("core").contains(F.col("inner")))
+    root = connected_components(inside.select(F.xxhash64("core").alias("a"), F.xxhash64("inner").alias("b")))
+    keyed = cores.withColumn("key", F.xxhash64(F.coalesce(F.nullif("core", F.lit("")), F.concat(F.lit("="), plain_name(F.col("name"))))))
+    joined = keyed.join(root, keyed["key"] == root["node"], "left").withColumn("root", F.coalesce("root", "key"))
+    best = joined.groupBy("root").agg(F.min_by("name", F.struct(-F.col("n"), F.length("name"), "name")).alias("account"))
+    return joined.join(best, "root").select("name", "account", "n")
+
+
+def citations(articles: DataFrame, id_col: str = "id", text_col: str = "text", author_col: str | None = None) -> DataFrame:
+    """id, name, source (citation or citation_biz), n: the accounts that a text names as its source, but its author.
+
+    A link's account is named `__biz:` and its key.
+    """
+    bare = lambda x: F.regexp_replace(F.trim(x), r"[。，！？…\]）』]+$", "")
+    named = F.transform(F.concat(*[F.regexp_extract_all(F.col(text_col), F.lit(p), F.lit(1)) for p in SOURCES]), lambda x: F.struct(bare(x).alias("name"), F.lit("citation").alias("source")))
+    linked = F.transform(F.regexp_extract_all(F.col(text_col), F.lit(BIZ), F.lit(1)), lambda x: F.struct(F.concat(F.lit("__biz:"), x).alias("name"), F.lit("citation_biz").alias("source")))
+    own = F.coalesce(F.col(author_col), F.lit("")) if author_col else F.lit("")
+    found = articles.select(F.col(id_col).alias("id"), own.alias("own"), F.explode(F.concat(named, linked)).alias("c")).select("id", "own", "c.*")
+    good = (F.col("source") == "citation_biz") | (account_name(F.col("name"), NO_NAMES) & (F.col("name") != F.col("own")))
+    return found.filter(good).groupBy("id", "name", "source").agg(F.count(F.lit(1)).alias("n"))
 
 
 def publish_time(html: Column) -> Column:
@@ -189,7 +269,13 @@ def publish_time(html: Column) -> Column:
     return F.coalesce(*[F.nullif(F.regexp_extract(html, w, 1), F.lit("")) for w in ways])
 
 
-def article_date(text: Column) -> Column:
-    """Date of the usual spellings, CJK ones too."""
-    plain = F.regexp_replace(F.regexp_replace(text, r"[年月/.]", "-"), r"日", "")
-    return F.coalesce(F.try_to_timestamp(plain, F.lit("yyyy-M-d HH:mm:ss")), F.try_to_timestamp(plain, F.lit("yyyy-M-d HH:mm")), F.try_to_timestamp(plain, F.lit("yyyy-M-d")))
+def article_date(text: Column, today: Column | None = None) -> Column:
+    """Date of the usual spellings, CJK ones too; of a bare month and day the latest one that isn't after today."""
+    plain = F.trim(F.regexp_replace(F.regexp_replace(text, r"[年月/.]", "-"), r"日", ""))
+    timed = F.coalesce(F.try_to_timestamp(plain, F.lit("yyyy-M-d HH:mm:ss")), F.try_to_timestamp(plain, F.lit("yyyy-M-d HH:mm")))
+    day = F.try_to_timestamp(F.nullif(F.regexp_extract(plain, r"(\d{4}-\d{1,2}-\d{1,2})", 1), F.lit("")), F.lit("yyyy-M-d"))
+    short = F.nullif(F.regexp_extract(plain, r"(\d{1,2}-\d{1,2})", 1), F.lit(""))
+    now = F.current_date() if today is None else today
+    of = lambda year: F.try_to_timestamp(F.concat(year.cast("string"), F.lit("-"), short), F.lit("yyyy-M-d"))
+    this, last = of(F.year(now)), of(F.year(now) - 1)
+    return F.coalesce(timed, day, F.when(this <= now.cast("timestamp"), this).otherwise(last))

@@ -399,29 +399,38 @@ def compression_summary(spark, sf_dir) -> DataFrame:
     return serve.compression(experiences(spark, sf_dir), fusion.clusters(experiences(spark, sf_dir)))
 
 
-@query("""WITH a AS (SELECT source AS account, text, doc_id % 60 AS age, length(text) AS n, lower(text) AS low FROM documents),
-s AS (SELECT *, (length(low) - length(replace(low, 'stack', ''))) > 0 AS t1, (CASE WHEN contains(low, 'rce') THEN 5 ELSE 0 END + CASE WHEN contains(low, 'scan') THEN 1 ELSE 0 END) AS hits,
- least(greatest(0, (n - 500) / 1500.0 * 30), 30) AS size,
- (CASE WHEN contains(low,'heap') THEN 1 ELSE 0 END + CASE WHEN contains(low,'stack') THEN 1 ELSE 0 END + CASE WHEN contains(low,'token') THEN 1 ELSE 0 END) AS terms FROM a)
-SELECT account, count(*) AS n, CAST(min(age) AS BIGINT) AS youngest, round(avg(size), 4) AS mean_size FROM s GROUP BY account""")
+#: A source under the names it goes by, and other sources whose names lie close.
+_ALIAS = "CASE doc_id % 5 WHEN 0 THEN upper(source) || ' 实验室' WHEN 1 THEN '【' || source || '】' WHEN 2 THEN source || '-官方公众号' WHEN 3 THEN 'the ' || source ELSE source END"
+
+
+@query(f"""WITH RECURSIVE a AS (SELECT {_ALIAS} AS name, count(*) AS n FROM documents GROUP BY ALL),
+c AS (SELECT name, n, regexp_replace(regexp_replace(regexp_replace(lower(name), '\\s+', '', 'g'), '[【】.,:_/-]', '', 'g'), '(官方公众号|公众号|官方|研究院|研究中心|实验室|安全实验室|安全研究院)$', '') AS core FROM a),
+e AS (SELECT x.name AS a, y.name AS b FROM c x JOIN c y ON x.core = y.core OR (least(length(x.core), length(y.core)) >= 3 AND (contains(x.core, y.core) OR contains(y.core, x.core)))),
+r AS (SELECT name AS a, name AS b FROM c UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a), g AS (SELECT a AS name, min(b) AS root FROM r GROUP BY a),
+k AS (SELECT root, arg_min(name, (-n, length(name), name)) AS account FROM g JOIN c USING (name) GROUP BY root)
+SELECT account, CAST(sum(n) AS BIGINT) AS n, count(*) AS n_names FROM g JOIN c USING (name) JOIN k USING (root) GROUP BY account""")
 def account_activity(spark, sf_dir) -> DataFrame:
-    d = table(spark, sf_dir, "documents")
-    size = F.least(F.greatest(F.lit(0.0), (F.length("text") - 500) / 1500.0 * 30), F.lit(30.0))
-    return d.groupBy(F.col("source").alias("account")).agg(F.count(F.lit(1)).alias("n"), F.min(F.col("doc_id") % 60).alias("youngest"), F.round(F.avg(size), 4).alias("mean_size"))
+    """Articles by account, whatever spelling of its name they have."""
+    names = table(spark, sf_dir, "documents").groupBy(F.expr(_ALIAS).alias("name")).agg(F.count(F.lit(1)).alias("n"))
+    return corpus.rekeyed(names).groupBy("account").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("n_names"))
 
 
-_HITS = " + ".join(f"CASE WHEN contains(low, '{k}') THEN {w} ELSE 0 END" for w, ks in corpus.KEYWORDS.items() for k in ks)
+_HITS = " + ".join(f"CASE WHEN contains(low, '{k.lower()}') THEN {w} ELSE 0 END" for w, ks in corpus.KEYWORDS.items() for k in ks)
 _TERMS = " + ".join(f"CASE WHEN contains(c, '{t}') THEN 1 ELSE 0 END" for t in corpus.TERMS)
 
 
-@query(f"""WITH a AS (SELECT source AS account, lower(lang || ' ' || text) AS low, lower(text) AS c, text, length(text) AS len, CASE WHEN doc_id % 20 = 3 THEN NULL ELSE doc_id % 90 END AS age FROM documents),
+_TITLES = pick("doc_id % 7", ["exploit RCE 渗透测试", "漏洞 CTF c2", "0day POC", "kerberos", "XSS SSRF 越权", "news", ""])
+_MARKS = pick("doc_id % 5", ["", "来源: x ", "```a``` ", "本文来自 y ", "ldap ntlm c&c "])
+
+
+@query(f"""WITH b AS (SELECT doc_id, source, {_TITLES} AS title, {_MARKS} || text AS text FROM documents), a AS (SELECT source AS account, lower(title || ' ' || text) AS low, lower(text) AS c, text, length(text) AS len, CASE WHEN doc_id % 20 = 3 THEN NULL ELSE doc_id % 90 END AS age FROM b),
 s AS (SELECT *, least({_HITS}, 10) AS hit, least(floor((length(text) - length(replace(text, '```', ''))) / 3 / 2) * 15.0, 45.0) + least(greatest(0.0, (len - 500) / 1500 * 30.0), 30.0) + least(({_TERMS}) / greatest(len / 1000, 1.0) * 5.0, 25.0) AS deep,
- CASE WHEN regexp_matches(substr(text, 1, 200), '转载|来源：|reposted from|source:') THEN 0.0 ELSE 100.0 END AS own FROM a),
+ CASE WHEN regexp_matches(substr(text, 1, 200), '转载|来源：|来源:|原文链接|原文地址|作者：|作者:|首发于|本文来自') THEN 0.0 ELSE 100.0 END AS own FROM a),
 g AS (SELECT account, count(*) AS n, least(avg(hit) * 10, 100.0) AS relevance, CASE WHEN count(age) = 0 THEN 50.0 ELSE 0.6 * greatest(0.0, 100.0 - 2 * min(age)) + 0.4 * least(count(*) FILTER (age <= 30) * 10.0, 100.0) END AS activity, avg(own) AS originality, least(avg(deep), 100.0) AS depth FROM s GROUP BY account),
 t AS (SELECT *, round(0.40 * relevance + 0.20 * activity + 0.25 * originality + 0.15 * depth, 4) AS total FROM g)
 SELECT account, n, round(relevance, 3) AS relevance, CAST(round(activity, 3) AS DOUBLE) AS activity, round(originality, 3) AS originality, round(depth, 3) AS depth, round(total, 3) AS total, CASE WHEN total >= 75 THEN 'A' WHEN total >= 50 THEN 'B' WHEN total >= 30 THEN 'C' ELSE 'D' END AS grade FROM t""")
 def account_score(spark, sf_dir) -> DataFrame:
-    d = table(spark, sf_dir, "documents").select(F.col("source").alias("account"), F.col("lang").alias("title"), F.col("text").alias("content"), F.when(F.col("doc_id") % 20 != 3, F.col("doc_id") % 90).alias("age_days"))
+    d = table(spark, sf_dir, "documents").select(F.col("source").alias("account"), F.expr(_TITLES).alias("title"), F.concat(F.expr(_MARKS), F.col("text")).alias("content"), F.when(F.col("doc_id") % 20 != 3, F.col("doc_id") % 90).alias("age_days"))
     s = corpus.account_scores(d)
     return s.select("account", "n", *[F.round(c, 3).alias(c) for c in ("relevance", "activity", "originality", "depth", "total")], "grade")
 

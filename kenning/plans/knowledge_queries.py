@@ -74,15 +74,32 @@ def script_links(spark, sf_dir) -> DataFrame:
     return turns.script_links(e)
 
 
-@query(f"SELECT doc_id, {pick('doc_id % 4', ['true', 'false', 'true', 'false'])} = 'true' AS relevant FROM documents")
+_HEADS = pick("doc_id % 8", ["notes", "notes on SSRF", "峰会 招聘", "峰会", "x", "x", "x", "Apt C2"])
+_BODIES = pick("doc_id % 8", ["CVE-2021-44228 nmap burp ", "", "exploit nmap ", "exploit nmap burp sqlmap ", "合作伙伴 市场拓展 nmap ", "nmap burp sqlmap mimikatz metasploit ctf ", "nmap burp ", "payload "])
+_ALL = lambda of, words: "(" + " + ".join(f"CASE WHEN {of.format(w)} THEN 1 ELSE 0 END" for w in words) + ")"
+_PLAIN = "regexp_replace(regexp_replace(lower({0}), '\\s+', '', 'g'), '[·•,，.。:：;；_/|()（）{{}}<>《》【】\"“”‘’`~!！?？''\\[\\]\\\\-]', '', 'g')"
+
+
+@query(f"""WITH d AS (SELECT doc_id, {_HEADS} AS h, {_BODIES} || text AS b FROM documents), p AS (SELECT *, {_PLAIN.format("h")} AS ph, {_PLAIN.format("b")} AS pb, lower(h || chr(10) || b) AS w FROM d),
+n AS (SELECT *, {_ALL("regexp_matches(w, '{}')", corpus.STRONG)} AS strong, {_ALL("regexp_matches(lower(h), '{}')", corpus.STRONG)} AS headed, {_ALL("contains(ph, '{0}') OR contains(pb, '{0}')", corpus.HINTS)} AS hints,
+  {_ALL("contains(ph, '{}')", corpus.NOISE_TITLE)} AS advert, {_ALL("contains(b, '{}')", corpus.NOISE_TEXT)} AS trade FROM p)
+SELECT doc_id, CASE WHEN length(b) < 260 THEN false WHEN advert > 0 AND headed = 0 AND hints < 3 THEN false WHEN trade >= 2 AND strong = 0 AND hints < 4 THEN false WHEN headed >= 1 THEN true WHEN strong >= 1 AND hints >= 2 THEN true ELSE hints >= 6 END AS relevant FROM n""")
 def article_relevance(spark, sf_dir) -> DataFrame:
-    d = table(spark, sf_dir, "documents").select("doc_id", F.expr(pick("doc_id % 4", ["a", "b", "c", "Hiring now"])).alias("title"), F.expr(pick("doc_id % 4", ["CVE-2021-1 here", "cooking", "security scan", "rce exploit"])).alias("body"))
+    """Whole texts under titles, and behind words, of every branch."""
+    d = table(spark, sf_dir, "documents").select("doc_id", F.expr(_HEADS).alias("title"), F.concat(F.expr(_BODIES), F.col("text")).alias("body"))
     return d.select("doc_id", corpus.relevant(F.col("title"), F.col("body")).alias("relevant"))
 
 
-@query(f"SELECT doc_id, {pick('doc_id % 3', ['true', 'true', 'false'])} = 'true' AS same FROM documents")
+_FIRST = "split_part(text, ' ', 1)"
+_SECOND = "CASE doc_id % 6 WHEN 0 THEN upper(split_part(text, ' ', 1)) || ' 实验室' WHEN 1 THEN 'The ' || split_part(text, ' ', 1) WHEN 2 THEN split_part(text, ' ', 2) WHEN 3 THEN '' WHEN 4 THEN split_part(text, ' ', 1) || '.' ELSE source END"
+_CORE = "regexp_replace({0}, '(官方公众号|公众号|官方|研究院|研究中心|实验室|安全实验室|安全研究院)$', '')"
+
+
+@query(f"""WITH d AS (SELECT doc_id, {_PLAIN.format(_SECOND)} AS x, {_PLAIN.format(_FIRST)} AS y FROM documents), c AS (SELECT *, {_CORE.format("x")} AS a, {_CORE.format("y")} AS b FROM d)
+SELECT doc_id, x = '' OR x = y OR (a <> '' AND a = b) OR (least(length(a), length(b)) >= 3 AND (contains(a, b) OR contains(b, a))) AS same FROM c""")
 def fuzzy_names(spark, sf_dir) -> DataFrame:
-    d = table(spark, sf_dir, "documents").select("doc_id", F.expr(pick("doc_id % 3", ["Red-Team Lab", "redteam", "ab"])).alias("a"), F.expr(pick("doc_id % 3", ["redteam lab", "The Red Team Lab", "xabx"])).alias("b"))
+    """First words of the texts as names that were looked for, against spellings of them, other words and sources."""
+    d = table(spark, sf_dir, "documents").select("doc_id", F.expr(_SECOND).alias("a"), F.expr(_FIRST).alias("b"))
     return d.select("doc_id", corpus.same_name(F.col("a"), F.col("b")).alias("same"))
 
 

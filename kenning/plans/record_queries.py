@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kenning.functions import canonical
 from kenning.operators import fusion, merge, records
 from kenning.plans.event_queries import EVENTS
 from kenning.plans.experience_queries import ROWS, weighted
@@ -108,3 +109,16 @@ def search_calls_and_thoughts(spark, sf_dir) -> DataFrame:
 def crawl_worthiness(spark, sf_dir) -> DataFrame:
     kinds = [*records.CRAWL_WORTHY, "odd", ""]
     return table(spark, sf_dir, "documents").select("doc_id", records.crawl_worthy(F.initcap(F.expr(pick("doc_id % 16", kinds)))).alias("worthy"))
+
+
+#: An event's payload in two spellings: other order, other white space.
+_SPELLED = """CASE WHEN event_id % 2 = 0 THEN concat('{"b" : [1, {"y":2,"x":"', event_type, ', : {}]}"}],"a":', props, ', "n":null}') ELSE concat('{ "n": null,"a": ', props, ',"b":[1,{"x":"', event_type, ', : {}]}", "y":2}]}') END"""
+
+
+@query("""WITH s AS (SELECT event_id, event_type, '{"a": {"k": ' || json_extract_string(props, '$.k') || '}, "b": [1, {"x": "' || event_type || ', : {}]}", "y": 2}], "n": null}' AS j FROM events)
+SELECT substr(sha256(j), 1, 16) AS hash, lower(j) AS searched, count(*) AS n FROM s GROUP BY ALL""")
+def canonical_content(spark, sf_dir) -> DataFrame:
+    """Payloads that say the same have one hash and one search text, however they are spelled."""
+    text = F.expr(_SPELLED)
+    rows = table(spark, sf_dir, "events").select(canonical.content_hash(text).alias("hash"), canonical.search_text(text).alias("searched"))
+    return rows.groupBy("hash", "searched").agg(F.count(F.lit(1)).alias("n"))

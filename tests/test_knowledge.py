@@ -62,10 +62,14 @@ def test_settings(tmp_path):
 
 
 def test_names_dates_citations(spark):
-    df = spark.createDataFrame([(1, "seen via @lab and source: lab, 来源：实验室")], "id long, text string")
-    assert {(r.name, r.n) for r in corpus.citations(df).collect()} == {("lab", 2), ("实验室", 1)}
-    dates = spark.createDataFrame([("2026年1月2日",), ("2026/1/2 03:04",), ("never",)], "t string").select(corpus.article_date(F.col("t")).cast("string").alias("d")).collect()
-    assert [r.d for r in dates] == ["2026-01-02 00:00:00", "2026-01-02 03:04:00", None]
+    text = "转载自【红队笔记】 来源：实验室甲，作者 | 小编 关注公众号「云安全」 首发于 甲乙丙 本文转自：某某团队。 版权归 某公司 所有 https://mp.weixin.qq.com/s?a=1&__biz=MzA5MDEwMjY1Mg== 来源:12345 来源:www.x 来源：自己"
+    df = spark.createDataFrame([(1, text, "自己")], "id long, text string, author string")
+    found = {(r.name, r.source) for r in corpus.citations(df, author_col="author").collect()}
+    assert found == {(n, "citation") for n in ("红队笔记", "实验室甲", "云安全", "甲乙丙", "某某团队", "某公司")} | {("__biz:MzA5MDEwMjY1Mg==", "citation_biz")}
+    today = F.lit("2026-03-01").cast("date")
+    days = ["2026年1月2日", "2026/1/2 03:04", "never", "02-28", "3月5日", "on 2025.12.31 at night"]
+    dates = spark.createDataFrame([(i, t) for i, t in enumerate(days)], "i int, t string").orderBy("i").select(corpus.article_date(F.col("t"), today).cast("string").alias("d")).collect()
+    assert [r.d for r in dates] == ["2026-01-02 00:00:00", "2026-01-02 03:04:00", None, "2026-02-28 00:00:00", "2025-03-05 00:00:00", "2025-12-31 00:00:00"]
     cases = [("success", None, False, ""), ("uncertain", None, False, ""), (None, False, True, ""), (None, False, False, ""), (None, None, False, "root shell"), (None, None, False, "")]
     rows = spark.createDataFrame([(i, *c) for i, c in enumerate(cases)], "i int, o string, s boolean, near boolean, t string")
     got = rows.orderBy("i").select(evaluate.session_status(F.col("o"), F.col("s"), F.col("near"), F.col("t")).alias("x")).collect()
@@ -246,3 +250,49 @@ def test_records(spark):
     dates = spark.createDataFrame([("2024-01-02T03:04:05",), ("never",), (None,)], "d string").select(records.date_or_epoch(F.col("d")).cast("string").alias("d")).collect()
     assert [r.d for r in dates] == ["2024-01-02 03:04:05", "1970-01-01 00:00:00", "1970-01-01 00:00:00"]
     assert [r.ok for r in spark.createDataFrame([("x",), ("ok name",), ("see github.com/x",)], "n string").select(records.candidate_name(F.col("n")).alias("ok")).collect()] == [False, True, False]
+
+
+def test_rekeyed_names(spark):
+    """Names of one account, found by their pieces, against all pairs."""
+    import random
+
+    rng = random.Random(2)
+    roots = ["".join(rng.choice("abcdxyz") for _ in range(rng.randint(2, 6))) for _ in range(50)]
+    names = sorted({f(r) for r in roots for f in rng.sample([str.upper, lambda r: f"{r} 实验室", lambda r: f"the-{r}", lambda r: f"【{r}】官方", str, lambda r: r + rng.choice(roots)], 3)} | {"官方", "公众号", "...", ""})
+    rows = [(n, 1 + len(n) % 3) for n in names]
+    pairs = spark.createDataFrame([(a, b) for a in names for b in names if a.strip(".") and b.strip(".")], "a string, b string")
+    same = [(r.a, r.b) for r in pairs.filter(corpus.same_name(F.col("a"), F.col("b"))).collect()]
+    root = {n: n for n in names}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in same:
+        x, y = find(a), find(b)
+        root[max(x, y)] = min(x, y)
+    got = {r.name: r.account for r in corpus.rekeyed(spark.createDataFrame(rows, "name string, n long")).collect()}
+    weight = dict(rows)
+    best = {}
+    for n in got:
+        best[find(n)] = min(best.get(find(n), n), n, key=lambda x: (-weight[x], len(x), x))
+    assert set(got) == {n for n in names if n.strip(".")} and got == {n: best[find(n)] for n in got} and len(set(got.values())) > 5
+
+
+def test_canonical_json(spark):
+    """The forms of Python's json with sorted keys, whatever the spelling."""
+    import hashlib
+
+    from kenning.functions import canonical
+
+    values = [{"b": [1, {"y": 2, "x": "a, \"b\": c\\"}], "a": {"é": "ü日", "B": None}, "": True}, {"k": "x:,y", "j": []}, [3, {"z": {}, "a": "\\"}], {"n": 12345678901, "f": 0.5}]
+    rows = []
+    for v in values:
+        rows += [(json.dumps(v, ensure_ascii=False), v), (json.dumps(dict(reversed(v.items())) if isinstance(v, dict) else v, indent=3), v)]
+    got = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "i int, t string").orderBy("i").select(canonical.spaced(F.col("t")).alias("s"), canonical.content_hash(F.col("t")).alias("h")).collect()
+    for r, (_, v) in zip(got, rows, strict=True):
+        told = json.dumps(v, sort_keys=True, ensure_ascii=False)
+        assert r.s == told and r.h == hashlib.sha256(told.encode()).hexdigest()[:16]
+    bad = spark.range(1).select(canonical.spaced(F.lit("{no")).alias("s"), canonical.content_hash(F.lit("{no")).alias("h"), canonical.search_text(F.lit("{No")).alias("t")).first()
+    assert tuple(bad) == (None, hashlib.sha256(b"{no").hexdigest()[:16], "{no")
