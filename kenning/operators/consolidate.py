@@ -9,7 +9,7 @@ from kenning.operators import fusion, merge
 from kenning.plans.store import materialise
 
 #: What a row's content (JSON) may hold; what a row without content says is its text.
-CONTENT = "struct<tool_name:string,command_template:string,preconditions:array<string>,success_indicators:array<string>,decision_rule:struct<`IF`:string,`THEN`:array<string>,`NOT`:string,next:string>,rule_source:string,facts:array<struct<key:string,value:string>>,key_lessons:array<string>,core_insight:string,applicable_conditions:array<string>>"
+CONTENT = "struct<tool_name:string,command_template:string,preconditions:array<string>,success_indicators:array<string>,decision_rule:struct<`IF`:string,`THEN`:array<string>,`NOT`:string,next:string>,rule_source:string,facts:array<struct<key:string,value:string>>,key_lessons:array<string>,core_insight:string,applicable_conditions:array<string>,target_version:string,cve_context:struct<attempted:array<string>,unexplored:array<string>,exploitation_results:map<string,string>,known_ineffective_vectors:array<string>>>"
 #: Facts and lessons that a consolidated row's content lists, heaviest first; `n_facts` tells how many there are.
 LISTED = 100
 
@@ -60,6 +60,26 @@ def _factual(m: DataFrame) -> DataFrame:
     return made.select("cluster_id", F.array_join(F.transform("facts", lambda f: F.concat_ws("=", f["key"], f["value"])), " | ").alias("text"), F.to_json(F.struct("facts", "n_facts")).alias("content"))
 
 
+def _model_facts(m: DataFrame) -> DataFrame:
+    """What a model wrote of CVEs: a vote by CVE, and the sets of what was attempted, is unexplored, or didn't work."""
+    base = ["cluster_id", "exp_id", "weight"]
+    told = F.col("c.cve_context")
+    sets = [m.select(*base, F.lit(kind).alias("kind"), F.explode(told[field]).alias("item")) for kind, field in (("attempted", "attempted"), ("unexplored", "unexplored"), ("vector", "known_ineffective_vectors"))]
+    found = merge.cve_sets(sets[0].unionByName(sets[1]).unionByName(sets[2]))
+    results = m.select(*base, F.explode(told["exploitation_results"]).alias("cve", "status"))
+    shares = merge.vote_breakdown(results).groupBy("cluster_id", "cve").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("status", "share")))).alias("vote_breakdown"))
+    votes = fusion.status_vote(results).join(shares, ["cluster_id", "cve"])
+    told_of = F.struct(F.col("label").alias("consensus_status"), F.col("winner").alias("consensus_category"), F.round("share", 4).alias("confidence"), "vote_breakdown", F.col("evidence").alias("evidence_count"))
+    heaviest = Window.partitionBy("cluster_id").orderBy(F.desc("evidence"), "cve")
+    listed = votes.withColumn("rank", F.row_number().over(heaviest)).filter(F.col("rank") <= LISTED).groupBy("cluster_id").agg(F.map_from_entries(F.collect_list(F.struct("cve", told_of.alias("told")))).alias("cve_exploitation_map"))
+    out = merge.dominant(m.withColumn("target_version", F.coalesce("c.target_version", F.lit(""))), ["target_version"]).join(listed, "cluster_id", "left")
+    for kind, item in (("attempted", F.col("item")), ("unexplored", F.col("item")), ("vector", F.struct(F.col("item").alias("path"), F.col("n").alias("verified_count"), F.col("support").alias("total_weight")))):
+        out = out.join(_ranked(found.filter(F.col("kind") == kind), item, kind), "cluster_id", "left")
+    named = F.struct("target_version", "cve_exploitation_map", F.struct("attempted", "n_attempted", "unexplored", "n_unexplored").alias("cve_context"), F.col("vector").alias("known_ineffective_endpoints"), F.col("n_vector").alias("n_endpoints"))
+    said = F.array_join(F.array_sort(F.transform(F.map_entries("cve_exploitation_map"), lambda e: F.concat_ws("=", e["key"], e["value"]["consensus_status"]))), " | ")
+    return out.select("cluster_id", F.coalesce(said, F.array_join("attempted", " | "), F.lit("")).alias("text"), F.to_json(named).alias("content"))
+
+
 def _metacognitive(m: DataFrame) -> DataFrame:
     made = _ranked(merge.metacognitive(_items(m, _or_text(F.col("c.key_lessons")))), F.struct("lesson", "n", "weight"), "lessons")
     return made.select("cluster_id", F.array_join(F.transform("lessons", lambda x: x["lesson"]), " | ").alias("text"), F.to_json(F.struct("lessons", "n_lessons")).alias("content"))
@@ -81,7 +101,8 @@ def merged(weighted: DataFrame) -> tuple[DataFrame, DataFrame]:
     calibration makes of them: confidence, maturity, lifecycle, sessions, and whether it is to leave for a store.
     """
     members = _members(weighted)
-    parts = [f(members.filter(F.col("key_layer") == layer)) for layer, f in BY_LAYER.items()]
+    by_model = F.coalesce(F.col("key_sub") == "FACTUAL::LLM", F.lit(False))
+    parts = [f(members.filter((F.col("key_layer") == layer) & ~by_model)) for layer, f in BY_LAYER.items()] + [_model_facts(members.filter(by_model))]
     said = parts[0]
     for p in parts[1:]:
         said = said.unionByName(p)

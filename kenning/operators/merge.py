@@ -113,9 +113,29 @@ def factual(facts: DataFrame) -> DataFrame:
     return grouped.withColumn("rank", F.row_number().over(w))
 
 
-def fact_sources(facts: DataFrame) -> DataFrame:
-    """cluster_id, key, value, exp_id: which members have a fact, a row each."""
-    return facts.select("cluster_id", "key", "value", "exp_id").distinct()
+def cve_sets(rows: DataFrame) -> DataFrame:
+    """cluster_id, kind, item, n, support, rank: what a cluster's members say of CVEs and ways in, as sets.
+
+    rows: cluster_id, exp_id, weight, kind (attempted, unexplored or vector), item. Attempted CVEs are a union with how
+    many members attempted them; unexplored ones a union less what any member attempted; vectors (ways that didn't work)
+    a union with how many members tried them. One aggregation by item gives all three; heavier items first.
+    """
+    of = lambda kind: F.col("kind") == kind
+    told = rows.filter(F.coalesce("item", F.lit("")) != "").groupBy("cluster_id", of("vector").alias("is_vector"), "item")
+    sums = told.agg(
+        F.count_if(of("attempted")).alias("attempted"), F.count_if(of("unexplored")).alias("unexplored"), F.count_if(of("vector")).alias("vector"), F.round(F.sum(F.round("weight", 4)), 4).alias("support")
+    )
+    kind = F.when(F.col("is_vector"), "vector").when(F.col("attempted") > 0, "attempted").otherwise("unexplored")
+    found = sums.withColumn("kind", kind).withColumn("n", F.when(F.col("kind") == "vector", F.col("vector")).when(F.col("kind") == "attempted", F.col("attempted")).otherwise(F.col("unexplored")))
+    order = Window.partitionBy("cluster_id", "kind").orderBy(F.desc("support"), "item")
+    return found.select("cluster_id", "kind", "item", "n", "support", F.row_number().over(order).alias("rank"))
+
+
+def vote_breakdown(results: DataFrame) -> DataFrame:
+    """cluster_id, cve, status, share: how much of the weight each status of a CVE has, as it was told."""
+    per = results.groupBy("cluster_id", "cve", "status").agg(F.sum("weight").alias("w"))
+    total = per.groupBy("cluster_id", "cve").agg(F.sum("w").alias("total"))
+    return per.join(total, ["cluster_id", "cve"]).select("cluster_id", "cve", "status", F.round(F.col("w") / F.col("total"), 4).alias("share"))
 
 
 def fingerprint(lesson: Column) -> Column:
@@ -159,11 +179,6 @@ def conceptual(insights: DataFrame, conditions: DataFrame, supplements: int = MO
     return named.join(ranked_union(conditions, 0.30, 99, 0, "conditions"), "cluster_id", "left")
 
 
-def condition_weights(conditions: DataFrame) -> DataFrame:
-    """cluster_id, item, share: how much of the weight each condition has."""
-    return vote_shares(conditions).select("cluster_id", "item", F.round("share", 4).alias("share"))
-
-
 #: Layer -> merge function over its proposal frames.
 MERGES = {"PROCEDURAL_POS": positive, "PROCEDURAL_NEG": negative, "FACTUAL": factual, "METACOGNITIVE": metacognitive, "CONCEPTUAL": conceptual}
 

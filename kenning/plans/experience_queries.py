@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kenning.functions import text as tx
-from kenning.operators import consolidate, corpus, fusion, govern, registry, serve
+from kenning.operators import consolidate, corpus, fusion, govern, merge, registry, serve
 from kenning.operators.similar import top_pairs
 from kenning.plans.registry import query
 from kenning.plans.store import materialise, new_path
@@ -146,6 +146,23 @@ def status_vote_two_level(spark, sf_dir) -> DataFrame:
     return fusion.status_vote(rows.withColumnRenamed("cluster", "cluster_id")).withColumnRenamed("cluster_id", "cluster").withColumn("share", F.round("share", 6))
 
 
+#: What members say of CVEs: theirs are attempted or not, others unexplored, and some paths didn't work.
+_TOLD = {"attempted": "CASE WHEN exp_id % 3 = 0 THEN cves ELSE @none END", "unexplored": "CASE WHEN exp_id % 3 > 0 THEN cves ELSE @none END", "vector": "CASE WHEN exp_id % 4 < 3 THEN @('/p' || (exp_id % 4), '/q' || (exp_id % 7)) ELSE @none END"}
+
+
+@query(ROWS + ", ru AS (" + " UNION ALL ".join(f"SELECT cluster, weight, '{k}' AS kind, unnest({e.replace('@none', 'CAST([] AS VARCHAR[])').replace('@(', '[').replace('7))', '7)]')}) AS item FROM wt" for k, e in _TOLD.items()) + """),
+rs AS (SELECT cluster, kind = 'vector' AS v, item, count(*) FILTER (kind = 'attempted') AS a, count(*) FILTER (kind = 'unexplored') AS u, count(*) FILTER (kind = 'vector') AS n, round(sum(round(weight, 4)), 4) AS support FROM ru GROUP BY ALL)
+SELECT cluster, CASE WHEN v THEN 'vector' WHEN a > 0 THEN 'attempted' ELSE 'unexplored' END AS kind, item, CASE WHEN v THEN n WHEN a > 0 THEN a ELSE u END AS n, CAST(round(support * 10000) AS BIGINT) AS support FROM rs""")
+def cve_context_sets(spark, sf_dir) -> DataFrame:
+    w = weighted(spark, sf_dir)
+    of = lambda e: F.expr(e.replace("@none", "CAST(array() AS array<string>)").replace("@(", "array("))
+    rows = None
+    for kind, told in _TOLD.items():
+        part = w.select(F.col("cluster").alias("cluster_id"), "exp_id", "weight", F.lit(kind).alias("kind"), F.explode(of(told)).alias("item"))
+        rows = part if rows is None else rows.unionByName(part)
+    return merge.cve_sets(rows).select(F.col("cluster_id").alias("cluster"), "kind", "item", "n", F.round(F.col("support") * 10000).cast("long").alias("support"))
+
+
 @query(ROWS + "SELECT cluster, round(greatest(0, least(1, 1 - exp(sum(ln(greatest(1 - confidence * weight, 1e-9)))))), 5) AS p FROM wt GROUP BY cluster")
 def noisy_or(spark, sf_dir) -> DataFrame:
     return weighted(spark, sf_dir).groupBy("cluster").agg(F.round(fusion.noisy_or(F.col("confidence"), F.col("weight")), 5).alias("p"))

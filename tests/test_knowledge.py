@@ -203,16 +203,22 @@ def test_merged_by_layer(spark):
     }
     rows = [(*row(10 * k + i, layer=layer, dimension="ENV" if "NEG" in layer else "", sub_dimension="X" if "NEG" in layer else "", maturity="raw"), json.dumps(c)) for k, (layer, c) in enumerate(told.items()) for i in range(3)]
     rows += [(*row(90 + i, service="lone"), None) for i in range(2)] + [(*row(95 + i, service="bare", layer="PROCEDURAL_NEG", dimension="ENV", text="failed so"), "no json") for i in range(3)]
-    after, made = consolidate.consolidate(consolidate.widened(spark.createDataFrame(rows, REGISTRY + ", content string")))
+    told_of = lambda i: {"target_version": f"v{i}", "cve_context": {"attempted": ["CVE-1"] if i else [], "unexplored": ["CVE-1", "CVE-2"], "exploitation_results": {"CVE-1": ["patched-HTTP500", "patched-auth", "failure"][i]}, "known_ineffective_vectors": ["/a", f"/b{i}"]}}
+    rows += [(*row(70 + i, layer="FACTUAL", service="model"), json.dumps(told_of(i))) for i in range(3)]
+    shape = F.col("content").contains("cve_context").alias("has_cve_context")
+    after, made = consolidate.consolidate(consolidate.widened(spark.createDataFrame(rows, REGISTRY + ", content string").select("*", shape)))
     got = {(r.layer, r.service): r for r in made.collect()}
-    assert set(got) == {(layer, "web") for layer in told} | {("PROCEDURAL_NEG", "bare")}
+    assert set(got) == {(layer, "web") for layer in told} | {("PROCEDURAL_NEG", "bare"), ("FACTUAL", "model")}
+    model = json.loads(got["FACTUAL", "model"].content)
+    assert model["cve_exploitation_map"]["CVE-1"] == {"consensus_status": "patched-auth", "consensus_category": "patched", "confidence": 0.6667, "vote_breakdown": {"failure": 0.3333, "patched-HTTP500": 0.3333, "patched-auth": 0.3333}, "evidence_count": 3}
+    assert model["cve_context"] == {"attempted": ["CVE-1"], "n_attempted": 1, "unexplored": ["CVE-2"], "n_unexplored": 1} and model["known_ineffective_endpoints"][0]["path"] == "/a" and model["known_ineffective_endpoints"][0]["verified_count"] == 3
     neg = json.loads(got["PROCEDURAL_NEG", "web"].content)
     assert neg["then_actions"] == "do a | do b" and neg["avoid"] == "never c" and neg["if_text"] == "when" and neg["sources"] == "llm=3"
     assert got["PROCEDURAL_NEG", "bare"].text == "failed so"
     assert [(f["key"], f["value"], f["n"]) for f in json.loads(got["FACTUAL", "web"].content)["facts"]] == [("os", "x", 3), ("port", "80", 3)]
     assert sorted(x["lesson"] for x in json.loads(got["METACOGNITIVE", "web"].content)["lessons"]) == ["VALIDATE_RECON: scan first", "other lesson"]
     assert json.loads(got["CONCEPTUAL", "web"].content)["conditions"] == "if x"
-    assert after.filter("lifecycle = 'suspended'").count() == 15 and after.filter("merged_into IS NULL AND lifecycle = 'active'").count() == 7
+    assert after.filter("lifecycle = 'suspended'").count() == 18 and after.filter("merged_into IS NULL AND lifecycle = 'active'").count() == 8
 
 
 def test_stream_of_finished_sessions(spark, tmp_path):
