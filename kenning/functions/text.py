@@ -68,11 +68,6 @@ def target_ports(text: Column) -> Column:
     return F.array_distinct(F.filter(F.transform(named, lambda x: x.cast("int").cast("string")), lambda x: ~x.isin([str(p) for p in TOLD_PORTS])))
 
 
-def private_ips(text: Column) -> Column:
-    """Private and loopback addresses, distinct, in order."""
-    return F.array_distinct(F.regexp_extract_all(text, F.lit(PRIVATE_IP.replace("(?:10", r"(?:127(?:\.\d{1,3}){3}|10", 1)), F.lit(0)))
-
-
 def sanitise_ip(text: Column) -> Column:
     return F.regexp_replace(text, r"\b\d{1,3}(?:\.\d{1,3}){3}\b", "<IP>")
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -64,12 +66,35 @@ def head_tail(rows: DataFrame, group: str, order: list[str], head: int, tail: in
     return rows.withColumn("__n", F.row_number().over(w)).withColumn("__all", n).filter((F.col("__n") <= head) | (F.col("__n") > F.col("__all") - tail)).drop("__n", "__all")
 
 
+# Words of a last text that say how a run ended.
+SAYS_FAILED = ["失败", "未成功", "未完成", "failed", "not successful"]
+SAYS_DONE = ["渗透测试状态", "成功完成", "任务完成", "成功", "已获取", "exploit successful"]
+# Signs of success and failure in evidence, what gives a target away, and the score of a status.
+SUCCESS_SIGNS = ["exploit successful", "successfully exploited", "command executed", "reverse shell", "webshell", "meterpreter", "uid=0", "root", "flag{", "拿到shell", "获得shell", "提权成功", "漏洞利用成功", "渗透成功"]
+FAILURE_SIGNS = ["not vulnerable", "exploit failed", "permission denied", "connection refused", "timed out", "failed", "error", "漏洞不存在", "利用失败", "未成功", "失败", "无法利用"]
+TARGETS = {
+    "CVE-2017-10271": ["weblogic", "wls-wsat", "coordinatorporttype"],
+    "CVE-2018-7600": ["drupal", "user/register", "drupalgeddon"],
+    "CVE-2019-0193": ["solr", "velocity", "params.resource.loader.enabled"],
+    "CVE-2020-1957": ["shiro", "rememberme"],
+    "CVE-2021-25646": ["druid", "sampler", "javascript"],
+    "CVE-2021-44228": ["log4j", "jndi", "ldap"],
+    "CVE-2022-22965": ["spring", "spring4shell", "class.module.classloader"],
+    "CVE-2022-24706": ["gitlab"],
+    "CVE-2023-22527": ["confluence"],
+    "CVE-2023-46604": ["activemq", "openwire"],
+}
+SCORES = {"success": 1.0, "possible_success": 0.5, "failure": 0.0}
+
+
+def _any(text: Column, words: list[str]) -> Column:
+    return functools.reduce(lambda a, b: a | b, (text.contains(w) for w in words))
+
+
 def heuristic_success(text: Column) -> Column:
-    """True, False or null from the last text of a log."""
-    low = F.lower(text)
-    bad = low.rlike(r"\b(failed|unable|could not|unsuccessful)\b")
-    good = low.rlike(r"\b(success(fully)?|root shell|flag\{|pwned|exploited)\b")
-    return F.when(good & ~bad, True).when(bad & ~good, False)
+    """True, False or null from the last text of a log: a word of failure decides, then one of success."""
+    low = F.lower(F.coalesce(text, F.lit("")))
+    return F.when(_any(low, SAYS_FAILED), False).when(_any(low, SAYS_DONE), True)
 
 
 def cve_status(rows: DataFrame) -> DataFrame:
@@ -78,15 +103,32 @@ def cve_status(rows: DataFrame) -> DataFrame:
     return rows.groupBy("session_id", "cve").agg(F.max_by("status", order).alias("status"), F.count(F.lit(1)).alias("n"))
 
 
-def judge(text: Column, target: list[str], off_target: list[str]) -> Column:
-    """struct(verdict, confidence, hits, off_hits) of a final text by marker counts, in fixed order."""
-    low = F.lower(text)
-    hits = sum((low.contains(m.lower()).cast("int") for m in target), F.lit(0))
-    off = sum((low.contains(m.lower()).cast("int") for m in off_target), F.lit(0))
-    told = heuristic_success(text)
-    verdict = F.when((hits > 0) & (off == 0) & F.coalesce(told, F.lit(False)), "success").when((off > 0) & (hits == 0), "off_target").when((hits > 0) & (off > 0), "mixed").when(F.coalesce(~told, F.lit(False)), "failure").otherwise("unknown")
-    sure = F.when(verdict == "success", 0.85).when(verdict == "off_target", 0.80).when(verdict == "mixed", 0.60).when(verdict == "failure", 0.70).otherwise(0.30)
-    return F.struct(verdict.alias("verdict"), sure.alias("confidence"), hits.alias("hits"), off.alias("off_hits"))
+def judge(evidence: Column, target: Column, targets: dict[str, list[str]] | None = None) -> Column:
+    """struct(status, score, confidence, off_target_success, matched_target) of a run's evidence against its target CVE.
+
+    Strong evidence is two signs of success, a root id or a flag. With the target's name or hints it is a success; with
+    other targets' only, a failure that hit something else. Else signs of one kind decide, and mixed or none leave it
+    possible.
+    """
+    known = TARGETS if targets is None else targets
+    low = F.lower(F.coalesce(evidence, F.lit("")))
+    count = lambda words: sum((low.contains(w).cast("int") for w in words), F.lit(0))
+    hinted = {cve: _any(low, [w.lower() for w in words]) for cve, words in known.items()}
+    own = functools.reduce(lambda a, b: a | b, ((target == cve) & hit for cve, hit in hinted.items()), F.lit(False))
+    other = functools.reduce(lambda a, b: a | b, ((target != cve) & hit for cve, hit in hinted.items()), F.lit(False))
+    named = low.contains(F.lower(target)) | low.contains(F.replace(F.lower(target), F.lit("-"), F.lit("_")))
+    mentioned = F.transform(F.regexp_extract_all(low, F.lit(r"cve[-_]?(\d{4}[-_]\d{4,7})"), F.lit(1)), lambda x: F.concat(F.lit("CVE-"), F.replace(x, F.lit("_"), F.lit("-"))))
+    good, bad = count(SUCCESS_SIGNS), count(FAILURE_SIGNS)
+    strong = (good >= 2) | low.contains("uid=0") | low.contains("flag{")
+    matched = F.coalesce(own | named, F.lit(False))
+    astray = F.exists(mentioned, lambda c: c != target) | other
+    case = (
+        F.when(strong & matched, "target").when(strong & F.coalesce(astray, F.lit(False)) & ~matched, "astray").when((good > 0) & (bad == 0), "signs").when((bad > 0) & (good == 0), "failed").otherwise("open")
+    )
+    status = F.when(case == "target", "success").when(case.isin("astray", "failed"), "failure").otherwise("possible_success")
+    sure = F.when(case == "target", 0.8).when(case == "astray", 0.75).when(case == "signs", 0.55).when(case == "failed", 0.7).otherwise(0.4)
+    score = F.when(status == "success", SCORES["success"]).when(status == "failure", SCORES["failure"]).otherwise(SCORES["possible_success"])
+    return F.struct(status.alias("status"), score.alias("score"), sure.alias("confidence"), (case == "astray").alias("off_target_success"), matched.alias("matched_target"))
 
 
 def session_status(outcome: Column, is_success: Column, has_near_miss: Column, text: Column) -> Column:

@@ -110,8 +110,18 @@ def page_publish_time(spark, sf_dir) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", corpus.publish_time(html).alias("published"))
 
 
-@query("SELECT doc_id % 5 AS bucket, count(*) AS n, CASE doc_id % 5 WHEN 0 THEN 'success' WHEN 1 THEN 'off_target' WHEN 2 THEN 'mixed' WHEN 3 THEN 'failure' ELSE 'unknown' END AS verdict FROM documents GROUP BY ALL")
+_ENDS = pick("doc_id % 9", ["uid=0 via WebLogic ", "flag{x} by CVE-2018-7600 ", "reverse shell and root on solr ", "permission denied on weblogic ", "meterpreter ", "root but exploit failed ", "", "CVE_2017_10271 command executed, webshell ", "log4j root webshell "])
+_AIM = pick("doc_id % 2", ["CVE-2017-10271", "CVE-2018-7600"])
+
+
+@query(f"""WITH d AS (SELECT doc_id, {_AIM} AS t, lower({_ENDS} || text) AS e FROM documents),
+n AS (SELECT *, {_ALL("contains(e, '{}')", evaluate.SUCCESS_SIGNS)} AS good, {_ALL("contains(e, '{}')", evaluate.FAILURE_SIGNS)} AS bad,
+  CASE t WHEN 'CVE-2017-10271' THEN contains(e, 'weblogic') OR contains(e, 'wls-wsat') OR contains(e, 'coordinatorporttype') OR contains(e, 'cve-2017-10271') OR contains(e, 'cve_2017_10271') ELSE contains(e, 'drupal') OR contains(e, 'user/register') OR contains(e, 'cve-2018-7600') OR contains(e, 'cve_2018_7600') END AS mine,
+  regexp_matches(e, 'solr|velocity|params.resource.loader.enabled|shiro|rememberme|druid|sampler|javascript|log4j|jndi|ldap|spring|class.module.classloader|gitlab|confluence|activemq|openwire') OR CASE t WHEN 'CVE-2017-10271' THEN regexp_matches(e, 'drupal|user/register|cve[-_]2018[-_]7600') ELSE regexp_matches(e, 'weblogic|wls-wsat|coordinatorporttype|cve[-_]2017[-_]10271') END AS others FROM d),
+c AS (SELECT *, good >= 2 OR contains(e, 'uid=0') OR contains(e, 'flag{{') AS strong FROM n)
+SELECT doc_id, CASE WHEN strong AND mine THEN 'success' WHEN strong AND others THEN 'failure' WHEN good > 0 AND bad = 0 THEN 'possible_success' WHEN bad > 0 AND good = 0 THEN 'failure' ELSE 'possible_success' END AS status,
+ CAST(CASE WHEN strong AND mine THEN 0.8 WHEN strong AND others THEN 0.75 WHEN good > 0 AND bad = 0 THEN 0.55 WHEN bad > 0 AND good = 0 THEN 0.7 ELSE 0.4 END AS DOUBLE) AS confidence, strong AND others AND NOT mine AS off_target_success, mine AS matched_target FROM c""")
 def heuristic_verdicts(spark, sf_dir) -> DataFrame:
-    final = F.expr(pick("doc_id % 5", ["got flag{ on web successfully", "found db host", "web and db", "failed", "hm"]))
-    d = table(spark, sf_dir, "documents").select((F.col("doc_id") % 5).alias("bucket"), evaluate.judge(final, ["web"], ["db"])["verdict"].alias("verdict"))
-    return d.groupBy("bucket", "verdict").agg(F.count(F.lit(1)).alias("n"))
+    """Whole texts behind evidence of every case, against two targets in turn."""
+    d = table(spark, sf_dir, "documents").select("doc_id", evaluate.judge(F.concat(F.expr(_ENDS), F.col("text")), F.expr(_AIM)).alias("j"))
+    return d.select("doc_id", "j.status", "j.confidence", "j.off_target_success", "j.matched_target")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kenning.functions import canonical
-from kenning.operators import fusion, merge, records
+from kenning.operators import fusion, merge, records, serve
 from kenning.plans.event_queries import EVENTS
 from kenning.plans.experience_queries import ROWS, weighted
 from kenning.plans.registry import query
@@ -122,3 +122,12 @@ def canonical_content(spark, sf_dir) -> DataFrame:
     text = F.expr(_SPELLED)
     rows = table(spark, sf_dir, "events").select(canonical.content_hash(text).alias("hash"), canonical.search_text(text).alias("searched"))
     return rows.groupBy("hash", "searched").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(ROWS + """SELECT exp_id, layer, CASE layer WHEN 'METACOGNITIVE' THEN 'lesson' ELSE 'lesson,rag_effectiveness,rag_utility' END AS shown, CASE WHEN len(cves) > 0 THEN array_to_string(cves, ',') END AS constraints FROM vx""")
+def shown_entries(spark, sf_dir) -> DataFrame:
+    """What the interface shows of each row's content, and its constraints where it has any."""
+    entries = F.create_map(F.lit("lesson"), F.lit("x"), F.lit("rag_effectiveness"), F.lit("y"), F.lit("rag_utility"), F.lit("z"))
+    rows = serve.shown(experiences(spark, sf_dir).withColumn("content", entries))
+    kept = records.without_empty(F.map_from_arrays("cves", "cves"))
+    return rows.select("exp_id", "layer", F.array_join(F.array_sort(F.map_keys("content")), ",").alias("shown"), F.array_join(F.array_sort(F.map_keys(kept)), ",").alias("constraints"))

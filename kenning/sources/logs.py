@@ -1,7 +1,7 @@
 """Readers of agent logs: four dialects, one canonical frame.
 
-A log file is read whole and split, so line numbers are exact whatever the partitioning; files, not lines, are the unit
-of parallelism. Bad lines are dropped. Each reader gives the columns of CANONICAL.
+Lines are read in the splits that Spark makes of files and keep their order by split and place, so a log of any size is
+read in parallel. Bad lines are dropped. Each reader gives the columns of CANONICAL.
 """
 
 from __future__ import annotations
@@ -26,11 +26,19 @@ _MESSAGE = f"struct<role:string,content:string,tool_call_id:string,tool_calls:{_
 NATIVE = f"struct<event:string,object:string,timestamp:string,session_id:string,content:string,tool_calls:{_CALL},messages:array<{_MESSAGE}>,choices:array<struct<message:{_MESSAGE}>>,timing_metrics:map<string,double>,cost:struct<total_cost:double>>"
 
 
-def lines(spark: SparkSession, path: str) -> DataFrame:
-    """source_file, line_no (from 1), raw: JSON object lines only."""
-    whole = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("source_file"), F.posexplode(F.split("value", r"\r?\n")).alias("n", "raw"))
-    kept = whole.filter(F.trim("raw").startswith("{") & F.try_parse_json("raw").isNotNull())
-    return kept.select("source_file", (F.col("n") + 1).alias("line_no"), "raw")
+def _text(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """source_file, line_no, value: every line, split like Spark splits files, so that a file of any size is read in parallel.
+
+    line_no orders the lines of a file: the place of the line's split, then the line's place in the task that read it.
+    """
+    raw = spark.read.text(path).select(F.input_file_name().alias("source_file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"), "value")
+    return raw.select("source_file", F.struct("block", "row").alias("line_no"), "value")
+
+
+def lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """source_file, line_no (in order within a file), raw: JSON object lines only."""
+    kept = _text(spark, path).filter(F.trim("value").startswith("{") & F.try_parse_json("value").isNotNull())
+    return kept.select("source_file", "line_no", F.col("value").alias("raw"))
 
 
 def kind(o: Column) -> Column:
@@ -248,18 +256,26 @@ def unregister(name: str | None = None) -> None:
     READERS.clear() if name is None else READERS.pop(name, None)
 
 
+#: Lines and characters at the beginning of a file by which its dialect is told.
+HEAD_LINES, HEAD_CHARS = 40, 131072
+
+
 def sniff(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """source_file, dialect: the first of native, callbacks, run_steps that fits, else generic."""
-    whole = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("source_file"), "value")
-    head = F.slice(F.filter(F.split("value", r"\r?\n"), lambda x: F.trim(x) != ""), 1, 15)
+    """source_file, dialect: the first of native, callbacks, run_steps that fits, else generic. Empty files have no row."""
+    order = Window.partitionBy("source_file").orderBy("line_no")
+    head = _text(spark, path).filter("line_no.block = 0").withColumn("n", F.row_number().over(order)).filter(F.col("n") <= HEAD_LINES)
+    line, first = F.col("value"), order.rowsBetween(Window.unboundedPreceding, 0)
     # Of the first ten lines the first that is a session start or no object decides: an early broken line rejects.
-    tell = lambda x: F.when(~F.trim(x).startswith("{") | F.try_parse_json(x).isNull(), -1).when(F.get_json_object(x, "$.event") == "session_start", 1).otherwise(0)
-    starts = F.get(F.filter(F.transform(F.slice(F.split("value", r"\r?\n"), 1, 10), tell), lambda x: x != 0), F.lit(0)) == 1
-    calls = F.exists(head, lambda x: F.get_json_object(x, "$.type").isin(CALLBACK_KINDS))
-    chunk = F.substring("value", 1, 131072)
+    tell = F.when(~F.trim(line).startswith("{") | F.try_parse_json(line).isNull(), -1).when(F.get_json_object(line, "$.event") == "session_start", 1)
+    call = F.get_json_object(line, "$.type").isin(CALLBACK_KINDS) & (F.sum((F.trim(line) != "").cast("int")).over(first) <= 15)
+    told = head.select("source_file", "n", tell.alias("tell"), F.coalesce(call, F.lit(False)).alias("call"), F.substring(line, 1, HEAD_CHARS).alias("part"))
+    per = told.groupBy("source_file").agg(
+        F.min_by("tell", F.when((F.col("n") <= 10) & F.col("tell").isNotNull(), F.col("n"))).alias("tell"), F.bool_or("call").alias("calls"), F.array_sort(F.collect_list(F.struct("n", "part"))).alias("parts")
+    )
+    chunk = F.substring(F.array_join(F.transform("parts", lambda p: p["part"]), "\n"), 1, HEAD_CHARS)
     weak = chunk.contains("thread.run.step") & chunk.contains('"step_details"') & F.try_parse_json(chunk).isNull()  # a cut-off file
     steps = chunk.rlike(r'"object"\s*:\s*"thread\.run\.step') | weak
-    return whole.select("source_file", F.when(F.coalesce(starts, F.lit(False)), "native").when(F.coalesce(calls, F.lit(False)), "callbacks").when(steps, "run_steps").otherwise("generic").alias("dialect"))
+    return per.select("source_file", F.when(F.coalesce(F.col("tell") == 1, F.lit(False)), "native").when(F.col("calls"), "callbacks").when(steps, "run_steps").otherwise("generic").alias("dialect"))
 
 
 def read(spark: SparkSession, path: str | list[str]) -> DataFrame:

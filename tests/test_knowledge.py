@@ -70,7 +70,7 @@ def test_names_dates_citations(spark):
     days = ["2026年1月2日", "2026/1/2 03:04", "never", "02-28", "3月5日", "on 2025.12.31 at night"]
     dates = spark.createDataFrame([(i, t) for i, t in enumerate(days)], "i int, t string").orderBy("i").select(corpus.article_date(F.col("t"), today).cast("string").alias("d")).collect()
     assert [r.d for r in dates] == ["2026-01-02 00:00:00", "2026-01-02 03:04:00", None, "2026-02-28 00:00:00", "2025-03-05 00:00:00", "2025-12-31 00:00:00"]
-    cases = [("success", None, False, ""), ("uncertain", None, False, ""), (None, False, True, ""), (None, False, False, ""), (None, None, False, "root shell"), (None, None, False, "")]
+    cases = [("success", None, False, ""), ("uncertain", None, False, ""), (None, False, True, ""), (None, False, False, ""), (None, None, False, "已获取 shell"), (None, None, False, "")]
     rows = spark.createDataFrame([(i, *c) for i, c in enumerate(cases)], "i int, o string, s boolean, near boolean, t string")
     got = rows.orderBy("i").select(evaluate.session_status(F.col("o"), F.col("s"), F.col("near"), F.col("t")).alias("x")).collect()
     assert [r.x for r in got] == ["success", "possible_success", "possible_success", "failure", "success", "unknown"]
@@ -302,3 +302,10 @@ def test_canonical_json(spark):
         assert r.s == told and r.h == hashlib.sha256(told.encode()).hexdigest()[:16]
     bad = spark.range(1).select(canonical.spaced(F.lit("{no")).alias("s"), canonical.content_hash(F.lit("{no")).alias("h"), canonical.search_text(F.lit("{No")).alias("t")).first()
     assert tuple(bad) == (None, hashlib.sha256(b"{no").hexdigest()[:16], "{no")
+
+
+def test_lookup_by_id(spark):
+    from kenning.operators import serve
+
+    rows = spark.createDataFrame([(1, "a"), (2, "b")], "exp_id long, text string")
+    assert [r.text for r in serve.by_id(rows, 2).collect()] == ["b"] and serve.by_id(rows, 9).count() == 0

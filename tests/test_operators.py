@@ -300,7 +300,7 @@ def test_evaluate(spark):
     df = spark.createDataFrame(rows, "session_id string, turn_index int, phase string, outcome_label string")
     assert {r.session_id: r.first_step for r in evaluate.first_success_step(df).collect()} == {"s": 3, "t": 1, "u": None}
     assert {r.session_id: (r.n_touched, r.n_covered) for r in evaluate.stage_coverage(df).collect()} == {"s": (2, 2), "t": (1, 0), "u": (1, 0)}
-    assert [one(spark, evaluate.heuristic_success(F.col("t")), t=t) for t in ("root shell!", "failed", "hm")] == [True, False, None]
+    assert [one(spark, evaluate.heuristic_success(F.col("t")), t=t) for t in ("任务完成", "Exploit successful but failed", "hm")] == [True, False, None]
 
 
 def test_corpus(spark):

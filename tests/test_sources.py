@@ -80,32 +80,27 @@ def test_catalogue_and_sinks(spark, tmp_path):
     assert sorted((r.session_id, r.n) for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [("a", 6), ("b", 2)]
 
 
-def test_line_source(spark, tmp_path):
-    from kenning.sources import datasource
-
-    (tmp_path / "deep").mkdir()
-    (tmp_path / "a.jsonl").write_text('{"a": 1}\n\nnot json\n[1]\n{"bad": \n{"b": "é"}')
-    (tmp_path / "deep" / "b.jsonl").write_text("".join(f'{{"n": {i}}}\r\n' for i in range(10_000)))
-    (tmp_path / "c.txt").write_text('{"no": 1}')
-    datasource.register(spark)
-    rows = spark.read.format("agent_lines").load(str(tmp_path))
-    assert rows.rdd.getNumPartitions() == 2
-    assert [(r.line_no, r.raw) for r in rows.filter("source_file LIKE '%a.jsonl'").orderBy("line_no").collect()] == [(1, '{"a": 1}'), (6, '{"b": "é"}')]
-    assert rows.filter("source_file LIKE '%b.jsonl'").count() == 10_000
-    assert spark.read.format("agent_lines").load(str(tmp_path / "a.jsonl")).count() == 2
-    assert spark.read.format("agent_lines").load(str(tmp_path / "nothing")).count() == 0
-
-
-def test_lines_of_any_length():
-    """Lines over many blocks, at block ends, and without a last line break."""
-    import io
-
-    from kenning.sources.datasource import _lines
-
-    for lines in ([b"a" * 3_000_000, b"b"], [b"x" * ((1 << 20) - 1), b"y"], [b"x" * (1 << 20), b"", b"y"], [b"one"], []):
-        for tail in (b"", b"\n"):
-            text = b"\n".join(lines) + (tail if lines else b"")
-            assert list(_lines(io.BytesIO(text))) == lines
+def test_lines_of_split_files(spark, tmp_path):
+    """A log in many splits gives the events of the same log in one."""
+    rows = [{"event": "session_start", "session_id": "abc"}]
+    for i in range(60):
+        rows += [{"event": "assistant_message", "content": f"t{i}", "tool_calls": [call(f"c{i}", "shell", command=f"echo {i}")]}, {"event": "UNKNOWN", "object": "", "messages": [{"role": "tool", "tool_call_id": f"c{i}", "content": result(i % 3, f"é{i}")}]}]
+    (tmp_path / "log_abc_1.jsonl").write_text("\n".join(["", *map(json.dumps, rows), "no json"]))
+    (tmp_path / "log_other.jsonl").write_text(json.dumps({"tool": "w", "n": 1}))
+    (tmp_path / "empty.jsonl").write_text("")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    seen = []
+    try:
+        for size in ("700b", "128m"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            spark.conf.set("spark.sql.files.openCostInBytes", "1b")
+            assert logs.lines(spark, str(tmp_path)).rdd.getNumPartitions() > 8 or size == "128m"
+            seen.append(sorted((r.turn_index, r.session_id, r.command, r.return_code, r.stdout, r.thought) for r in logs.read_native(spark, str(tmp_path / "log_abc_1.jsonl")).collect()))
+            assert {r.source_file.split("/")[-1]: r.dialect for r in logs.sniff(spark, str(tmp_path)).collect()} == {"log_abc_1.jsonl": "generic", "log_other.jsonl": "generic"}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert seen[0] == seen[1] == [(i, "abc", f"echo {i}", i % 3, f"é{i}", f"t{i}") for i in range(60)]
 
 
 def test_marked_csv(spark, tmp_path):
