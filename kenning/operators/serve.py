@@ -144,7 +144,11 @@ HIDDEN = {"METACOGNITIVE": ["rag_effectiveness", "rag_adoption_stats", "rag_util
 
 def shown(rows: DataFrame, hidden: dict[str, list[str]] | None = None) -> DataFrame:
     """rows (layer, content: map of text) without the entries that their layer doesn't show."""
+
+    def without(keys: list[str]):
+        return F.map_filter("content", lambda k, _: ~k.isin(keys))
+
     out = F
     for layer, keys in (HIDDEN if hidden is None else hidden).items():
-        out = out.when(F.col("layer") == layer, F.map_filter("content", lambda k, _, keys=keys: ~k.isin(keys)))
+        out = out.when(F.col("layer") == layer, without(keys))
     return rows.withColumn("content", out.otherwise(F.col("content")))
