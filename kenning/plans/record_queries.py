@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kenning.functions import canonical
-from kenning.operators import fusion, merge, records, serve
+from kenning.operators import fusion, merge, records, repair, serve
 from kenning.plans.event_queries import EVENTS
 from kenning.plans.experience_queries import ROWS, weighted
 from kenning.plans.registry import query
@@ -131,3 +131,15 @@ def shown_entries(spark, sf_dir) -> DataFrame:
     rows = serve.shown(experiences(spark, sf_dir).withColumn("content", entries))
     kept = records.without_empty(F.map_from_arrays("cves", "cves"))
     return rows.select("exp_id", "layer", F.array_join(F.array_sort(F.map_keys("content")), ",").alias("shown"), F.array_join(F.array_sort(F.map_keys(kept)), ",").alias("constraints"))
+
+
+_PART = "trim(regexp_replace(coalesce(substr(text, 1, 150), ''), '[^A-Za-z ]', ''@))"
+_OLD_ANSWER = f"""concat('{{"conceptual_patterns": [{{"pattern_name": "', coalesce(lang, 'x'), '", "description": "', {_PART.replace("@", "")}, ' "}}, {{"pattern_name": " ', source, '"}}], "reasoning": "r ', doc_id, '"}}')"""
+
+
+@query(f"""WITH d AS (SELECT doc_id, coalesce(lang, 'x') AS a, source AS c, {_PART.replace("@", ", 'g'")} AS b FROM documents), e AS (SELECT *, CASE WHEN b <> '' THEN b ELSE a || '；' || c END AS core FROM d)
+SELECT doc_id, CASE WHEN length(core) >= 20 THEN core ELSE a || '；' || c || CASE WHEN b <> '' THEN '；' || b ELSE '' END END AS core_insight, a || '|' || c || CASE WHEN b <> '' THEN '|' || substr(b, 1, 120) ELSE '' END AS positive, 'r ' || doc_id AS confidence_basis FROM e""")
+def repaired_answers(spark, sf_dir) -> DataFrame:
+    """Answers of an older shape, made of each document, in the present one."""
+    made = table(spark, sf_dir, "documents").select("doc_id", repair.conceptual(F.expr(_OLD_ANSWER)).alias("x"))
+    return made.select("doc_id", "x.core_insight", F.array_join("x.applicable_conditions.positive", "|").alias("positive"), "x.confidence_basis")
