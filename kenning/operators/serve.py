@@ -68,6 +68,32 @@ def registry_status(rows: DataFrame) -> DataFrame:
     return rows.groupBy("lifecycle", "maturity").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("confidence"), 6).alias("mean_confidence"))
 
 
+def consolidated_stats(made: DataFrame, members: DataFrame) -> DataFrame:
+    """facet (layer, maturity or all), value, n, mean_p (of p_fused), n_sources: what consolidation came to.
+
+    made: consolidated rows with cluster_id; members: cluster_id, exp_id. Deprecated layers don't count.
+    """
+    sources = members.groupBy("cluster_id").agg(F.count(F.lit(1)).alias("n_src"))
+    shown_rows = made.filter("layer <> 'RAG_EVALUATION'").join(sources, "cluster_id").withColumn("layer", F.when(F.col("layer").startswith("FACTUAL_"), "FACTUAL").otherwise(F.col("layer")))
+    sums = shown_rows.groupingSets([["layer"], ["maturity"], []], "layer", "maturity").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg(F.round("p_fused", 4)), 4).alias("mean_p"), F.sum("n_src").alias("n_sources"), F.grouping("layer").alias("gl"), F.grouping("maturity").alias("gm"))
+    facet = F.when(F.col("gl") == 0, "layer").when(F.col("gm") == 0, "maturity").otherwise("all")
+    return sums.select(facet.alias("facet"), F.coalesce("layer", "maturity", F.lit("")).alias("value"), "n", "mean_p", "n_sources")
+
+
+def consolidated_page(registry: DataFrame, layers: list[str] | None = None, page: int = 1, size: int = 20) -> DataFrame:
+    """A page of the registry's consolidated rows, surest first: what a list of them shows."""
+    rows = registry.filter("session_id = 'consolidated'")
+    rows = rows.filter(F.col("layer").isin(layers)) if layers else rows
+    return rows.orderBy(F.desc_nulls_last("p_fused"), "exp_id").offset((page - 1) * size).limit(size).select("exp_id", "name", "layer", "service", "maturity", F.round("p_fused", 4).alias("p_fused"), "n_members", "n_sessions", "text")
+
+
+def conflict_page(pairs: DataFrame, registry: DataFrame, page: int = 1, size: int = 20) -> DataFrame:
+    """A page of conflict pairs (a, b, score), closest first, with the texts and services of both."""
+    top = pairs.orderBy(F.desc("score"), "a", "b").offset((page - 1) * size).limit(size)
+    side = lambda c: registry.select(F.col("exp_id").alias(c), F.col("text").alias(f"text_{c}"), F.col("service").alias(f"service_{c}"))
+    return top.join(side("a"), "a", "left").join(side("b"), "b", "left").orderBy(F.desc("score"), "a", "b")
+
+
 def compression(experiences: DataFrame, clusters: DataFrame) -> DataFrame:
     """One row: rows in, clusters out, ratio."""
     a = experiences.agg(F.count(F.lit(1)).alias("n_rows"))

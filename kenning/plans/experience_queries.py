@@ -416,6 +416,13 @@ def compression_summary(spark, sf_dir) -> DataFrame:
     return serve.compression(experiences(spark, sf_dir), fusion.clusters(experiences(spark, sf_dir)))
 
 
+@query(CALIBRATED + """, fz AS (SELECT cluster, count(*) AS n_src, max(layer) AS layer FROM wt GROUP BY cluster HAVING count(*) >= CASE WHEN max(layer) = 'CONCEPTUAL' THEN 2 ELSE 3 END), al2 AS (SELECT layer, m2 AS maturity, p_fused, n_src FROM fz JOIN p2 USING (cluster))
+SELECT 'layer' AS facet, layer AS value, count(*) AS n, round(avg(round(p_fused, 4)), 3) AS mean_p, CAST(sum(n_src) AS BIGINT) AS n_sources FROM al2 GROUP BY layer UNION ALL SELECT 'maturity', maturity, count(*), round(avg(round(p_fused, 4)), 3), CAST(sum(n_src) AS BIGINT) FROM al2 GROUP BY maturity UNION ALL SELECT 'all', '', count(*), round(avg(round(p_fused, 4)), 3), CAST(sum(n_src) AS BIGINT) FROM al2""")
+def consolidated_stats(spark, sf_dir) -> DataFrame:
+    made, members = consolidate.merged(fusion.weigh(fusion.clusters(experiences(spark, sf_dir))))
+    return serve.consolidated_stats(made, members).withColumn("mean_p", F.round("mean_p", 3))
+
+
 #: A source under the names it goes by, and other sources whose names lie close.
 _ALIAS = "CASE doc_id % 5 WHEN 0 THEN upper(source) || ' 实验室' WHEN 1 THEN '【' || source || '】' WHEN 2 THEN source || '-官方公众号' WHEN 3 THEN 'the ' || source ELSE source END"
 

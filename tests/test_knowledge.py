@@ -304,6 +304,17 @@ def test_canonical_json(spark):
     assert tuple(bad) == (None, hashlib.sha256(b"{no").hexdigest()[:16], "{no")
 
 
+def test_pages(spark):
+    from kenning.operators import serve
+
+    rows = [row(i, session_id="consolidated", layer=["FACTUAL", "CONCEPTUAL"][i % 2], text=f"t{i}") for i in range(5)] + [row(9)]
+    registry = consolidate.widened(spark.createDataFrame(rows, REGISTRY)).withColumn("p_fused", F.when(F.col("exp_id") != 3, F.col("exp_id") / 10.0))
+    assert [r.exp_id for r in serve.consolidated_page(registry, size=3).collect()] == [4, 2, 1] and [r.exp_id for r in serve.consolidated_page(registry, page=2, size=3).collect()] == [0, 3]
+    assert [r.exp_id for r in serve.consolidated_page(registry, ["CONCEPTUAL"]).collect()] == [1, 3]
+    pairs = spark.createDataFrame([(0, 1, 0.2), (2, 9, 0.9), (4, 77, 0.5)], "a long, b long, score double")
+    assert [(r.a, r.text_a, r.b, r.service_b) for r in serve.conflict_page(pairs, registry, size=2).collect()] == [(2, "t2", 9, "web"), (4, "t4", 77, None)]
+
+
 def test_lookup_by_id(spark):
     from kenning.operators import serve
 
