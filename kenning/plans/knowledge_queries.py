@@ -91,7 +91,7 @@ def article_relevance(spark, sf_dir) -> DataFrame:
 
 
 _FIRST = "split_part(text, ' ', 1)"
-_SECOND = "CASE doc_id % 6 WHEN 0 THEN upper(split_part(text, ' ', 1)) || ' 实验室' WHEN 1 THEN 'The ' || split_part(text, ' ', 1) WHEN 2 THEN split_part(text, ' ', 2) WHEN 3 THEN '' WHEN 4 THEN split_part(text, ' ', 1) || '.' ELSE source END"
+_SECOND = "CASE doc_id % 6 WHEN 0 THEN '【' || split_part(text, ' ', 1) || '】 实验室' WHEN 1 THEN 'The ' || split_part(text, ' ', 1) WHEN 2 THEN split_part(text, ' ', 2) WHEN 3 THEN '' WHEN 4 THEN split_part(text, ' ', 1) || '.' ELSE source END"
 _CORE = "regexp_replace({0}, '(官方公众号|公众号|官方|研究院|研究中心|实验室|安全实验室|安全研究院)$', '')"
 
 
