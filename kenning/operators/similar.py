@@ -77,9 +77,15 @@ def candidates(hits: DataFrame) -> DataFrame:
     return counted.filter(F.col("n") >= F.least(F.lit(LEAST), overlap_bound(F.col("t"), F.col("na"), F.col("nb")))).select("a", "b")
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """rows over twice as many tasks as there are cores, if they come in fewer: a small table in one file."""
+    wanted = 2 * rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(wanted) if rows.rdd.getNumPartitions() < wanted else rows
+
+
 def _prepared(left: DataFrame, right: DataFrame, top: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     lists = left.select(F.col("id").alias("a"), tokens(F.col("text")).alias("ws")).withColumn("na", F.size("ws")).filter("na > 0")
-    texts = materialise(right.select(F.col("id").alias("b"), tokens(F.col("text")).alias("wb")).withColumn("nb", F.size("wb")).filter("nb > 0"), "words")
+    texts = materialise(spread(right.select(F.col("id").alias("b"), "text")).select("b", tokens(F.col("text")).alias("wb")).withColumn("nb", F.size("wb")).filter("nb > 0"), "words")
     words = lists.select("a", "na", F.explode("ws").alias("word"))
     df = texts.select(F.explode("wb").alias("word")).join(small(words.select("word").distinct()), "word").groupBy("word").agg(F.count(F.lit(1)).alias("df"))
     place = F.row_number().over(Window.partitionBy("a").orderBy("df", "word")) - 1
