@@ -12,15 +12,20 @@ from kenning.plans.store import new_path
 from kenning.plans.views import events, table
 from kenning.sources import arrays, logs
 
-FILES = 16
+#: Files that the events make at least, and events that a file holds on average at most.
+FILES, ROWS_A_FILE = 16, 20_000
 READ = EVENTS + "SELECT event_id, session_id, tool_name, command, @@ FROM ve"
 ALL = "has_result, CASE WHEN has_result THEN return_code END AS return_code, has_result AND timed_out AS timed_out, CASE WHEN has_result THEN CASE WHEN tool_name = 'error' THEN '' ELSE out_text END ELSE '' END AS stdout"
 
 
-def _written(rows: DataFrame, what: str) -> str:
+def _files(spark, sf_dir) -> int:
+    return max(FILES, -(-table(spark, sf_dir, "events").count() // ROWS_A_FILE))
+
+
+def _written(rows: DataFrame, what: str, files: int = FILES) -> str:
     """Write rows (file, at: place in it, value) as text files, a folder each; the path."""
     path = new_path(rows.sparkSession, what)
-    rows.repartition("file").sortWithinPartitions("file", "at").select("file", "value").write.partitionBy("file").text(path)
+    rows.repartition(files, "file").sortWithinPartitions("file", "at").select("file", "value").write.partitionBy("file").text(path)
     return path
 
 
@@ -28,7 +33,7 @@ def _event_rows(spark, sf_dir) -> DataFrame:
     """Events with their file, args and the JSON of their result; sessions are whole within a file."""
     args = F.to_json(F.struct("command", "event_id"))
     result = F.to_json(F.struct("return_code", "timed_out", "success", "stdout", "stderr"))
-    return events(spark, sf_dir).withColumns({"file": F.pmod(F.xxhash64("session_id"), F.lit(FILES)), "args": args, "result": result})
+    return events(spark, sf_dir).withColumns({"file": F.pmod(F.xxhash64("session_id"), F.lit(_files(spark, sf_dir))), "args": args, "result": result})
 
 
 def _seen(read: DataFrame, *columns: str) -> DataFrame:
@@ -97,12 +102,15 @@ def read_callback_logs(spark, sf_dir) -> DataFrame:
 
 @query(READ.replace("@@", "return_code, timed_out, CASE WHEN tool_name = 'error' THEN '' ELSE out_text END AS stdout, row_number() OVER (PARTITION BY session_id ORDER BY turn_index) - 1 AS place"))
 def read_run_steps(spark, sf_dir) -> DataFrame:
-    rows = _event_rows(spark, sf_dir).withColumn("file", F.xxhash64("session_id"))
+    """An array a file, which holds many sessions; each step is on its line, a null closes the array."""
+    n = _files(spark, sf_dir)
     call = F.struct(F.lit("c").alias("id"), F.lit("function").alias("type"), F.struct(F.col("tool_name").alias("name"), F.col("args").alias("arguments"), F.col("result").alias("output")).alias("function"))
     step = F.struct(F.col("turn_index").cast("long").alias("created_at"), F.lit("thread.run.step").alias("object"), F.col("session_id").alias("thread_id"), F.struct(F.array(call).alias("tool_calls")).alias("step_details"))
-    files = rows.select("session_id", step.alias("s")).groupBy("session_id").agg(F.to_json(F.struct(F.collect_list("s").alias("data"))).alias("value"))
-    path = new_path(spark, "steps")
-    files.select("value").repartition(FILES).write.option("maxRecordsPerFile", 1).text(path)
+    at = lambda place, event: F.struct(F.lit(place).alias("place"), event.alias("event_id"))
+    steps = _event_rows(spark, sf_dir).select("file", at(1, F.col("event_id")).alias("at"), F.concat(F.to_json(step), F.lit(",")).alias("value"))
+    none = F.lit(None).cast("long")
+    ends = spark.range(n).select(F.col("id").alias("file"), F.inline(F.array(F.struct(at(0, none).alias("at"), F.lit('{"data": [').alias("value")), F.struct(at(2, none).alias("at"), F.lit("null]}").alias("value")))))
+    path = _written(steps.union(ends), "steps", n)
     read = logs.read_run_steps(spark, path)
     return _seen(read, "return_code", "timed_out", "stdout", F.col("turn_index").alias("place"))
 

@@ -104,17 +104,30 @@ def _chain(blocks: pd.DataFrame) -> pd.DataFrame:
     for i, b in enumerate(blocks.itertuples()):
         closed = ended or i < len(blocks) - 1
         end = b.closed if closed else b.open
-        out.append((b.source_file, b.block, bool(inside), depth, closed, blocks["first"].iloc[0], False))
+        out.append((b.source_file, b.block, bool(inside), depth, closed, blocks["first"].iloc[0]))
         inside, depth = int(end[2 * inside]), depth + int(end[2 * inside + 1])
     whole = not inside and depth == 0
-    return pd.DataFrame([(*r[:6], whole) for r in out], columns=["source_file", "block", "inside", "depth", "closed", "first", "whole"])
+    return pd.DataFrame([(*r, whole, False) for r in out], columns=["source_file", "block", "inside", "depth", "closed", "first", "whole", "alone"])
+
+
+_BEGINNING = "source_file string, block long, inside boolean, depth long, closed boolean, first string, whole boolean, alone boolean"
+
+
+def _lone(blocks: DataFrame) -> DataFrame:
+    """What _chain says of files that are one block."""
+    braces = F.col("length") - F.col("size")
+    closed = F.when((braces == F.col("n") - 1) | (braces == F.col("n")), braces == F.col("n")).otherwise(F.col("last") != "]")
+    end = F.when(closed, F.col("closed")).otherwise(F.col("open"))
+    whole = (F.get(end, F.lit(0)) == 0) & (F.get(end, F.lit(1)) == 0)
+    return blocks.select("source_file", "block", F.lit(False).alias("inside"), F.lit(0).cast("long").alias("depth"), closed.alias("closed"), "first", whole.alias("whole"), F.lit(True).alias("alone"))
 
 
 def blocks(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """A row per block with its beginning (written)."""
     summed = pieces(spark, path).mapInArrow(_sums, "source_file string, block long, first string, n long, size long, open array<long>, closed array<long>, last string")
-    sized = materialise(summed, "sums").join(small(listed(spark, path)), "source_file")
-    return materialise(sized.groupBy("source_file").applyInPandas(_chain, "source_file string, block long, inside boolean, depth long, closed boolean, first string, whole boolean"), "blocks")
+    sized = materialise(summed, "sums").join(small(listed(spark, path)), "source_file").withColumn("alone", F.count(F.lit(1)).over(Window.partitionBy("source_file")) == 1)
+    chained = sized.filter("NOT alone").groupBy("source_file").applyInPandas(_chain, _BEGINNING)
+    return materialise(_lone(sized.filter("alone")).union(chained), "blocks")
 
 
 def listed(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -185,17 +198,22 @@ def _rows(out: list[tuple]) -> pa.RecordBatch:
     return pa.record_batch([pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)], names=["source_file", "block", "k", "part", "value"])
 
 
-def elements(spark: SparkSession, path: str | list[str], starts: DataFrame | None = None) -> DataFrame:
-    """source_file, place (struct, in order within the file), value: the JSON text of each whole element."""
-    starts = blocks(spark, path) if starts is None else starts
+def _parts(spark: SparkSession, path: str | list[str], starts: DataFrame) -> DataFrame:
+    """source_file, block, k, part, value of the blocks in starts."""
     known = small(starts)
     rows = pieces(spark, path).withColumn("id", F.monotonically_increasing_id()).join(known, ["source_file", "block"])
     if known is starts:  # too many blocks to hand out: the join shuffles, and a block's pieces are sorted again
         rows = rows.repartition("source_file", "block").sortWithinPartitions("source_file", "block", "id")
-    found = rows.select("source_file", "block", "value", "inside", "depth", "closed", "first").mapInArrow(_found, "source_file string, block long, k long, part string, value string")
-    whole = found.filter("part = 'whole'").select("source_file", F.struct("block", "k").alias("place"), "value")
+    return rows.select("source_file", "block", "value", "inside", "depth", "closed", "first").mapInArrow(_found, "source_file string, block long, k long, part string, value string")
+
+
+def elements(spark: SparkSession, path: str | list[str], starts: DataFrame | None = None) -> DataFrame:
+    """source_file, place (struct, in order within the file), value: the JSON text of each whole element."""
+    starts = blocks(spark, path) if starts is None else starts
+    whole = _parts(spark, path, starts).filter("part = 'whole'").select("source_file", F.struct("block", "k").alias("place"), "value")
     order = Window.partitionBy("source_file").orderBy("block", "k")
-    parts = found.filter("part <> 'whole'").withColumn("n", F.sum((F.col("part") == "start").cast("int")).over(order))
+    # Only elements of files of several blocks come in parts.
+    parts = _parts(spark, path, starts.filter("NOT alone")).filter("part <> 'whole'").withColumn("n", F.sum((F.col("part") == "start").cast("int")).over(order))
     joined = parts.groupBy("source_file", "n").agg(F.min(F.struct("block", "k")).alias("place"), F.array_sort(F.collect_list(F.struct("block", "k", "value"))).alias("x"), (F.bool_or(F.col("part") == "end") & F.bool_or(F.col("part") == "start")).alias("ended"))
     return whole.unionByName(joined.filter("ended").select("source_file", "place", F.array_join(F.transform("x", lambda p: p["value"]), "").alias("value")))
 

@@ -195,16 +195,18 @@ def read_callbacks(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_run_steps(spark: SparkSession, path: str) -> DataFrame:
-    """Run-step files: an array, or an object with `data`, of any size; turns are steps by creation time, slots keep their place."""
+    """Run-step files: an array, or an object with `data`, of any size; turns are the steps of a session by
+    creation time, slots keep their place. A file may hold many sessions."""
     call = "struct<id:string,type:string,function:struct<name:string,arguments:string,output:string>,code_interpreter:struct<input:string,outputs:string>,file_search:struct<results:array<struct<id:string,text:string>>>>"
     step = f"struct<id:string,object:string,type:string,created_at:bigint,completed_at:bigint,run_id:string,thread_id:string,step_details:struct<tool_calls:array<{call}>>>"
     steps = arrays.elements(spark, path).select("source_file", F.col("place").alias("pos"), F.from_json("value", step).alias("s"))
-    order = Window.partitionBy("source_file").orderBy(F.col("s.created_at").asc_nulls_last(), "pos")
+    session = F.coalesce("s.thread_id", "s.run_id")
+    order = Window.partitionBy("source_file", session).orderBy(F.col("s.created_at").asc_nulls_last(), "pos")
     calls = steps.withColumn("turn_index", F.row_number().over(order) - 1).select("source_file", "turn_index", "s", F.posexplode("s.step_details.tool_calls").alias("slot", "c")).filter("c.type IN ('function', 'file_search', 'code_interpreter')")
     is_function, is_search = F.col("c.type") == "function", F.col("c.type") == "file_search"
     output = F.when(is_function, F.col("c.function.output")).when(is_search, F.array_join(F.transform("c.file_search.results", lambda r: r["text"]), "\n---\n")).otherwise(F.col("c.code_interpreter.outputs"))
     rows = calls.select(
-        "source_file", F.coalesce("s.thread_id", "s.run_id").alias("session_id"), "turn_index", "slot", F.date_format(F.timestamp_seconds("s.created_at"), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("ts"),
+        "source_file", session.alias("session_id"), "turn_index", "slot", F.date_format(F.timestamp_seconds("s.created_at"), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("ts"),
         F.when(is_function, F.col("c.function.name")).when(is_search, "search_knowledge").otherwise("execute_code").alias("tool_name"),
         F.coalesce("c.function.arguments", F.to_json(F.struct(F.col("c.code_interpreter.input").alias("code"))), F.lit("{}")).alias("args"), output.alias("content"),
     )

@@ -125,3 +125,10 @@ def test_sniffing_of_broken_starts(spark, tmp_path):
     logs.register("mine", reader)
     logs.unregister("mine")
     assert "mine" not in logs.registered()
+
+
+def test_run_steps_of_many_sessions_in_a_file(spark, tmp_path):
+    step = lambda thread, at: {"object": "thread.run.step", "created_at": at, "thread_id": thread, "step_details": {"tool_calls": [call(f"{thread}{at}", "shell", command=str(at))]}}
+    (tmp_path / "steps.json").write_text(json.dumps({"data": [step("a", 5), step("b", 1), step("a", 2), step("b", 9), None]}))
+    rows = logs.read_run_steps(spark, str(tmp_path)).collect()
+    assert sorted((r.session_id, r.turn_index, r.command) for r in rows) == [("a", 0, "2"), ("a", 1, "5"), ("b", 0, "1"), ("b", 1, "9")]
