@@ -187,9 +187,20 @@ def weigh(clustered: DataFrame) -> DataFrame:
     return out.withColumn("weight", F.greatest(F.round(F.col("w_norm") * decay(), 4), F.lit(FLOOR))).drop("__low", "__high")
 
 
-def dominant(weighted: DataFrame) -> DataFrame:
-    """Per cluster: total weight and the heaviest member (least id on a tie)."""
-    return weighted.groupBy("cluster_id").agg(F.sum("weight").alias("total_weight"), F.max_by("exp_id", F.struct("weight", -F.col("exp_id"))).alias("dominant_id"), F.count(F.lit(1)).alias("n"))
+def heaviest() -> Column:
+    """What a cluster's first member has most of: weight; on a tie the least id."""
+    return F.struct("weight", -F.col("exp_id"))
+
+
+def scored() -> Column:
+    """The same as one number, weight x 1e9 less the id: ids 100,000 apart make up for the last place of a weight."""
+    return F.struct((F.col("weight") * 1e9 - F.col("exp_id")).alias("score"), (-F.col("exp_id")).alias("least"))
+
+
+def dominant(weighted: DataFrame, by: Column | None = None) -> DataFrame:
+    """Per cluster: total weight and the heaviest member (or the one with most of `by`)."""
+    by = heaviest() if by is None else by
+    return weighted.groupBy("cluster_id").agg(F.sum("weight").alias("total_weight"), F.max_by("exp_id", by).alias("dominant_id"), F.count(F.lit(1)).alias("n"))
 
 
 def vote_shares(items: DataFrame, group: str = "cluster_id", item: str = "item") -> DataFrame:
@@ -233,12 +244,13 @@ def noisy_or(p: Column, w: Column) -> Column:
     return F.greatest(F.lit(0.0), F.least(F.lit(1.0), 1 - F.exp(F.sum(F.log(F.greatest(1 - p * w, F.lit(1e-9)))))))
 
 
-def calibrate(weighted: DataFrame) -> DataFrame:
+def calibrate(weighted: DataFrame, by: Column | None = None) -> DataFrame:
     """Per cluster: p_fused (per-session best p and w when sessions repeat), n_sessions, dominant maturity and outcome,
-    strong counterexamples, and the maturity after two passes of the ladder."""
+    strong counterexamples, and the maturity after two passes of the ladder. by: as in dominant()."""
+    by = heaviest() if by is None else by
     sessions = weighted.groupBy("cluster_id", "session_id").agg(F.max("confidence").alias("p"), F.max("weight").alias("w"), F.count(F.lit(1)).alias("n"))
     fused = sessions.groupBy("cluster_id").agg(F.round(noisy_or(F.col("p"), F.col("w")), 6).alias("p_fused"), F.count(F.lit(1)).alias("n_sessions"), F.sum("n").alias("n_members"))
-    first = weighted.groupBy("cluster_id").agg(F.max_by(F.struct("maturity", "outcome"), F.struct("weight", -F.col("exp_id"))).alias("d"), F.first("key_layer").alias("key_layer"))
+    first = weighted.groupBy("cluster_id").agg(F.max_by(F.struct("maturity", "outcome"), by).alias("d"), F.first("key_layer").alias("key_layer"))
     against = weighted.join(first.select("cluster_id", F.col("d.outcome").alias("lead")), "cluster_id").groupBy("cluster_id").agg(F.sum(((F.col("outcome") != F.col("lead")) & (F.col("weight") > 0.70)).cast("int")).alias("n_counter"))
     out = fused.join(first.select("cluster_id", "key_layer", F.col("d.maturity").alias("maturity_before")), "cluster_id").join(against, "cluster_id").withColumn("contradiction", F.lit(0.0))
     out = out.withColumn("pass1", next_maturity(F.col("maturity_before"))).withColumn("maturity_after", next_maturity(F.col("pass1")))

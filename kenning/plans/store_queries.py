@@ -238,7 +238,7 @@ def remedies_and_families(spark, sf_dir) -> DataFrame:
 @query(ROWS + ", tp AS (SELECT cluster, arg_max(exp_id, weight * 1e9 - exp_id) AS exp_id FROM wt WHERE layer = 'PROCEDURAL_NEG' GROUP BY 1), x AS (SELECT DISTINCT unnest(w.cves) AS cve, 'run ' || (w.exp_id % 3) AS command FROM wt w JOIN tp USING (exp_id)) SELECT cve, string_agg(command, ',' ORDER BY command) AS commands FROM x GROUP BY 1")
 def cve_command_map(spark, sf_dir) -> DataFrame:
     rows = fusion.weigh(fusion.clusters(experiences(spark, sf_dir))).withColumn("command", F.concat(F.lit("run "), (F.col("exp_id") % 3).cast("string")))
-    return history.cve_commands(rows).select("cve", F.array_join("commands", ",").alias("commands"))
+    return history.cve_commands(rows, fusion.scored()).select("cve", F.array_join("commands", ",").alias("commands"))
 
 
 @query("""SELECT account, greatest(0.0, 100.0 - since * 2) * 0.6 + least(recent * 10.0, 100.0) * 0.4 AS activity FROM (SELECT source AS account, min(doc_id % 90) AS since, count(*) FILTER (doc_id % 90 <= 30) AS recent FROM documents GROUP BY 1)""")
