@@ -5,15 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kenning.operators.fusion import heaviest
+
 STATES = ["active", "archived", "suspended", "conflicted"]
 
 
-def cluster_report(weighted: DataFrame) -> DataFrame:
-    """A row per cluster: key, size, heaviest member, total weight, and its members with their weights, heaviest first."""
+def cluster_report(weighted: DataFrame, by: Column | None = None) -> DataFrame:
+    """A row per cluster: key, size, heaviest member (or that with most of `by`), total weight, and its members with their weights, heaviest first."""
+    by = heaviest() if by is None else by
     members = F.sort_array(F.collect_list(F.struct((-F.col("weight")).alias("o"), "exp_id", "weight")))
-    per = weighted.groupBy("cluster_id", "key_layer", "key_service", "key_sub").agg(F.count(F.lit(1)).alias("source_count"), F.round(F.sum("weight"), 6).alias("total_weight"), members.alias("m"))
+    per = weighted.groupBy("cluster_id", "key_layer", "key_service", "key_sub").agg(F.count(F.lit(1)).alias("source_count"), F.round(F.sum("weight"), 6).alias("total_weight"), F.max_by("exp_id", by).alias("dominant_id"), members.alias("m"))
     slim = F.transform("m", lambda x: F.struct(x["exp_id"].alias("exp_id"), x["weight"].alias("weight")))
-    return per.withColumns({"dominant_id": F.get("m", F.lit(0))["exp_id"], "weights": slim}).drop("m")
+    return per.withColumn("weights", slim).drop("m")
 
 
 def lifecycle_summary(registry: DataFrame) -> DataFrame:

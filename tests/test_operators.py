@@ -388,3 +388,5 @@ def test_members_by_score(spark):
     """As one number the weight's last place is less than ids that are 200,000 apart."""
     rows = spark.createDataFrame([("k", i, w, str(i), "RECON_BEFORE_EXPLOIT: x", "L", "S", "B") for i, w in ((200_001, 0.5001), (1, 0.5))], "cluster_id string, exp_id long, weight double, item string, lesson string, key_layer string, key_service string, key_sub string")
     assert fusion.dominant(rows).first().dominant_id == 200_001 and fusion.dominant(rows, fusion.scored()).first().dominant_id == 1
+    got = report.cluster_report(rows, fusion.scored()).first()
+    assert got.dominant_id == 1 and [x.exp_id for x in got.weights] == [200_001, 1]
