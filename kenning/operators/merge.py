@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kenning.functions.text import cves
-from kenning.operators.fusion import covered_dedupe, vote_shares
+from kenning.operators.fusion import covered_dedupe, heaviest, vote_shares
 
 # What actions mean the same, first match wins.
 INTENTS = [
@@ -53,9 +53,10 @@ def ranked_union(items: DataFrame, least: float, top: int, fallback: int, out: s
     return _listed(joined, F.when(F.col("__some"), enough & (F.col("rank") <= top)).otherwise(F.col("rank") <= fallback), out)
 
 
-def dominant(members: DataFrame, fields: list[str]) -> DataFrame:
-    """cluster_id and the fields of its heaviest member (the least exp_id on a tie)."""
-    top = members.groupBy("cluster_id").agg(F.max_by(F.struct(*fields), F.struct("weight", -F.col("exp_id"))).alias("__d"))
+def dominant(members: DataFrame, fields: list[str], by: Column | None = None) -> DataFrame:
+    """cluster_id and the fields of its heaviest member (the least exp_id on a tie), or of the one with most of `by`."""
+    by = heaviest() if by is None else by
+    top = members.groupBy("cluster_id").agg(F.max_by(F.struct(*fields), by).alias("__d"))
     return top.select("cluster_id", *[F.col(f"__d.{f}").alias(f) for f in fields])
 
 
@@ -147,10 +148,11 @@ def fingerprint(lesson: Column) -> Column:
     return F.coalesce(F.try_element_at(table, key), key)
 
 
-def metacognitive(lessons: DataFrame) -> DataFrame:
-    """Per cluster its lessons: one per fingerprint (the heaviest), how many had it, ranked by count x weight."""
+def metacognitive(lessons: DataFrame, by: Column | None = None) -> DataFrame:
+    """Per cluster its lessons: one per fingerprint (the heaviest, or that with most of `by`), how many had it, ranked by count x weight."""
+    by = heaviest() if by is None else by
     told = lessons.filter(F.coalesce("item", F.lit("")) != "")
-    per = told.groupBy("cluster_id", fingerprint(F.col("item")).alias("fingerprint")).agg(F.count(F.lit(1)).alias("n"), F.round(F.max("weight"), 4).alias("weight"), F.max_by("item", F.struct("weight", -F.col("exp_id"))).alias("lesson"))
+    per = told.groupBy("cluster_id", fingerprint(F.col("item")).alias("fingerprint")).agg(F.count(F.lit(1)).alias("n"), F.round(F.max("weight"), 4).alias("weight"), F.max_by("item", by).alias("lesson"))
     w = Window.partitionBy("cluster_id").orderBy(F.round(F.col("n") * F.col("weight"), 9).desc(), "fingerprint")
     return per.withColumn("rank", F.row_number().over(w))
 
@@ -169,9 +171,9 @@ def first_seen(items: DataFrame) -> DataFrame:
     return per.select("cluster_id", "item", F.row_number().over(Window.partitionBy("cluster_id").orderBy("at", "item")).alias("rank"))
 
 
-def conceptual(insights: DataFrame, conditions: DataFrame, supplements: int = MOST_SUPPLEMENTS) -> DataFrame:
-    """cluster_id, insight (heaviest), supplements (next ones that say something else), conditions (30 % of the weight)."""
-    top = dominant(insights, ["item"]).withColumnRenamed("item", "insight")
+def conceptual(insights: DataFrame, conditions: DataFrame, supplements: int = MOST_SUPPLEMENTS, by: Column | None = None) -> DataFrame:
+    """cluster_id, insight (heaviest, or that with most of `by`), supplements (next ones that say something else), conditions (30 % of the weight)."""
+    top = dominant(insights, ["item"], by).withColumnRenamed("item", "insight")
     w = Window.partitionBy("cluster_id").orderBy(F.desc("weight"), "exp_id")
     ranked = insights.join(top, "cluster_id").filter("item <> '' and item <> insight").withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= supplements)
     rest = ranked.groupBy("cluster_id").agg(F.sort_array(F.collect_list(F.struct("rank", "item"))).alias("__x")).select("cluster_id", F.array_join(F.transform("__x", lambda x: x["item"]), " | ").alias("supplements"))

@@ -390,3 +390,5 @@ def test_members_by_score(spark):
     assert fusion.dominant(rows).first().dominant_id == 200_001 and fusion.dominant(rows, fusion.scored()).first().dominant_id == 1
     got = report.cluster_report(rows, fusion.scored()).first()
     assert got.dominant_id == 1 and [x.exp_id for x in got.weights] == [200_001, 1]
+    assert merge.metacognitive(rows.withColumn("item", F.concat("lesson", "item")), fusion.scored()).first().lesson.endswith("x1")
+    assert merge.conceptual(rows, rows, by=fusion.scored()).first().insight == "1"
