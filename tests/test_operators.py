@@ -8,8 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from kenning.functions import text as tx
-from kenning.operators import annotate, corpus, distil, evaluate, facts, fusion, govern, graph, merge, serve
+from kenning.operators import annotate, corpus, distil, evaluate, facts, fusion, govern, graph, merge, report, serve
 from kenning.plans import batch, store
+from kenning.plans.registry import QUERIES
 from kenning.sources import turns
 from kenning.streaming import turns as stream_turns
 from kenning.streaming import windows
