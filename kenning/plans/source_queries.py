@@ -68,7 +68,7 @@ def _renamed(tool, names: dict[str, str]):
 @query(READ.replace("@@", ALL + ", category, CASE WHEN k % 3 <> 0 THEN 'next ' || k END AS thought, CASE WHEN category = 'RAG_QUERY' THEN -1 END AS n_results"))
 def read_native_logs(spark, sf_dir) -> DataFrame:
     """Category, thought and number of results are the reader's own."""
-    path = _written(_native(_event_rows(spark, sf_dir).withColumn("tool_name", _renamed(F.col("tool_name"), IN_LOGS))), "native")
+    path = _written(_native(_event_rows(spark, sf_dir).withColumn("tool_name", _renamed(F.col("tool_name"), IN_LOGS))), "native", _files(spark, sf_dir))
     seen = _seen(logs.read_native(spark, path), "has_result", "return_code", "timed_out", F.coalesce("stdout", F.lit("")).alias("stdout"), "category", "thought", "n_results")
     return seen.withColumn("tool_name", _renamed(F.col("tool_name"), {b: a for a, b in IN_LOGS.items()}))
 
@@ -76,7 +76,7 @@ def read_native_logs(spark, sf_dir) -> DataFrame:
 @query(EVENTS + """, s AS (SELECT abs(hash(session_id)) AS h, session_id, count(*) AS n, CAST(sum(CASE WHEN has_result THEN 1 ELSE 0 END) AS BIGINT) AS n_results FROM ve GROUP BY session_id) SELECT session_id, n, n_results FROM s""")
 def read_native_sessions(spark, sf_dir) -> DataFrame:
     """Sessions in force, by line: a file holds many."""
-    read = logs.read_native(spark, _written(_native(_event_rows(spark, sf_dir)), "native"))
+    read = logs.read_native(spark, _written(_native(_event_rows(spark, sf_dir)), "native", _files(spark, sf_dir)))
     return read.groupBy("session_id").agg(F.count(F.lit(1)).alias("n"), F.count_if("has_result").alias("n_results"))
 
 
@@ -96,7 +96,7 @@ def read_callback_logs(spark, sf_dir) -> DataFrame:
     begin = rows.select("file", F.lit(0).alias("half"), F.col("event_id").alias("place"), F.posexplode(F.array(model, chain, start)).alias("pos", "value"))
     ends = rows.select("file", F.lit(1).alias("half"), F.col("event_id").alias("place"), F.lit(0).alias("pos"), end.alias("value"))
     lines = begin.unionByName(ends).filter("value IS NOT NULL").select("file", F.struct("half", "place", "pos").alias("at"), "value")
-    seen = _seen(logs.read_callbacks(spark, _written(lines, "callbacks")), "return_code", "stdout", "success", "category", "thought", "n_results")
+    seen = _seen(logs.read_callbacks(spark, _written(lines, "callbacks", _files(spark, sf_dir))), "return_code", "stdout", "success", "category", "thought", "n_results")
     return seen.withColumn("tool_name", _renamed(F.col("tool_name"), {"KB_search": "view"}))
 
 
@@ -138,18 +138,18 @@ def read_generic_logs(spark, sf_dir) -> DataFrame:
     """Any JSONL, its fields under other names, one of them mapped by the caller."""
     rows = _event_rows(spark, sf_dir)
     line = F.to_json(F.struct(F.col("session_id").alias("conversation_id"), F.col("turn_index").alias("step"), F.col("tool_name").alias("tool"), F.col("args").alias("input"), F.col("stdout").alias("printed"), F.col("stderr").alias("error"), F.col("return_code").alias("rc"), F.col("timed_out").alias("timeout")))
-    path = _written(rows.select("file", F.col("event_id").alias("at"), line.alias("value")), "generic")
+    path = _written(rows.select("file", F.col("event_id").alias("at"), line.alias("value")), "generic", _files(spark, sf_dir))
     return _seen(logs.read_generic(spark, path, {"stdout": ["printed"]}), F.col("turn_index").cast("long").alias("turn_index"), "return_code", "stdout", "timed_out")
 
 
 @query(EVENTS + """SELECT 'native' AS dialect, count(DISTINCT session_id) AS n_sessions, count(*) AS n FROM ve UNION ALL SELECT 'generic', count(DISTINCT session_id), count(*) FROM ve""")
 def read_mixed_logs(spark, sf_dir) -> DataFrame:
     """A folder of two dialects: each file is sniffed and read by its own reader."""
-    rows = _event_rows(spark, sf_dir)
+    rows, n = _event_rows(spark, sf_dir), _files(spark, sf_dir)
     native = _native(rows.withColumn("session_id", F.concat(F.lit("n-"), "session_id"))).withColumn("at", F.struct("at.place.session_id", "at.place.turn_index", "at.pos"))
     line = F.to_json(F.struct(F.concat(F.lit("g-"), F.col("session_id")).alias("session_id"), F.col("turn_index").alias("turn_index"), "tool_name", F.col("args").alias("tool_args"), "stdout"))
-    generic = rows.select((F.col("file") + FILES).alias("file"), F.struct("session_id", "turn_index", F.lit(0).alias("pos")).alias("at"), line.alias("value"))
-    read = logs.read(spark, _written(native.union(generic), "mixed"))
+    generic = rows.select((F.col("file") + n).alias("file"), F.struct("session_id", "turn_index", F.lit(0).alias("pos")).alias("at"), line.alias("value"))
+    read = logs.read(spark, _written(native.union(generic), "mixed", 2 * n))
     dialect = F.when(F.col("session_id").startswith("n-"), "native").otherwise("generic")
     return read.groupBy(dialect.alias("dialect")).agg(F.count_distinct("session_id").alias("n_sessions"), F.count(F.lit(1)).alias("n"))
 

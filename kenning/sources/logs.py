@@ -41,6 +41,31 @@ def lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return kept.select("source_file", "line_no", F.col("value").alias("raw"))
 
 
+#: Lines that a running value is taken over at once, as a power of two.
+CHUNK_BITS = 14
+
+
+def running(rows: DataFrame, sums: dict[str, Column] | None = None, lasts: dict[str, Column] | None = None) -> DataFrame:
+    """rows (of lines()) with running values over each file up to and with a line: sums of integers, last values that aren't null.
+
+    They are taken within chunks of a block, whose own sums and last values, one row a chunk, are chained by file; so no
+    task sorts more of a file than a few chunks.
+    """
+    sums, lasts = sums or {}, lasts or {}
+    chunk = F.struct(F.col("line_no.block").alias("block"), F.shiftright("line_no.row", CHUNK_BITS).alias("part"))
+    held = rows.select("source_file", chunk.alias("chunk"), "line_no", *[c.alias(n) for n, c in (sums | lasts).items()])
+    per = held.groupBy("source_file", "chunk").agg(
+        *[F.sum(n).cast("long").alias(f"__{n}") for n in sums], *[F.max_by(n, F.when(F.col(n).isNotNull(), F.col("line_no"))).alias(f"__{n}") for n in lasts]
+    )
+    before = Window.partitionBy("source_file").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    chained = per.select("source_file", "chunk", *[F.sum(f"__{n}").over(before).alias(f"__{n}") for n in sums], *[F.last(f"__{n}", ignorenulls=True).over(before).alias(f"__{n}") for n in lasts])
+    within = Window.partitionBy("source_file", "chunk").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
+    joined = rows.withColumn("chunk", chunk).join(chained, ["source_file", "chunk"])
+    values = {n: F.coalesce(F.sum(c).over(within), F.lit(0)) + F.coalesce(f"__{n}", F.lit(0)) for n, c in sums.items()}
+    values |= {n: F.coalesce(F.last(c, ignorenulls=True).over(within), F.col(f"__{n}")) for n, c in lasts.items()}
+    return joined.withColumns(values).drop("chunk", *[f"__{n}" for n in values])
+
+
 def kind(o: Column) -> Column:
     """What a native line is, by event name first, then by its keys."""
     event = F.coalesce(o["event"], F.lit(""))
@@ -56,14 +81,19 @@ def kind(o: Column) -> Column:
     )
 
 
+def native_kinds(spark: SparkSession, path: str) -> DataFrame:
+    """source_file, line_no, o (typed), kind."""
+    parsed = lines(spark, path).withColumn("o", F.from_json("raw", NATIVE)).drop("raw")
+    return parsed.withColumn("kind", kind(F.col("o")))
+
+
 def native_lines(spark: SparkSession, path: str) -> DataFrame:
     """source_file, line_no, kind, o (typed), turn_index (-1 before the first assistant message), session_id in force."""
-    parsed = lines(spark, path).withColumn("o", F.from_json("raw", NATIVE)).withColumn("kind", kind(F.col("o")))
-    running = Window.partitionBy("source_file").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
+    parsed = native_kinds(spark, path)
     stem = F.regexp_extract("source_file", r"([^/]+?)(?:\.[^./]*)?$", 1)
     default = F.coalesce(F.get(F.split(stem, "_"), F.lit(1)), stem)
-    started = F.last(F.when(F.col("kind") == "session_start", F.col("o.session_id")), ignorenulls=True).over(running)
-    return parsed.withColumns({"turn_index": F.sum((F.col("kind") == "assistant_message").cast("int")).over(running) - 1, "session_id": F.coalesce(started, default)})
+    ran = running(parsed, {"turn_index": (F.col("kind") == "assistant_message").cast("int")}, {"session_id": F.when(F.col("kind") == "session_start", F.col("o.session_id"))})
+    return ran.withColumns({"turn_index": (F.col("turn_index") - 1).cast("int"), "session_id": F.coalesce("session_id", default)})
 
 
 def native_turns(native: DataFrame) -> DataFrame:
@@ -132,7 +162,7 @@ def read_native(spark: SparkSession, path: str) -> DataFrame:
     calls = F.when(F.size("said.calls") > 0, F.col("said.calls")).otherwise(F.col("completed"))
     each = native_turns(native).select("source_file", "turn_index", "has_request", F.col("said.session_id").alias("session_id"), F.col("said.timestamp").alias("ts"), said_text(F.col("said.content")).alias("content"), F.posexplode(calls).alias("slot", "c"))
     named = each.withColumnRenamed("content", "thought").select("*", F.col("c.id").alias("call_id"), F.col("c.function.name").alias("tool_name"), F.col("c.function.arguments").alias("args"))
-    joined = named.join(native_results(native), ["source_file", "call_id"], "left").withColumn("content", F.when(F.col("has_request"), F.col("content")))
+    joined = named.join(native_results(native_kinds(spark, path)), ["source_file", "call_id"], "left").withColumn("content", F.when(F.col("has_request"), F.col("content")))
     return _finish(joined.withColumns(decode_result(F.col("content"))).withColumn("has_result", F.col("content").isNotNull()), "native")
 
 
@@ -168,20 +198,20 @@ def read_callbacks(spark: SparkSession, path: str) -> DataFrame:
     said = F.get(F.get("response.generations", F.lit(0)), F.lit(0))
     text = F.nullif(tx.strip(F.coalesce(F.nullif(said["message"]["content"], F.lit("")), said["text"])), F.lit(""))
     ended = F.when(F.col("type").isin("on_llm_end", "llm_end"), F.struct(text.alias("text")))
-    earlier = Window.partitionBy("source_file").orderBy("line_no").rowsBetween(Window.unboundedPreceding, -1)
-    taken = F.coalesce(F.sum(F.col("type").isin("on_tool_start", "on_agent_action", "tool_result").cast("int")).over(earlier), F.lit(0))
+    rows = rows.withColumns({"ended": ended, "takes": F.coalesce(F.col("type").isin("on_tool_start", "on_agent_action", "tool_result"), F.lit(False)).cast("int"), "reset": F.coalesce(F.col("type") == "tool_result", F.lit(False)).cast("int")}).drop("response")
+    # Sums up to the line before: those with the line less its own.
+    ran = running(rows, {"__taken": F.col("takes"), "g": F.col("reset")}).withColumns({"__taken": F.col("__taken") - F.col("takes"), "g": F.col("g") - F.col("reset")})
     since = Window.partitionBy("source_file", "__taken").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("__taken", taken).withColumn("said", F.last(ended, ignorenulls=True).over(since)["text"]).drop("__taken", "response")
-    by_run = Window.partitionBy("source_file", "run_id").orderBy("line_no").rowsBetween(Window.unboundedPreceding, -1)
-    start = F.last(F.when(F.col("type") == "on_tool_start", F.struct("name", "input", "timestamp", F.col("said").alias("thought"))), ignorenulls=True)
-    paired = rows.filter("type IN ('on_tool_start', 'on_tool_end')").withColumn("s", start.over(by_run)).filter("type = 'on_tool_end' AND s IS NOT NULL")
+    rows = ran.withColumn("said", F.last("ended", ignorenulls=True).over(since)["text"]).drop("__taken", "ended", "takes", "reset")
+    # A result is paired with the latest start of its run, in old logs with the latest action since the result before.
+    kept = rows.filter("type IN ('on_tool_start', 'on_tool_end', 'agent_action', 'tool_result')").withColumn("old", F.col("type").isin("agent_action", "tool_result"))
+    of = Window.partitionBy("source_file", "old", F.when(F.col("old"), F.col("g")).otherwise(0), F.when(~F.col("old"), F.col("run_id"))).orderBy("line_no").rowsBetween(Window.unboundedPreceding, -1)
+    begun = F.when(F.col("type") == "on_tool_start", F.struct("name", "input", "timestamp", F.col("said").alias("thought"))).when(
+        F.col("type") == "agent_action", F.struct(F.coalesce("tool", "name").alias("name"), F.coalesce("tool_input", "input").alias("input"), "timestamp", records.reasoning(F.col("log")).alias("thought"))
+    )
+    both = kept.withColumn("s", F.last(begun, ignorenulls=True).over(of)).filter("type IN ('on_tool_end', 'tool_result') AND s IS NOT NULL")
+    both = both.withColumn("s", F.col("s").withField("thought", F.when(F.col("old"), F.coalesce("said", "s.thought")).otherwise(F.col("s.thought"))))
     order = Window.partitionBy("source_file").orderBy("line_no")
-    action = F.last(F.when(F.col("type") == "agent_action", F.struct(F.coalesce("tool", "name").alias("name"), F.coalesce("tool_input", "input").alias("input"), "timestamp", records.reasoning(F.col("log")).alias("thought"))), ignorenulls=True)
-    reset = F.sum((F.col("type") == "tool_result").cast("int")).over(order.rowsBetween(Window.unboundedPreceding, -1))
-    old = rows.filter("type IN ('agent_action', 'tool_result')").withColumn("g", F.coalesce(reset, F.lit(0)))
-    old = old.withColumn("s", action.over(Window.partitionBy("source_file", "g").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0))).filter("type = 'tool_result' AND s IS NOT NULL").drop("g")
-    old = old.withColumn("s", F.col("s").withField("thought", F.coalesce("said", "s.thought")))
-    both = paired.unionByName(old)
     stem = F.regexp_extract("source_file", r"([^/]+?)(?:\.[^./]*)?$", 1)
     code = F.coalesce(F.col("run_metadata.return_code"), F.regexp_extract("output", r"Command exited with code (-?\d+)", 1).try_cast("int"))
     return _finish(
@@ -226,14 +256,13 @@ def read_generic(spark: SparkSession, path: str, fields: dict[str, list[str]] |
     rows = lines(spark, path)
     paths = {k: [*(fields or {}).get(k, []), *v] for k, v in FIELD_MAP.items()}
     get = {k: F.coalesce(*[F.get_json_object("raw", f"$.{p}") for p in v]) for k, v in paths.items()}
-    found = rows.select("source_file", "line_no", *[c.alias(k) for k, c in get.items()]).filter("tool_name <> ''")
-    order = Window.partitionBy("source_file").orderBy("line_no")
+    found = running(rows.select("source_file", "line_no", *[c.alias(k) for k, c in get.items()]).filter("tool_name <> ''"), {"nth": F.lit(1)})
     stem = F.regexp_extract("source_file", r"([^/]+?)(?:\.[^./]*)?$", 1)
     code = F.col("return_code").try_cast("int")
     truth = F.lower("success").isin("true", "1", "yes", "ok")
     return _finish(
         found.select(
-            "source_file", F.coalesce("session_id", stem).alias("session_id"), F.coalesce(F.col("turn_index").try_cast("int"), F.row_number().over(order) - 1).alias("turn_index"), F.lit(0).alias("slot"),
+            "source_file", F.coalesce("session_id", stem).alias("session_id"), F.coalesce(F.col("turn_index").try_cast("int"), (F.col("nth") - 1).cast("int")).alias("turn_index"), F.lit(0).alias("slot"),
             "ts", "tool_name", F.coalesce("args", F.lit("{}")).alias("args"), F.lit(True).alias("has_result"), code.alias("return_code"), F.coalesce(F.lower("timed_out") == "true", F.lit(False)).alias("timed_out"),
             "thought", F.coalesce(truth, code == 0).alias("success"), F.coalesce("stdout", F.lit("")).alias("stdout"), F.coalesce("stderr", F.lit("")).alias("stderr"),
         )

@@ -132,3 +132,17 @@ def test_run_steps_of_many_sessions_in_a_file(spark, tmp_path):
     (tmp_path / "steps.json").write_text(json.dumps({"data": [step("a", 5), step("b", 1), step("a", 2), step("b", 9), None]}))
     rows = logs.read_run_steps(spark, str(tmp_path)).collect()
     assert sorted((r.session_id, r.turn_index, r.command) for r in rows) == [("a", 0, "2"), ("a", 1, "5"), ("b", 0, "1"), ("b", 1, "9")]
+
+
+def test_running_values_over_many_chunks(spark, tmp_path, monkeypatch):
+    """Chunks of two lines give what one chunk gives, in each reader of lines."""
+    said = [{"type": "on_llm_end", "response": {"generations": [[{"text": "t1", "message": {"content": ""}}]]}}, {"type": "on_chain_end"}, {"type": "on_tool_start", "run_id": "r", "name": "shell", "input": "ls"}]
+    old = [{"type": "agent_action", "tool": "shell", "tool_input": "a", "log": "x"}, {"type": "tool_result", "output": "o"}, {"type": "on_tool_end", "run_id": "r", "output": "p"}]
+    (tmp_path / "n_a.jsonl").write_text(native_log() + "\n" + native_log().replace('"abc"', '"second"'))
+    (tmp_path / "c.jsonl").write_text("\n".join(json.dumps(x) for x in said + old + said + old))
+    (tmp_path / "g.jsonl").write_text("\n".join(json.dumps({"tool": "shell", "args": f"echo {i}"}) for i in range(9)))
+    read = lambda: [sorted(map(str, reader(spark, str(tmp_path / file)).drop("source_file").collect())) for reader, file in ((logs.read_native, "n_a.jsonl"), (logs.read_callbacks, "c.jsonl"), (logs.read_generic, "g.jsonl"))]
+    whole = read()
+    monkeypatch.setattr(logs, "CHUNK_BITS", 1)
+    assert read() == whole and [len(x) for x in whole][1:] == [4, 9]
+    assert "second" in str(whole[0]) and {r.turn_index for r in logs.read_callbacks(spark, str(tmp_path / "c.jsonl")).collect()} == {0, 1, 2, 3}
