@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -195,6 +197,15 @@ def plain_name(name: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(F.lower(F.coalesce(name, F.lit(""))), NAME_SPACE, ""), NAME_MARKS, "")
 
 
+def _says(low: Column, pattern: str) -> Column:
+    """Whether a text in lower case holds one of the pattern's alternatives; only those that are no plain words, where their word is found, are matched."""
+    out = F.lit(False)
+    for part in pattern.split("|"):
+        word = re.sub(r"\\d.*|\\b", "", part)
+        out = out | (low.contains(word) if word == part else low.contains(word) & low.rlike(part))
+    return out
+
+
 def relevant(title: Column, body: Column) -> Column:
     """Whether an article has technical worth.
 
@@ -202,13 +213,24 @@ def relevant(title: Column, body: Column) -> Column:
     then a pattern in the title, or one anywhere and two hints, or six hints.
     """
     head, text = F.coalesce(title, F.lit("")), F.coalesce(body, F.lit(""))
-    plain_head, plain_text, whole = plain_name(head), plain_name(text), F.concat(head, F.lit("\n"), text)
     total = lambda flags: sum((f.cast("int") for f in flags), F.lit(0))
-    strong, in_title = total(whole.rlike(f"(?i){p}") for p in STRONG), total(head.rlike(f"(?i){p}") for p in STRONG)
-    hints = total(plain_head.contains(h) | plain_text.contains(h) for h in HINTS)
-    advertised = (total(plain_head.contains(w) for w in NOISE_TITLE) > 0) & (in_title == 0) & (hints < 3)
-    business = (total(text.contains(w) for w in NOISE_TEXT) >= 2) & (strong == 0) & (hints < 4)
-    return (F.length(text) >= LEAST_CHARS) & ~advertised & ~business & ((in_title > 0) | ((strong > 0) & (hints >= 2)) | (hints >= 6))
+    # Over an array of one, so that plain texts and counts are made once a row and not at each use.
+    once = lambda value, of: F.get(F.transform(F.array(value), of), F.lit(0))
+    given = F.struct(text.alias("text"), F.lower(F.concat_ws("\n", head, text)).alias("whole"), F.lower(head).alias("low_head"), F.concat_ws("\n", plain_name(head), plain_name(text)).alias("plain"), plain_name(head).alias("plain_head"))
+    counts = once(
+        given,
+        lambda x: F.struct(
+            total(_says(x["whole"], p) for p in STRONG).alias("strong"), total(_says(x["low_head"], p) for p in STRONG).alias("in_title"), total(x["plain"].contains(h) for h in HINTS).alias("hints"),
+            total(x["plain_head"].contains(w) for w in NOISE_TITLE).alias("adverts"), total(x["text"].contains(w) for w in NOISE_TEXT).alias("trade"), F.length(x["text"]).alias("chars"),
+        ),
+    )
+
+    def verdict(n: Column) -> Column:
+        advertised = (n["adverts"] > 0) & (n["in_title"] == 0) & (n["hints"] < 3)
+        business = (n["trade"] >= 2) & (n["strong"] == 0) & (n["hints"] < 4)
+        return (n["chars"] >= LEAST_CHARS) & ~advertised & ~business & ((n["in_title"] > 0) | ((n["strong"] > 0) & (n["hints"] >= 2)) | (n["hints"] >= 6))
+
+    return once(counts, verdict)
 
 
 def core_name(name: Column) -> Column:

@@ -398,3 +398,10 @@ def test_mentions_beside_letters_beyond_ascii(spark, tmp_path):
     """A word ends where ASCII letters, digits and underscores end."""
     spark.createDataFrame([(i, "éAbcdefghijk Klmnopqrstuß x_Yxwvutsrqpo Zyxwvutsrqp1 Ändern") for i in range(5)], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
     assert {(r.word, r.n) for r in experience_queries.mention_counts(spark, str(tmp_path)).collect()} == {("Abcdefghijk", 5), ("Klmnopqrstu", 5)}
+
+
+def test_relevance_words_as_patterns(spark):
+    """Words are searched and only the rest matched, with the outcome of the patterns."""
+    texts = ["CVE-2021-44228 x", "cve-21-1", "an EXP here", "expand", "POC.", "pocket", "XSS", "远程代码执行", "漏洞", ""]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select(*[F.struct(F.col("t").rlike(f"(?i){p}"), corpus._says(F.lower("t"), p)).alias(f"c{i}") for i, p in enumerate(corpus.STRONG)])
+    assert all(a == b for r in rows.collect() for a, b in r)
