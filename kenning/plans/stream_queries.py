@@ -7,20 +7,25 @@ from pyspark.sql import functions as F
 
 from kenning.plans.event_queries import EVENTS
 from kenning.plans.registry import query
-from kenning.plans.store import new_path
+from kenning.plans.store import drop_cut, materialise, new_path
 from kenning.plans.views import events, table
 from kenning.streaming import state, windows
 
 
 def _replayed(rows: DataFrame, part: Column, parts: int, operator, **options) -> DataFrame:
-    """What the operator makes of a stream that gets the rows part by part."""
-    spark, source = rows.sparkSession, new_path(rows.sparkSession, "stream")
-    marked = rows.withColumn("__part", part)
+    """What the operator makes of a stream that gets the rows part by part, each in one micro-batch.
+
+    The rows are made once, and parts written by as many tasks as they take; the stream stops and goes on with the next.
+    """
+    spark = rows.sparkSession
+    source, out, progress = (new_path(spark, what) for what in ("stream", "streamed", "progress"))
+    marked = materialise(rows.withColumn("__part", part))
     for i in range(parts):
-        marked.filter(F.col("__part") == i).drop("__part").coalesce(1).write.mode("append").parquet(source)
-    out = new_path(spark, "streamed")
-    windows.drain(operator(windows.read(spark, source, rows.schema), **options), out, new_path(spark, "progress"))
-    return spark.read.parquet(out)
+        marked.filter(F.col("__part") == i).drop("__part").write.mode("append").parquet(source)
+        stream = operator(windows.read(spark, source, rows.schema, files=None), **options)
+        windows.drain(stream, out, progress)
+    drop_cut(marked)
+    return spark.read.schema(stream.schema).parquet(out)
 
 
 @query(EVENTS + """SELECT e.event_id, max(q.turn_index) AS query_turn, arg_max(q.event_id, q.turn_index) AS query_id FROM va e JOIN va q ON q.session_id = e.session_id AND q.category = 'RAG_QUERY' AND q.turn_index BETWEEN e.turn_index - 3 AND e.turn_index - 1 GROUP BY e.event_id""")

@@ -16,7 +16,11 @@ FEED_STATE = "ids array<string>, last long"
 #: Turns that a search is remembered for.
 TURNS = 3
 FOUND = "session_id string, event_id long, turn_index long, query_turn long, query_id long"
-RING = "turns array<long>, ids array<long>, latest long"
+#: Groups that sessions are dealt to, and what one holds: its sessions with their newest turns and when they had rows last
+#: (ms), and searches with the places of their sessions.
+BUCKETS = 1024
+HELD = "sessions array<string>, latest array<long>, seen array<long>, owners array<long>, turns array<long>, ids array<long>"
+Held = tuple[list[str | None], list[int], list[int], list[int], list[int], list[int]]
 
 
 def take_new(rows: pd.DataFrame, ids: list[str], last: int | None, most_ids: int = MOST_IDS, most_entries: int = MOST_ENTRIES) -> tuple[pd.DataFrame, list[str], int | None]:
@@ -65,39 +69,67 @@ def new_entries(entries: DataFrame, most_ids: int = MOST_IDS, most_entries: int
     return rows.groupBy("feed").applyInPandasWithState(step, FEED, FEED_STATE, "append", timeout)
 
 
-def lookback(calls: DataFrame, turns: int = TURNS, late_turns: int = 0, quiet_ms: int = 0) -> DataFrame:
+def find_near(rows: pd.DataFrame, held: Held, turns: int = TURNS, late_turns: int = 0, now: int = 0, quiet_ms: int = 0) -> tuple[pd.DataFrame, Held]:
+    """rows of many sessions, each with its nearest search, and what is held of the sessions then.
+
+    rows: session_id, event_id, turn_index, is_search, has_id, has_turn (an id or turn that isn't there is any number: a
+    null would turn the column into floats). One pass over arrays, whatever the number of sessions. Of a session are held
+    its newest turn and the searches that calls up to late_turns behind it may find; with quiet_ms one without rows for
+    that long goes.
+    """
+    names, latest, seen, owners, at, ids = held
+    codes, known = pd.factorize(np.concatenate([np.array(names, dtype=object), rows["session_id"].to_numpy(object)]), use_na_sentinel=False)
+    owner, (named, dated) = codes[len(names) :], rows[["has_id", "has_turn"]].to_numpy(bool).T
+    own, own_id = rows["turn_index"].to_numpy(np.int64), rows["event_id"].to_numpy(np.int64)
+    asked = rows["is_search"].to_numpy(bool) & named & dated
+    # searches, held and new; one of nobody comes first, so that each row has one before it
+    owners, at, ids = (np.concatenate([np.array([first, *old], dtype=np.int64), new[asked].astype(np.int64)]) for first, old, new in ((-1, owners, owner), (0, at, own), (0, ids, own_id)))
+    n = len(at)
+    # by session and turn; rows come before the searches of their own turn
+    place = np.arange(n + len(rows))
+    order = np.lexsort((np.concatenate([ids, own_id]), place < n, np.concatenate([at, own]), np.concatenate([owners, owner])))
+    near = np.empty(len(order), dtype=np.int64)
+    near[order] = order[np.maximum.accumulate(np.where(order < n, place, 0))]
+    near = near[n:]
+    found = dated & (owners[near] == owner) & (at[near] >= own - turns)
+    numbers = {"event_id": (own_id, named), "turn_index": (own, dated), "query_turn": (at[near], found), "query_id": (ids[near], found)}
+    out = rows[["session_id"]].assign(**{name: pd.arrays.IntegerArray(x, ~there, copy=True) for name, (x, there) in numbers.items()})
+    newest = np.full(len(known), -1, dtype=np.int64)
+    newest[: len(names)] = latest
+    np.maximum.at(newest, owner[dated], own[dated])
+    at_work = np.full(len(known), now, dtype=np.int64)
+    at_work[: len(names)] = seen
+    at_work[owner] = now
+    left = (at_work > now - quiet_ms) if quiet_ms else np.ones(len(known), dtype=bool)
+    stay = (at > newest[owners] - turns - late_turns) & left[owners] & (owners >= 0)
+    names = [None if pd.isna(x) else x for x in known[left]]
+    return out, (names, newest[left].tolist(), at_work[left].tolist(), (np.cumsum(left) - 1)[owners[stay]].tolist(), at[stay].tolist(), ids[stay].tolist())
+
+
+def lookback(calls: DataFrame, turns: int = TURNS, late_turns: int = 0, quiet_ms: int = 0, buckets: int = BUCKETS) -> DataFrame:
     """Each call of a stream (session_id, event_id, turn_index, is_search) with the nearest search of the `turns` before it.
 
-    State is a ring of the searches of the last turns + late_turns turns of a session: a call may come that much later
+    Of a session the searches of the last turns + late_turns turns are remembered: a call may come that much later
     than the session's newest one; one that is later still isn't joined. A search itself must come before, or in one
-    micro-batch with, the calls it is found by. With quiet_ms a silent session is forgotten.
+    micro-batch with, the calls it is found by; one without an id or a turn isn't found. With quiet_ms a silent session
+    is forgotten.
+
+    State is by bucket of sessions (a hash of the id), not by session: sessions are many and short, and a call into
+    Python costs more than a session's rows. A bucket's rows of a micro-batch and its state are in memory together:
+    take more buckets for more sessions. A checkpoint goes with its number of buckets.
     """
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
             return
-        old_turns, old_ids, latest = state.get if state.exists else ([], [], -1)
-        rows = pd.concat(list(batches))
-        asked = rows[rows["is_search"]]
-        at, ids = np.concatenate([np.array(old_turns, dtype=np.int64), asked["turn_index"].to_numpy(np.int64)]), np.concatenate([np.array(old_ids, dtype=np.int64), asked["event_id"].to_numpy(np.int64)])
-        order = np.lexsort((ids, at))
-        at, ids = at[order], ids[order]
-        own = rows["turn_index"].to_numpy(np.int64)
-        near = np.searchsorted(at, own, side="left") - 1
-        found = (near >= 0) & (at[np.maximum(near, 0)] >= own - turns) if len(at) else np.zeros(len(own), dtype=bool)
-        hit = np.maximum(near, 0)
-        out = rows[["session_id", "event_id", "turn_index"]].copy()
-        out["query_turn"] = pd.array(np.where(found, at[hit] if len(at) else 0, 0), dtype="Int64")
-        out["query_id"] = pd.array(np.where(found, ids[hit] if len(at) else 0, 0), dtype="Int64")
-        out.loc[~found, ["query_turn", "query_id"]] = pd.NA
-        latest = max(int(latest), int(own.max()))
-        stay = at > latest - turns - late_turns
-        state.update((at[stay].tolist(), ids[stay].tolist(), latest))
+        held = state.get if state.exists else ([], [], [], [], [], [])
+        out, held = find_near(pd.concat(list(batches), ignore_index=True), held, turns, late_turns, state.getCurrentProcessingTimeMs() if quiet_ms else 0, quiet_ms)
+        state.update(held)
         if quiet_ms:
             state.setTimeoutDuration(quiet_ms)
         yield out
 
     timeout = GroupStateTimeout.ProcessingTimeTimeout if quiet_ms else GroupStateTimeout.NoTimeout
-    rows = calls.selectExpr("session_id", "CAST(event_id AS LONG) AS event_id", "CAST(turn_index AS LONG) AS turn_index", "coalesce(is_search, false) AS is_search")
-    return rows.groupBy("session_id").applyInPandasWithState(step, FOUND, RING, "append", timeout)
+    rows = calls.selectExpr("session_id", "coalesce(CAST(event_id AS LONG), 0) AS event_id", "coalesce(CAST(turn_index AS LONG), 0) AS turn_index", "coalesce(is_search, false) AS is_search", "CAST(event_id AS LONG) IS NOT NULL AS has_id", "CAST(turn_index AS LONG) IS NOT NULL AS has_turn", f"pmod(xxhash64(session_id), {int(buckets)}) AS bucket")
+    return rows.groupBy("bucket").applyInPandasWithState(step, FOUND, HELD, "append", timeout)

@@ -29,9 +29,10 @@ def _late(events: DataFrame, late: str) -> DataFrame:
     return events.withWatermark("ts", late) if events.isStreaming else events
 
 
-def read(spark, path: str, schema) -> DataFrame:
-    """Parquet files of a folder as a stream, a file at a time."""
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+def read(spark, path: str, schema, files: int | None = 1) -> DataFrame:
+    """Parquet files of a folder as a stream, so many a micro-batch (None: all that came since the last)."""
+    stream = spark.readStream.schema(schema)
+    return (stream.option("maxFilesPerTrigger", files) if files else stream).parquet(path)
 
 
 def drain(stream: DataFrame, out: str, checkpoint: str, mode: str = "append") -> None:

@@ -3,7 +3,9 @@
 import random
 
 import pandas as pd
+from pyspark.sql import functions as F
 
+from kenning.plans import stream_queries
 from kenning.streaming import state, windows
 
 
@@ -70,3 +72,55 @@ def test_lookback_stream(spark, tmp_path):
         found = [(u, j) for s2, j, u, asked in rows if s2 == s and asked and t - 3 <= u < t]
         want[s, i] = max(found) if found else (None, None)
     assert {(r.session_id, r.event_id): (r.query_turn, r.query_id) for r in got} == want
+
+
+def calls(rows):
+    return pd.DataFrame(rows, columns=["session_id", "event_id", "turn_index", "is_search"]).astype({"event_id": "int64", "turn_index": "int64"}).assign(has_id=True, has_turn=True)
+
+
+def test_find_near():
+    """Many sessions at once, equal turns and sessions without a name among them, as each by itself."""
+    rng = random.Random(9)
+    rows = [(rng.choice(["x", "y", "z", None]), 2**60 + i, i // 12, rng.random() < 0.2) for i in range(400)]
+    want = {}
+    for s, i, t, _ in rows:
+        found = [(u, j) for s2, j, u, asked in rows if s2 == s and asked and t - 3 <= u < t]
+        want[i] = max(found) if found else (None, None)
+    for step in (400, 12, 60):
+        held, got = ([], [], [], [], [], []), {}
+        for at in range(0, 400, step):
+            out, held = state.find_near(calls(rows[at : at + step]), held, 3)
+            got |= {int(r.event_id): (None, None) if pd.isna(r.query_id) else (int(r.query_turn), int(r.query_id)) for r in out.itertuples()}
+        assert got == want
+        assert len(held[0]) == 4 and min(held[4], default=33) > 30
+    none = ([], [], [], [], [], [])
+    first = state.find_near(calls([("x", 1, 0, True), ("y", 2, 0, True)]), none, 3, 0, 1000, 500)[1]
+    out, held = state.find_near(calls([("y", 3, 1, False)]), first, 3, 0, 1600, 500)
+    assert held == (["y"], [1], [1600], [0], [0], [2]) and out["query_id"].tolist() == [2]  # x went, y had rows
+    out, held = state.find_near(calls([("x", 4, 1, False)]), held, 3, 0, 1700, 500)
+    assert out["query_id"].isna().all() and held[0] == ["y", "x"]
+
+
+def test_lookback_groups(spark, tmp_path):
+    """State and calls into Python are by bucket, not by session; ids keep all their digits, a row without one passes."""
+    rows = [(f"s{k}", 2**60 + 100 * k + t, t, t == 1) for k in range(60) for t in range(4)]
+    odd = [("s0", None, 2, True), (None, 7, 0, True), (None, 8, 1, False), ("s1", 9, None, True)]
+    got = replay(spark, tmp_path, [[r for r in rows if r[2] < 2], [r for r in rows if r[2] >= 2] + odd], "session_id string, event_id long, turn_index long, is_search boolean", lambda s: state.lookback(s, 3, buckets=5))
+    found = {r.event_id: r.query_id for r in got}
+    assert len(got) == 244 and spark.read.format("statestore").load(f"{tmp_path}/ck").count() <= 5
+    assert {i: q for i, q in found.items() if q} == {i: i - t + 1 for _, i, t, _ in rows if t > 1} | {8: 7, None: 2**60 + 1}
+    assert {7, 9} <= found.keys()
+
+
+def test_replay_rows_once(spark):
+    """Parts are made from rows that are computed once, each written by several tasks and still in one micro-batch."""
+    made = spark.sparkContext.accumulator(0)
+
+    def count(x):
+        made.add(1)
+        return x
+
+    rows = spark.range(0, 800, 1, 4).select(F.udf(count, "long")("id").alias("x"))
+    got = stream_queries._replayed(rows, F.col("x") % 2, 2, lambda s: s.withColumn("file", F.input_file_name())).collect()
+    assert sorted(r.x for r in got) == list(range(800)) and made.value == 800
+    assert len({r.file for r in got}) > 2
