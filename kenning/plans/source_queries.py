@@ -144,13 +144,16 @@ def read_generic_logs(spark, sf_dir) -> DataFrame:
 
 @query(EVENTS + """SELECT 'native' AS dialect, count(DISTINCT session_id) AS n_sessions, count(*) AS n FROM ve UNION ALL SELECT 'generic', count(DISTINCT session_id), count(*) FROM ve""")
 def read_mixed_logs(spark, sf_dir) -> DataFrame:
-    """A folder of two dialects: each file is sniffed and read by its own reader."""
+    """A folder of two dialects: each file is sniffed and read by its own reader. A dialect is that of the reader, which must be the file's."""
+    if table(spark, sf_dir, "events").isEmpty():
+        return spark.createDataFrame([("native", 0, 0), ("generic", 0, 0)], "dialect string, n_sessions long, n long")  # no logs are written, and none are an error to read()
     rows, n = _event_rows(spark, sf_dir), _files(spark, sf_dir)
     native = _native(rows.withColumn("session_id", F.concat(F.lit("n-"), "session_id"))).withColumn("at", F.struct("at.place.session_id", "at.place.turn_index", "at.pos"))
     line = F.to_json(F.struct(F.concat(F.lit("g-"), F.col("session_id")).alias("session_id"), F.col("turn_index").alias("turn_index"), "tool_name", F.col("args").alias("tool_args"), "stdout"))
     generic = rows.select((F.col("file") + n).alias("file"), F.struct("session_id", "turn_index", F.lit(0).alias("pos")).alias("at"), line.alias("value"))
-    read = logs.read(spark, _written(native.union(generic), "mixed", 2 * n))
-    dialect = F.when(F.col("session_id").startswith("n-"), "native").otherwise("generic")
+    read = logs.read(spark, _written(native.union(generic), "mixed", 2 * n), generic={"unnamed": True})
+    written = F.when(F.regexp_extract("source_file", r"file=(\d+)", 1).cast("long") < n, "native").otherwise("generic")
+    dialect = F.when(F.col("dialect") == written, written).otherwise(F.raise_error(F.concat("source_file", F.lit(" was read as "), "dialect")))
     return read.groupBy(dialect.alias("dialect")).agg(F.count_distinct("session_id").alias("n_sessions"), F.count(F.lit(1)).alias("n"))
 
 

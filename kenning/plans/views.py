@@ -1,7 +1,7 @@
 """Deterministic views of the fixture tables that stand in for agent logs.
 
 Each view is one SELECT in the dialect that Spark and DuckDB share, so that a query and its oracle start from the same
-rows; what differs (JSON access) is filled in per engine.
+rows; what differs (JSON access, concat, which passes over nulls in DuckDB only) is filled in per engine.
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ SELECT *, {pick("k % 10", STDERR)} AS err_text, {pick("k % 7", STDOUT)} AS out_t
        {pick("k % 6", COMMANDS)} AS command,
        CASE WHEN tool_name = 'signup' THEN {pick("k % 3", CODES)} ELSE '' END AS code
 FROM (SELECT event_id, ts, user_id, event_type AS tool_name, CAST({{json}} AS INT) AS k,
-             concat('u', CAST(user_id AS VARCHAR(20)), '_w', CAST(CAST(floor((day(ts) - 1) / 7) AS INT) AS VARCHAR(20))) AS session_id
+             {{concat}}'u', CAST(user_id AS VARCHAR(20)), '_w', CAST(CAST(floor((day(ts) - 1) / 7) AS INT) AS VARCHAR(20))) AS session_id
       FROM {{events}}) e
 """
 
@@ -59,7 +59,7 @@ LEFT JOIN {{labels}} l ON d.doc_id = l.doc_id
 """
 
 #: What the oracle starts with; queries append their own SELECT.
-ORACLE_EVENT = EVENT.format(json="json_extract_string(props, '$.k')", events="events")
+ORACLE_EVENT = EVENT.format(json="json_extract_string(props, '$.k')", events="events", concat="concat(")
 ORACLE_EXP = EXP.format(documents="documents", labels="labels")
 
 
@@ -69,7 +69,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tool-call events: session = user and week, turn = position in it, outcome columns derived from type and k."""
-    df = spark.sql(EVENT.format(json="get_json_object(props, '$.k')", events="{events}"), events=table(spark, sf_dir, "events"))
+    df = spark.sql(EVENT.format(json="get_json_object(props, '$.k')", events="{events}", concat="concat_ws('', "), events=table(spark, sf_dir, "events"))
     is_error = "tool_name = 'error'"
     return df.selectExpr("*", f"CASE WHEN {is_error} THEN err_text ELSE '' END AS stderr", f"CASE WHEN {is_error} THEN '' ELSE out_text END AS stdout", "return_code = 0 AS success").drop("err_text", "out_text")
 

@@ -11,7 +11,8 @@ string, and how deep. So the blocks of a file are scanned twice:
 
 Elements are objects in a top-level array, or in an array of a top-level object (`{"data": [...]}`); what else is there
 is passed over. A file that ends too early, or can't be read, has a row that says so in report() and gives the elements
-before that. (An object that isn't in an array and fills a block of its own is taken for an element.)
+before that; to a strict reader it is an error. (An object that isn't in an array and fills a block of its own is taken
+for an element.)
 """
 
 from __future__ import annotations
@@ -31,9 +32,10 @@ _TOKEN = re.compile(r'"(?:[^"\\]|\\.)*("|\\?$)|[\[\]{}]', re.DOTALL)
 _REST = re.compile(r'(?:[^"\\]|\\.)*("|\\?$)', re.DOTALL)
 
 
-def pieces(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """source_file, block (where its split begins), value; the brace that ended the piece is left out."""
-    raw = spark.read.option("lineSep", "}").option("ignoreCorruptFiles", "true").option("ignoreMissingFiles", "true").text(path)
+def pieces(spark: SparkSession, path: str | list[str], strict: bool = False) -> DataFrame:
+    """source_file, block (where its split begins), value; the brace that ended the piece is left out. strict: a file that can't be read is an error."""
+    skip = str(not strict).lower()
+    raw = spark.read.option("lineSep", "}").option("ignoreCorruptFiles", skip).option("ignoreMissingFiles", skip).text(path)
     return raw.select(F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.file_block_start").alias("block"), "value")
 
 
@@ -98,11 +100,14 @@ def _chain(blocks: pd.DataFrame) -> pd.DataFrame:
     """Where each block of a file begins: inside a string or not, and how deep; whether a brace follows its last piece."""
     blocks = blocks.sort_values("block")
     braces, n = int(blocks["length"].iloc[0] - blocks["size"].sum()), int(blocks["n"].sum())
-    # As many braces as pieces: the last piece has one. Of a compressed file the sizes tell nothing.
-    ended = braces == n if braces in (n - 1, n) else blocks["last"].iloc[-1] != "]"
+    # As many braces as pieces: the last piece has one. Of a compressed file the sizes tell nothing: it has one if that alone ends the file.
+    ended = braces == n if braces in (n - 1, n) else None
     inside, depth, out = 0, 0, []
     for i, b in enumerate(blocks.itertuples()):
-        closed = ended or i < len(blocks) - 1
+        if ended is None and i == len(blocks) - 1:
+            ends = [(end[2 * inside], depth + end[2 * inside + 1]) for end in (b.open, b.closed)]
+            ended = ends[0] != (0, 0) and ends[1] == (0, 0)
+        closed = i < len(blocks) - 1 or ended
         end = b.closed if closed else b.open
         out.append((b.source_file, b.block, bool(inside), depth, closed, blocks["first"].iloc[0]))
         inside, depth = int(end[2 * inside]), depth + int(end[2 * inside + 1])
@@ -116,18 +121,21 @@ _BEGINNING = "source_file string, block long, inside boolean, depth long, closed
 def _lone(blocks: DataFrame) -> DataFrame:
     """What _chain says of files that are one block."""
     braces = F.col("length") - F.col("size")
-    closed = F.when((braces == F.col("n") - 1) | (braces == F.col("n")), braces == F.col("n")).otherwise(F.col("last") != "]")
-    end = F.when(closed, F.col("closed")).otherwise(F.col("open"))
-    whole = (F.get(end, F.lit(0)) == 0) & (F.get(end, F.lit(1)) == 0)
+    whole_by = lambda end: (F.get(end, F.lit(0)) == 0) & (F.get(end, F.lit(1)) == 0)
+    closed = F.when((braces == F.col("n") - 1) | (braces == F.col("n")), braces == F.col("n")).otherwise(~whole_by(F.col("open")) & whole_by(F.col("closed")))
+    whole = whole_by(F.when(closed, F.col("closed")).otherwise(F.col("open")))
     return blocks.select("source_file", "block", F.lit(False).alias("inside"), F.lit(0).cast("long").alias("depth"), closed.alias("closed"), "first", whole.alias("whole"), F.lit(True).alias("alone"))
 
 
-def blocks(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """A row per block with its beginning (written)."""
-    summed = pieces(spark, path).mapInArrow(_sums, "source_file string, block long, first string, n long, size long, open array<long>, closed array<long>, last string")
+def blocks(spark: SparkSession, path: str | list[str], strict: bool = False) -> DataFrame:
+    """A row per block with its beginning (written). strict: a file that can't be read or ends too early is an error."""
+    summed = pieces(spark, path, strict).mapInArrow(_sums, "source_file string, block long, first string, n long, size long, open array<long>, closed array<long>, last string")
     sized = materialise(summed, "sums").join(small(listed(spark, path)), "source_file").withColumn("alone", F.count(F.lit(1)).over(Window.partitionBy("source_file")) == 1)
     chained = sized.filter("NOT alone").groupBy("source_file").applyInPandas(_chain, _BEGINNING)
-    return materialise(_lone(sized.filter("alone")).union(chained), "blocks")
+    found = materialise(_lone(sized.filter("alone")).union(chained), "blocks")
+    if strict and (cut := found.filter("NOT whole").select("source_file").distinct().limit(5).collect()):
+        raise ValueError("files end too early: " + ", ".join(r["source_file"] for r in cut))
+    return found
 
 
 def listed(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -198,22 +206,25 @@ def _rows(out: list[tuple]) -> pa.RecordBatch:
     return pa.record_batch([pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)], names=["source_file", "block", "k", "part", "value"])
 
 
-def _parts(spark: SparkSession, path: str | list[str], starts: DataFrame) -> DataFrame:
+def _parts(spark: SparkSession, path: str | list[str], starts: DataFrame, strict: bool = False) -> DataFrame:
     """source_file, block, k, part, value of the blocks in starts."""
     known = small(starts)
-    rows = pieces(spark, path).withColumn("id", F.monotonically_increasing_id()).join(known, ["source_file", "block"])
+    rows = pieces(spark, path, strict).withColumn("id", F.monotonically_increasing_id()).join(known, ["source_file", "block"])
     if known is starts:  # too many blocks to hand out: the join shuffles, and a block's pieces are sorted again
         rows = rows.repartition("source_file", "block").sortWithinPartitions("source_file", "block", "id")
     return rows.select("source_file", "block", "value", "inside", "depth", "closed", "first").mapInArrow(_found, "source_file string, block long, k long, part string, value string")
 
 
-def elements(spark: SparkSession, path: str | list[str], starts: DataFrame | None = None) -> DataFrame:
-    """source_file, place (struct, in order within the file), value: the JSON text of each whole element."""
-    starts = blocks(spark, path) if starts is None else starts
-    whole = _parts(spark, path, starts).filter("part = 'whole'").select("source_file", F.struct("block", "k").alias("place"), "value")
+def elements(spark: SparkSession, path: str | list[str], starts: DataFrame | None = None, strict: bool = False) -> DataFrame:
+    """source_file, place (struct, in order within the file), value: the JSON text of each whole element.
+
+    strict: a file that can't be read or ends too early is an error.
+    """
+    starts = blocks(spark, path, strict) if starts is None else starts
+    whole = _parts(spark, path, starts, strict).filter("part = 'whole'").select("source_file", F.struct("block", "k").alias("place"), "value")
     order = Window.partitionBy("source_file").orderBy("block", "k")
     # Only elements of files of several blocks come in parts.
-    parts = _parts(spark, path, starts.filter("NOT alone")).filter("part <> 'whole'").withColumn("n", F.sum((F.col("part") == "start").cast("int")).over(order))
+    parts = _parts(spark, path, starts.filter("NOT alone"), strict).filter("part <> 'whole'").withColumn("n", F.sum((F.col("part") == "start").cast("int")).over(order))
     joined = parts.groupBy("source_file", "n").agg(F.min(F.struct("block", "k")).alias("place"), F.array_sort(F.collect_list(F.struct("block", "k", "value"))).alias("x"), (F.bool_or(F.col("part") == "end") & F.bool_or(F.col("part") == "start")).alias("ended"))
     return whole.unionByName(joined.filter("ended").select("source_file", "place", F.array_join(F.transform("x", lambda p: p["value"]), "").alias("value")))
 

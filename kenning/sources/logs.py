@@ -1,18 +1,22 @@
 """Readers of agent logs: four dialects, one canonical frame.
 
 Lines are read in the splits that Spark makes of files and keep their order by split and place, so a log of any size is
-read in parallel. Bad lines are dropped. Each reader gives the columns of CANONICAL.
+read in parallel. Bad lines are dropped. Each reader gives the columns of CANONICAL. Files that give nothing because
+they can't be read, end too early or are no logs are told by survey(), and are an error to read().
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kenning.functions import text as tx
 from kenning.operators import records
+from kenning.plans.store import materialise
 from kenning.sources import arrays
 
 CANONICAL = ["source_file", "session_id", "turn_index", "slot", "ts", "tool_name", "args", "command", "code", "query", "has_result", "return_code", "timed_out", "success", "stdout", "stderr", "category", "thought", "n_results"]
@@ -26,12 +30,14 @@ _MESSAGE = f"struct<role:string,content:string,tool_call_id:string,tool_calls:{_
 NATIVE = f"struct<event:string,object:string,timestamp:string,session_id:string,content:string,tool_calls:{_CALL},messages:array<{_MESSAGE}>,choices:array<struct<message:{_MESSAGE}>>,timing_metrics:map<string,double>,cost:struct<total_cost:double>>"
 
 
-def _text(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def _text(spark: SparkSession, path: str | list[str], skip: bool = False) -> DataFrame:
     """source_file, line_no, value: every line, split like Spark splits files, so that a file of any size is read in parallel.
 
     line_no orders the lines of a file: the place of the line's split, then the line's place in the task that read it.
+    skip: files that can't be read are passed over.
     """
-    raw = spark.read.text(path).select(F.input_file_name().alias("source_file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"), "value")
+    options = {"ignoreCorruptFiles": "true", "ignoreMissingFiles": "true"} if skip else {}
+    raw = spark.read.options(**options).text(path).select(F.input_file_name().alias("source_file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"), "value")
     return raw.select("source_file", F.struct("block", "row").alias("line_no"), "value")
 
 
@@ -226,10 +232,10 @@ def read_callbacks(spark: SparkSession, path: str) -> DataFrame:
 
 def read_run_steps(spark: SparkSession, path: str) -> DataFrame:
     """Run-step files: an array, or an object with `data`, of any size; turns are the steps of a session by
-    creation time, slots keep their place. A file may hold many sessions."""
+    creation time, slots keep their place. A file may hold many sessions; one that can't be read or ends too early is an error."""
     call = "struct<id:string,type:string,function:struct<name:string,arguments:string,output:string>,code_interpreter:struct<input:string,outputs:string>,file_search:struct<results:array<struct<id:string,text:string>>>>"
     step = f"struct<id:string,object:string,type:string,created_at:bigint,completed_at:bigint,run_id:string,thread_id:string,step_details:struct<tool_calls:array<{call}>>>"
-    steps = arrays.elements(spark, path).select("source_file", F.col("place").alias("pos"), F.from_json("value", step).alias("s"))
+    steps = arrays.elements(spark, path, strict=True).select("source_file", F.col("place").alias("pos"), F.from_json("value", step).alias("s"))
     session = F.coalesce("s.thread_id", "s.run_id")
     order = Window.partitionBy("source_file", session).orderBy(F.col("s.created_at").asc_nulls_last(), "pos")
     calls = steps.withColumn("turn_index", F.row_number().over(order) - 1).select("source_file", "turn_index", "s", F.posexplode("s.step_details.tool_calls").alias("slot", "c")).filter("c.type IN ('function', 'file_search', 'code_interpreter')")
@@ -251,12 +257,15 @@ FIELD_MAP = {
 }
 
 
-def read_generic(spark: SparkSession, path: str, fields: dict[str, list[str]] | None = None) -> DataFrame:
-    """Any JSONL: each logical field is the first of its candidate paths that is there; custom paths go first."""
+def read_generic(spark: SparkSession, path: str, fields: dict[str, list[str]] | None = None, unnamed: bool = False) -> DataFrame:
+    """Any JSONL: each logical field is the first of its candidate paths that is there; custom paths go first.
+
+    Lines that name no tool are no calls, unless unnamed.
+    """
     rows = lines(spark, path)
     paths = {k: [*(fields or {}).get(k, []), *v] for k, v in FIELD_MAP.items()}
     get = {k: F.coalesce(*[F.get_json_object("raw", f"$.{p}") for p in v]) for k, v in paths.items()}
-    found = running(rows.select("source_file", "line_no", *[c.alias(k) for k, c in get.items()]).filter("tool_name <> ''"), {"nth": F.lit(1)})
+    found = running(rows.select("source_file", "line_no", *[c.alias(k) for k, c in get.items()]).filter("true" if unnamed else "tool_name <> ''"), {"nth": F.lit(1)})
     stem = F.regexp_extract("source_file", r"([^/]+?)(?:\.[^./]*)?$", 1)
     code = F.col("return_code").try_cast("int")
     truth = F.lower("success").isin("true", "1", "yes", "ok")
@@ -291,32 +300,84 @@ def unregister(name: str | None = None) -> None:
 HEAD_LINES, HEAD_CHARS = 40, 131072
 
 
-def sniff(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """source_file, dialect: the first of native, callbacks, run_steps that fits, else generic. Empty files have no row."""
+def _heads(spark: SparkSession, path: str | list[str], skip: bool = False) -> DataFrame:
+    """source_file, dialect, objects, tools: whether the first lines hold an object, and one that names a tool. Empty files have no row."""
     order = Window.partitionBy("source_file").orderBy("line_no")
-    head = _text(spark, path).filter("line_no.block = 0").withColumn("n", F.row_number().over(order)).filter(F.col("n") <= HEAD_LINES)
+    head = _text(spark, path, skip).filter("line_no.block = 0").withColumn("n", F.row_number().over(order)).filter(F.col("n") <= HEAD_LINES)
     line, first = F.col("value"), order.rowsBetween(Window.unboundedPreceding, 0)
     # Of the first ten lines the first that is a session start or no object decides: an early broken line rejects.
-    tell = F.when(~F.trim(line).startswith("{") | F.try_parse_json(line).isNull(), -1).when(F.get_json_object(line, "$.event") == "session_start", 1)
+    is_object = F.trim(line).startswith("{") & F.try_parse_json(line).isNotNull()
+    tell = F.when(~is_object, -1).when(F.get_json_object(line, "$.event") == "session_start", 1)
     call = F.get_json_object(line, "$.type").isin(CALLBACK_KINDS) & (F.sum((F.trim(line) != "").cast("int")).over(first) <= 15)
-    told = head.select("source_file", "n", tell.alias("tell"), F.coalesce(call, F.lit(False)).alias("call"), F.substring(line, 1, HEAD_CHARS).alias("part"))
+    names = is_object & (F.coalesce(*[F.get_json_object(line, f"$.{p}") for p in FIELD_MAP["tool_name"]], F.lit("")) != "")
+    told = head.select("source_file", "n", tell.alias("tell"), F.coalesce(call, F.lit(False)).alias("call"), is_object.alias("is_object"), names.alias("names"), F.substring(line, 1, HEAD_CHARS).alias("part"))
     per = told.groupBy("source_file").agg(
-        F.min_by("tell", F.when((F.col("n") <= 10) & F.col("tell").isNotNull(), F.col("n"))).alias("tell"), F.bool_or("call").alias("calls"), F.array_sort(F.collect_list(F.struct("n", "part"))).alias("parts")
+        F.min_by("tell", F.when((F.col("n") <= 10) & F.col("tell").isNotNull(), F.col("n"))).alias("tell"), F.bool_or("call").alias("calls"), F.array_sort(F.collect_list(F.struct("n", "part"))).alias("parts"),
+        F.bool_or("is_object").alias("objects"), F.bool_or("names").alias("tools"),
     )
     chunk = F.substring(F.array_join(F.transform("parts", lambda p: p["part"]), "\n"), 1, HEAD_CHARS)
     weak = chunk.contains("thread.run.step") & chunk.contains('"step_details"') & F.try_parse_json(chunk).isNull()  # a cut-off file
     steps = chunk.rlike(r'"object"\s*:\s*"thread\.run\.step') | weak
-    return per.select("source_file", F.when(F.coalesce(F.col("tell") == 1, F.lit(False)), "native").when(F.col("calls"), "callbacks").when(steps, "run_steps").otherwise("generic").alias("dialect"))
+    dialect = F.when(F.coalesce(F.col("tell") == 1, F.lit(False)), "native").when(F.col("calls"), "callbacks").when(steps, "run_steps").otherwise("generic")
+    return per.select("source_file", dialect.alias("dialect"), "objects", "tools")
 
 
-def read(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Events of a folder of mixed logs: each file by the reader of its dialect. File names, not contents, reach the driver."""
-    out = None
+def sniff(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """source_file, dialect: the first of native, callbacks, run_steps that fits, else generic. Empty files have no row."""
+    return _heads(spark, path).select("source_file", "dialect")
+
+
+def _path(name: str) -> str:
+    """The path that reads just the file of this source_file: names are given as URIs, and Spark takes paths for patterns."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", unquote(name))
+
+
+def survey(spark: SparkSession, path: str | list[str], **options: dict) -> DataFrame:
+    """source_file, dialect, status of every file, with the options of read().
+
+    OK; EMPTY (blanks at most); UNREADABLE (also a compressed file of nothing); TRUNCATED (a run-step file that ends too
+    early); NO LOG: nothing in it is what its reader takes. So a log that is told wrong shows, as one whose first line is broken.
+    """
+    uri = F.regexp_replace("source_file", "^file:/+", "file:///").alias("source_file")
+    takes = "objects" if options.get("generic", {}).get("unnamed") else "tools"
+    plain = F.when(F.col("dialect") == "generic", F.col(takes)).otherwise(F.col("dialect") != "run_steps")
+    heads = materialise(_heads(spark, path, skip=True).select(uri, "dialect", plain.alias("plain")), "heads")
+    doubtful: dict[str, list[str]] = {"generic": [], "run_steps": []}
+    for row in heads.filter("NOT plain").toLocalIterator():  # their first lines don't show it: the files are read
+        doubtful[row["dialect"]].append(_path(row["source_file"]))
+    found = heads.filter("plain").select("source_file", F.lit("OK").alias("status"))
+    if steps := doubtful["run_steps"]:
+        nothing = (F.col("status") == "OK") & (F.col("n_elements") == F.col("n_bad"))
+        found = found.union(arrays.report(spark, steps).select(uri, F.when(nothing, "NO LOG").otherwise(F.col("status"))))
+    if files := doubtful["generic"]:
+        held = READERS["generic"](spark, files, **options.get("generic", {}))
+        said = _text(spark, files).groupBy(uri).agg(F.bool_or(F.trim("value") != "").alias("any"))
+        each = said.join(held.select(uri, F.lit(True).alias("held")).distinct(), "source_file", "left")
+        found = found.union(each.select("source_file", F.when(F.col("held"), "OK").when(F.col("any"), "NO LOG").otherwise("EMPTY")))
+    every = spark.createDataFrame([(f,) for f in spark.read.text(path).inputFiles()], "source_file string").select(uri)
+    for side in (arrays.listed(spark, path).select(uri, "length"), heads.select("source_file", "dialect"), found):  # Spark reads no file without bytes
+        every = every.join(side, "source_file", "left")
+    return every.select("source_file", "dialect", F.coalesce("status", F.when(F.col("length").isNull(), "EMPTY").otherwise("UNREADABLE")).alias("status"))
+
+
+def read(spark: SparkSession, path: str | list[str], skip_failed: bool = False, **options: dict) -> DataFrame:
+    """Events of a folder of mixed logs, and their dialect: each file by the reader of its own.
+
+    A file that survey() finds neither OK nor EMPTY is an error, unless skip_failed. options: arguments of a dialect's
+    reader, by its name. File names, not contents, reach the driver.
+    """
     by: dict[str, list[str]] = {}
-    for row in sniff(spark, path).toLocalIterator():
-        by.setdefault(row["dialect"], []).append(row["source_file"])
+    failed = []
+    for row in survey(spark, path, **options).filter("status <> 'EMPTY'").toLocalIterator():
+        if row["status"] == "OK":
+            by.setdefault(row["dialect"], []).append(_path(row["source_file"]))
+        else:
+            failed.append(f"{row['source_file']} ({row['status']})")
+    if failed and not skip_failed:
+        raise ValueError(f"{len(failed)} files can't be read as logs: {', '.join(sorted(failed)[:20])}")
+    out = None
     for dialect, files in sorted(by.items()):
-        events = READERS[dialect](spark, files)
+        events = READERS[dialect](spark, files, **options.get(dialect, {})).withColumn("dialect", F.lit(dialect))
         out = events if out is None else out.unionByName(events)
     if out is None:
         raise ValueError(f"no log files below {path}")

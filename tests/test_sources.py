@@ -1,6 +1,9 @@
+import gzip
 import json
 
-from kenning.sources import files, logs
+import pytest
+
+from kenning.sources import arrays, files, logs
 
 
 def result(rc, out="", err="", timed_out=False):
@@ -146,3 +149,59 @@ def test_running_values_over_many_chunks(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(logs, "CHUNK_BITS", 1)
     assert read() == whole and [len(x) for x in whole][1:] == [4, 9]
     assert "second" in str(whole[0]) and {r.turn_index for r in logs.read_callbacks(spark, str(tmp_path / "c.jsonl")).collect()} == {0, 1, 2, 3}
+
+
+def test_files_that_give_nothing_are_told(spark, tmp_path):
+    """A file that can't be read, ends too early or is no log isn't taken for one without events."""
+    line = lambda i: json.dumps({"session": "g", "tool": "shell", "args": f"echo {i}"})
+    step = json.dumps({"object": "thread.run.step", "created_at": 1, "thread_id": "t", "step_details": {"tool_calls": [call("c", "shell", command="ls")]}})
+    good = {"native.jsonl": native_log(), "a b#1%41.jsonl": line(1), "s*[1].jsonl": line(2), "sa1.jsonl": line(3), "late.jsonl": '{"note": "x"}\n' * 50 + line(4), "steps.json": f"[{step}]", "quiet.jsonl": '{"event": "session_start", "session_id": "q"}'}
+    bad = {"broken.jsonl": "{cut\n" + native_log(), "text.jsonl": "some\nwords\n", "untold.jsonl": '{"note": "no tool"}', "cut.json": f'[{step}, {{"object": "thread.ru', "lines.json": f"{step}\n{step}\n"}
+    for name, text in {**good, **bad, "none.jsonl": "", "blank.jsonl": " \n\n"}.items():
+        (tmp_path / name).write_text(text)
+    (tmp_path / "steps.json.gz").write_bytes(gzip.compress(f'{{"data": [{step}]}}\n'.encode()))
+    (tmp_path / "lost.jsonl.gz").write_bytes(b"\x1f\x8bnot gzip")
+    (tmp_path / "cut.json.gz").write_bytes(gzip.compress(f'[{step}, {{"object": "thread.run.step'.encode()))
+    told = {logs.unquote(r.source_file).split("/")[-1]: (r.dialect, r.status) for r in logs.survey(spark, str(tmp_path)).collect()}
+    assert {k for k, v in told.items() if v[1] == "OK"} == {*good, "steps.json.gz"}
+    assert {k: v for k, v in told.items() if v[1] != "OK"} == {
+        "broken.jsonl": ("generic", "NO LOG"), "text.jsonl": ("generic", "NO LOG"), "untold.jsonl": ("generic", "NO LOG"), "lines.json": ("run_steps", "NO LOG"),
+        "cut.json": ("run_steps", "TRUNCATED"), "cut.json.gz": ("run_steps", "TRUNCATED"), "lost.jsonl.gz": (None, "UNREADABLE"), "none.jsonl": (None, "EMPTY"), "blank.jsonl": ("generic", "EMPTY"),
+    }
+    with pytest.raises(ValueError, match=r"7 files .*broken\.jsonl \(NO LOG\).*lost\.jsonl\.gz \(UNREADABLE\)"):
+        logs.read(spark, str(tmp_path))
+    rows = logs.read(spark, str(tmp_path), skip_failed=True).collect()
+    assert sorted((r.dialect, r.command) for r in rows if r.dialect != "native") == [*(("generic", f"echo {i}") for i in (1, 2, 3, 4)), ("run_steps", "ls"), ("run_steps", "ls")]
+    assert sum(r.dialect == "native" for r in rows) == 4
+    kept = logs.read(spark, str(tmp_path / "late.jsonl"), generic={"unnamed": True})
+    assert kept.count() == 51 and kept.filter("tool_name IS NULL AND category = 'STRUCTURED_TOOL_CALL'").count() == 50
+    for name in ("cut.json", "lost.jsonl.gz"):
+        with pytest.raises(Exception, match="end too early|FAILED_READ_FILE"):
+            logs.read_run_steps(spark, str(tmp_path / name)).collect()
+    assert [json.loads(r.value)["thread_id"] for r in arrays.elements(spark, str(tmp_path / "cut.json.gz")).collect()] == ["t"], "no closing brace is made up"
+
+
+@pytest.mark.parametrize("odd", ["event_type = NULL", "event_type = ''", "user_id = NULL", "ts = NULL", "all gone"])
+def test_mixed_logs_of_odd_events(spark, tmp_path, odd):
+    """Calls of one dialect are never counted as the other's, and none goes."""
+    import duckdb
+
+    import __spark_entry__ as entry
+
+    column, _, value = odd.partition(" = ")
+    rows = f"SELECT * REPLACE (CASE WHEN event_id % 5 = 0 THEN {value} ELSE {column} END AS {column}) FROM t" if value else "SELECT * FROM t WHERE false"
+    db = duckdb.connect()
+    db.sql(f"COPY (WITH t AS (FROM '/root/testdata/sf0.001/events.parquet') {rows}) TO '{tmp_path}/events.parquet'")
+    db.sql(f"CREATE VIEW events AS FROM '{tmp_path}/events.parquet'")
+    found = entry.queries()["read_mixed_logs"](spark, str(tmp_path)).collect()
+    assert sorted(map(tuple, found)) == sorted(db.sql(entry.oracle_sql()["read_mixed_logs"]).fetchall())
+
+
+def test_mixed_logs_told_wrong_are_an_error(spark, monkeypatch):
+    """Native logs without a session start are taken for generic ones: no row of theirs is a result."""
+    from kenning.plans import source_queries
+
+    native = source_queries._native
+    monkeypatch.setattr(source_queries, "_native", lambda rows: native(rows).filter("NOT contains(value, 'session_start')"))
+    with pytest.raises(Exception, match="was read as generic"):
+        source_queries.read_mixed_logs(spark, "/root/testdata/sf0.001").collect()
