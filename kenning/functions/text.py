@@ -17,6 +17,27 @@ def strip(text: Column) -> Column:
     return F.regexp_replace(text, r"^\s+|\s+$", "")
 
 
+#: Characters of a string that Spark's JSON parser takes at most.
+JSON_CHARS = 20_000_000
+
+
+def bare(text: Column) -> Column:
+    """Without JSON's white space at either end."""
+    return F.trim(text, F.lit(" \t\r\n"))
+
+
+def is_object(text: Column) -> Column:
+    """Whether a text is one JSON object and nothing after it; keys may be repeated, which try_parse_json doesn't take."""
+    ends = bare(text).startswith("{") & bare(text).endswith("}") & (F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1)
+    return F.coalesce(ends & (~text.rlike(r"[\x00-\x1f]|^ *\{ *'") | F.try_parse_json(text).isNotNull()), F.lit(False))
+
+
+def parseable(text: Column) -> Column:
+    """text; an error if it can't be parsed and is so large that this needn't be its fault."""
+    lost = (F.octet_length(text) > JSON_CHARS) & F.try_parse_json(text).isNull()
+    return F.when(lost, F.raise_error(F.concat(F.lit("too large to parse: "), F.substring(text, 1, 80)))).otherwise(text)
+
+
 def cves(text: Column) -> Column:
     """Strict CVE ids, upper-cased, in order of first appearance."""
     return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(r"(?i)\bCVE-\d{4}-\d{4,7}\b"), F.lit(0)), F.upper))

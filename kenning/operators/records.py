@@ -172,7 +172,7 @@ def file_report(lines: DataFrame, events: DataFrame) -> DataFrame:
 
     lines: source_file, raw (every non-blank line); events: source_file, category.
     """
-    bad = F.try_parse_json("raw").isNull() | ~tx.strip(F.col("raw")).startswith("{")
+    bad = ~tx.is_object(F.col("raw"))
     read = lines.groupBy("source_file").agg(F.count(F.lit(1)).alias("n_lines"), F.count_if(bad).alias("n_bad"))
     made = events.groupBy("source_file").agg(F.count(F.lit(1)).alias("n_events"), F.count_if(F.col("category") == "CODE_WRITE").alias("n_code_writes"))
     both = read.join(made, "source_file", "left").na.fill(0, ["n_events", "n_code_writes"])

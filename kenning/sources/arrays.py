@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from kenning.functions import text as tx
 from kenning.plans.store import materialise, small
 
 #: A string up to its end or the piece's, or a bracket.
@@ -232,7 +233,7 @@ def elements(spark: SparkSession, path: str | list[str], starts: DataFrame | Non
 def report(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """source_file, status (OK, TRUNCATED or UNREADABLE), n_elements, n_bad (elements that aren't JSON) of each file that isn't empty."""
     starts = blocks(spark, path)
-    bad = F.try_parse_json("value").isNull()
+    bad = ~tx.is_object(F.col("value"))
     per = elements(spark, path, starts).groupBy("source_file").agg(F.count(F.lit(1)).alias("n_elements"), F.count_if(bad).alias("n_bad"))
     ends = starts.groupBy("source_file").agg(F.bool_and("whole").alias("whole"))
     all_ = listed(spark, path).join(ends, "source_file", "left").join(per, "source_file", "left").na.fill(0, ["n_elements", "n_bad"])

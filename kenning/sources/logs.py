@@ -43,8 +43,8 @@ def _text(spark: SparkSession, path: str | list[str], skip: bool = False) -> Dat
 
 def lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """source_file, line_no (in order within a file), raw: JSON object lines only."""
-    kept = _text(spark, path).filter(F.trim("value").startswith("{") & F.try_parse_json("value").isNotNull())
-    return kept.select("source_file", "line_no", F.col("value").alias("raw"))
+    begun = _text(spark, path).filter(tx.bare(F.col("value")).startswith("{")).select("source_file", "line_no", tx.parseable(F.col("value")).alias("raw"))
+    return begun.filter(tx.is_object(F.col("raw")))
 
 
 #: Lines that a running value is taken over at once, as a power of two.
@@ -235,7 +235,7 @@ def read_run_steps(spark: SparkSession, path: str) -> DataFrame:
     creation time, slots keep their place. A file may hold many sessions; one that can't be read or ends too early is an error."""
     call = "struct<id:string,type:string,function:struct<name:string,arguments:string,output:string>,code_interpreter:struct<input:string,outputs:string>,file_search:struct<results:array<struct<id:string,text:string>>>>"
     step = f"struct<id:string,object:string,type:string,created_at:bigint,completed_at:bigint,run_id:string,thread_id:string,step_details:struct<tool_calls:array<{call}>>>"
-    steps = arrays.elements(spark, path, strict=True).select("source_file", F.col("place").alias("pos"), F.from_json("value", step).alias("s"))
+    steps = arrays.elements(spark, path, strict=True).select("source_file", F.col("place").alias("pos"), F.from_json(tx.parseable(F.col("value")), step).alias("s"))
     session = F.coalesce("s.thread_id", "s.run_id")
     order = Window.partitionBy("source_file", session).orderBy(F.col("s.created_at").asc_nulls_last(), "pos")
     calls = steps.withColumn("turn_index", F.row_number().over(order) - 1).select("source_file", "turn_index", "s", F.posexplode("s.step_details.tool_calls").alias("slot", "c")).filter("c.type IN ('function', 'file_search', 'code_interpreter')")
@@ -306,7 +306,7 @@ def _heads(spark: SparkSession, path: str | list[str], skip: bool = False) -> Da
     head = _text(spark, path, skip).filter("line_no.block = 0").withColumn("n", F.row_number().over(order)).filter(F.col("n") <= HEAD_LINES)
     line, first = F.col("value"), order.rowsBetween(Window.unboundedPreceding, 0)
     # Of the first ten lines the first that is a session start or no object decides: an early broken line rejects.
-    is_object = F.trim(line).startswith("{") & F.try_parse_json(line).isNotNull()
+    is_object = tx.is_object(line)
     tell = F.when(~is_object, -1).when(F.get_json_object(line, "$.event") == "session_start", 1)
     call = F.get_json_object(line, "$.type").isin(CALLBACK_KINDS) & (F.sum((F.trim(line) != "").cast("int")).over(first) <= 15)
     names = is_object & (F.coalesce(*[F.get_json_object(line, f"$.{p}") for p in FIELD_MAP["tool_name"]], F.lit("")) != "")

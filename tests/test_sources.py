@@ -205,3 +205,18 @@ def test_mixed_logs_told_wrong_are_an_error(spark, monkeypatch):
     monkeypatch.setattr(source_queries, "_native", lambda rows: native(rows).filter("NOT contains(value, 'session_start')"))
     with pytest.raises(Exception, match="was read as generic"):
         source_queries.read_mixed_logs(spark, "/root/testdata/sf0.001").collect()
+
+
+def test_lines_are_taken_whole_or_not(spark, tmp_path):
+    """Repeated keys and white space lose no line, half a line is none, and one too large for Spark's parser is an error."""
+    good = ['{"a": 1, "a": 2}', '\t{"a": {"b": [1, "}"]}} \t', "{}", '{"a": "x}"}']
+    bad = ['{"a": 1}{"b": 2}', '{"a": 1} cut', '{"a": 1},', '{"a": 1}]', '{"a": 1}, {"b": 2}', '{"a": "x\ty"}', "{'a': 1}", '{"a": 1', "[1]", "", "{cut}"]
+    (tmp_path / "x.jsonl").write_text("\n".join(good + bad))
+    assert sorted(r.raw for r in logs.lines(spark, str(tmp_path)).collect()) == sorted(good)
+    large = '{"tool": "shell", "output": "' + "x" * 20_000_001 + '"}'
+    (tmp_path / "y.jsonl").write_text(large)
+    with pytest.raises(Exception, match="too large to parse"):
+        logs.read(spark, str(tmp_path / "y.jsonl")).count()
+    (tmp_path / "z.json").write_text(f'[{{"object": "thread.run.step", "thread_id": "t"}}, {large}]')
+    with pytest.raises(Exception, match="too large to parse"):
+        logs.read_run_steps(spark, str(tmp_path / "z.json")).count()
